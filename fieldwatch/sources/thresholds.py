@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,18 +40,14 @@ class Thresholds:
         """The limits as rows, with ``extra`` number columns per pollutant."""
         extra = extra or {}
         added = sorted({name for row in extra.values() for name in row})
-        schema = ", ".join(
-            ["pollutant_type string"] + [f"{name} double" for name in LIMIT_COLUMNS + added]
-        )
-        rows = [
-            (
-                pollutant,
-                *(row.get(name) for name in LIMIT_COLUMNS),
-                *(extra[pollutant][name] for name in added),
-            )
-            for pollutant, row in self.limits.items()
-        ]
-        return spark.createDataFrame(rows, schema)
+        columns = {"pollutant_type": pa.array(list(self.limits), pa.string())}
+        for name in LIMIT_COLUMNS:
+            values = [row.get(name) for row in self.limits.values()]
+            columns[name] = pa.array(values, pa.float64())
+        for name in added:
+            values = [extra[pollutant][name] for pollutant in self.limits]
+            columns[name] = pa.array(values, pa.float64())
+        return spark.createDataFrame(pa.table(columns))
 
     def join(
         self,
