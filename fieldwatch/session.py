@@ -5,6 +5,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_local_folders: dict[str, str] = {}
 
 
 def build_spark(app_name: str, conf: dict[str, str] | None = None) -> SparkSession:
@@ -23,26 +24,25 @@ def build_spark(app_name: str, conf: dict[str, str] | None = None) -> SparkSessi
     return spark
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as ``spark.checkpoint.dir`` names it.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local session
-    that names none gets a folder of its own.
+    Only a local session that names none gets a folder of its own.
     """
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="fieldwatch-checkpoint-")
-    context.setCheckpointDir(named)
-    return named
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if spark.sparkContext.applicationId not in _local_folders:
+        made = tempfile.mkdtemp(prefix="fieldwatch-")
+        _local_folders[spark.sparkContext.applicationId] = made
+    return _local_folders[spark.sparkContext.applicationId]
 
 
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and go on from the written rows."""
-    checkpoint_folder(df.sparkSession)
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()

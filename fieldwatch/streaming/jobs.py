@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fieldwatch.functions.columns import HORIZONS, class_name, features
-from fieldwatch.functions.schemas import FORECAST, HOURLY_KEY, DAILY_KEY
+from fieldwatch.functions.schemas import FORECAST, HOURLY_KEY
 from fieldwatch.operators.forecast import CELL, ForecastModel, train_forecaster, with_cell
 from fieldwatch.operators.registry import FORECASTER, detect
 from fieldwatch.operators.rollup import daily_rollup, hourly_avg, hourly_retained, stamp_daily
-from fieldwatch.session import build_spark
+from fieldwatch.session import build_spark, shared_folder
 from fieldwatch.sources.readings import (
     SourceConf,
     parse_readings,
@@ -37,22 +37,22 @@ from fieldwatch.streaming.sinks import (
 )
 
 MODES = ("anomaly", "metrics", "all")
-# Table names of the rollups.
+# Fixed value: name of the hourly table.
 HOURLY_TABLE = "sensor_averages_hourly"
-DAILY_TABLE = "sensor_averages_daily"
 
 
 @dataclass(frozen=True)
 class JobConf:
     """Everything a job needs to know.
 
-    ``checkpoint`` and the table paths must lie on storage all executors share.
+    ``checkpoint`` and the table paths must lie on storage all executors share;
+    without ``checkpoint`` the session's ``spark.checkpoint.dir`` is used.
     ``available_now`` works off what is there and stops.
     """
 
     source: SourceConf
     sink: SinkConf
-    checkpoint: str
+    checkpoint: str | None = None
     hourly_path: str | None = None
     postgres_uri: str | None = None
     detector: str = "Thresholding"
@@ -76,7 +76,7 @@ def conf_from_env(env: Mapping[str, str] = os.environ) -> JobConf:
             max_per_trigger=int(limit) if limit else None,
         ),
         sink=SinkConf("kafka", bootstrap_servers=servers),
-        checkpoint=env.get("CHECKPOINT_LOCATION", "/tmp/checkpoints"),
+        checkpoint=env.get("CHECKPOINT_LOCATION"),
         hourly_path=env.get("HOURLY_PATH"),
         postgres_uri=env.get("POSTGRES_URI"),
         detector=env.get("ALGORITHM", "Thresholding"),
@@ -91,13 +91,18 @@ def conf_from_env(env: Mapping[str, str] = os.environ) -> JobConf:
     )
 
 
+def query_folder(spark: SparkSession, conf: JobConf, name: str) -> str:
+    """Checkpoint folder of one query; the same one after a restart."""
+    return f"{conf.checkpoint or shared_folder(spark)}/{name}"
+
+
 def _start(writer, conf: JobConf) -> StreamingQuery:
     return (writer.trigger(availableNow=True) if conf.available_now else writer).start()
 
 
 def hourly_writer(conf: JobConf) -> BatchWriter:
     if conf.hourly_path:
-        return upsert_files(conf.hourly_path, HOURLY_KEY)
+        return upsert_files(conf.hourly_path)
     if conf.postgres_uri:
         return upsert_jdbc(jdbc_target(conf.postgres_uri), HOURLY_TABLE, HOURLY_KEY)
     raise ValueError("the metrics job needs HOURLY_PATH or POSTGRES_URI")
@@ -110,21 +115,17 @@ def start_metrics(spark: SparkSession, conf: JobConf) -> StreamingQuery:
         hourly_avg(valid)
         .writeStream.outputMode("update")
         .foreachBatch(hourly_writer(conf))
-        .option("checkpointLocation", f"{conf.checkpoint}/metrics")
+        .option("checkpointLocation", query_folder(spark, conf, "metrics"))
     )
     return _start(writer, conf)
 
 
 def refresh_daily(spark: SparkSession, hourly_path: str, write: BatchWriter, batch_id: int) -> None:
-    """Daily means from the whole hourly table, upserted."""
+    """Daily means from the whole hourly table, upserted by ``write``."""
     hourly = read_current(spark, HOURLY_KEY, hourly_path)
     write(stamp_daily(daily_rollup(hourly)), batch_id)
 
 
-def daily_writer(path: str) -> BatchWriter:
-    return upsert_files(path, DAILY_KEY)
-
-
 def serving_hours(spark: SparkSession, hourly_path: str, keep: int = 25) -> DataFrame:
     """The newest hours of each series, as a bounded view of the hourly table."""
     return hourly_retained(read_current(spark, HOURLY_KEY, hourly_path), keep)
@@ -216,15 +217,16 @@ def start_anomaly(spark: SparkSession, conf: JobConf) -> list[StreamingQuery]:
     """
     valid, dead = parse_readings(read_readings_stream(spark, conf.source))
     messages = alert_messages(spark, valid, conf)
-    queries = [_start(message_writer(messages, conf.sink, f"{conf.checkpoint}/anomaly"), conf)]
+    folder = query_folder(spark, conf, "anomaly")
+    queries = [_start(message_writer(messages, conf.sink, folder), conf)]
     if conf.dead_letter_topic:
         letters = dead.select(
             F.lit(None).cast("string").alias("key"),
             F.to_json(F.struct("value", "reason")).alias("value"),
             F.lit(conf.dead_letter_topic).alias("topic"),
         )
-        writer = message_writer(letters, conf.sink, f"{conf.checkpoint}/dead_letters")
-        queries.append(_start(writer, conf))
+        folder = query_folder(spark, conf, "dead_letters")
+        queries.append(_start(message_writer(letters, conf.sink, folder), conf))
     return queries
 
 

@@ -82,16 +82,16 @@ def latest_rows(versions: DataFrame, keys: list[str], version: str = BATCH_ID) -
     )
 
 
-def upsert_files(path: str, keys: list[str]) -> BatchWriter:
+def upsert_files(path: str) -> BatchWriter:
     """A ``foreachBatch`` writer that keeps each batch's rows in a folder of its own.
 
     Executors write the rows; a replayed batch replaces its own folder and
-    nothing else, and readers take the newest row of each key.
+    nothing else, and readers take the newest row of each key. A batch holds a
+    key once, as the update mode of an aggregation gives it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        latest = batch.dropDuplicates(keys)
-        latest.write.mode("overwrite").parquet(f"{path}/{BATCH_ID}={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/{BATCH_ID}={batch_id}")
 
     return write
 
@@ -186,9 +186,8 @@ def upsert_jdbc(target: JdbcTarget, table: str, keys: list[str]) -> BatchWriter:
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         _run_statements(spark, target, [clear_statement(staging, batch_id)])
-        batch.dropDuplicates(keys).withColumn(BATCH_ID, F.lit(batch_id).cast("bigint")).write.jdbc(
-            target.url, staging, mode="append", properties=target.properties()
-        )
+        staged = batch.withColumn(BATCH_ID, F.lit(batch_id).cast("bigint"))
+        staged.write.jdbc(target.url, staging, mode="append", properties=target.properties())
         merge = merge_statement(table, staging, batch.columns, keys, batch_id)
         _run_statements(spark, target, [merge, clear_statement(staging, batch_id)])
 
