@@ -1,0 +1,310 @@
+"""Block steps against plain per-reading models, cut at every kind of place."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import models
+from conftest import SCHEMA, at
+from fieldwatch.operators import dwell as D
+from fieldwatch.operators import ema as E
+from fieldwatch.operators import history as H
+from fieldwatch.operators.dwell import band_limits, due_micros, dwell_alerts, run_response
+from fieldwatch.operators.ema import ema_series
+from fieldwatch.operators.thresholding import classify_readings
+from fieldwatch.sources.thresholds import load_thresholds
+
+SECOND = 1_000_000
+
+
+def batches(rows, columns, cuts, size):
+    """Blocks of batches from ordered row dicts, cut before the given rows."""
+    edges = [0, *sorted(set(c for c in cuts if 0 < c < len(rows))), len(rows)]
+    for block, (low, high) in enumerate(zip(edges, edges[1:], strict=False)):
+        part = rows[low:high]
+        yield [
+            pa.RecordBatch.from_pydict(
+                {
+                    **{
+                        name: pa.array([r[name] for r in part[i : i + size]], kind)
+                        for name, kind in columns.items()
+                    },
+                    "block": pa.array([block] * len(part[i : i + size]), pa.int32()),
+                }
+            )
+            for i in range(0, len(part), size)
+        ]
+
+
+def run(rows, columns, cuts, size, summarise, fold, emit, carry_type, backwards=False):
+    blocks = list(batches(rows, columns, cuts, size))
+    summaries = [row for block in blocks for row in summarise(block)]
+    if backwards:
+        summaries = summaries[::-1]
+    carries = {}
+    for found in fold(summaries):
+        for row in found.to_pylist():
+            carries[row["block"]] = row["carry"]
+    out = []
+    for number, block in enumerate(blocks):
+        carried = [
+            batch.append_column("carry", pa.array([carries.get(number)] * len(batch), carry_type))
+            for batch in block
+        ]
+        for result in emit(carried):
+            out.extend(result.to_pylist())
+    return out
+
+
+BASE = {"site_id": pa.string(), "pollutant_type": pa.string(), "at": pa.int64()}
+
+
+def series_rows(lengths, seed, values):
+    rng = random.Random(seed)
+    rows = []
+    for index, length in enumerate(lengths):
+        when = 0
+        for _ in range(length):
+            when += rng.choice([0, 1, 1, 2, 40]) * SECOND
+            rows.append(
+                {
+                    "site_id": f"S{index // 2}",
+                    "pollutant_type": "AB"[index % 2],
+                    "at": when,
+                    "concentration": rng.choice(values),
+                }
+            )
+    return rows
+
+
+def by_series(rows):
+    grouped = {}
+    for row in rows:
+        grouped.setdefault((row["site_id"], row["pollutant_type"]), []).append(row)
+    return grouped
+
+
+shapes = st.tuples(
+    st.lists(st.integers(1, 40), min_size=1, max_size=5),
+    st.integers(0, 10_000),
+    st.lists(st.integers(0, 120), max_size=12),
+    st.integers(1, 30),
+)
+
+
+@settings(max_examples=150, deadline=None)
+@given(shapes, st.sampled_from([0.05, 0.3, 0.9, 1.0]), st.sampled_from([None, 10 * SECOND]))
+def test_ema_across_blocks(shape, alpha, gap):
+    lengths, seed, cuts, size = shape
+    rows = series_rows(lengths, seed, [0.0, 100.0, 355.5, 499.0])
+    columns = {**BASE, "concentration": pa.float64()}
+    names = [*BASE, "concentration"]
+    found = run(
+        rows, columns, cuts, size,
+        E._summarise(alpha, gap), E._fold(alpha, gap), E._emit(alpha, gap, names), pa.float64(),
+    )
+    expected = []
+    for part in by_series(rows).values():
+        times = [r["at"] for r in part]
+        expected += models.ema_values([r["concentration"] for r in part], alpha, times, gap)
+    assert np.allclose([r["ema"] for r in found], expected, rtol=1e-12, atol=1e-9)
+
+
+def banded(rows, max_time, delta):
+    limits = models.Limits()
+    bands = band_limits(load_thresholds(), max_time, delta)["PM10"]
+    for row in rows:
+        x = row["concentration"]
+        row["band"], row["allowed"] = 0, 0.0
+        for band, name, limit in ((2, "red", limits.red_min), (1, "orange", limits.orange_min)):
+            if bands[f"{name}_floor"] <= x < limit:
+                row["band"] = band
+                row["allowed"] = bands[f"{name}_slope"] * x + bands[f"{name}_intercept"]
+    return rows
+
+
+def check_dwell(rows, cuts, size, max_time, delta, gap=None):
+    columns = {
+        **BASE,
+        "concentration": pa.float64(),
+        "band": pa.int32(),
+        "allowed": pa.float64(),
+    }
+    found = run(
+        banded(rows, max_time, delta), columns, cuts, size,
+        D._summarise(gap), D._fold(gap), D._emit(gap), pa.int64(),
+    )
+    got = [
+        (r["site_id"], r["pollutant_type"], r["at"], r["concentration"], r["elapsed"] / 1e6, r["band"])
+        for r in found
+    ]
+    expected = []
+    for (site, pollutant), part in by_series(rows).items():
+        ordered = [(r["at"], r["concentration"]) for r in part]
+        for when, x, metric, name, _ in models.fuzzy(ordered, max_time, delta, gap=gap):
+            if name != "hard_threshold":
+                expected.append((site, pollutant, when, x, metric, 2 if "red" in name else 1))
+    assert got == expected
+    return len(got)
+
+
+@settings(max_examples=200, deadline=None)
+@given(shapes, st.sampled_from([5, 30, 200]), st.sampled_from([None, 10 * SECOND]))
+def test_dwell_across_blocks(shape, max_time, gap):
+    lengths, seed, cuts, size = shape
+    values = [100.0, 341.0, 345.0, 345.0, 349.5, 360.0, 425.0, 428.0, 440.0]
+    check_dwell(series_rows(lengths, seed, values), cuts, size, max_time, 10, gap)
+
+
+@settings(max_examples=200, deadline=None)
+@given(shapes, st.sampled_from([[345.0], [341.0, 345.0, 349.0], [421.0, 429.9]]), st.integers(3, 90))
+def test_dwell_of_a_series_stuck_in_a_band(shape, values, max_time):
+    """Whole blocks of one run: the timer has to be handed through them."""
+    lengths, seed, cuts, size = shape
+    check_dwell(series_rows(lengths, seed, values), cuts, size, max_time, 10)
+
+
+def test_stuck_series_does_fire_across_blocks():
+    rows = series_rows([120], 1, [345.0])
+    assert check_dwell(rows, range(0, 120, 7), 3, 60, 10) > 3
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 12)), min_size=1, max_size=40))
+def test_run_response_equals_walking(steps):
+    moments = np.cumsum([step for step, _ in steps]).astype(np.int64)
+    due = np.array([wait for _, wait in steps], dtype=np.int64)
+
+    def walk(timer):
+        for now, wait in zip(moments.tolist(), due.tolist(), strict=True):
+            timer = now if timer is None else timer
+            if now - timer >= wait:
+                timer = None
+        return D.UNSET if timer is None else timer
+
+    reach, leaves, fresh = run_response(moments, due)
+    assert fresh == walk(None)
+    given_timers = np.arange(-20, int(moments[0]) + 1)
+    found = D.respond(reach, leaves, fresh, given_timers)
+    assert found.tolist() == [walk(int(timer)) for timer in given_timers]
+
+
+@given(st.floats(0, 86400))
+def test_due_is_the_least_enough(seconds):
+    due = int(due_micros(np.array([seconds]))[0])
+    assert due / 1e6 >= seconds
+    assert (due - 1) / 1e6 < seconds
+
+
+@settings(max_examples=150, deadline=None)
+@given(shapes)
+def test_targets_across_blocks(shape):
+    lengths, seed, cuts, size = shape
+    rows = series_rows(lengths, seed, [1.0])
+    rng = random.Random(seed)
+    for row in rows:
+        row["severity"] = rng.randrange(3)
+    columns = {**BASE, "severity": pa.int32()}
+    found = run(
+        rows, columns, cuts, size,
+        H._summarise, H._fold, H._emit([*BASE, "severity"]), pa.list_(pa.int32()), backwards=True,
+    )
+    assert len(found) == len(rows)
+    expected = []
+    for part in by_series(rows).values():
+        severities = [r["severity"] for r in part]
+        for i in range(len(part)):
+            expected.append(
+                tuple(severities[i + k] if i + k < len(part) else None for k in (1, 4, 12))
+            )
+    assert [tuple(r[name] for name in H.TARGETS.values()) for r in found] == expected
+
+
+# -- the same through Spark ---------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def hot_readings(spark):
+    """One series holds most rows and sits in a band for long; input is shuffled."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(3000):
+        x = 345.0 if i % 1000 < 700 else rng.uniform(300, 500)
+        rows.append(("SITE_01", "PM10", at(i * 60), i, x))
+    for i in range(400):
+        site = f"SITE_{2 + i % 9:02d}"
+        rows.append((site, "PM2.5", at(rng.randrange(100) * 60), 10_000 + i, rng.uniform(300, 500)))
+    rng.shuffle(rows)
+    return spark.createDataFrame(rows, SCHEMA).repartition(6).cache()
+
+
+def ordered_series(df):
+    grouped = {}
+    for row in sorted(df.collect(), key=lambda r: (r["event_time"], r["event_id"])):
+        grouped.setdefault((row["site_id"], row["pollutant_type"]), []).append(row)
+    return grouped
+
+
+@pytest.mark.parametrize("blocks", [None, 1, 5, 60])
+def test_hot_series_ema(hot_readings, blocks):
+    found = {r["event_id"]: r["ema"] for r in ema_series(hot_readings, blocks=blocks).collect()}
+    assert len(found) == 3400
+    for part in ordered_series(hot_readings).values():
+        expected = models.ema_values([r["concentration"] for r in part], 0.3)
+        assert np.allclose([found[r["event_id"]] for r in part], expected, rtol=1e-12)
+
+
+@pytest.mark.parametrize("blocks", [1, 5, 60])
+def test_hot_series_dwell(spark, hot_readings, blocks):
+    alerts = dwell_alerts(hot_readings, load_thresholds(), 3600, 10, blocks=blocks)
+    found = sorted(
+        (r["site_id"], r["pollutant_type"], r["at"], r["concentration"], r["metric_value"])
+        for r in alerts.withColumn("at", F.unix_micros("event_time")).collect()
+    )
+    expected = []
+    timed = hot_readings.withColumn("at", F.unix_micros("event_time"))
+    for (site, pollutant), part in ordered_series(timed).items():
+        rows = [(r["at"], r["concentration"]) for r in part]
+        for when, x, metric, name, _ in models.fuzzy(rows, 3600, 10):
+            if name != "hard_threshold":
+                expected.append((site, pollutant, when, x, metric))
+    assert len(expected) > 20
+    assert found == sorted(expected)
+
+
+@pytest.mark.parametrize("blocks", [1, 40])
+def test_hot_series_targets(hot_readings, blocks):
+    led = H.lead_targets(classify_readings(hot_readings, load_thresholds()), blocks)
+    found = {r["event_id"]: r for r in led.collect()}
+    for part in ordered_series(hot_readings).values():
+        for i, row in enumerate(part):
+            for lead, name in ((1, "target_15m"), (4, "target_1hr"), (12, "target_3hr")):
+                got = found[row["event_id"]][name]
+                if i + lead >= len(part):
+                    assert got is None
+                else:
+                    assert got == found[part[i + lead]["event_id"]]["severity"]
+
+
+def test_copies_of_one_reading_are_cut_too(spark):
+    """Equal rows carry no order, yet they still spread over blocks."""
+    from fieldwatch.operators.blocks import ordered_blocks
+
+    copies = spark.range(0, 4000, 1, 8).selectExpr(
+        "'S' AS site_id", "'PM10' AS pollutant_type", "timestamp'2024-01-01' AS event_time",
+        "400D AS concentration",
+    )
+    sizes = ordered_blocks(copies, ["concentration"], 8).groupBy("block").count().collect()
+    assert sum(r["count"] for r in sizes) == 4000
+    assert max(r["count"] for r in sizes) <= 2000
+
+
+@pytest.mark.parametrize("alpha", [0, -0.1, 1.1])
+def test_alpha_is_checked(spark, hot_readings, alpha):
+    with pytest.raises(ValueError):
+        ema_series(hot_readings, alpha=alpha)
