@@ -2,7 +2,7 @@
 
 import os
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -226,7 +226,9 @@ def start_anomaly(spark: SparkSession, conf: JobConf) -> list[StreamingQuery]:
             F.lit(conf.dead_letter_topic).alias("topic"),
         )
         folder = query_folder(spark, conf, "dead_letters")
-        queries.append(_start(message_writer(letters, conf.sink, folder), conf))
+        # A file sink logs its batches in its folder, so each query has its own.
+        sink = replace(conf.sink, path=conf.sink.path and f"{conf.sink.path}_dead_letters")
+        queries.append(_start(message_writer(letters, sink, folder), conf))
     return queries
 
 
