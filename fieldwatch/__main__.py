@@ -1,13 +1,13 @@
-"""``python -m fieldwatch --mode {anomaly,metrics,all}``."""
+"""``python -m fieldwatch --mode {anomaly,metrics,all,daily,train}``."""
 
 import argparse
 
-from fieldwatch.streaming.jobs import MODES, run
+from fieldwatch.streaming.jobs import BATCH_MODES, MODES, run
 
 
 def main() -> None:
-    parser = argparse.ArgumentParser(prog="fieldwatch", description="Run the streaming jobs")
-    parser.add_argument("--mode", choices=MODES, default="all")
+    parser = argparse.ArgumentParser(prog="fieldwatch", description="Run the jobs")
+    parser.add_argument("--mode", choices=[*MODES, *BATCH_MODES], default="all")
     run(parser.parse_args().mode)
 
 

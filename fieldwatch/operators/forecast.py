@@ -32,6 +32,7 @@ BINS = 256
 
 HOURS, WEEKDAYS = 24, 7
 CELL = ["bin", "hour", "day_of_week"]
+CELL_PARTITIONS = 4
 CLASSES = list(CLASS_NAMES)
 
 
@@ -44,14 +45,14 @@ class ForecastModel:
     boosters: dict[str, dict[int, GBTClassificationModel]] = field(default_factory=dict)
 
     def save(self, path: str) -> None:
-        """Write the scoring table, the edges and the trees below ``path``."""
+        """Write the trees, the scoring table and, last, the edges below ``path``."""
         spark = self.table.sparkSession
-        self.table.write.mode("overwrite").parquet(f"{path}/table")
-        edges = spark.createDataFrame([(self.edges,)], "edges array<double>")
-        edges.write.mode("overwrite").parquet(f"{path}/edges")
         for name, by_class in self.boosters.items():
             for class_id, booster in by_class.items():
                 booster.write().overwrite().save(f"{path}/boosters/{name}/{class_id}")
+        self.table.write.mode("overwrite").parquet(f"{path}/table")
+        edges = spark.createDataFrame([(self.edges,)], "edges array<double>")
+        edges.write.mode("overwrite").parquet(f"{path}/edges")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "ForecastModel":
@@ -142,7 +143,7 @@ def all_cells(spark: SparkSession, edges: list[float]) -> DataFrame:
     """Every (bin, hour, weekday): at most bins x 24 x 7 rows."""
     per_bin = HOURS * WEEKDAYS
     cell = F.col("id")
-    return spark.range((len(edges) + 1) * per_bin).select(
+    return spark.range(0, (len(edges) + 1) * per_bin, 1, CELL_PARTITIONS).select(
         F.floor(cell / per_bin).cast("int").alias("bin"),
         F.floor((cell % per_bin) / WEEKDAYS).cast("int").alias("hour"),
         (cell % WEEKDAYS).cast("int").alias("day_of_week"),
@@ -194,9 +195,12 @@ def untrained_model(spark: SparkSession) -> ForecastModel:
 
 def train_forecaster(history: DataFrame, thresholds: Thresholds, **settings) -> ForecastModel:
     """Train on the recent history, or stand in when it is too short."""
-    if not training_coverage(history).head()["ready"]:
+    newest = F.unix_micros("max_time").alias("newest")
+    span = training_coverage(history).select("ready", newest).head()
+    if not span["ready"]:
         return untrained_model(history.sparkSession)
-    return fit_forecaster(forecast_training_set(history, thresholds), **settings)
+    training = forecast_training_set(history, thresholds, newest=span["newest"])
+    return fit_forecaster(training, **settings)
 
 
 def forecast_score(readings: DataFrame, model: ForecastModel) -> DataFrame:

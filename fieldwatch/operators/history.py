@@ -43,11 +43,20 @@ def training_coverage(readings: DataFrame, min_days: float = MIN_DAYS) -> DataFr
     )
 
 
-def training_window(readings: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:
-    """Readings of the last ``days`` days before the newest one."""
-    cutoff = readings.agg(
-        (F.max("event_time") - F.make_dt_interval(F.lit(days))).alias("cutoff")
-    ).scalar()
+def training_window(
+    readings: DataFrame, days: int = WINDOW_DAYS, newest: int | None = None
+) -> DataFrame:
+    """Readings of the last ``days`` days before the newest one.
+
+    Where the ``newest`` time (in microseconds) is known already, the filter
+    holds a plain value that reaches the file scan; else a subquery finds it.
+    """
+    if newest is not None:
+        cutoff = F.timestamp_micros(F.lit(newest - days * 86_400_000_000))
+    else:
+        cutoff = readings.agg(
+            (F.max("event_time") - F.make_dt_interval(F.lit(days))).alias("cutoff")
+        ).scalar()
     return readings.filter(F.col("event_time") >= cutoff)
 
 
@@ -161,10 +170,14 @@ def lead_targets(classified: DataFrame, blocks: int | None = None) -> DataFrame:
 
 
 def forecast_training_set(
-    readings: DataFrame, thresholds: Thresholds, days: int = WINDOW_DAYS, blocks: int | None = None
+    readings: DataFrame,
+    thresholds: Thresholds,
+    days: int = WINDOW_DAYS,
+    newest: int | None = None,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Features and targets of the readings in the training window."""
-    classified = classify_readings(training_window(readings, days), thresholds)
+    classified = classify_readings(training_window(readings, days, newest), thresholds)
     led = lead_targets(classified, blocks)
     return led.select(
         *SERIES,

@@ -19,7 +19,7 @@ def classify_readings(readings: DataFrame, thresholds: Thresholds) -> DataFrame:
     return (
         joined.withColumn("severity", F.when(is_measured(F.col("concentration")), class_id).otherwise(0))
         .withColumn("alert_category", alert_name(F.col("severity")))
-        .drop("orange_min", "red_min")
+        .select(*readings.columns, "severity", "alert_category")
     )
 
 

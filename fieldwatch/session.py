@@ -16,6 +16,7 @@ def build_spark(app_name: str, conf: dict[str, str] | None = None) -> SparkSessi
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.checkpoint.compress", "true")
     )
     for key, value in (conf or {}).items():
         builder = builder.config(key, value)

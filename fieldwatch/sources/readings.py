@@ -10,6 +10,9 @@ from fieldwatch.functions.columns import is_measured
 from fieldwatch.functions.schemas import READING_WIRE
 
 CORRUPT = "_corrupt"
+# A micro-batch is always bounded, also the first one over a long history.
+OFFSETS_PER_TRIGGER = 5_000_000
+BYTES_PER_TRIGGER = "1g"
 READING_COLUMNS = [*READING_WIRE.fieldNames(), "event_time"]
 
 
@@ -19,7 +22,8 @@ class SourceConf:
 
     ``format`` is ``kafka``, or ``text`` (one JSON message per line), or
     ``parquet`` (a table with a ``value`` column). ``max_per_trigger`` bounds a
-    micro-batch: offsets for Kafka, files for the others.
+    micro-batch: offsets for Kafka, files for the others. Without it a default
+    number of offsets or bytes applies.
     """
 
     format: str
@@ -37,9 +41,12 @@ class SourceConf:
                 "subscribe": str(self.topic),
                 "startingOffsets": "earliest",
             }
-        if streaming and self.max_per_trigger:
-            name = "maxOffsetsPerTrigger" if self.format == "kafka" else "maxFilesPerTrigger"
-            chosen[name] = str(self.max_per_trigger)
+        if streaming and self.format == "kafka":
+            chosen["maxOffsetsPerTrigger"] = str(self.max_per_trigger or OFFSETS_PER_TRIGGER)
+        elif streaming and self.max_per_trigger:
+            chosen["maxFilesPerTrigger"] = str(self.max_per_trigger)
+        elif streaming:
+            chosen["maxBytesPerTrigger"] = BYTES_PER_TRIGGER
         return {**chosen, **self.options}
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fieldwatch.functions.columns import HORIZONS, class_name, features
-from fieldwatch.functions.schemas import FORECAST, HOURLY_KEY
+from fieldwatch.functions.schemas import DAILY_KEY, FORECAST, HOURLY_KEY
 from fieldwatch.operators.forecast import CELL, ForecastModel, train_forecaster, with_cell
 from fieldwatch.operators.registry import FORECASTER, detect
 from fieldwatch.operators.rollup import daily_rollup, hourly_avg, hourly_retained, stamp_daily
@@ -22,14 +22,17 @@ from fieldwatch.sources.readings import (
 )
 from fieldwatch.sources.thresholds import SHIPPED, Thresholds, load_thresholds
 from fieldwatch.streaming.sinks import (
+    BATCH_ID,
     TOPICS,
     BatchWriter,
     SinkConf,
     envelope,
     jdbc_target,
+    latest_rows,
     message_value,
     message_writer,
     read_current,
+    read_versions,
     route_alerts,
     topic_of,
     upsert_files,
@@ -37,8 +40,10 @@ from fieldwatch.streaming.sinks import (
 )
 
 MODES = ("anomaly", "metrics", "all")
-# Fixed value: name of the hourly table.
+BATCH_MODES = ("daily", "train")
+# Names of the rollup tables.
 HOURLY_TABLE = "sensor_averages_hourly"
+DAILY_TABLE = "sensor_averages_daily"
 
 
 @dataclass(frozen=True)
@@ -54,6 +59,7 @@ class JobConf:
     sink: SinkConf
     checkpoint: str | None = None
     hourly_path: str | None = None
+    daily_path: str | None = None
     postgres_uri: str | None = None
     detector: str = "Thresholding"
     detector_params: dict = field(default_factory=dict)
@@ -78,6 +84,7 @@ def conf_from_env(env: Mapping[str, str] = os.environ) -> JobConf:
         sink=SinkConf("kafka", bootstrap_servers=servers),
         checkpoint=env.get("CHECKPOINT_LOCATION"),
         hourly_path=env.get("HOURLY_PATH"),
+        daily_path=env.get("DAILY_PATH"),
         postgres_uri=env.get("POSTGRES_URI"),
         detector=env.get("ALGORITHM", "Thresholding"),
         topics={
@@ -91,6 +98,11 @@ def conf_from_env(env: Mapping[str, str] = os.environ) -> JobConf:
     )
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def query_folder(spark: SparkSession, conf: JobConf, name: str) -> str:
     """Checkpoint folder of one query; the same one after a restart."""
     return f"{conf.checkpoint or shared_folder(spark)}/{name}"
@@ -100,12 +112,23 @@ def _start(writer, conf: JobConf) -> StreamingQuery:
     return (writer.trigger(availableNow=True) if conf.available_now else writer).start()
 
 
-def hourly_writer(conf: JobConf) -> BatchWriter:
-    if conf.hourly_path:
-        return upsert_files(conf.hourly_path)
+def table_writer(path: str | None, conf: JobConf, table: str, keys: list[str]) -> BatchWriter:
+    """Upserts into the files below ``path``, the database, or both."""
+    writers = [upsert_files(path)] if path else []
     if conf.postgres_uri:
-        return upsert_jdbc(jdbc_target(conf.postgres_uri), HOURLY_TABLE, HOURLY_KEY)
-    raise ValueError("the metrics job needs HOURLY_PATH or POSTGRES_URI")
+        writers.append(upsert_jdbc(jdbc_target(conf.postgres_uri), table, keys))
+    if not writers:
+        raise ValueError(f"{table} needs a path or POSTGRES_URI")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if len(writers) == 1:
+            return writers[0](batch, batch_id)
+        kept = batch.persist()
+        for writer in writers:
+            writer(kept, batch_id)
+        kept.unpersist()
+
+    return write
 
 
 def start_metrics(spark: SparkSession, conf: JobConf) -> StreamingQuery:
@@ -114,16 +137,41 @@ def start_metrics(spark: SparkSession, conf: JobConf) -> StreamingQuery:
     writer = (
         hourly_avg(valid)
         .writeStream.outputMode("update")
-        .foreachBatch(hourly_writer(conf))
+        .foreachBatch(table_writer(conf.hourly_path, conf, HOURLY_TABLE, HOURLY_KEY))
         .option("checkpointLocation", query_folder(spark, conf, "metrics"))
     )
     return _start(writer, conf)
 
 
-def refresh_daily(spark: SparkSession, hourly_path: str, write: BatchWriter, batch_id: int) -> None:
-    """Daily means from the whole hourly table, upserted by ``write``."""
-    hourly = read_current(spark, HOURLY_KEY, hourly_path)
-    write(stamp_daily(daily_rollup(hourly)), batch_id)
+def changed_days(spark: SparkSession, hourly_path: str, after: int | None = None) -> DataFrame:
+    """Daily means of the days from the first one touched after a batch id.
+
+    All hours of these days count, whichever batch wrote them. Without
+    ``after`` every day is computed.
+    """
+    versions = read_versions(spark, hourly_path)
+    if after is not None:
+        touched = versions.filter(F.col(BATCH_ID) > after)
+        first = touched.agg(F.unix_micros(F.date_trunc("day", F.min("start_time")))).head()[0]
+        since = F.timestamp_micros(F.lit(first).cast("bigint"))
+        versions = versions.filter(F.col("start_time") >= since)
+    return daily_rollup(latest_rows(versions, HOURLY_KEY))
+
+
+def refresh_daily(spark: SparkSession, conf: JobConf) -> int:
+    """Bring the daily table up to the newest hourly batch; returns its id.
+
+    The daily table's own batch ids are those of the hourly batches it has
+    seen, so a run takes up where the last one ended.
+    """
+    newest = read_versions(spark, conf.hourly_path).agg(F.max(BATCH_ID)).head()[0]
+    seen = None
+    if conf.daily_path and path_exists(spark, conf.daily_path):
+        seen = read_versions(spark, conf.daily_path).agg(F.max(BATCH_ID)).head()[0]
+    if seen is None or newest > seen:
+        write = table_writer(conf.daily_path, conf, DAILY_TABLE, DAILY_KEY)
+        write(stamp_daily(changed_days(spark, conf.hourly_path, seen)), newest)
+    return newest
 
 
 def serving_hours(spark: SparkSession, hourly_path: str, keep: int = 25) -> DataFrame:
@@ -188,11 +236,13 @@ def forecast_messages(
 
 def load_or_train(spark: SparkSession, conf: JobConf, thresholds: Thresholds) -> ForecastModel:
     """The saved model, or one trained on the source's history and then saved."""
-    if conf.model_path:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(conf.model_path)
-        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-        if files.exists(folder):
-            return ForecastModel.load(spark, conf.model_path)
+    if conf.model_path and path_exists(spark, f"{conf.model_path}/edges/_SUCCESS"):
+        return ForecastModel.load(spark, conf.model_path)
+    return train(spark, conf, thresholds)
+
+
+def train(spark: SparkSession, conf: JobConf, thresholds: Thresholds) -> ForecastModel:
+    """A model of the source's history, saved where the settings say."""
     history, _ = parse_readings(read_readings_batch(spark, conf.source))
     model = train_forecaster(history, thresholds)
     if conf.model_path and model.boosters:
@@ -247,10 +297,17 @@ def start(spark: SparkSession, mode: str, conf: JobConf) -> list[StreamingQuery]
 def run(mode: str = "all", conf: JobConf | None = None, spark: SparkSession | None = None) -> None:
     """Run a mode until a query ends, then stop the others.
 
-    With ``available_now`` every query runs to its own end.
+    With ``available_now`` every query runs to its own end. The batch modes
+    refresh the daily table or train the forecaster, and end.
     """
     conf = conf or conf_from_env()
     spark = spark or build_spark(f"fieldwatch-{mode}")
+    if mode == "daily":
+        refresh_daily(spark, conf)
+        return
+    if mode == "train":
+        train(spark, conf, load_thresholds(conf.thresholds_path))
+        return
     queries = start(spark, mode, conf)
     try:
         if conf.available_now:

@@ -75,11 +75,7 @@ def message_writer(messages: DataFrame, sink: SinkConf, checkpoint: str):
 def latest_rows(versions: DataFrame, keys: list[str], version: str = BATCH_ID) -> DataFrame:
     """One row per key: the one with the highest version."""
     others = [name for name in versions.columns if name not in (*keys, version)]
-    return (
-        versions.groupBy(*keys)
-        .agg(F.max_by(F.struct(*others), F.col(version)).alias("row"))
-        .select(*keys, "row.*")
-    )
+    return versions.groupBy(*keys).agg(*(F.max_by(name, version).alias(name) for name in others))
 
 
 def upsert_files(path: str) -> BatchWriter:
@@ -91,7 +87,8 @@ def upsert_files(path: str) -> BatchWriter:
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{BATCH_ID}={batch_id}")
+        rows = batch.hint("rebalance")  # few files for a small batch
+        rows.write.mode("overwrite").parquet(f"{path}/{BATCH_ID}={batch_id}")
 
     return write
 
@@ -115,7 +112,8 @@ def compact(spark: SparkSession, keys: list[str], path: str, target: str, up_to:
     after the old folders are removed.
     """
     done = read_versions(spark, path).filter(F.col(BATCH_ID) <= up_to)
-    latest_rows(done, keys).write.mode("overwrite").parquet(f"{target}/{BATCH_ID}={up_to}")
+    rows = latest_rows(done, keys).sortWithinPartitions(keys[-1])
+    rows.write.mode("overwrite").parquet(f"{target}/{BATCH_ID}={up_to}")
 
 
 # -- upserts into a database --------------------------------------------------

@@ -82,6 +82,9 @@ def test_coverage(spark, history):
 def test_window_keeps_the_last_days(spark):
     rows = make_readings(spark, [(0, 1), (86400, 2), (86400 - 1, 3), (16 * 86400, 4)])
     assert sorted(r["concentration"] for r in training_window(rows).collect()) == [2, 4]
+    newest = 1704067200_000000 + 16 * 86400_000000
+    known = training_window(rows, newest=newest)
+    assert sorted(r["concentration"] for r in known.collect()) == [2, 4]
 
 
 def test_features(spark):

@@ -90,3 +90,8 @@ def test_kafka_options():
         "startingOffsets": "earliest",
     }
     assert conf.reader_options(streaming=True)["maxOffsetsPerTrigger"] == "9"
+
+
+def test_micro_batches_are_bounded_by_default():
+    assert "maxOffsetsPerTrigger" in SourceConf("kafka").reader_options(streaming=True)
+    assert "maxBytesPerTrigger" in SourceConf("text", path="p").reader_options(streaming=True)

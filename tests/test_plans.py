@@ -86,6 +86,7 @@ def test_upsert_read_aggregates_before_its_one_shuffle(stored):
 def test_window_needs_no_join(stored):
     text = plan(training_window(stored))
     assert "Join" not in text and "Subquery" in text
+    assert "GreaterThanOrEqual(event_time" in plan(training_window(stored, newest=10**15))
 
 
 def test_long_limit_tables_join_without_a_forced_broadcast(stored):

@@ -4,13 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SCHEMA, alert_rows, at, make_readings
-from fieldwatch.functions.schemas import HOURLY, HOURLY_KEY
+from fieldwatch.functions.schemas import DAILY_KEY, HOURLY, HOURLY_KEY
 from fieldwatch.operators.rollup import daily_rollup, hourly_avg, hourly_retained, latest_readings
 from fieldwatch.operators.thresholding import threshold_alerts
 from fieldwatch.plans.tables import wire_messages
 from fieldwatch.sources.readings import SourceConf
 from fieldwatch.sources.thresholds import load_thresholds
-from fieldwatch.streaming.jobs import JobConf, conf_from_env, refresh_daily, run, serving_hours
+from fieldwatch.streaming.jobs import JobConf, changed_days, conf_from_env, run, serving_hours
 from fieldwatch.streaming.sinks import (
     SinkConf,
     clear_statement,
@@ -168,13 +168,35 @@ def test_job_with_restart(spark, tmp_path, detector):
     assert table(current) == table(hourly_avg(table_of))
     assert serving_hours(spark, conf.hourly_path).count() == 25
 
-    write = upsert_files(f"{tmp_path}/daily")
-    refresh_daily(spark, conf.hourly_path, write, 0)
-    refresh_daily(spark, conf.hourly_path, write, 1)
-    daily = read_current(spark, ["site_id", "pollutant_type", "log_date"], f"{tmp_path}/daily")
-    expected_days = daily_rollup(hourly_avg(table_of)).count()
-    assert daily.count() == expected_days
+
+
+def days(df):
+    return sorted((str(r["log_date"]), r["daily_avg"]) for r in df.collect())
+
+
+def test_daily_refresh_takes_up_where_it_ended(spark, tmp_path):
+    conf = job(tmp_path, daily_path=f"{tmp_path}/daily")
+    write = upsert_files(conf.hourly_path)
+    write(hours(spark, (0, 1), (1, 3), (24, 10)), 0)
+    run("daily", conf, spark)
+    write(hours(spark, (25, 20), (48, 5)), 1)
+    write(hours(spark, (1, 5), (25, 30)), 2)
+    run("daily", conf, spark)
+    run("daily", conf, spark)
+    daily = read_current(spark, DAILY_KEY, conf.daily_path)
+    assert days(daily) == [("2024-01-01", 3.0), ("2024-01-02", 20.0), ("2024-01-03", 5.0)]
     assert daily.filter(F.col("last_updated_at").isNull()).count() == 0
+    assert sorted(r[0] for r in read_versions(spark, conf.daily_path).select("batch_id").distinct().collect()) == [0, 2]
+
+
+def test_only_days_from_the_first_touched_one_are_computed(spark, tmp_path):
+    path = f"{tmp_path}/hourly"
+    write = upsert_files(path)
+    write(hours(spark, (0, 1), (24, 10)), 0)
+    write(hours(spark, (25, 20)), 1)
+    assert days(changed_days(spark, path, after=0)) == [("2024-01-02", 15.0)]
+    assert len(days(changed_days(spark, path))) == 2
+    assert days(changed_days(spark, path, after=1)) == []
 
 
 def test_unknown_mode_is_refused(spark, tmp_path):
