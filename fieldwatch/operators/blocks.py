@@ -3,13 +3,13 @@
 One series may hold a large share of all rows, so no operator here gathers a
 series into one task. Readings are range-partitioned by (series, time, tie):
 Spark samples the rows and cuts the order into even blocks, through the middle
-of a long series where needed. Each block is then read in order, batch by
-batch:
+of a long series where needed. The ordered blocks are written once; then
 
-1. ``summarise`` turns every block into one row,
-2. ``fold`` walks these few rows and finds what each block must be told by its
+1. ``summarise`` turns every block into one row, from the few rows that matter
+   to the block's neighbours (Spark filters them out beforehand),
+2. ``fold`` walks these summaries and finds what each block must be told by its
    neighbours (one row per block at most, so it is small enough to broadcast),
-3. ``emit`` reads the blocks again, now with that value, and writes results.
+3. an operator reads the blocks in order, batch by batch, with that value.
 """
 
 from collections.abc import Callable, Iterable, Iterator
@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldwatch.functions.columns import is_measured
@@ -49,37 +49,52 @@ def ordered_blocks(
 ) -> DataFrame:
     """Readings in even, ordered blocks, written to the checkpoint folder.
 
-    ``at`` is the event time in microseconds. Without ``blocks`` the session's
-    shuffle partitions apply and AQE merges small ones. The written rows keep
-    each row's block fixed, also when an executor is lost later.
+    ``at`` is the event time in microseconds, ``block`` the number of the block
+    and ``pos`` the row's place in it. Without ``blocks`` the session's shuffle
+    partitions apply and AQE merges small ones. The written rows keep each
+    row's block fixed, also when an executor is lost later.
     """
+    ties = tie_columns(readings)
     thin = usable(readings).select(
-        *SERIES, F.unix_micros("event_time").alias("at"), *tie_columns(readings), *payload
+        *SERIES, F.unix_micros("event_time").alias("at"), *ties, *payload
     )
-    order = [*SERIES, "at", *tie_columns(readings), "concentration"]
+    order = [*SERIES, "at", *ties, "concentration"]
     # Equal rows are interchangeable; their input task lets many copies be cut too.
     ranged = thin.withColumn("origin", F.spark_partition_id()).repartitionByRange(
         *([blocks] if blocks else []), *order, "origin"
     )
+    in_order = ranged.sortWithinPartitions(*order).drop("origin")
+    # Fixed layout of this function: the task above, the row in it in the low 33 bits.
+    numbered = in_order.withColumn("place", F.monotonically_increasing_id())
     return materialise(
-        ranged.sortWithinPartitions(*order)
-        .drop("origin")
-        .withColumn("block", F.spark_partition_id())
+        numbered.withColumn("block", F.shiftright("place", 33).cast("int"))
+        .withColumn("pos", F.col("place").bitwiseAND(F.lit((1 << 33) - 1)))
+        .drop("place")
     )
 
 
 def with_neighbours(
     blocks: DataFrame,
+    columns: list[str],
+    telling: Column,
     summarise: Step,
     summary_schema: str,
     fold: Step,
     carry_type: str,
     backwards: bool = False,
 ) -> DataFrame:
-    """Blocks with a ``carry`` column: what the neighbouring blocks pass on."""
+    """Blocks with a ``carry`` column: what the neighbouring blocks pass on.
+
+    ``summarise`` sees the first and last row of each block and those for which
+    ``telling`` holds, an expression that may use ``row_count``.
+    """
+    sizes = blocks.groupBy("block").agg((F.max("pos") + 1).alias("row_count"))
+    edge = (F.col("pos") == 0) | (F.col("pos") == F.col("row_count") - 1)
+    told = blocks.join(F.broadcast(sizes), "block").filter(edge | telling)
     order = F.col("block").desc() if backwards else F.col("block")
     carries = (
-        blocks.mapInArrow(summarise, summary_schema)
+        told.select("block", "pos", "row_count", *SERIES, "at", *columns)
+        .mapInArrow(summarise, summary_schema)
         .repartition(1)
         .sortWithinPartitions(order)
         .mapInArrow(fold, f"block int, carry {carry_type}")
@@ -94,13 +109,15 @@ class Place:
     site_id: str
     pollutant_type: str
     at: int
+    pos: int | None = None
 
     @staticmethod
     def of(batch: pa.RecordBatch, row: int) -> "Place":
+        known = [name for name in ("at", "pos") if name in batch.schema.names]
         return Place(
             batch.column("site_id")[row].as_py(),
             batch.column("pollutant_type")[row].as_py(),
-            batch.column("at")[row].as_py(),
+            *(batch.column(name)[row].as_py() for name in known),
         )
 
     def continues(self, earlier: "Place | None", gap: int | None) -> bool:
@@ -117,9 +134,15 @@ def numbers(batch: pa.RecordBatch, name: str) -> np.ndarray:
 
 
 def series_starts(batch: pa.RecordBatch, before: Place | None, gap: int | None) -> np.ndarray:
-    """Flag the rows of a batch that begin a series (or follow a long gap)."""
+    """Flag the rows of a batch that begin a series or follow a long gap.
+
+    Where rows carry their ``pos``, one whose neighbour was left out counts too.
+    """
     starts = np.empty(batch.num_rows, dtype=bool)
-    starts[0] = not Place.of(batch, 0).continues(before, gap)
+    first = Place.of(batch, 0)
+    starts[0] = not first.continues(before, gap)
+    if before is not None and first.pos is not None:
+        starts[0] |= first.pos != before.pos + 1
     changed = np.zeros(batch.num_rows - 1, dtype=bool)
     for name in SERIES:
         column = batch.column(name)
@@ -127,6 +150,8 @@ def series_starts(batch: pa.RecordBatch, before: Place | None, gap: int | None)
         changed |= differs.to_numpy(zero_copy_only=False)
     if gap is not None:
         changed |= np.diff(numbers(batch, "at")) > gap
+    if first.pos is not None:
+        changed |= np.diff(numbers(batch, "pos")) != 1
     starts[1:] = changed
     return starts
 

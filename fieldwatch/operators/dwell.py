@@ -199,9 +199,11 @@ def needed_steps(reach: np.ndarray, leaves: np.ndarray, first_at: int):
 
 
 def _summarise(gap: int | None):
+    """One row per block, from its readings in a band and its two ends."""
+
     def run(batches):
         head = tail = None
-        head_band = tail_band = 0
+        head_band = tail_band = rows = size = 0
         timer, response, block = None, None, None
         for batch in filled(batches):
             starts = series_starts(batch, tail, gap)
@@ -210,7 +212,7 @@ def _summarise(gap: int | None):
             first = head is None
             if first:
                 head, head_band = Place.of(batch, 0), int(band[0])
-                block = batch.column("block")[0].as_py()
+                block, size = (batch.column(name)[0].as_py() for name in ("block", "row_count"))
             one_run = (
                 head_band > 0
                 and (band == head_band).all()
@@ -226,6 +228,9 @@ def _summarise(gap: int | None):
                 response = None
             _, _, tail_band, timer = dwell(band, at, allowed, starts, tail_band, timer)
             tail = Place.of(batch, batch.num_rows - 1)
+            rows += batch.num_rows
+        if rows != size:
+            response = None
         if head is None:
             return
         reach, leaves = (response[0], response[1]) if response else (None, None)
@@ -286,12 +291,14 @@ FIRED = (
 
 
 def _emit(gap: int | None):
+    """The readings that fire, from a block's readings in a band."""
+
     def run(batches):
         tail, tail_band, timer = None, 0, None
         for batch in filled(batches):
             starts = series_starts(batch, tail, gap)
             band = numbers(batch, "band")
-            if tail is None:
+            if tail is None and batch.column("pos")[0].as_py() == 0:
                 timer = batch.column("carry")[0].as_py()
                 tail_band = int(band[0])
                 starts[0] = timer is None
@@ -323,9 +330,14 @@ def dwell_alerts(
     gap = seconds_to_micros(max_gap)
     if ordered is None:
         ordered = banded_blocks(readings, thresholds, max_time, delta, blocks)
-    carried = with_neighbours(ordered, _summarise(gap), SUMMARY, _fold(gap), "bigint")
+    in_band = F.col("band") > 0
+    columns = ["concentration", "band", "allowed"]
+    carried = with_neighbours(
+        ordered, ["band", "allowed"], in_band, _summarise(gap), SUMMARY, _fold(gap), "bigint"
+    )
+    inside = carried.filter(in_band).select(*SERIES, "at", "pos", *columns, "carry")
     red = F.col("band") == RED_BAND
-    return carried.mapInArrow(_emit(gap), FIRED).select(
+    return inside.mapInArrow(_emit(gap), FIRED).select(
         *SERIES,
         F.timestamp_micros("at").alias("event_time"),
         "concentration",

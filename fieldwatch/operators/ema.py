@@ -1,5 +1,7 @@
 """Exponential moving average per series, and alerts on it."""
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -53,16 +55,29 @@ def smooth(values: np.ndarray, starts: np.ndarray, alpha: float, carry: float |
     return smoothed[1:] if carried else smoothed
 
 
+def rows_that_count(alpha: float) -> int:
+    """Rows after which an earlier average weighs less than any double."""
+    if alpha == 1:
+        return 1
+    return math.ceil(746 / -math.log1p(-alpha))
+
+
 def _summarise(alpha: float, gap: int | None):
+    """One row per block, from its first row and the last ones that count.
+
+    ``whole`` says that the block is one stretch of one series and short enough
+    for an average before it to show at its end.
+    """
+
     def run(batches):
         head = tail = end = None
-        whole, rows, first_value, block = True, 0, None, None
+        whole, rows, size, first_value, block = True, 0, 0, None, None
         for batch in filled(batches):
             starts = series_starts(batch, tail, gap)
             values = numbers(batch, "concentration")
             if head is None:
                 head, first_value = Place.of(batch, 0), float(values[0])
-                block = batch.column("block")[0].as_py()
+                block, size = (batch.column(name)[0].as_py() for name in ("block", "row_count"))
                 whole = not starts[1:].any()
             else:
                 whole = whole and not starts.any()
@@ -81,8 +96,8 @@ def _summarise(alpha: float, gap: int | None):
             tail_site=(tail.site_id, pa.string()),
             tail_pollutant=(tail.pollutant_type, pa.string()),
             tail_at=(tail.at, pa.int64()),
-            whole=(whole, pa.bool_()),
-            row_count=(rows, pa.int64()),
+            whole=(whole and rows == size, pa.bool_()),
+            row_count=(size, pa.int64()),
             first_value=(first_value, pa.float64()),
             end_value=(end, pa.float64()),
         )
@@ -94,7 +109,8 @@ def _fold(alpha: float, gap: int | None):
     """Average at the end of each block's predecessor, where the series goes on.
 
     Started at average ``c`` instead of its own first value, a block of ``n``
-    rows ends ``(1 - alpha)**n * (c - first value)`` higher.
+    rows ends ``(1 - alpha)**n * (c - first value)`` higher; nothing of it is
+    left where the block is not ``whole``.
     """
 
     def run(batches):
@@ -139,34 +155,50 @@ def _emit(alpha: float, gap: int | None, columns: list[str]):
     return run
 
 
-def ema_series(
+def _smoothed(
     readings: DataFrame,
-    alpha: float = 0.3,
-    max_gap: float | None = None,
-    blocks: int | None = None,
+    alpha: float,
+    max_gap: float | None,
+    blocks: int | None,
+    ties: list[str],
 ) -> DataFrame:
-    """Every reading of a batch table with the moving average of its series.
-
-    ``max_gap`` (seconds) restarts a series after a longer silence.
-    """
     check_alpha(alpha)
     gap = seconds_to_micros(max_gap)
     ordered = ordered_blocks(readings, ["concentration"], blocks)
     carried = with_neighbours(
-        ordered, _summarise(alpha, gap), SUMMARY, _fold(alpha, gap), "double"
+        ordered,
+        ["concentration"],
+        F.col("pos") >= F.col("row_count") - rows_that_count(alpha),
+        _summarise(alpha, gap),
+        SUMMARY,
+        _fold(alpha, gap),
+        "double",
     )
-    columns = [*SERIES, "at", *tie_columns(readings), "concentration"]
+    columns = [*SERIES, "at", *ties, "concentration"]
     types = dict(ordered.dtypes)
     schema = ", ".join(f"{name} {types[name]}" for name in columns) + ", ema double"
-    return carried.mapInArrow(_emit(alpha, gap, columns), schema).select(
-        *SERIES,
-        F.timestamp_micros("at").alias("event_time"),
-        *tie_columns(readings),
-        "concentration",
-        "ema",
+    return (
+        carried.select(*columns, "carry")
+        .mapInArrow(_emit(alpha, gap, columns), schema)
+        .select(
+            *SERIES, F.timestamp_micros("at").alias("event_time"), *ties, "concentration", "ema"
+        )
     )
 
 
+def ema_series(
+    readings: DataFrame,
+    alpha: float = 0.3,
+    max_gap: float | None = None,
+    blocks: int | None = None,
+) -> DataFrame:
+    """Every reading of a batch table with the moving average of its series.
+
+    ``max_gap`` (seconds) restarts a series after a longer silence.
+    """
+    return _smoothed(readings, alpha, max_gap, blocks, tie_columns(readings))
+
+
 def alerts_on_ema(series: DataFrame, thresholds: Thresholds) -> DataFrame:
     """Alerts where the average lies in the orange band or at red and above."""
     value = F.col("ema")
@@ -203,4 +235,4 @@ def ema_alerts(
 
         return stream_ema_alerts(readings, thresholds, alpha, max_gap, watermark, strict_order)
     known = readings.filter(F.col("pollutant_type").isin(list(thresholds.limits)))
-    return alerts_on_ema(ema_series(known, alpha, max_gap, blocks), thresholds)
+    return alerts_on_ema(_smoothed(known, alpha, max_gap, blocks, []), thresholds)

@@ -66,20 +66,18 @@ def forecast_features(readings: DataFrame) -> DataFrame:
 
 
 def _summarise(batches):
+    """One row per block, from its first rows and its last one."""
     head = tail = block = None
-    whole, heads = True, []
+    heads, size = [], 0
     for batch in filled(batches):
-        starts = series_starts(batch, tail, None)
         if head is None:
-            head, block = Place.of(batch, 0), batch.column("block")[0].as_py()
-            starts[0] = False
-        if whole:
-            breaks = np.flatnonzero(starts)
-            whole = breaks.size == 0
-            in_head = batch.num_rows if whole else int(breaks[0])
-            wanted = min(in_head, FARTHEST - len(heads))
-            heads.extend(numbers(batch, "severity")[:wanted].tolist())
-        tail = Place.of(batch, batch.num_rows - 1)
+            head = Place.of(batch, 0)
+            block, size = (batch.column(name)[0].as_py() for name in ("block", "row_count"))
+        severities = numbers(batch, "severity")
+        for row in range(batch.num_rows):
+            tail = Place.of(batch, row)
+            if tail.pos < FARTHEST and tail.continues(head, None):
+                heads.append(int(severities[row]))
     if head is None:
         return
     yield one_row(
@@ -88,7 +86,7 @@ def _summarise(batches):
         head_pollutant=(head.pollutant_type, pa.string()),
         tail_site=(tail.site_id, pa.string()),
         tail_pollutant=(tail.pollutant_type, pa.string()),
-        whole=(whole, pa.bool_()),
+        whole=(len(heads) == size, pa.bool_()),
         heads=(heads, pa.list_(pa.int32())),
     )
 
@@ -155,7 +153,16 @@ def _emit(columns: list[str]):
 def lead_targets(classified: DataFrame, blocks: int | None = None) -> DataFrame:
     """Severity 1, 4 and 12 readings ahead in the same series; null at its end."""
     ordered = ordered_blocks(classified, ["concentration", "severity"], blocks)
-    carried = with_neighbours(ordered, _summarise, SUMMARY, _fold, "array<int>", backwards=True)
+    carried = with_neighbours(
+        ordered,
+        ["severity"],
+        F.col("pos") < FARTHEST,
+        _summarise,
+        SUMMARY,
+        _fold,
+        "array<int>",
+        backwards=True,
+    )
     columns = [*SERIES, "at", *tie_columns(classified), "concentration", "severity"]
     types = dict(ordered.dtypes)
     schema = ", ".join(
@@ -163,7 +170,8 @@ def lead_targets(classified: DataFrame, blocks: int | None = None) -> DataFrame:
         + [f"{name} int" for name in TARGETS.values()]
     )
     return (
-        carried.mapInArrow(_emit(columns), schema)
+        carried.select(*columns, "carry")
+        .mapInArrow(_emit(columns), schema)
         .withColumn("event_time", F.timestamp_micros("at"))
         .drop("at")
     )
