@@ -33,6 +33,8 @@ BINS = 256
 HOURS, WEEKDAYS = 24, 7
 CELL = ["bin", "hour", "day_of_week"]
 CELL_PARTITIONS = 4
+# The scoring table is broadcast: this many bins make it about 170,000 rows.
+MOST_BINS = 1024
 CLASSES = list(CLASS_NAMES)
 
 
@@ -155,13 +157,16 @@ def fit_forecaster(
     rounds: int = ROUNDS,
     depth: int = DEPTH,
     bins: int = BINS,
-    parallelism: int = 3,
+    parallelism: int = 9,
 ) -> ForecastModel:
     """Fit the three horizons on a training set.
 
     A horizon with one class always predicts that class; one without any row
-    predicts green_yellow.
+    predicts green_yellow. The fits are small jobs over the cells and run side
+    by side.
     """
+    if not 2 <= bins <= MOST_BINS:
+        raise ValueError(f"bins lies between 2 and {MOST_BINS}, got {bins}")
     spark = training.sparkSession
     edges = bin_edges(training, bins)
     assemble = VectorAssembler(inputCols=CELL, outputCol="features")

@@ -72,11 +72,13 @@ def read_readings_batch(spark: SparkSession, conf: SourceConf) -> DataFrame:
 def decode_readings(raw: DataFrame) -> DataFrame:
     """One typed row per message; ``reason`` says why a row is unusable."""
     schema = StructType([*READING_WIRE.fields, StructField(CORRUPT, StringType())])
-    parsed = raw.select(F.col("value").cast("string").alias("value")).withColumn(
-        "data", F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT})
-    )
-    typed = parsed.select("value", "data.*").withColumn(
-        "event_time", F.col("timestamp").try_cast("timestamp")
+    message = F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT})
+    # As a generator the JSON is parsed once; as a plain column the optimizer
+    # would repeat the parse in every condition on its fields.
+    typed = (
+        raw.select(F.col("value").cast("string").alias("value"))
+        .select("value", F.inline(F.array(message)))
+        .withColumn("event_time", F.col("timestamp").try_cast("timestamp"))
     )
     reason = (
         F.when(F.col("value").isNull() | F.col(CORRUPT).isNotNull(), "malformed_json")

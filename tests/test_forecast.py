@@ -166,6 +166,11 @@ def test_no_history_predicts_green_yellow(spark):
         assert {r["timescale"] for r in found} == set(HORIZONS)
 
 
+def test_bins_are_bounded(history):
+    with pytest.raises(ValueError):
+        fit_forecaster(history, bins=5000)
+
+
 def test_label_balance(spark):
     rows = make_readings(spark, [(i, x) for i, x in enumerate([0, 400, 500, 0, 0])])
     found = {r["timescale"]: r for r in label_balance(forecast_training_set(rows, LIMITS)).collect()}

@@ -14,6 +14,7 @@ from fieldwatch.operators.thresholding import (
     severe_alerts,
     threshold_alerts,
 )
+from fieldwatch.sources.readings import parse_readings
 from fieldwatch.sources.thresholds import Thresholds, load_thresholds
 from fieldwatch.streaming.sinks import envelope, latest_rows, route_alerts
 
@@ -83,6 +84,12 @@ def test_upsert_read_aggregates_before_its_one_shuffle(stored):
     assert shuffles(text) == 1 and "partial_max_by" in text
 
 
+def test_messages_are_parsed_once(stored):
+    valid, dead = parse_readings(stored.selectExpr("site_id AS value"))
+    for frame in (valid, dead):
+        assert plan(frame).count("from_json") == 1
+
+
 def test_window_needs_no_join(stored):
     text = plan(training_window(stored))
     assert "Join" not in text and "Subquery" in text
