@@ -82,11 +82,13 @@ def with_neighbours(
     fold: Step,
     carry_type: str,
     backwards: bool = False,
+    parts: list[str] | None = None,
 ) -> DataFrame:
-    """Blocks with a ``carry`` column: what the neighbouring blocks pass on.
+    """Blocks with what their neighbours pass on, as ``carry`` in their first row.
 
     ``summarise`` sees the first and last row of each block and those for which
-    ``telling`` holds, an expression that may use ``row_count``.
+    ``telling`` holds, an expression that may use ``row_count``. ``parts`` orders
+    the rows of a block whose summary takes more than one.
     """
     sizes = blocks.groupBy("block").agg((F.max("pos") + 1).alias("row_count"))
     edge = (F.col("pos") == 0) | (F.col("pos") == F.col("row_count") - 1)
@@ -96,10 +98,11 @@ def with_neighbours(
         told.select("block", "pos", "row_count", *SERIES, "at", *columns)
         .mapInArrow(summarise, summary_schema)
         .repartition(1)
-        .sortWithinPartitions(order)
+        .sortWithinPartitions(order, *(parts or []))
         .mapInArrow(fold, f"block int, carry {carry_type}")
     )
-    return blocks.join(F.broadcast(carries), "block", "left")
+    carried = blocks.join(F.broadcast(carries), "block", "left")
+    return carried.withColumn("carry", F.when(F.col("pos") == 0, F.col("carry")))
 
 
 @dataclass(frozen=True)

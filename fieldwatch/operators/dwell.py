@@ -35,7 +35,7 @@ CATEGORY = {ORANGE_BAND: "orange", RED_BAND: "red"}
 LONGEST_TIME = 86400
 
 SUMMARY = (
-    "block int, head_site string, head_pollutant string, head_at bigint, head_band int, "
+    "block int, part int, head_site string, head_pollutant string, head_at bigint, head_band int, "
     "tail_site string, tail_pollutant string, tail_at bigint, tail_band int, "
     "timer bigint, reach array<bigint>, leaves array<bigint>"
 )
@@ -148,6 +148,8 @@ def dwell(
 # marks no timer.
 
 UNSET = np.iinfo(np.int64).min
+# Steps per summary row: a block with more spreads over several rows.
+STEPS = 1024
 
 
 def run_response(at: np.ndarray, due: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
@@ -233,21 +235,24 @@ def _summarise(gap: int | None):
             response = None
         if head is None:
             return
-        reach, leaves = (response[0], response[1]) if response else (None, None)
-        yield one_row(
-            block=(block, pa.int32()),
-            head_site=(head.site_id, pa.string()),
-            head_pollutant=(head.pollutant_type, pa.string()),
-            head_at=(head.at, pa.int64()),
-            head_band=(head_band, pa.int32()),
-            tail_site=(tail.site_id, pa.string()),
-            tail_pollutant=(tail.pollutant_type, pa.string()),
-            tail_at=(tail.at, pa.int64()),
-            tail_band=(tail_band, pa.int32()),
-            timer=(timer, pa.int64()),
-            reach=(reach, pa.list_(pa.int64())),
-            leaves=(leaves, pa.list_(pa.int64())),
-        )
+        steps = len(response[0]) if response else 0
+        for part, low in enumerate(range(0, max(steps, 1), STEPS)):
+            cut = slice(low, low + STEPS)
+            yield one_row(
+                block=(block, pa.int32()),
+                part=(part, pa.int32()),
+                head_site=(head.site_id, pa.string()),
+                head_pollutant=(head.pollutant_type, pa.string()),
+                head_at=(head.at, pa.int64()),
+                head_band=(head_band, pa.int32()),
+                tail_site=(tail.site_id, pa.string()),
+                tail_pollutant=(tail.pollutant_type, pa.string()),
+                tail_at=(tail.at, pa.int64()),
+                tail_band=(tail_band, pa.int32()),
+                timer=(timer, pa.int64()),
+                reach=(response[0][cut] if response else None, pa.list_(pa.int64())),
+                leaves=(response[1][cut] if response else None, pa.list_(pa.int64())),
+            )
 
     return run
 
@@ -256,26 +261,29 @@ def _fold(gap: int | None):
     """The running timer each block is given by the block before it."""
 
     def run(batches):
-        tail, tail_band, out = None, 0, None
+        tail, tail_band, out, given = None, 0, None, None
         for batch in filled(batches):
             blocks, timers = [], []
-            for row in range(batch.num_rows):
-                names = [name for name in batch.schema.names if name not in ("reach", "leaves")]
-                part = {name: batch.column(name)[row].as_py() for name in names}
-                head = Place(part["head_site"], part["head_pollutant"], part["head_at"])
-                goes_on = head.continues(tail, gap) and part["head_band"] == tail_band
-                given = out if goes_on else None
-                out = part["timer"]
-                if given is not None:
-                    blocks.append(part["block"])
-                    timers.append(given)
-                    if batch.column("reach")[row].is_valid:
-                        reach = batch.column("reach")[row].values.to_numpy()
-                        leaves = batch.column("leaves")[row].values.to_numpy()
-                        left = int(respond(reach, leaves, UNSET, np.array([given]))[0])
-                        out = None if left == UNSET else left
-                tail = Place(part["tail_site"], part["tail_pollutant"], part["tail_at"])
-                tail_band = part["tail_band"]
+            names = [name for name in batch.schema.names if name not in ("reach", "leaves")]
+            for row, found in enumerate(batch.select(names).to_pylist()):
+                if found["part"] == 0:
+                    head = Place(found["head_site"], found["head_pollutant"], found["head_at"])
+                    goes_on = head.continues(tail, gap) and found["head_band"] == tail_band
+                    given = out if goes_on else None
+                    tail = Place(found["tail_site"], found["tail_pollutant"], found["tail_at"])
+                    tail_band, out = found["tail_band"], found["timer"]
+                    if given is not None:
+                        blocks.append(found["block"])
+                        timers.append(given)
+                if given is None or not batch.column("reach")[row].is_valid:
+                    continue
+                # The steps of all parts rise, so the first that reaches decides.
+                reach = batch.column("reach")[row].values.to_numpy()
+                step = int(np.searchsorted(reach, given, side="left"))
+                out = given
+                if step < len(reach):
+                    left = batch.column("leaves")[row].values[step].as_py()
+                    out, given = (None if left == UNSET else left), None
             yield pa.RecordBatch.from_arrays(
                 [pa.array(blocks, pa.int32()), pa.array(timers, pa.int64())],
                 names=["block", "carry"],
@@ -333,7 +341,14 @@ def dwell_alerts(
     in_band = F.col("band") > 0
     columns = ["concentration", "band", "allowed"]
     carried = with_neighbours(
-        ordered, ["band", "allowed"], in_band, _summarise(gap), SUMMARY, _fold(gap), "bigint"
+        ordered,
+        ["band", "allowed"],
+        in_band,
+        _summarise(gap),
+        SUMMARY,
+        _fold(gap),
+        "bigint",
+        parts=["part"],
     )
     inside = carried.filter(in_band).select(*SERIES, "at", "pos", *columns, "carry")
     red = F.col("band") == RED_BAND

@@ -17,6 +17,9 @@ def build_spark(app_name: str, conf: dict[str, str] | None = None) -> SparkSessi
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.checkpoint.compress", "true")
+        # Spark sizes a batch for Python after every row unless the limit is this
+        # one; the rows sent here are narrow and bounded by their number.
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(2**31 - 1))
     )
     for key, value in (conf or {}).items():
         builder = builder.config(key, value)
