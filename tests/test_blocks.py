@@ -335,3 +335,22 @@ def test_copies_of_one_reading_are_cut_too(spark):
 def test_alpha_is_checked(spark, hot_readings, alpha):
     with pytest.raises(ValueError):
         ema_series(hot_readings, alpha=alpha)
+
+
+def test_worker_functions_need_no_installed_package(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    code = "import pickle, sys; print(pickle.loads(sys.stdin.buffer.read()).__name__)"
+    for function in (E._emit(0.3, None, []), D._summarise(None), H._fold):
+        done = subprocess.run(
+            [sys.executable, "-c", f"import pyspark; {code}"],
+            input=cloudpickle.dumps(function),
+            cwd=tmp_path,
+            env={},
+            capture_output=True,
+            check=True,
+        )
+        assert done.stdout.strip()
