@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from fieldwatch.plans.oracle import ORACLE
+from fieldwatch.plans.queries import QUERIES
 
 SLOW = {"forecast_model_fit", "forecast_score"}
 
@@ -33,14 +35,14 @@ def sql(small_tables):
 
 
 def test_every_query_but_the_fitted_ones_has_sql():
-    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == SLOW
+    assert set(QUERIES) - set(ORACLE) == SLOW
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_sql(spark, sql, small_tables, name):
-    ours = entry_points.queries()[name](spark, small_tables)
+    ours = QUERIES[name](spark, small_tables)
     columns = sorted(ours.columns)
-    theirs = sql.execute(entry_points.oracle_sql()[name])
+    theirs = sql.execute(ORACLE[name])
     names = [part[0] for part in theirs.description]
     assert sorted(names) == columns
     order = [names.index(column) for column in columns]
