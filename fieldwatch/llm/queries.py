@@ -1,20 +1,38 @@
 """One query per corpus operator, over its whole table, and their SQL where there is one."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fieldwatch.llm.decontaminate import find_passages
+from fieldwatch.llm.html_text import extract
+from fieldwatch.llm.language_model import score_documents
+from fieldwatch.llm.license import license_sql, scan_licenses
 from fieldwatch.llm.mixing import mix
 from fieldwatch.llm.quality import quality_verdicts
+from fieldwatch.llm.quotes import as_mail, in_reply_order, link_quotes
 from fieldwatch.llm.secrets import scan_digest
 from fieldwatch.llm.simhash import component_ids
+from fieldwatch.llm.warc import archived
+from fieldwatch.session import shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in every document."""
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masked pseudo-likelihood of every document."""
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     mixed = mix(table(spark, sf_dir, "documents"))
@@ -31,22 +49,76 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns sent as mails that quote each other, and put back in reply order."""
+    linked = in_reply_order(link_quotes(as_mail(table(spark, sf_dir, "conversations"))))
+
+    def turn(message: str):
+        return F.split_part(message, F.lit(":"), F.lit(-1)).cast("long")
+
+    return linked.select(
+        F.col("thread").cast("long").alias("conv_id"),
+        F.col("sent").alias("turn"),
+        turn("parent").alias("parent_turn"),
+        turn("root").alias("root_turn"),
+        "depth",
+        F.col("own").alias("text"),
+    )
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return scan_digest(table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to a WARC archive and read back."""
+    folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    return archived(table(spark, sf_dir, "pages"), folder)
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return component_ids(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licenses": op1_licenses,
+    "op2_language_model": op2_language_model,
     "op3_mixing": op3_mixing,
     "op4_quality": op4_quality,
     "op5_decontaminate": op5_decontaminate,
+    "op6_quotes": op6_quotes,
     "op7_secrets": op7_secrets,
+    "op8_warc": op8_warc,
+    "op9_html_text": op9_html_text,
     "op10_simhash": op10_simhash,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_licenses": license_sql(),
+    # Every turn quotes the one before it, so a conversation is one chain of replies.
+    "op6_quotes": """
+SELECT conv_id, turn, lag(turn) OVER chain AS parent_turn, first_value(turn) OVER chain AS root_turn,
+  row_number() OVER chain - 1 AS depth, text
+FROM conversations WINDOW chain AS (PARTITION BY conv_id ORDER BY turn)
+""",
+    "op8_warc": """
+WITH sized AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages),
+grouped AS (
+  SELECT *, max(page_id) OVER same AS first, count(*) OVER same AS times
+  FROM sized WINDOW same AS (PARTITION BY html)),
+typed AS (
+  SELECT *, payload_bytes >= 1000 AND times > 1 AND first IS NOT NULL AND page_id IS DISTINCT FROM first AS again
+  FROM grouped)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, sha1(html) AS payload_digest,
+  CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first END AS refers_to
+FROM typed
+""",
+}

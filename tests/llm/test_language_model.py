@@ -1,0 +1,124 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from fieldwatch.llm.language_model import bucket_counts, fit_network, score_documents
+from fieldwatch.llm.masked_model import (
+    BUCKETS,
+    MEMBERS,
+    Buckets,
+    Network,
+    buckets_of,
+    contexts,
+    train,
+)
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, t, None, None, None) for i, t in rows], SCHEMA)
+
+
+def sentences(seed, count, words=200):
+    """Words that follow each other in a fixed cycle, with some noise."""
+    rnd = random.Random(seed)
+    made = []
+    for _ in range(count):
+        at, text = rnd.randrange(50), []
+        for _ in range(words):
+            at = (at + 1) % 50 if rnd.random() < 0.9 else rnd.randrange(50)
+            text.append(f"w{at}")
+        made.append(" ".join(text))
+    return made
+
+
+def slow_log_probabilities(network, buckets):
+    """Word by word, over all buckets at once."""
+    padded = [BUCKETS] * 2 + buckets.tolist() + [BUCKETS] * 2
+    found = []
+    for i, bucket in enumerate(buckets.tolist()):
+        around = padded[i : i + 2] + padded[i + 3 : i + 5]
+        hidden = np.tanh(network.hidden_bias + sum(network.vectors[p][b] for p, b in enumerate(around)))
+        classes = np.exp(hidden @ network.class_weights + network.class_bias)
+        joint = []
+        for c, share in enumerate(classes / classes.sum()):
+            members = np.exp(hidden @ network.member_weights[c] + network.member_bias[c])
+            joint += (share * members / members.sum()).tolist()
+        assert sum(joint) == pytest.approx(1, abs=1e-4)
+        found.append(np.log(joint[bucket]))
+    return np.array(found)
+
+
+def random_network(seed=0):
+    network = Network.start(np.arange(BUCKETS), seed)
+    rng = np.random.default_rng(seed)
+    return Network.of(network.flat() + rng.normal(0, 0.3, len(network.flat())).astype(np.float32))
+
+
+def test_log_probabilities_equal_those_over_all_buckets():
+    buckets = np.random.default_rng(4).integers(0, BUCKETS, 40)
+    network = random_network()
+    assert np.allclose(network.log_probabilities(buckets), slow_log_probabilities(network, buckets), atol=1e-3)
+
+
+def test_a_word_is_not_its_own_neighbour():
+    around = contexts(np.arange(10))
+    assert around[4].tolist() == [2, 3, 5, 6]
+    assert around[0].tolist() == [BUCKETS, BUCKETS, 1, 2]
+
+
+def test_a_step_lowers_the_loss_along_the_gradient():
+    network = random_network(2)
+    buckets = np.random.default_rng(5).integers(0, BUCKETS, 600)
+    around = contexts(buckets)
+    before = network.conditional(buckets, around).mean()
+    for _ in range(20):
+        network.learn(buckets, around, 0.05)
+    assert network.conditional(buckets, around).mean() > before + 0.05
+
+
+def test_trained_on_held_out_text_it_beats_frequencies_and_order_matters():
+    texts = [t.encode() for t in sentences(1, 600)]
+    known = Buckets()
+    counts = sum(np.bincount(buckets_of(t, known), minlength=BUCKETS) for t in texts)
+    network = Network.start(counts)
+    plain = Network.of(network.flat())
+    assert train(network, texts, 4, 0) == 600 * 200 // 4
+    held_out = buckets_of(sentences(9, 1, 2000)[0].encode(), known)
+    shuffled = np.random.default_rng(1).permutation(held_out)
+    score = network.log_probabilities(held_out).mean()
+    assert score > plain.log_probabilities(held_out).mean() + 0.5
+    assert score > network.log_probabilities(shuffled).mean() + 0.5
+
+
+def test_scores_of_all_rows(spark):
+    good = sentences(2, 60)
+    rnd = random.Random(1)
+    mixed = [" ".join(rnd.sample(t.split(), 200)) for t in good[:10]]
+    rows = list(enumerate([*good, *mixed, None, "", "one", "w1 " * 100_000, "x" * 60_000, good[0], good[0]])) + [(None, "two words")]
+    df = table(spark, rows).repartition(4).withColumn("n_words", F.lit("a")).withColumn("perplexity", F.lit(1))
+    found = {}
+    result = score_documents(df, rounds=3, every=2).collect()
+    assert len(result) == len(rows)
+    for row in result:
+        found[row.doc_id] = row
+        assert (row.n_words == 0) == (row.perplexity is None)
+        assert row.log_likelihood <= 0
+    assert found[70].n_words == 0 and found[70].log_likelihood == 0.0
+    assert found[None].n_words == 2
+    assert found[0].log_likelihood == found[75].log_likelihood == found[76].log_likelihood
+    ordered = np.mean([found[i].mean_log_probability for i in range(10)])
+    assert ordered > np.mean([found[60 + i].mean_log_probability for i in range(10)])
+
+
+def test_counts_cover_the_corpus_and_empty_tables_work(spark):
+    df = table(spark, [(i, "a b c") for i in range(30)] + [(99, None)])
+    assert bucket_counts(df.select("text")).sum() == 90
+    empty = df.limit(0)
+    assert score_documents(empty).collect() == []
+    network = fit_network(empty)
+    assert np.allclose(network.log_probabilities(np.array([3])), -np.log(BUCKETS), atol=0.1)
+    assert MEMBERS * network.class_bias.shape[0] == BUCKETS
