@@ -187,30 +187,41 @@ def source_links(passages: DataFrame) -> DataFrame:
 
 
 def reply_roots(parents: DataFrame) -> DataFrame:
-    """``message``, ``parent``, ``root`` and ``depth`` by pointer jumping; a root has no parent."""
+    """``message``, ``parent``, ``root`` and ``depth`` by pointer jumping; a root has no parent.
+
+    A message whose pointer has arrived at a root takes no part in later rounds but as
+    the aim of others, so the rounds that one long chain needs are short ones.
+    """
+    is_root = F.col("parent").isNull()
     state = materialise(
         parents.select(
             "message",
             "parent",
             F.coalesce("parent", "message").alias("root"),
-            F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("depth"),
+            F.when(is_root, 0).otherwise(1).cast("long").alias("depth"),
+            is_root.alias("arrived"),
         )
     )
-    while True:
-        to = state.select(
-            F.col("message").alias("__at"), F.col("root").alias("__root"), F.col("depth").alias("__depth")
+    arrived, on_the_way = state.filter("arrived"), state.filter("not arrived")
+    while not on_the_way.isEmpty():
+        to = arrived.unionByName(on_the_way).select(
+            F.col("message").alias("__at"),
+            F.col("root").alias("__root"),
+            F.col("depth").alias("__depth"),
+            F.col("arrived").alias("__arrived"),
         )
-        state = materialise(
-            state.join(to, F.col("root") == F.col("__at"), "left").select(
+        jumped = materialise(
+            on_the_way.join(to, F.col("root") == F.col("__at")).select(
                 "message",
                 "parent",
-                F.coalesce("__root", "root").alias("root"),
-                (F.col("depth") + F.coalesce("__depth", F.lit(0))).alias("depth"),
-                (F.coalesce("__depth", F.lit(0)) > 0).alias("moved"),
+                F.col("__root").alias("root"),
+                (F.col("depth") + F.col("__depth")).alias("depth"),
+                F.col("__arrived").alias("arrived"),
             )
         )
-        if state.filter("moved").isEmpty():
-            return state.drop("moved")
+        arrived = arrived.unionByName(jumped.filter("arrived"))
+        on_the_way = jumped.filter("not arrived")
+    return arrived.drop("arrived")
 
 
 def link_quotes(messages: DataFrame) -> DataFrame:
