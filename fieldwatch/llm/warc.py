@@ -20,6 +20,8 @@ LINE = "\r\n"
 END = "\r\n\r\n"
 #: Smaller payloads are stored each time.
 LEAST_REVISIT = 1000
+#: More payloads that repeat than these are joined by shuffle.
+BROADCAST_PAYLOADS = 10_000
 #: Fixed value: the name of the rule by which a revisit record stands for its response.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -43,14 +45,15 @@ def write_archives(pages: DataFrame, folder: str) -> None:
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha1(F.col("payload").cast("binary")))
     rows = rows.withColumn("size", bytes_of(F.col("payload")))
-    repeated = (
+    repeated = materialise(
         rows.filter(F.col("size") >= LEAST_REVISIT)
         .groupBy("digest", "size")
         .agg(F.max("page_id").alias("first"), F.count("*").alias("times"))
         .filter("times > 1")
         .drop("times")
     )
-    joined = rows.join(repeated, ["digest", "size"], "left")
+    few = repeated.limit(BROADCAST_PAYLOADS + 1).count() <= BROADCAST_PAYLOADS
+    joined = rows.join(F.broadcast(repeated) if few else repeated, ["digest", "size"], "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     one_line = F.regexp_replace("url", r"[\r\n]+", " ")
     headers = [
