@@ -1,9 +1,7 @@
 """Plain per-reading models of the detector rules, to test against."""
 
 from dataclasses import dataclass
-
-NO_TIMER = None
-
+from itertools import groupby
 
 @dataclass
 class Limits:
@@ -23,42 +21,48 @@ def ema_values(values, alpha, times=None, gap=None):
 
 
 def fuzzy(rows, max_time, delta, limits=None, gap=None):
-    """Alerts (seconds, value, metric, name, category) for time-ordered rows."""
+    """Alerts (microseconds, value, metric, name, category) for time-ordered rows.
+
+    Fixed limits judge each row alone. For the time limits the rows are cut into runs
+    of one band; inside a run a wait begins with its first row, and again with the row
+    after each one that waited long enough.
+    """
     limits = limits or Limits()
-    orange_floor, red_floor = limits.orange_min - delta, limits.red_min - delta
+    # From the highest band down: its floor, its end, its fixed alert, its alert in time.
+    bands = [
+        (limits.red_min, None, "red", None),
+        (limits.red_min - delta, limits.red_min, "orange", "red"),
+        (limits.orange_min, None, "orange", None),
+        (limits.orange_min - delta, limits.orange_min, None, "orange"),
+    ]
 
-    def line(limit, floor):
-        slope = (0 - max_time) / (limit - floor)
-        return slope, max_time - slope * floor
+    def band_of(x):
+        return next((i for i, (floor, *_) in enumerate(bands) if x >= floor), len(bands))
 
-    orange_line, red_line = line(limits.orange_min, orange_floor), line(limits.red_min, red_floor)
-    orange_timer = red_timer = NO_TIMER
-    alerts, previous = [], None
-    for when, x in rows:  # when: whole microseconds
-        if gap is not None and previous is not None and when - previous > gap:
-            orange_timer = red_timer = NO_TIMER
-        previous = when
-        if x >= limits.red_min:
-            alerts.append((when, x, x, "hard_threshold", "red"))
-            orange_timer = red_timer = NO_TIMER
-        elif x >= red_floor:
-            alerts.append((when, x, x, "hard_threshold", "orange"))
-            red_timer = when if red_timer is NO_TIMER else red_timer
-            elapsed = (when - red_timer) / 1e6
-            if elapsed >= red_line[0] * x + red_line[1]:
-                alerts.append((when, x, elapsed, "fuzzy_zone_red_duration", "red"))
-                red_timer = NO_TIMER
-            orange_timer = NO_TIMER
-        elif x >= limits.orange_min:
-            alerts.append((when, x, x, "hard_threshold", "orange"))
-            orange_timer = red_timer = NO_TIMER
-        elif x >= orange_floor:
-            orange_timer = when if orange_timer is NO_TIMER else orange_timer
-            elapsed = (when - orange_timer) / 1e6
-            if elapsed >= orange_line[0] * x + orange_line[1]:
-                alerts.append((when, x, elapsed, "fuzzy_zone_orange_duration", "orange"))
-                orange_timer = NO_TIMER
-            red_timer = NO_TIMER
-        else:
-            orange_timer = red_timer = NO_TIMER
+    alerts = [
+        (when, x, x, "hard_threshold", bands[band_of(x)][2])
+        for when, x in rows
+        if band_of(x) < len(bands) and bands[band_of(x)][2]
+    ]
+    pauses = [0]
+    for (before, _), (when, _) in zip(rows[:-1], rows[1:], strict=True):
+        pauses.append(pauses[-1] + (gap is not None and when - before > gap))
+    placed = zip(rows, pauses, strict=True)
+    for (band, _), run in groupby(placed, key=lambda row: (band_of(row[0][1]), row[1])):
+        if band == len(bands) or bands[band][3] is None:
+            continue
+        floor, end, _, category = bands[band]
+        # The line from the full wait at the floor to none at the limit.
+        slope = (0 - max_time) / (end - floor)
+        intercept = max_time - slope * floor
+        run = [row for row, _ in run]
+        begin = 0
+        while begin < len(run):
+            since = run[begin][0]
+            waited = [(i, (when - since) / 1e6, when, x) for i, (when, x) in enumerate(run) if i >= begin]
+            hit = next((w for w in waited if w[1] >= slope * w[3] + intercept), None)
+            if hit is None:
+                break
+            begin = hit[0] + 1
+            alerts.append((hit[2], hit[3], hit[1], f"fuzzy_zone_{category}_duration", category))
     return alerts
