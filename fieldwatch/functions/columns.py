@@ -10,8 +10,8 @@ HORIZONS = {"15min": 1, "1hr": 4, "3hr": 12}
 
 
 def is_measured(concentration: Column) -> Column:
-    """True where the concentration is neither null nor NaN."""
-    return concentration.isNotNull() & ~F.isnan(concentration)
+    """True where the concentration is a finite number."""
+    return concentration.isNotNull() & (F.abs(concentration) < F.lit(float("inf")))
 
 
 def severity(concentration: Column, orange_min: Column, red_min: Column) -> Column:

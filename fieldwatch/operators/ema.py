@@ -1,37 +1,27 @@
 """Exponential moving average per series, and alerts on it."""
 
-import math
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from fieldwatch.functions.schemas import SERIES
 from fieldwatch.operators.blocks import (
     Place,
     filled,
     numbers,
-    one_row,
     ordered_blocks,
     seconds_to_micros,
     series_starts,
     tie_columns,
-    with_neighbours,
 )
 from fieldwatch.sources.thresholds import Thresholds
 
 # Fixed value: the metric name carried by these alerts.
 METRIC = "ema"
 
-SUMMARY = (
-    "block int, head_site string, head_pollutant string, head_at bigint, "
-    "tail_site string, tail_pollutant string, tail_at bigint, "
-    "whole boolean, row_count bigint, first_value double, end_value double"
-)
-
-
 def check_alpha(alpha: float) -> float:
     if not 0 < alpha <= 1:
         raise ValueError(f"alpha must lie in (0, 1], got {alpha}")
@@ -55,54 +45,55 @@ def smooth(values: np.ndarray, starts: np.ndarray, alpha: float, carry: float |
     return smoothed[1:] if carried else smoothed
 
 
-def rows_that_count(alpha: float) -> int:
-    """Rows after which an earlier average weighs less than any double."""
-    if alpha == 1:
-        return 1
-    return math.ceil(746 / -math.log1p(-alpha))
-
+def block_ends(ordered: DataFrame, alpha: float, gap: int | None) -> DataFrame:
+    """One row per block: its first and last row, and the average it ends with.
 
-def _summarise(alpha: float, gap: int | None):
-    """One row per block, from its first row and the last ones that count.
-
-    ``whole`` says that the block is one stretch of one series and short enough
-    for an average before it to show at its end.
+    The average is a weighted sum over the block's last stretch of one series, taken in
+    the JVM. ``whole`` says that the stretch is the whole block.
     """
-
-    def run(batches):
-        head = tail = end = None
-        whole, rows, size, first_value, block = True, 0, 0, None, None
-        for batch in filled(batches):
-            starts = series_starts(batch, tail, gap)
-            values = numbers(batch, "concentration")
-            if head is None:
-                head, first_value = Place.of(batch, 0), float(values[0])
-                block, size = (batch.column(name)[0].as_py() for name in ("block", "row_count"))
-                whole = not starts[1:].any()
-            else:
-                whole = whole and not starts.any()
-            begins = np.flatnonzero(starts)
-            last = int(begins[-1]) if begins.size else 0
-            end = float(smooth(values[last:], starts[last:], alpha, end)[-1])
-            tail = Place.of(batch, batch.num_rows - 1)
-            rows += batch.num_rows
-        if head is None:
-            return
-        yield one_row(
-            block=(block, pa.int32()),
-            head_site=(head.site_id, pa.string()),
-            head_pollutant=(head.pollutant_type, pa.string()),
-            head_at=(head.at, pa.int64()),
-            tail_site=(tail.site_id, pa.string()),
-            tail_pollutant=(tail.pollutant_type, pa.string()),
-            tail_at=(tail.at, pa.int64()),
-            whole=(whole and rows == size, pa.bool_()),
-            row_count=(size, pa.int64()),
-            first_value=(first_value, pa.float64()),
-            end_value=(end, pa.float64()),
-        )
-
-    return run
+    decay = 1.0 - alpha
+    place = F.struct(*SERIES, "at")
+    edges = ordered.groupBy("block").agg(
+        F.min_by(place, "pos").alias("head"),
+        F.max_by(place, "pos").alias("tail"),
+        F.min_by("concentration", "pos").alias("first_value"),
+        F.count("*").alias("row_count"),
+    )
+    rows = ordered.select("block", "pos", "at", *SERIES, "concentration")
+    if gap is not None:
+        before = F.lag("at").over(Window.partitionBy("block", *SERIES).orderBy("pos"))
+        rows = rows.withColumn("restart", F.when(F.col("at") - before > gap, F.col("pos")))
+        restarts = rows.groupBy("block", *SERIES).agg(F.max("restart").alias("since"))
+        tails = edges.select("block", *[F.col(f"tail.{name}").alias(name) for name in SERIES])
+        edges = edges.join(restarts.join(tails, ["block", *SERIES]).select("block", "since"), "block")
+    else:
+        edges = edges.withColumn("since", F.lit(None).cast("long"))
+    # One row per block.
+    known = F.broadcast(edges.select("block", "tail", "row_count", "since"))
+    same = [F.col(name) == F.col(f"tail.{name}") for name in SERIES]
+    stretch = rows.select("block", "pos", *SERIES, "concentration").join(known, "block")
+    stretch = stretch.filter(same[0] & same[1] & (F.col("pos") >= F.coalesce("since", F.lit(0))))
+    weight = F.pow(F.lit(decay), (F.col("row_count") - 1 - F.col("pos")).cast("double"))
+    sums = stretch.groupBy("block").agg(
+        F.sum(F.lit(alpha) * weight * F.col("concentration")).alias("total"),
+        F.min("pos").alias("start"),
+        F.min_by("concentration", "pos").alias("start_value"),
+    )
+    # The first value of a stretch counts in full.
+    rest = F.pow(F.lit(decay), (F.col("row_count") - F.col("start")).cast("double"))
+    return edges.join(sums, "block").select(
+        "block",
+        F.col("head.site_id").alias("head_site"),
+        F.col("head.pollutant_type").alias("head_pollutant"),
+        F.col("head.at").alias("head_at"),
+        F.col("tail.site_id").alias("tail_site"),
+        F.col("tail.pollutant_type").alias("tail_pollutant"),
+        F.col("tail.at").alias("tail_at"),
+        (F.col("start") == 0).alias("whole"),
+        "row_count",
+        "first_value",
+        (F.col("total") + rest * F.col("start_value")).alias("end_value"),
+    )
 
 
 def _fold(alpha: float, gap: int | None):
@@ -165,14 +156,14 @@ def _smoothed(
     check_alpha(alpha)
     gap = seconds_to_micros(max_gap)
     ordered = ordered_blocks(readings, ["concentration"], blocks)
-    carried = with_neighbours(
-        ordered,
-        ["concentration"],
-        F.col("pos") >= F.col("row_count") - rows_that_count(alpha),
-        _summarise(alpha, gap),
-        SUMMARY,
-        _fold(alpha, gap),
-        "double",
+    carries = (
+        block_ends(ordered, alpha, gap)
+        .repartition(1)
+        .sortWithinPartitions("block")
+        .mapInArrow(_fold(alpha, gap), "block int, carry double")
+    )
+    carried = ordered.join(F.broadcast(carries), "block", "left").withColumn(
+        "carry", F.when(F.col("pos") == 0, F.col("carry"))
     )
     columns = [*SERIES, "at", *ties, "concentration"]
     types = dict(ordered.dtypes)

@@ -1,22 +1,12 @@
 """Preparing history for the forecaster: coverage, window and targets."""
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from fieldwatch.functions.columns import HORIZONS, features
 from fieldwatch.functions.schemas import SERIES
-from fieldwatch.operators.blocks import (
-    Place,
-    filled,
-    numbers,
-    one_row,
-    ordered_blocks,
-    series_starts,
-    tie_columns,
-    with_neighbours,
-)
+from fieldwatch.operators.blocks import ordered_blocks, tie_columns
 from fieldwatch.operators.thresholding import classify_readings
 from fieldwatch.sources.thresholds import Thresholds
 
@@ -27,10 +17,8 @@ WINDOW_DAYS = 15
 TARGETS = {"15min": "target_15m", "1hr": "target_1hr", "3hr": "target_3hr"}
 FARTHEST = max(HORIZONS.values())
 
-SUMMARY = (
-    "block int, head_site string, head_pollutant string, "
-    "tail_site string, tail_pollutant string, whole boolean, heads array<int>"
-)
+# Rows of a window; neighbouring windows share the rows that targets reach ahead.
+WINDOW_ROWS = 16_384
 
 
 def training_coverage(readings: DataFrame, min_days: float = MIN_DAYS) -> DataFrame:
@@ -65,120 +53,43 @@ def forecast_features(readings: DataFrame) -> DataFrame:
     return readings.select("*", *features(F.col("concentration"), F.col("event_time")))
 
 
-def _summarise(batches):
-    """One row per block, from its first rows and its last one."""
-    head = tail = block = None
-    heads, size = [], 0
-    for batch in filled(batches):
-        if head is None:
-            head = Place.of(batch, 0)
-            block, size = (batch.column(name)[0].as_py() for name in ("block", "row_count"))
-        severities = numbers(batch, "severity")
-        for row in range(batch.num_rows):
-            tail = Place.of(batch, row)
-            if tail.pos < FARTHEST and tail.continues(head, None):
-                heads.append(int(severities[row]))
-    if head is None:
-        return
-    yield one_row(
-        block=(block, pa.int32()),
-        head_site=(head.site_id, pa.string()),
-        head_pollutant=(head.pollutant_type, pa.string()),
-        tail_site=(tail.site_id, pa.string()),
-        tail_pollutant=(tail.pollutant_type, pa.string()),
-        whole=(len(heads) == size, pa.bool_()),
-        heads=(heads, pa.list_(pa.int32())),
-    )
-
-
-def _fold(batches):
-    """First severities after each block, for series that go on past its end.
+def lead_targets(
+    classified: DataFrame, blocks: int | None = None, window_rows: int = WINDOW_ROWS
+) -> DataFrame:
+    """Severity 1, 4 and 12 readings ahead in the same series; null at its end.
 
-    They are handed on as a text of digits: a list column would slow down every
-    row on its way to Python.
+    Rows are numbered through all ordered blocks and cut into windows of even size.
+    The first rows of each window also stand at the end of the one before, so a lead
+    never leaves its window and no window holds more than a bounded number of rows.
     """
-    ahead, ahead_head = [], None
-    for batch in filled(batches):
-        found = []
-        for row in batch.to_pylist():
-            tail = Place(row["tail_site"], row["tail_pollutant"], 0)
-            carry = ahead if ahead_head is not None and ahead_head.continues(tail, None) else []
-            if carry:
-                found.append((row["block"], carry))
-            ahead = (row["heads"] + (carry if row["whole"] else []))[:FARTHEST]
-            ahead_head = Place(row["head_site"], row["head_pollutant"], 0)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([block for block, _ in found], pa.int32()),
-                pa.array(["".join(map(str, carry)) for _, carry in found], pa.string()),
-            ],
-            names=["block", "carry"],
-        )
-
-
-def _resolved(batch: pa.RecordBatch, after: list[int], rows: int, columns: list[str]):
-    """The first ``rows`` rows with their targets; ``after`` follows the batch."""
-    series = np.cumsum(series_starts(batch, None, None))
-    padding = FARTHEST - len(after)
-    ids = np.concatenate((series, np.full(len(after), series[-1]), np.full(padding, -1)))
-    severities = np.concatenate((numbers(batch, "severity"), after, np.zeros(padding)))
-    targets = []
-    for lead in HORIZONS.values():
-        other = ids[lead : lead + rows] != series[:rows]
-        targets.append(
-            pa.array(severities[lead : lead + rows].astype(np.int32), pa.int32(), mask=other)
-        )
-    kept = batch.slice(0, rows)
-    return pa.RecordBatch.from_arrays(
-        [*(kept.column(name) for name in columns), *targets], names=[*columns, *TARGETS.values()]
-    )
-
-
-def _emit(columns: list[str]):
-    def run(batches):
-        waiting, carry = None, None
-        for batch in filled(batches):
-            if waiting is None:
-                carry = [int(digit) for digit in batch.column("carry")[0].as_py() or ""]
-                waiting = batch
-            else:
-                joined = pa.Table.from_batches([waiting, batch]).combine_chunks()
-                waiting = joined.to_batches()[0]
-            ready = waiting.num_rows - FARTHEST
-            if ready > 0:
-                yield _resolved(waiting, [], ready, columns)
-                waiting = waiting.slice(ready)
-        if waiting is not None:
-            yield _resolved(waiting, carry, waiting.num_rows, columns)
-
-    return run
-
-
-def lead_targets(classified: DataFrame, blocks: int | None = None) -> DataFrame:
-    """Severity 1, 4 and 12 readings ahead in the same series; null at its end."""
+    if window_rows < FARTHEST:
+        raise ValueError(f"window_rows must be {FARTHEST} or more")
     ordered = ordered_blocks(classified, ["concentration", "severity"], blocks)
-    carried = with_neighbours(
-        ordered,
-        ["severity"],
-        F.col("pos") < FARTHEST,
-        _summarise,
-        SUMMARY,
-        _fold,
-        "string",
-        backwards=True,
+    earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per block.
+    offsets = (
+        ordered.groupBy("block")
+        .agg(F.count("*").alias("rows"))
+        .select("block", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("offset"))
     )
-    columns = [*SERIES, "at", *tie_columns(classified), "concentration", "severity"]
-    types = dict(ordered.dtypes)
-    schema = ", ".join(
-        [f"{name} {types[name]}" for name in columns]
-        + [f"{name} int" for name in TARGETS.values()]
-    )
-    return (
-        carried.select(*columns, "carry")
-        .mapInArrow(_emit(columns), schema)
-        .withColumn("event_time", F.timestamp_micros("at"))
-        .drop("at")
+    number = F.col("offset") + F.col("pos")
+    own = F.floor(F.col("number") / window_rows)
+    shared = (F.col("number") % window_rows < FARTHEST) & (F.col("own") > 0)
+    windows = F.when(shared, F.array("own", F.col("own") - 1)).otherwise(F.array("own"))
+    dealt = (
+        ordered.join(F.broadcast(offsets), "block")
+        .withColumn("number", number)
+        .withColumn("own", own)
+        .withColumn("window", F.explode(windows))
     )
+    ahead = Window.partitionBy("window", *SERIES).orderBy("number")
+    targets = [
+        F.lead("severity", lead).over(ahead).alias(TARGETS[name]) for name, lead in HORIZONS.items()
+    ]
+    columns = [*SERIES, *tie_columns(classified), "concentration", "severity"]
+    return dealt.select(
+        *columns, *targets, F.timestamp_micros("at").alias("event_time"), "window", "own"
+    ).filter("window = own").drop("window", "own")
 
 
 def forecast_training_set(

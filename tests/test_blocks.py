@@ -14,6 +14,7 @@ from conftest import SCHEMA, at
 from fieldwatch.operators import dwell as D
 from fieldwatch.operators import ema as E
 from fieldwatch.operators import history as H
+from fieldwatch.operators.blocks import ordered_blocks
 from fieldwatch.operators.dwell import band_limits, due_micros, dwell_alerts, run_response
 from fieldwatch.operators.ema import ema_series
 from fieldwatch.operators.thresholding import classify_readings
@@ -110,26 +111,6 @@ shapes = st.tuples(
 )
 
 
-@settings(max_examples=150, deadline=None)
-@given(shapes, st.sampled_from([0.05, 0.3, 0.9, 0.9999999, 1.0]), st.sampled_from([None, 10 * SECOND]))
-def test_ema_across_blocks(shape, alpha, gap):
-    lengths, seed, cuts, size = shape
-    rows = series_rows(lengths, seed, [0.0, 100.0, 355.5, 499.0])
-    columns = {**BASE, "concentration": pa.float64()}
-    names = [*BASE, "concentration"]
-    found = run(
-        rows, columns, cuts, size,
-        lambda row: row["pos"] >= row["row_count"] - E.rows_that_count(alpha),
-        E._summarise(alpha, gap), E._fold(alpha, gap), E._emit(alpha, gap, names),
-        lambda row: True, pa.float64(),
-    )
-    expected = []
-    for part in by_series(rows).values():
-        times = [r["at"] for r in part]
-        expected += models.ema_values([r["concentration"] for r in part], alpha, times, gap)
-    assert np.allclose([r["ema"] for r in found], expected, rtol=1e-12, atol=1e-9)
-
-
 def banded(rows, max_time, delta):
     limits = models.Limits()
     bands = band_limits(load_thresholds(), max_time, delta)["PM10"]
@@ -226,32 +207,6 @@ def test_due_is_the_least_enough(seconds):
     assert (due - 1) / 1e6 < seconds
 
 
-@settings(max_examples=150, deadline=None)
-@given(shapes)
-def test_targets_across_blocks(shape):
-    lengths, seed, cuts, size = shape
-    rows = series_rows(lengths, seed, [1.0])
-    rng = random.Random(seed)
-    for row in rows:
-        row["severity"] = rng.randrange(3)
-    columns = {**BASE, "severity": pa.int32()}
-    found = run(
-        rows, columns, cuts, size,
-        lambda row: row["pos"] < H.FARTHEST,
-        H._summarise, H._fold, H._emit([*BASE, "severity"]),
-        lambda row: True, pa.string(), backwards=True,
-    )
-    assert len(found) == len(rows)
-    expected = []
-    for part in by_series(rows).values():
-        severities = [r["severity"] for r in part]
-        for i in range(len(part)):
-            expected.append(
-                tuple(severities[i + k] if i + k < len(part) else None for k in (1, 4, 12))
-            )
-    assert [tuple(r[name] for name in H.TARGETS.values()) for r in found] == expected
-
-
 # -- the same through Spark ---------------------------------------------------
 
 
@@ -277,15 +232,24 @@ def ordered_series(df):
     return grouped
 
 
-@pytest.mark.parametrize("blocks", [None, 1, 5, 60])
-def test_hot_series_ema(hot_readings, blocks):
-    found = {r["event_id"]: r["ema"] for r in ema_series(hot_readings, blocks=blocks).collect()}
+@pytest.mark.parametrize("gap", [None, 90.0])
+@pytest.mark.parametrize(("blocks", "alpha"), [(None, 0.3), (1, 0.3), (5, 0.01), (60, 0.3), (60, 0.01), (7, 1.0)])
+def test_hot_series_ema(hot_readings, blocks, alpha, gap):
+    averages = ema_series(hot_readings, alpha, gap, blocks)
+    found = {r["event_id"]: r["ema"] for r in averages.collect()}
     assert len(found) == 3400
     for part in ordered_series(hot_readings).values():
-        expected = models.ema_values([r["concentration"] for r in part], 0.3)
+        times = [r["event_time"].timestamp() for r in part]
+        expected = models.ema_values([r["concentration"] for r in part], alpha, times, gap)
         assert np.allclose([found[r["event_id"]] for r in part], expected, rtol=1e-12)
 
 
+def test_block_ends_come_without_python(spark, hot_readings):
+    ordered = ordered_blocks(hot_readings, ["concentration"], 7)
+    text = E.block_ends(ordered, 0.3, None)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and "Arrow" not in text
+
+
 @pytest.mark.parametrize("blocks", [1, 5, 60])
 def test_hot_series_dwell(spark, hot_readings, blocks):
     alerts = dwell_alerts(hot_readings, load_thresholds(), 3600, 10, blocks=blocks)
@@ -304,9 +268,11 @@ def test_hot_series_dwell(spark, hot_readings, blocks):
     assert found == sorted(expected)
 
 
-@pytest.mark.parametrize("blocks", [1, 40])
-def test_hot_series_targets(hot_readings, blocks):
-    led = H.lead_targets(classify_readings(hot_readings, load_thresholds()), blocks)
+@pytest.mark.parametrize(("blocks", "rows"), [(1, 12), (40, 12), (40, 101), (3, 16_384)])
+def test_hot_series_targets(hot_readings, blocks, rows):
+    led = H.lead_targets(classify_readings(hot_readings, load_thresholds()), blocks, rows)
+    text = led._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and "Arrow" not in text
     found = {r["event_id"]: r for r in led.collect()}
     for part in ordered_series(hot_readings).values():
         for i, row in enumerate(part):
@@ -320,8 +286,6 @@ def test_hot_series_targets(hot_readings, blocks):
 
 def test_copies_of_one_reading_are_cut_too(spark):
     """Equal rows carry no order, yet they still spread over blocks."""
-    from fieldwatch.operators.blocks import ordered_blocks
-
     copies = spark.range(0, 4000, 1, 8).selectExpr(
         "'S' AS site_id", "'PM10' AS pollutant_type", "timestamp'2024-01-01' AS event_time",
         "400D AS concentration",
@@ -344,7 +308,7 @@ def test_worker_functions_need_no_installed_package(tmp_path):
     from pyspark import cloudpickle
 
     code = "import pickle, sys; print(pickle.loads(sys.stdin.buffer.read()).__name__)"
-    for function in (E._emit(0.3, None, []), D._summarise(None), H._fold):
+    for function in (E._emit(0.3, None, []), D._summarise(None), E._fold(0.3, None)):
         done = subprocess.run(
             [sys.executable, "-c", f"import pyspark; {code}"],
             input=cloudpickle.dumps(function),

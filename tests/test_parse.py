@@ -65,6 +65,8 @@ def test_timestamp_forms(spark, stamp, expected):
         (message(timestamp="garbage"), "bad_timestamp"),
         (message(concentration=None), "missing_concentration"),
         (message(concentration="NaN"), "missing_concentration"),
+        (message(concentration="Infinity"), "missing_concentration"),
+        (message(concentration="-Infinity"), "missing_concentration"),
     ],
 )
 def test_dead_letters(spark, text, reason):
