@@ -23,6 +23,7 @@ READING_WIRE = StructType(
     ]
 )
 
+# Columns of alerts.
 ALERT = StructType(
     [
         StructField("site_id", StringType(), False),
@@ -35,6 +36,7 @@ ALERT = StructType(
     ]
 )
 
+# Columns of forecasts.
 FORECAST = StructType(
     [
         StructField("site_id", StringType(), False),
@@ -45,6 +47,7 @@ FORECAST = StructType(
     ]
 )
 
+# Columns of the hourly table.
 HOURLY = StructType(
     [
         StructField("site_id", StringType(), False),
@@ -55,13 +58,4 @@ HOURLY = StructType(
 )
 HOURLY_KEY = ["site_id", "pollutant_type", "start_time"]
 
-DAILY = StructType(
-    [
-        StructField("site_id", StringType(), False),
-        StructField("pollutant_type", StringType(), False),
-        StructField("log_date", DateType(), False),
-        StructField("daily_avg", DoubleType(), True),
-        StructField("last_updated_at", TimestampType(), False),
-    ]
-)
 DAILY_KEY = ["site_id", "pollutant_type", "log_date"]

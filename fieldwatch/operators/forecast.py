@@ -8,6 +8,7 @@ A tree can only tell cells apart, so the whole model equals a table with one
 row per cell; scoring is a broadcast join with that bounded table.
 """
 
+import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -45,22 +46,39 @@ class ForecastModel:
     edges: list[float]
     table: DataFrame
     boosters: dict[str, dict[int, GBTClassificationModel]] = field(default_factory=dict)
+    # False for the stand-in before there is enough history.
+    trained: bool = True
 
     def save(self, path: str) -> None:
-        """Write the trees, the scoring table and, last, the edges below ``path``."""
+        """Write trees, scoring table and, last, edges to a new version below ``path``.
+
+        Older versions stay, so a stream that scores with one of them goes on.
+        """
         spark = self.table.sparkSession
+        version = f"{path}/version={time.time_ns()}"
         for name, by_class in self.boosters.items():
             for class_id, booster in by_class.items():
-                booster.write().overwrite().save(f"{path}/boosters/{name}/{class_id}")
-        self.table.write.mode("overwrite").parquet(f"{path}/table")
+                booster.write().save(f"{version}/boosters/{name}/{class_id}")
+        self.table.write.parquet(f"{version}/table")
         edges = spark.createDataFrame([(self.edges,)], "edges array<double>")
-        edges.write.mode("overwrite").parquet(f"{path}/edges")
+        edges.write.parquet(f"{version}/edges")
+
+    @staticmethod
+    def newest(spark: SparkSession, path: str) -> str | None:
+        """The folder of the newest complete version, if there is one."""
+        found = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/edges/_SUCCESS")
+        files = found.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(found)
+        versions = [file.getPath().getParent().getParent().toString() for file in files or []]
+        return max(versions, default=None)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "ForecastModel":
-        """Read back what scoring needs."""
-        edges = spark.read.parquet(f"{path}/edges").head()["edges"]
-        return ForecastModel(list(edges), spark.read.parquet(f"{path}/table"))
+        """Read back what scoring needs, from the newest complete version."""
+        version = ForecastModel.newest(spark, path)
+        if version is None:
+            raise FileNotFoundError(f"no model below {path}")
+        edges = spark.read.parquet(f"{version}/edges").head()["edges"]
+        return ForecastModel(list(edges), spark.read.parquet(f"{version}/table"))
 
 
 def with_cell(rows: DataFrame, edges: list[float]) -> DataFrame:
@@ -170,7 +188,8 @@ def fit_forecaster(
     spark = training.sparkSession
     edges = bin_edges(training, bins)
     assemble = VectorAssembler(inputCols=CELL, outputCol="features")
-    cells = assemble.transform(materialise(class_counts(training, edges)))
+    # All nine fits read these cells; they are few, so two partitions do.
+    cells = assemble.transform(materialise(class_counts(training, edges).coalesce(2))).cache()
     totals = cells.agg(
         *(F.sum(_count(n, c)).alias(_count(n, c)) for n in HORIZONS for c in CLASSES)
     ).head()
@@ -188,6 +207,7 @@ def fit_forecaster(
         scored = raw.transform(scored).withColumn(
             _margin(name, class_id), vector_to_array("raw")[1]
         ).drop("raw")
+    cells.unpersist()
     table = scored.select(*CELL, *(_best_class(n, seen[n]).alias(n) for n in HORIZONS))
     return ForecastModel(edges, materialise(table), boosters)
 
@@ -195,7 +215,7 @@ def fit_forecaster(
 def untrained_model(spark: SparkSession) -> ForecastModel:
     """The stand-in before there is enough history: always green_yellow."""
     cells = all_cells(spark, [])
-    return ForecastModel([], cells.select(*CELL, *(F.lit(0).alias(n) for n in HORIZONS)))
+    return ForecastModel([], cells.select(*CELL, *(F.lit(0).alias(n) for n in HORIZONS)), trained=False)
 
 
 def train_forecaster(history: DataFrame, thresholds: Thresholds, **settings) -> ForecastModel:

@@ -90,7 +90,3 @@ def open_orange_alerts(readings: DataFrame, thresholds: Thresholds, metric=None)
         .withColumn("metric_value", reported)
     )
     return as_hard_alert(hits, category, "metric_value")
-
-
-def empty_alerts(spark) -> DataFrame:
-    return spark.createDataFrame([], ALERT)

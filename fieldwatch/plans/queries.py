@@ -51,9 +51,8 @@ from fieldwatch.streaming.sinks import (
     upsert_files,
 )
 
+# Columns of a parsed reading.
 READING = ["sensor_id", "site_id", "pollutant_type", "event_time", "concentration", "unit"]
-# Boosting rounds of the two registered forecast queries.
-QUERY_ROUNDS = 10
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -204,11 +203,11 @@ def balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fit_forecaster(training_set(spark, sf_dir), rounds=QUERY_ROUNDS).table
+    return fit_forecaster(training_set(spark, sf_dir)).table
 
 
 def score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = fit_forecaster(training_set(spark, sf_dir), rounds=QUERY_ROUNDS)
+    model = fit_forecaster(training_set(spark, sf_dir))
     return forecast_score(readings(spark, sf_dir), model)
 
 

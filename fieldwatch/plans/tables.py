@@ -9,6 +9,8 @@ from fieldwatch.session import shared_folder
 
 # Fixed value: the unit sent with every reading.
 UNIT = "µg/m³"
+# Micro-batches of the streams over the given table.
+STREAM_BATCHES = 5
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
@@ -34,11 +36,22 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed_readings(spark, sf_dir).drop("event_type")
 
 
-def readings_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same readings as a stream over the events file."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = spark.readStream.schema(schema).parquet(sf_dir, pathGlobFilter="events.parquet")
-    return as_readings(events).drop("event_type")
+def readings_stream(spark: SparkSession, sf_dir: str, batches: int = STREAM_BATCHES) -> DataFrame:
+    """The same readings as a stream of ``batches`` micro-batches, a range of time each.
+
+    The files are written one after the other, as the source reads the oldest first.
+    """
+    rows = readings(spark, sf_dir)
+    folder = scratch(spark, "arrivals")
+    at = F.unix_micros("event_time")
+    shares = [i / batches for i in range(1, batches)]
+    cuts = rows.agg(F.percentile_approx(at, shares, 1000)).head()[0] or []
+    bounds = [None, *sorted(set(cuts)), None]
+    for after, until in zip(bounds[:-1], bounds[1:], strict=True):
+        part = rows if after is None else rows.filter(at > after)
+        part = part if until is None else part.filter(at <= until)
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
 def wire_messages(rows: DataFrame, event_type: bool = False) -> DataFrame:

@@ -44,6 +44,8 @@ BATCH_MODES = ("daily", "train")
 # Names of the rollup tables.
 HOURLY_TABLE = "sensor_averages_hourly"
 DAILY_TABLE = "sensor_averages_daily"
+# Unusable messages go here unless the settings name another topic.
+DEAD_LETTERS = "site-sensor-dead-letters"
 
 
 @dataclass(frozen=True)
@@ -72,6 +74,7 @@ class JobConf:
 
 def conf_from_env(env: Mapping[str, str] = os.environ) -> JobConf:
     """Job settings from environment variables."""
+    # Names of the variables, and their defaults but for DEAD_LETTER_TOPIC.
     servers = env.get("KAFKA_BOOTSTRAP_SERVERS", "kafka:29092")
     limit = env.get("MAX_OFFSETS_PER_TRIGGER")
     return JobConf(
@@ -92,7 +95,7 @@ def conf_from_env(env: Mapping[str, str] = os.environ) -> JobConf:
             "red": env.get("SEVERE_ALERTS_TOPIC", TOPICS["red"]),
             "forecast": env.get("FORECASTS_ALERTS_TOPIC", TOPICS["forecast"]),
         },
-        dead_letter_topic=env.get("DEAD_LETTER_TOPIC"),
+        dead_letter_topic=env.get("DEAD_LETTER_TOPIC", DEAD_LETTERS),
         thresholds_path=env.get("THRESHOLDS_PATH", str(SHIPPED)),
         model_path=env.get("MODEL_PATH"),
     )
@@ -158,13 +161,17 @@ def changed_days(spark: SparkSession, hourly_path: str, after: int | None = None
     return daily_rollup(latest_rows(versions, HOURLY_KEY))
 
 
-def refresh_daily(spark: SparkSession, conf: JobConf) -> int:
-    """Bring the daily table up to the newest hourly batch; returns its id.
+def refresh_daily(spark: SparkSession, conf: JobConf) -> int | None:
+    """Bring the daily table up to the newest hourly batch; returns its id, None if there is none.
 
     The daily table's own batch ids are those of the hourly batches it has
     seen, so a run takes up where the last one ended.
     """
+    if not conf.hourly_path:
+        raise ValueError("the daily table is made from the hourly files: set HOURLY_PATH")
     newest = read_versions(spark, conf.hourly_path).agg(F.max(BATCH_ID)).head()[0]
+    if newest is None:
+        return None
     seen = None
     if conf.daily_path and path_exists(spark, conf.daily_path):
         seen = read_versions(spark, conf.daily_path).agg(F.max(BATCH_ID)).head()[0]
@@ -236,7 +243,7 @@ def forecast_messages(
 
 def load_or_train(spark: SparkSession, conf: JobConf, thresholds: Thresholds) -> ForecastModel:
     """The saved model, or one trained on the source's history and then saved."""
-    if conf.model_path and path_exists(spark, f"{conf.model_path}/edges/_SUCCESS"):
+    if conf.model_path and ForecastModel.newest(spark, conf.model_path):
         return ForecastModel.load(spark, conf.model_path)
     return train(spark, conf, thresholds)
 
@@ -245,7 +252,7 @@ def train(spark: SparkSession, conf: JobConf, thresholds: Thresholds) -> Forecas
     """A model of the source's history, saved where the settings say."""
     history, _ = parse_readings(read_readings_batch(spark, conf.source))
     model = train_forecaster(history, thresholds)
-    if conf.model_path and model.boosters:
+    if conf.model_path and model.trained:
         model.save(conf.model_path)
     return model
 
