@@ -1,5 +1,6 @@
 """Scores of documents by masked pseudo-likelihood.
 
+Words are turned into buckets once, and written to the shared folder as two bytes each.
 Bucket frequencies are counted over the whole corpus. In each round every task trains
 a copy of the network on its part of the corpus, and the copies are averaged by the
 words they have seen, in two steps so that no task adds up all of them. What goes to the
@@ -23,6 +24,7 @@ from fieldwatch.llm.masked_model import (
     train,
 )
 from fieldwatch.llm.words import texts_of
+from fieldwatch.session import materialise
 
 ROUNDS = 2
 #: Each round learns from every 16th word of every document, a new one each time; all
@@ -33,21 +35,38 @@ PART = 4096
 FANS = 64
 
 
-def bucket_counts(docs: DataFrame) -> np.ndarray:
-    """Words per bucket over all documents."""
+def bucketed(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``buckets``, the buckets of all words as 16-bit numbers."""
+
+    @F.arrow_udf("binary")
+    def found(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = Buckets()
+        for texts in parts:
+            rows = [buckets_of(text, known).astype(np.uint16).tobytes() for text in texts_of(texts)]
+            yield pa.array(rows, pa.binary())
+
+    return materialise(documents_of(docs).select("doc_id", found(F.col("text")).alias("buckets")))
+
+
+def bucket_arrays(column: pa.Array) -> Iterator[np.ndarray]:
+    """Buckets of each text of a column."""
+    for packed in column.to_pylist():
+        yield np.frombuffer(packed, dtype=np.uint16).astype(np.int64)
+
+
+def bucket_counts(rows: DataFrame) -> np.ndarray:
+    """Words per bucket over all texts."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, total = Buckets(), np.zeros(BUCKETS, dtype=np.int64)
+        total = np.zeros(BUCKETS, dtype=np.int64)
         for batch in batches:
-            for text in texts_of(batch.column(0)):
-                total += np.bincount(buckets_of(text, known), minlength=BUCKETS)
+            for buckets in bucket_arrays(batch.column(0)):
+                total += np.bincount(buckets, minlength=BUCKETS)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS)), pa.array(total)], ["bucket", "times"])
 
-    rows = (
-        docs.select("text").mapInArrow(count, "bucket long, times long").groupBy("bucket").agg(F.sum("times")).collect()
-    )
+    counted = rows.select("buckets").mapInArrow(count, "bucket long, times long")
     total = np.zeros(BUCKETS)
-    for bucket, times in rows:
+    for bucket, times in counted.groupBy("bucket").agg(F.sum("times")).collect():
         total[bucket] = times
     return total
 
@@ -57,7 +76,7 @@ def train_part(start: np.ndarray, every: int, first: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = Network.of(start)
-        texts = (text for batch in batches for text in texts_of(batch.column(0)))
+        texts = (buckets for batch in batches for buckets in bucket_arrays(batch.column(0)))
         seen = train(network, texts, every, first)
         task = TaskContext.get().partitionId()
         weights = (network.flat() - start).astype(np.float64) * seen
@@ -99,14 +118,14 @@ def add_parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def fit_network(docs: DataFrame, rounds: int = ROUNDS, every: int = EVERY) -> Network:
-    """A network trained on all of ``docs``. Without words it knows nothing but evens out."""
-    texts = documents_of(docs).select("text")
+def fit_network(rows: DataFrame, rounds: int = ROUNDS, every: int = EVERY) -> Network:
+    """A network trained on all rows of ``bucketed``. Without words it knows nothing but evens out."""
     schema = "part int, fan int, seen double, weights array<float>"
-    network = Network.start(bucket_counts(texts))
+    network = Network.start(bucket_counts(rows))
     for number in range(rounds):
         flat = network.flat()
-        copies = texts.mapInArrow(train_part(flat, every, number * every // rounds), schema)
+        train_copies = train_part(flat, every, number * every // rounds)
+        copies = rows.select("buckets").mapInArrow(train_copies, schema)
         sums = copies.repartition("part", "fan").mapInArrow(add_parts, schema)
         sums = sums.withColumn("fan", F.lit(0)).repartition("part").mapInArrow(add_parts, schema)
         for row in sums.collect():
@@ -124,25 +143,22 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS, every: int = EVERY) -
     (null without words). One row for each row of ``docs``, repeated rows included; null
     and empty texts have no words and likelihood 0. An empty table gives no rows.
     """
-    flat = fit_network(docs, rounds, every).flat()
+    rows = bucketed(docs)
+    flat = fit_network(rows, rounds, every).flat()
 
     @F.arrow_udf("struct<n_words:long,log_likelihood:double>")
     def scored(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        network, known = Network.of(flat), Buckets()
+        network = Network.of(flat)
         for texts in parts:
-            counts, sums = [], []
-            for text in texts_of(texts):
-                buckets = buckets_of(text, known)
-                counts.append(len(buckets))
-                sums.append(float(network.log_probabilities(buckets).sum()))
+            sums = list(network.scores(bucket_arrays(texts)))
+            counts = [len(packed) // 2 for packed in texts.to_pylist()]
             yield pa.StructArray.from_arrays(
                 [pa.array(counts, pa.int64()), pa.array(sums, pa.float64())], ["n_words", "log_likelihood"]
             )
 
     mean = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))
     return (
-        documents_of(docs)
-        .select("doc_id", scored(F.col("text")).alias("__score"))
+        rows.select("doc_id", scored(F.col("buckets")).alias("__score"))
         .select("doc_id", "__score.*")
         .withColumn("mean_log_probability", mean)
         .withColumn("perplexity", F.exp(-F.col("mean_log_probability")))

@@ -21,8 +21,10 @@ SIDE = 2
 WIDTH = 16
 LEARNING_RATE = 0.3
 BATCH = 4096
+#: Logits are kept within this, where they could leave it.
+LARGEST = 80.0
 #: Words scored at once.
-SCORED = 1 << 16
+SCORED = 1 << 14
 
 
 class Buckets(dict):
@@ -88,28 +90,60 @@ class Network:
         return cls(*made)
 
     def hidden(self, around: np.ndarray) -> np.ndarray:
-        total = self.hidden_bias + self.vectors[0][around[:, 0]]
+        total = self.hidden_bias + self.vectors[0].take(around[:, 0], axis=0)
         for place in range(1, 2 * SIDE):
-            total += self.vectors[place][around[:, place]]
+            total += self.vectors[place].take(around[:, place], axis=0)
         return np.tanh(total)
 
-    def log_probabilities(self, buckets: np.ndarray) -> np.ndarray:
+    def log_probabilities(self, buckets: np.ndarray, around: np.ndarray | None = None) -> np.ndarray:
         """Of every word, given the words around it."""
-        around = contexts(buckets)
+        around = contexts(buckets) if around is None else around
         result = np.empty(len(buckets))
         for start in range(0, len(buckets), SCORED):
             part = slice(start, start + SCORED)
             result[part] = self.conditional(buckets[part], around[part])
         return result
 
+    def scores(self, texts: Iterable[np.ndarray]) -> Iterator[float]:
+        """Sum of log-probabilities of each text; short texts are taken many at a time."""
+        waiting: list[np.ndarray] = []
+        pending = 0
+
+        def scored() -> Iterator[float]:
+            around = np.concatenate([contexts(buckets) for buckets in waiting])
+            each = self.log_probabilities(np.concatenate(waiting), around)
+            ends = np.cumsum([len(buckets) for buckets in waiting])
+            for buckets, end in zip(waiting, ends, strict=True):
+                yield float(each[end - len(buckets) : end].sum())
+            waiting.clear()
+
+        for buckets in texts:
+            waiting.append(buckets)
+            pending += len(buckets)
+            if pending >= SCORED:
+                yield from scored()
+                pending = 0
+        if waiting:
+            yield from scored()
+
     def conditional(self, buckets: np.ndarray, around: np.ndarray) -> np.ndarray:
+        """Logarithm of the class's probability plus that of the member within the class."""
         hidden = self.hidden(around)
         group, member = np.divmod(buckets, MEMBERS)
-        rows = np.arange(len(buckets))
-        total = log_softmax(hidden @ self.class_weights + self.class_bias)[rows, group].astype(float)
-        for number, chosen in by_class(group):
-            logits = hidden[chosen] @ self.member_weights[number] + self.member_bias[number]
-            total[chosen] += log_softmax(logits)[np.arange(len(chosen)), member[chosen]]
+        total = chosen_log(self.class_weights, self.class_bias, hidden.T, group)
+        order = np.argsort(group.astype(np.uint8), kind="stable")
+        sorted_hidden, sorted_member = hidden.take(order, axis=0).T, member[order]
+        within = np.empty(len(buckets), dtype=np.float32)
+        ends = np.cumsum(np.bincount(group, minlength=CLASSES)).tolist()
+        for number, (start, end) in enumerate(zip([0, *ends[:-1]], ends, strict=True)):
+            if end > start:
+                within[start:end] = chosen_log(
+                    self.member_weights[number],
+                    self.member_bias[number],
+                    sorted_hidden[:, start:end],
+                    sorted_member[start:end],
+                )
+        total[order] += within
         return total
 
     def learn(self, buckets: np.ndarray, around: np.ndarray, rate: float = LEARNING_RATE) -> None:
@@ -140,6 +174,16 @@ class Network:
             np.subtract.at(self.vectors[place], around[:, place], back)
 
 
+def chosen_log(weights: np.ndarray, bias: np.ndarray, hidden: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log-probability of one output for each column of ``hidden``."""
+    logits = weights.T @ hidden
+    logits += bias[:, None]
+    # Hidden values lie within 1: only large weights could exceed what the exponential can take.
+    if np.abs(weights).sum(axis=0).max() + np.abs(bias).max() > LARGEST:
+        np.clip(logits, -LARGEST, LARGEST, out=logits)
+    return logits[chosen, np.arange(len(chosen))] - np.log(np.exp(logits).sum(axis=0))
+
+
 def log_softmax(logits: np.ndarray) -> np.ndarray:
     logits = logits - logits.max(axis=1, keepdims=True)
     return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
@@ -154,9 +198,12 @@ def by_class(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             yield number, order[start:end]
 
 
-def train(network: Network, texts: Iterable[bytes | None], every: int, first: int) -> int:
-    """Learn from every ``every``-th word of all texts, in batches; returns how many there were."""
-    known, waiting, pending, seen = Buckets(), [], 0, 0
+def train(network: Network, texts: Iterable[np.ndarray], every: int, first: int) -> int:
+    """Learn from every ``every``-th word of all texts, in batches; returns how many there were.
+
+    Texts are given as the buckets of their words.
+    """
+    waiting, pending, seen = [], 0, 0
     phase = first
 
     def step() -> int:
@@ -166,8 +213,7 @@ def train(network: Network, texts: Iterable[bytes | None], every: int, first: in
         waiting.clear()
         return len(words)
 
-    for text in texts:
-        buckets = buckets_of(text, known)
+    for buckets in texts:
         chosen = np.arange(phase, len(buckets), every)
         # The next text goes on where this one ends, so short texts are seen alike.
         phase = (phase - len(buckets)) % every
