@@ -1,5 +1,7 @@
 """The same queries as plain SQL over the given tables, for DuckDB."""
 
+from fieldwatch.operators.history import TARGETS
+
 READINGS = """readings AS (
   SELECT 'SITE_' || lpad(CAST(user_id % 5 + 1 AS VARCHAR), 2, '0') AS site_id,
          CASE WHEN event_id % 2 = 0 THEN 'PM2.5' ELSE 'PM10' END AS pollutant_type,
@@ -160,6 +162,12 @@ SELECT CAST(event_id AS VARCHAR) AS sensor_id, site_id, pollutant_type, event_ti
 FROM readings WHERE {condition}"""
 
 
+CELL_COUNTS = ", ".join(
+    f"count(*) FILTER ({target} = {class_id}) AS rows_{name}_{class_id}"
+    for name, target in TARGETS.items()
+    for class_id in range(3)
+)
+
 ORACLE = {
     "scan_readings": _valid_messages("true"),
     "parse_readings": _valid_messages("event_type NOT IN ('error', 'signup', 'click')"),
@@ -232,6 +240,10 @@ SELECT timescale,
        count(*) FILTER (target = 2) AS class_2,
        CAST(count(DISTINCT target) AS INTEGER) AS classes
 FROM labels_ahead GROUP BY 1""",
+    "forecast_cells": f"""WITH {READINGS}, {LIMITS}, {CLASSIFIED}, {TRAINING}
+SELECT CASE WHEN concentration_norm >= 0.43 THEN 2 WHEN concentration_norm >= 0.35 THEN 1 ELSE 0 END AS bin,
+       hour, day_of_week, {CELL_COUNTS}
+FROM training GROUP BY 1, 2, 3""",
     "forecast_alerts": f"""WITH {READINGS}, {LIMITS}
 SELECT r.site_id, r.pollutant_type, r.event_time, r.concentration,
        CASE WHEN concentration >= red_min THEN red_min ELSE orange_min END AS metric_value,

@@ -7,6 +7,7 @@ from fieldwatch.functions.schemas import HOURLY_KEY
 from fieldwatch.operators.dwell import fuzzy_alerts
 from fieldwatch.operators.ema import ema_alerts, ema_series
 from fieldwatch.operators.forecast import (
+    class_counts,
     fit_forecaster,
     forecast_alerts,
     forecast_score,
@@ -202,6 +203,14 @@ def balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_balance(training_set(spark, sf_dir))
 
 
+def forecast_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the trees are fitted on, with the limits of one pollutant as bin edges."""
+    limits = load_thresholds().limits["PM10"]
+    edges = [limits["orange_min"] / 1000.0, limits["red_min"] / 1000.0]
+    counts = class_counts(training_set(spark, sf_dir), edges)
+    return counts.withColumns({name: F.col(name).cast("long") for name in counts.columns[3:]})
+
+
 def model_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fit_forecaster(training_set(spark, sf_dir)).table
 
@@ -294,6 +303,7 @@ QUERIES = {
     "forecast_features": model_features,
     "forecast_training_set": training_rows,
     "label_balance": balance,
+    "forecast_cells": forecast_cells,
     "forecast_model_fit": model_fit,
     "forecast_score": score,
     "forecast_alerts": alerts_beside_forecasts,
