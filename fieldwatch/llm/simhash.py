@@ -1,17 +1,19 @@
 """Near-duplicates by SimHash fingerprints, searched in BK-trees.
 
 A fingerprint is the bitwise majority of the hashes of a text's shingles. Two
-fingerprints that differ in at most ``distance`` bits agree in one of
-``distance + 1`` bands, so a tree is built for each value of each band and only
-fingerprints with that value search it: what a task holds depends on a shard, not
-on the corpus. A shard with more than ``TREE_SIZE`` fingerprints is dealt to
+fingerprints that differ in at most ``distance`` bits agree in all but ``distance``
+of any number of bands, so a tree is built for each value of each choice of that many
+bands, and only fingerprints with that value search it: what a task holds depends on
+a shard, not on the corpus. Large corpora take more bands, whose shards are smaller.
+A shard with more than ``TREE_SIZE`` fingerprints is dealt to
 several trees, and its fingerprints search each of them, so a large group of near
 copies spreads over tasks as well. Every tree is shipped by the shuffle to the one
 task that needs it; broadcasting all of them would grow with the corpus.
 """
 
 from collections.abc import Iterable, Iterator
-from itertools import accumulate, islice, repeat
+from itertools import accumulate, combinations, islice, repeat
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -181,28 +183,48 @@ def search_shards(radius: int):
     return search
 
 
+def band_masks(bands: int, distance: int) -> list[int]:
+    """The bits, as signed longs, of every choice of all but ``distance`` of the bands."""
+    bounds = [BITS * i // bands for i in range(bands + 1)]
+    bits = [(1 << high) - (1 << low) for low, high in zip(bounds[:-1], bounds[1:], strict=True)]
+    masks = [sum(chosen) for chosen in combinations(bits, bands - distance)]
+    return [mask - (1 << BITS) if mask >> (BITS - 1) else mask for mask in masks]
+
+
+def bands_for(prints: int, distance: int, tree_size: int = TREE_SIZE) -> int:
+    """The number of bands with the fewest searches: all find the same links.
+
+    A fingerprint searches its own tree and half of the others of each of its shards.
+    """
+
+    def searches(bands: int) -> float:
+        shard = prints / 2.0 ** (BITS * (bands - distance) / bands)
+        return comb(bands, distance) * (1 + shard / tree_size / 2)
+
+    return min(range(distance + 1, min(BITS, distance + 8) + 1), key=searches)
+
+
 def fingerprint_links(
-    prints: DataFrame, distance: int = DISTANCE, tree_size: int = TREE_SIZE
+    prints: DataFrame,
+    distance: int = DISTANCE,
+    tree_size: int = TREE_SIZE,
+    bands: int | None = None,
 ) -> DataFrame:
     """Links (``a``, ``b``) that connect all fingerprints at ``distance`` or fewer bits.
 
     ``prints`` has one long column ``print`` of distinct values. Of the links in a
     tree, those that would close a circle are left out, so there are fewer than
-    searches; the components are those of all links.
+    searches; the components are those of all links, for any number of ``bands``
+    above ``distance``. Without it the number follows from that of the fingerprints.
     """
     if not 0 <= distance < BITS:
         raise ValueError("distance must be from 0 to 63")
-    bounds = [BITS * i // (distance + 1) for i in range(distance + 2)]
-    bands = [
-        F.struct(
-            F.lit(i).alias("band"),
-            F.shiftrightunsigned("print", low)
-            .bitwiseAND(F.lit((1 << (high - low)) - 1 if high - low < 63 else -1))
-            .alias("part"),
-        )
-        for i, (low, high) in enumerate(zip(bounds[:-1], bounds[1:], strict=True))
+    bands = bands or bands_for(prints.count(), distance, tree_size)
+    keys = [
+        F.struct(F.lit(i).alias("band"), F.col("print").bitwiseAND(F.lit(mask)).alias("part"))
+        for i, mask in enumerate(band_masks(bands, distance))
     ]
-    banded = prints.select("print", F.explode(F.array(*bands)).alias("at")).select(
+    banded = prints.select("print", F.explode(F.array(*keys)).alias("at")).select(
         "print", "at.band", "at.part"
     )
     shared = (

@@ -1,12 +1,14 @@
 import random
 import re
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from fieldwatch.llm.components import components
 from fieldwatch.llm.simhash import (
     BKTree,
+    bands_for,
     component_ids,
     drop_near_duplicates,
     fingerprint,
@@ -100,6 +102,33 @@ def test_many_small_trees_give_the_same_components(spark):
     assert groups(7) == groups(1024)
 
 
+@pytest.mark.parametrize(("bands", "distance"), [(4, 3), (5, 3), (6, 3), (2, 1), (1, 0)])
+def test_any_number_of_bands_gives_the_components_of_all_pairs(spark, bands, distance):
+    rnd = random.Random(bands)
+    centres = [rnd.getrandbits(64) for _ in range(4)]
+    values = set(centres)
+    for _ in range(120):
+        value = rnd.choice(centres)
+        for bit in rnd.choices(range(64), k=rnd.randint(0, 5)):
+            value ^= 1 << bit
+        values.add(value)
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    links = fingerprint_links(spark.createDataFrame([(v,) for v in signed], "print long"), distance, 16, bands)
+    root = {v: v for v in signed}
+    for _ in signed:
+        for a in signed:
+            near = [b for b in signed if ((a ^ b) & ((1 << 64) - 1)).bit_count() <= distance]
+            root[a] = min(root[b] for b in near)
+    found = dict(components(links).collect())
+    assert {v: found.get(v, v) for v in signed} == root
+
+
+def test_bands_grow_with_the_corpus():
+    assert bands_for(0, 3) == bands_for(1_000_000, 3) == 4
+    assert bands_for(20_000_000_000, 3) == 5
+    assert bands_for(5, 63) == 64
+
+
 def test_components_of_a_long_path_a_star_and_loops(spark):
     path = [(i, i + 1) for i in range(100, 300)]
     star = [(1000, i) for i in range(1, 50)]
