@@ -3,7 +3,8 @@
 A seed is a mask over consecutive words; hashes of the selected words are joined
 between benchmark and documents, so words at the ignored places may differ. The masks
 follow from how many words of a window may differ: two of its parts must then be equal,
-and there is a mask for every distance of two parts. So no window is missed. Every hit gives an alignment of a document and an item, along which windows of words are
+and there is a mask for every distance of two parts. So no window is missed. Every hit
+gives an alignment of a document and an item, along which windows of words are
 compared one by one. The benchmark is the stated query set: it passes by in blocks of
 bounded size, each broadcast to one pass over the documents, which are never shuffled.
 """
@@ -31,6 +32,8 @@ BLOCK_WORDS = 200_000
 PIECE_WORDS = 4096
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 SLOTS = 1 << 20
+#: Hits that are turned into alignments at a time, which bounds memory.
+HITS_AT_ONCE = 1 << 20
 FOUND = "item_id long, doc_start long, doc_end long, item_start long, item_end long, n_equal long"
 
 
@@ -61,12 +64,12 @@ class Block:
         self.size += len(words)
 
     def seeds(self, overlap: int, similarity: float) -> dict[tuple[int, ...], tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """By mask: sorted hashes with the piece and place of each; once per piece and hash."""
+        """By mask: sorted hashes with the piece and place of each."""
         made = defaultdict(list)
         for piece, codes in enumerate(self.words):
             for mask in seed_masks(min(overlap, len(codes)), similarity):
-                hashes, places = np.unique(seed_hashes(codes, mask), return_index=True)
-                made[mask].append((hashes, np.full(len(hashes), piece), places))
+                hashes = seed_hashes(codes, mask)
+                made[mask].append((hashes, np.full(len(hashes), piece), np.arange(len(hashes))))
         seeds = {}
         for mask, parts in made.items():
             hashes, pieces, places = (np.concatenate(part) for part in zip(*parts, strict=True))
@@ -85,15 +88,15 @@ def seed_hashes(codes: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
     return hashes
 
 
-def blocks_of(items: Iterator, block_words: int) -> Iterator[Block]:
+def blocks_of(items: Iterator, block_words: int, overlap: int = OVERLAP) -> Iterator[Block]:
     """The benchmark, a bounded number of words at a time."""
     block = Block()
     for item in items:
         words = words_of(item.text.encode() if item.text else None)
         if len(words) < FEWEST_WORDS:
             continue
-        for start in range(0, max(1, len(words) - OVERLAP), PIECE_WORDS):
-            piece = words[start : start + PIECE_WORDS + OVERLAP]
+        for start in range(0, max(1, len(words) - overlap), PIECE_WORDS):
+            piece = words[start : start + PIECE_WORDS + overlap]
             if block.size and block.size + len(piece) > block_words:
                 yield block
                 block = Block()
@@ -116,8 +119,10 @@ class Searcher:
 
     def alignments(self, codes: np.ndarray) -> list[tuple[int, int]]:
         """Pieces and shifts at which a seed of the piece stands in the document."""
-        found = []
+        found = np.empty(0, dtype=np.int64)
         known = codes != 0
+        # A piece and a shift in one number; shifts run from minus a piece's length up.
+        least, width = -PIECE_WORDS - self.overlap, len(codes) + PIECE_WORDS + self.overlap + 1
         for mask, (hashes, pieces, places) in self.seeds.items():
             if len(codes) <= mask[-1] or not known.any():
                 continue
@@ -125,13 +130,17 @@ class Searcher:
             likely = np.flatnonzero(self.slots[mask][(mine % np.uint64(SLOTS)).astype(np.int64)])
             low = np.searchsorted(hashes, mine[likely], "left")
             times = np.searchsorted(hashes, mine[likely], "right") - low
-            where = np.repeat(likely, times)
-            nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            row = np.repeat(low, times) + nth
-            found.append(np.stack([pieces[row], where - places[row]], axis=1))
-        if not found:
-            return []
-        return [tuple(pair) for pair in np.unique(np.concatenate(found), axis=0).tolist()]
+            hit = times > 0
+            likely, low, times = likely[hit], low[hit], times[hit]
+            portion = np.cumsum(times) // HITS_AT_ONCE
+            cuts = [0, *(np.flatnonzero(np.diff(portion)) + 1).tolist(), len(likely)]
+            for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+                some = times[start:end]
+                where = np.repeat(likely[start:end], some)
+                nth = np.arange(some.sum()) - np.repeat(np.cumsum(some) - some, some)
+                row = np.repeat(low[start:end], some) + nth
+                found = np.union1d(found, pieces[row] * width + (where - places[row] - least))
+        return [(pair // width, pair % width + least) for pair in found.tolist()]
 
     def overlap_at(self, codes: np.ndarray, piece: int, shift: int) -> tuple[int, ...] | None:
         """Place in the document, in the item, and equal words, if enough are equal in a window."""
@@ -180,13 +189,15 @@ def passages_of(text: Column, handle, overlap: int, similarity: float) -> Column
     return found(text)
 
 
-def broadcast_blocks(docs: DataFrame, benchmark: DataFrame, block_words: int) -> list:
+def broadcast_blocks(
+    docs: DataFrame, benchmark: DataFrame, block_words: int, overlap: int = OVERLAP
+) -> list:
     """Handles of all blocks; texts that repeat count once, under their smallest id."""
     items = benchmark.groupBy(F.col("text").cast("string").alias("text")).agg(
         F.min("item_id").alias("item_id")
     )
     context = docs.sparkSession.sparkContext
-    blocks = blocks_of(items.toLocalIterator(), block_words)
+    blocks = blocks_of(items.toLocalIterator(), block_words, overlap)
     return [context.broadcast((b.ids, b.offsets, b.words, b.vocabulary)) for b in blocks]
 
 
@@ -210,7 +221,7 @@ def find_passages(
     """
     slim = documents_of(docs)
     results = []
-    for handle in broadcast_blocks(docs, benchmark, block_words):
+    for handle in broadcast_blocks(docs, benchmark, block_words, overlap):
         found = passages_of(F.col("text"), handle, overlap, similarity)
         results.append(slim.select("doc_id", F.explode(found).alias("at")).select("doc_id", "at.*"))
     if not results:
@@ -228,7 +239,7 @@ def drop_contaminated(
 ) -> DataFrame:
     """The documents that hold no passage of the benchmark, with all their columns."""
     clean, name = docs, free_name(docs, "contaminated")
-    for handle in broadcast_blocks(docs, benchmark, block_words):
+    for handle in broadcast_blocks(docs, benchmark, block_words, overlap):
         found = passages_of(F.col("text").cast("string"), handle, overlap, similarity)
         clean = clean.withColumn(name, found).filter(F.size(name) == 0).drop(name)
     return clean

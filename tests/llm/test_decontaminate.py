@@ -4,6 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from fieldwatch.llm import decontaminate
 from fieldwatch.llm.decontaminate import drop_contaminated, find_passages
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -121,3 +122,22 @@ def test_empty_tables(spark):
     none = find_passages(d, b.limit(0))
     assert none.collect() == [] and none.columns == find_passages(d, b).columns
     assert drop_contaminated(d, b.limit(0)).count() == d.count()
+
+
+def test_passages_whose_seeds_repeat_in_the_item_are_found(spark):
+    w = [f"word{i}" for i in range(13)]
+    early = [*w[:3], "a", "b", "c", *w[6:9], *w[4:7], "d", "e", "f", *w[10:]]
+    changed = [word if i not in (3, 9) else f"other{i}" for i, word in enumerate(w)]
+    docs = spark.createDataFrame([(1, f"so it goes {' '.join(changed)} and on", None, None, 1)], SCHEMA)
+    items = spark.createDataFrame([(7, " ".join([*early, *w]))], "item_id long, text string")
+    [row] = find_passages(docs, items).collect()
+    assert (row.doc_id, row.item_id, row.doc_start, row.item_start, row.n_equal) == (1, 7, 3, 18, 11)
+
+
+def test_long_items_are_searched_across_their_pieces_for_any_overlap(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PIECE_WORDS", 32)
+    words = [f"word{i}" for i in range(150)]
+    items = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
+    rows = [(i, " ".join(words[i : i + 24]), None, None, 1) for i in range(127)]
+    found = find_passages(spark.createDataFrame(rows, SCHEMA), items, overlap=24, similarity=1.0)
+    assert sorted((r.doc_id, r.item_start, r.n_equal) for r in found.collect()) == [(i, i, 24) for i in range(127)]
