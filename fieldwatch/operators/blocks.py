@@ -7,9 +7,11 @@ of a long series where needed. The ordered blocks are written once; then
 
 1. ``summarise`` turns every block into one row, from the few rows that matter
    to the block's neighbours (Spark filters them out beforehand),
-2. ``fold`` walks these summaries and finds what each block must be told by its
-   neighbours (one row per block at most, so it is small enough to broadcast),
-3. an operator reads the blocks in order, batch by batch, with that value.
+2. summaries go up a tree: ``merge`` makes one of ``FAN_OUT`` neighbouring ones. On
+   the way down ``fold`` finds what each is told by the one before it, so no task
+   sees more than one group of summaries at a time,
+3. an operator reads the blocks in order, batch by batch, with that value (one row
+   per block at most, so it is small enough to broadcast).
 """
 
 from collections.abc import Callable, Iterable, Iterator
@@ -26,6 +28,8 @@ from fieldwatch.functions.schemas import SERIES
 from fieldwatch.session import materialise
 
 TIE_BREAKS = ("event_id", "sensor_id")
+#: Blocks, or groups of them, under one node of the tree of summaries.
+FAN_OUT = 64
 Batches = Iterable[pa.RecordBatch]
 Step = Callable[[Batches], Iterator[pa.RecordBatch]]
 
@@ -79,32 +83,65 @@ def with_neighbours(
     telling: Column,
     summarise: Step,
     summary_schema: str,
+    merge: Step,
     fold: Step,
     carry_type: str,
-    backwards: bool = False,
-    parts: list[str] | None = None,
+    fan_out: int = FAN_OUT,
 ) -> DataFrame:
-    """Blocks with what their neighbours pass on, as ``carry`` in their first row.
+    """Blocks with what the one before them passes on, as ``carry`` in their first row.
 
     ``summarise`` sees the first and last row of each block and those for which
-    ``telling`` holds, an expression that may use ``row_count``. ``parts`` orders
-    the rows of a block whose summary takes more than one.
+    ``telling`` holds, an expression that may use ``row_count``. A summary may take
+    several rows, in the order of their ``part``.
     """
     sizes = blocks.groupBy("block").agg((F.max("pos") + 1).alias("row_count"))
     edge = (F.col("pos") == 0) | (F.col("pos") == F.col("row_count") - 1)
     told = blocks.join(F.broadcast(sizes), "block").filter(edge | telling)
-    order = F.col("block").desc() if backwards else F.col("block")
-    carries = (
-        told.select("block", "pos", "row_count", *SERIES, "at", *columns)
-        .mapInArrow(summarise, summary_schema)
-        .repartition(1)
-        .sortWithinPartitions(order, *(parts or []))
-        .mapInArrow(fold, f"block int, carry {carry_type}")
+    summaries = told.select("block", "pos", "row_count", *SERIES, "at", *columns).mapInArrow(
+        summarise, summary_schema
+    )
+    # Blocks are numbered by task, so there are no more than tasks.
+    carries = carried_down(
+        summaries, blocks.rdd.getNumPartitions(), merge, summary_schema, fold, carry_type, fan_out
     )
     carried = blocks.join(F.broadcast(carries), "block", "left")
     return carried.withColumn("carry", F.when(F.col("pos") == 0, F.col("carry")))
 
 
+def carried_down(
+    summaries: DataFrame,
+    most: int,
+    merge: Step,
+    summary_schema: str,
+    fold: Step,
+    carry_type: str,
+    fan_out: int,
+) -> DataFrame:
+    """``block`` and ``carry``, from summaries of blocks with numbers below ``most``."""
+    if fan_out < 2:
+        raise ValueError("fan_out must be 2 or more")
+
+    def grouped(units: DataFrame) -> DataFrame:
+        return units.withColumn("group", F.floor(F.col("block") / fan_out).cast("int"))
+
+    def in_order(units: DataFrame) -> DataFrame:
+        return units.repartition("group").sortWithinPartitions("group", "block", "part")
+
+    levels = [summaries]
+    while most > fan_out:
+        levels[-1] = materialise(levels[-1])
+        levels.append(in_order(grouped(levels[-1])).mapInArrow(merge, summary_schema))
+        most = -(-most // fan_out)
+    top = grouped(levels.pop()).withColumn("carry", F.lit(None).cast(carry_type))
+    carries = in_order(top).mapInArrow(fold, f"block int, carry {carry_type}")
+    while levels:
+        # One row per group of the level below.
+        told = F.broadcast(carries.withColumnRenamed("block", "group"))
+        level = grouped(levels.pop()).join(told, "group", "left")
+        carries = in_order(level).mapInArrow(fold, f"block int, carry {carry_type}")
+    return carries
+
+
 @dataclass(frozen=True)
 class Place:
     """Where a row stands: its series and time."""

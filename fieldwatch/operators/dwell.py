@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from fieldwatch.functions.schemas import SERIES
 from fieldwatch.operators.blocks import (
+    FAN_OUT,
     Place,
     filled,
     numbers,
@@ -201,13 +202,69 @@ def needed_steps(reach: np.ndarray, leaves: np.ndarray, first_at: int):
     return reach[last_of_step], leaves[last_of_step]
 
 
+class Stretches:
+    """The response of a run from those of its stretches.
+
+    A stretch is joined to the one before it once it is of its size, so the work
+    grows with the number of steps but for a logarithm. Steps that no timer from
+    before a stretch can meet are left out, and a timer waits ``max_time`` at most: what
+    is kept are steps of the readings in that time, however long the run is.
+    """
+
+    def __init__(self) -> None:
+        self.parts: list[tuple] = []
+
+    def add(self, first_at: int, response) -> None:
+        reach, leaves, fresh = response
+        self.parts.append((first_at, (*needed_steps(reach, leaves, first_at), fresh)))
+        while len(self.parts) > 1 and len(self.parts[-2][1][0]) <= 2 * len(self.parts[-1][1][0]):
+            self._join_last()
+
+    def _join_last(self) -> None:
+        _, second = self.parts.pop()
+        first_at, first = self.parts.pop()
+        reach, leaves, fresh = chain(first, second)
+        self.parts.append((first_at, (*needed_steps(reach, leaves, first_at), fresh)))
+
+    def response(self):
+        while len(self.parts) > 1:
+            self._join_last()
+        return self.parts[0][1]
+
+
+def _summary(unit: dict, stretches: Stretches | None):
+    """The rows of one summary; ``unit`` holds all but the steps."""
+    reach, leaves, _ = stretches.response() if stretches else (None, None, None)
+    kinds = {"block": pa.int32(), "part": pa.int32()}
+    for end in ("head", "tail"):
+        kinds |= {f"{end}_site": pa.string(), f"{end}_pollutant": pa.string()}
+        kinds |= {f"{end}_at": pa.int64(), f"{end}_band": pa.int32()}
+    kinds["timer"] = pa.int64()
+    for part, low in enumerate(range(0, 1 if reach is None else len(reach), STEPS)):
+        cut = slice(low, low + STEPS)
+        yield one_row(
+            **{name: ((unit | {"part": part})[name], kind) for name, kind in kinds.items()},
+            reach=(None if reach is None else reach[cut], pa.list_(pa.int64())),
+            leaves=(None if reach is None else leaves[cut], pa.list_(pa.int64())),
+        )
+
+
+def _ends(end: str, place: Place, band: int) -> dict:
+    return {
+        f"{end}_site": place.site_id,
+        f"{end}_pollutant": place.pollutant_type,
+        f"{end}_at": place.at,
+        f"{end}_band": band,
+    }
+
+
 def _summarise(gap: int | None):
-    """One row per block, from its readings in a band and its two ends."""
+    """The summary of a block, from its readings in a band and its two ends."""
 
     def run(batches):
-        head = tail = None
+        head = tail = timer = block = None
         head_band = tail_band = rows = size = 0
-        timer, response, block = None, None, None
+        stretches = Stretches()
         for batch in filled(batches):
             starts = series_starts(batch, tail, gap)
             band, at = numbers(batch, "band"), numbers(batch, "at")
@@ -220,75 +277,104 @@ def _summarise(gap: int | None):
                 head_band > 0
                 and (band == head_band).all()
                 and not starts[1:].any()
-                and (first or (response is not None and not starts[0]))
+                and (first or not starts[0])
             )
-            if one_run:
-                part = run_response(at, due_micros(allowed))
-                response = part if first else chain(response, part)
-                steps = needed_steps(response[0], response[1], head.at)
-                response = (*steps, response[2])
-            else:
-                response = None
+            if not one_run:
+                stretches = None
+            elif stretches:
+                stretches.add(int(at[0]), run_response(at, due_micros(allowed)))
             _, _, tail_band, timer = dwell(band, at, allowed, starts, tail_band, timer)
             tail = Place.of(batch, batch.num_rows - 1)
             rows += batch.num_rows
-        if rows != size:
-            response = None
         if head is None:
             return
-        steps = len(response[0]) if response else 0
-        for part, low in enumerate(range(0, max(steps, 1), STEPS)):
-            cut = slice(low, low + STEPS)
-            yield one_row(
-                block=(block, pa.int32()),
-                part=(part, pa.int32()),
-                head_site=(head.site_id, pa.string()),
-                head_pollutant=(head.pollutant_type, pa.string()),
-                head_at=(head.at, pa.int64()),
-                head_band=(head_band, pa.int32()),
-                tail_site=(tail.site_id, pa.string()),
-                tail_pollutant=(tail.pollutant_type, pa.string()),
-                tail_at=(tail.at, pa.int64()),
-                tail_band=(tail_band, pa.int32()),
-                timer=(timer, pa.int64()),
-                reach=(response[0][cut] if response else None, pa.list_(pa.int64())),
-                leaves=(response[1][cut] if response else None, pa.list_(pa.int64())),
-            )
+        ends = _ends("head", head, head_band) | _ends("tail", tail, tail_band)
+        yield from _summary({"block": block, "timer": timer} | ends, stretches if rows == size else None)
+
+    return run
+
+
+def _units(batches):
+    """Summaries with their ``response``, from rows ordered by group, block and part."""
+    unit, reach, leaves = None, [], []
+
+    def whole():
+        fresh = UNSET if unit["timer"] is None else unit["timer"]
+        found = (np.concatenate(reach), np.concatenate(leaves), fresh) if reach else None
+        return unit | {"response": found}
+
+    for batch in filled(batches):
+        names = [name for name in batch.schema.names if name not in ("reach", "leaves")]
+        for row, found in enumerate(batch.select(names).to_pylist()):
+            if found["part"] == 0:
+                if unit:
+                    yield whole()
+                unit, reach, leaves = found, [], []
+            if batch.column("reach")[row].is_valid:
+                reach.append(batch.column("reach")[row].values.to_numpy())
+                leaves.append(batch.column("leaves")[row].values.to_numpy())
+    if unit:
+        yield whole()
+
+
+def _goes_on(unit: dict, before: dict, gap: int | None) -> bool:
+    """True when a unit begins in the run that the one before it ends in."""
+    head = Place(unit["head_site"], unit["head_pollutant"], unit["head_at"])
+    tail = Place(before["tail_site"], before["tail_pollutant"], before["tail_at"])
+    return head.continues(tail, gap) and unit["head_band"] == before["tail_band"]
+
+
+def _timer_after(unit: dict, given: int | None) -> int | None:
+    """The timer that a unit hands on when it is given one."""
+    if given is None or unit["response"] is None:
+        return unit["timer"]
+    left = int(respond(*unit["response"], np.array([given]))[0])
+    return None if left == UNSET else left
+
+
+def _merge(gap: int | None):
+    """One summary for each group of neighbouring ones."""
+
+    def run(batches):
+        whole, stretches = None, None
+        for unit in _units(batches):
+            if whole is None or whole["block"] != unit["group"]:
+                if whole:
+                    yield from _summary(whole, stretches)
+                whole = unit | {"block": unit["group"]}
+                stretches = Stretches() if unit["response"] else None
+            else:
+                goes_on = _goes_on(unit, whole, gap)
+                whole["timer"] = _timer_after(unit, whole["timer"] if goes_on else None)
+                whole |= {name: value for name, value in unit.items() if name.startswith("tail_")}
+                if not goes_on or not unit["response"]:
+                    stretches = None
+            if stretches:
+                stretches.add(unit["head_at"], unit["response"])
+        if whole:
+            yield from _summary(whole, stretches)
 
     return run
 
 
 def _fold(gap: int | None):
-    """The running timer each block is given by the block before it."""
+    """The running timer each unit is given; ``carry`` is the one given to its group."""
 
     def run(batches):
-        tail, tail_band, out, given = None, 0, None, None
-        for batch in filled(batches):
-            blocks, timers = [], []
-            names = [name for name in batch.schema.names if name not in ("reach", "leaves")]
-            for row, found in enumerate(batch.select(names).to_pylist()):
-                if found["part"] == 0:
-                    head = Place(found["head_site"], found["head_pollutant"], found["head_at"])
-                    goes_on = head.continues(tail, gap) and found["head_band"] == tail_band
-                    given = out if goes_on else None
-                    tail = Place(found["tail_site"], found["tail_pollutant"], found["tail_at"])
-                    tail_band, out = found["tail_band"], found["timer"]
-                    if given is not None:
-                        blocks.append(found["block"])
-                        timers.append(given)
-                if given is None or not batch.column("reach")[row].is_valid:
-                    continue
-                # The steps of all parts rise, so the first that reaches decides.
-                reach = batch.column("reach")[row].values.to_numpy()
-                step = int(np.searchsorted(reach, given, side="left"))
-                out = given
-                if step < len(reach):
-                    left = batch.column("leaves")[row].values[step].as_py()
-                    out, given = (None if left == UNSET else left), None
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(blocks, pa.int32()), pa.array(timers, pa.int64())],
-                names=["block", "carry"],
-            )
+        blocks, timers = [], []
+        before, out = None, None
+        for unit in _units(batches):
+            if before is None or before["group"] != unit["group"]:
+                given = unit["carry"]
+            else:
+                given = out if _goes_on(unit, before, gap) else None
+            if given is not None:
+                blocks.append(unit["block"])
+                timers.append(given)
+            before, out = unit, _timer_after(unit, given)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(blocks, pa.int32()), pa.array(timers, pa.int64())], names=["block", "carry"]
+        )
 
     return run
 
@@ -334,6 +420,7 @@ def dwell_alerts(
     max_gap: float | None = None,
     blocks: int | None = None,
     ordered: DataFrame | None = None,
+    fan_out: int = FAN_OUT,
 ) -> DataFrame:
     """Only the alerts on time spent in a band, for a batch table."""
     gap = seconds_to_micros(max_gap)
@@ -347,9 +434,10 @@ def dwell_alerts(
         in_band,
         _summarise(gap),
         SUMMARY,
+        _merge(gap),
         _fold(gap),
         "bigint",
-        parts=["part"],
+        fan_out,
     )
     inside = carried.filter(in_band).select(*SERIES, "at", "pos", *columns, "carry")
     red = F.col("band") == RED_BAND

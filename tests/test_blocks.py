@@ -51,19 +51,32 @@ def kept(block, wanted):
         yield batch.filter(pa.array(mask))
 
 
-def run(rows, columns, cuts, size, telling, summarise, fold, emit, emitted, carry_type, backwards=False):
+def carried_down(summaries, wide, merge, fold, fan_out):
+    """The tree of summaries without Spark: carry by number of the block."""
+
+    def groups(units, carries=None):
+        for unit in units:
+            number = unit["block"][0].as_py() // fan_out
+            given = pa.array([(carries or {}).get(number)], pa.int64())
+            yield unit.append_column("group", pa.array([number], pa.int32())).append_column("carry", given)
+
+    if wide <= fan_out:
+        found = fold(groups(summaries))
+    else:
+        merged = list(merge(groups(summaries)))
+        above = carried_down(merged, -(-wide // fan_out), merge, fold, fan_out)
+        found = fold(groups(summaries, above))
+    return {row["block"]: row["carry"] for batch in found for row in batch.to_pylist()}
+
+
+def run(rows, columns, cuts, size, telling, summarise, merge, fold, emit, emitted, carry_type, fan_out):
     blocks = list(batches(rows, columns, cuts, size))
 
     def told(row):
         return row["pos"] in (0, row["row_count"] - 1) or telling(row)
 
     summaries = [row for block in blocks for row in summarise(kept(block, told))]
-    if backwards:
-        summaries = summaries[::-1]
-    carries = {}
-    for found in fold(summaries):
-        for row in found.to_pylist():
-            carries[row["block"]] = row["carry"]
+    carries = carried_down(summaries, len(blocks), merge, fold, fan_out)
     out = []
     for number, block in enumerate(blocks):
         carried = [
@@ -132,7 +145,7 @@ def short_summaries():
     D.STEPS = kept_steps
 
 
-def check_dwell(rows, cuts, size, max_time, delta, gap=None):
+def check_dwell(rows, cuts, size, max_time, delta, gap=None, fan_out=64):
     columns = {
         **BASE,
         "concentration": pa.float64(),
@@ -142,8 +155,8 @@ def check_dwell(rows, cuts, size, max_time, delta, gap=None):
     found = run(
         banded(rows, max_time, delta), columns, cuts, size,
         lambda row: row["band"] > 0,
-        D._summarise(gap), D._fold(gap), D._emit(gap),
-        lambda row: row["band"] > 0, pa.int64(),
+        D._summarise(gap), D._merge(gap), D._fold(gap), D._emit(gap),
+        lambda row: row["band"] > 0, pa.int64(), fan_out,
     )
     got = [
         (r["site_id"], r["pollutant_type"], r["at"], r["concentration"], r["elapsed"] / 1e6, r["band"])
@@ -160,19 +173,77 @@ def check_dwell(rows, cuts, size, max_time, delta, gap=None):
 
 
 @settings(max_examples=200, deadline=None)
-@given(shapes, st.sampled_from([5, 30, 200]), st.sampled_from([None, 10 * SECOND]))
-def test_dwell_across_blocks(shape, max_time, gap):
+@given(shapes, st.sampled_from([5, 30, 200]), st.sampled_from([None, 10 * SECOND]), st.sampled_from([2, 3, 64]))
+def test_dwell_across_blocks(shape, max_time, gap, fan_out):
     lengths, seed, cuts, size = shape
     values = [100.0, 341.0, 345.0, 345.0, 349.5, 360.0, 425.0, 428.0, 440.0]
-    check_dwell(series_rows(lengths, seed, values), cuts, size, max_time, 10, gap)
+    check_dwell(series_rows(lengths, seed, values), cuts, size, max_time, 10, gap, fan_out)
 
 
 @settings(max_examples=200, deadline=None)
-@given(shapes, st.sampled_from([[345.0], [341.0, 345.0, 349.0], [421.0, 429.9]]), st.integers(3, 90))
-def test_dwell_of_a_series_stuck_in_a_band(shape, values, max_time):
+@given(
+    shapes,
+    st.sampled_from([[345.0], [341.0, 345.0, 349.0], [421.0, 429.9]]),
+    st.integers(3, 90),
+    st.sampled_from([2, 3, 64]),
+)
+def test_dwell_of_a_series_stuck_in_a_band(shape, values, max_time, fan_out):
     """Whole blocks of one run: the timer has to be handed through them."""
     lengths, seed, cuts, size = shape
-    check_dwell(series_rows(lengths, seed, values), cuts, size, max_time, 10)
+    check_dwell(series_rows(lengths, seed, values), cuts, size, max_time, 10, fan_out=fan_out)
+
+
+@pytest.mark.parametrize("fan_out", [2, 3, 5])
+def test_dense_series_hands_up_only_the_steps_of_its_longest_wait(fan_out):
+    """However many blocks a summary stands for, it holds steps of ``max_time`` at most."""
+    values = random.Random(8).choices([341.0, 342.0, 344.0, 345.0], k=4000)
+    rows = [
+        {"site_id": "S", "pollutant_type": "PM10", "at": i * SECOND // 10, "concentration": x}
+        for i, x in enumerate(values)
+    ]
+    seen = []
+
+    def counted(step):
+        def steps_in(batches):
+            for batch in step(batches):
+                seen.append((batch["block"][0].as_py(), batch["part"][0].as_py(), len(batch["reach"][0])))
+                yield batch
+
+        return steps_in
+
+    made = D._merge
+    try:
+        D._merge = lambda gap: counted(made(gap))
+        assert check_dwell(rows, range(0, 4000, 50), 7, 60, 10, fan_out=fan_out) > 5
+    finally:
+        D._merge = made
+    assert seen
+    assert max(part for _, part, _ in seen) * D.STEPS <= 60 * 10 + D.STEPS
+
+
+def test_time_of_a_summary_grows_with_its_rows():
+    """Work on the steps of a long run, counted in steps that are joined."""
+    joined = []
+    kept_chain = D.chain
+
+    def counted(first, second):
+        joined.append(len(first[0]) + len(second[0]))
+        return kept_chain(first, second)
+
+    D.chain = counted
+    try:
+        for batches_in_block in (64, 256):
+            joined.append(0)
+            stretches = D.Stretches()
+            for i in range(batches_in_block):
+                at = np.arange(i * 100, (i + 1) * 100, dtype=np.int64)
+                stretches.add(i * 100, run_response(at, np.full(100, 10**9, dtype=np.int64) + at % 7))
+            stretches.response()
+    finally:
+        D.chain = kept_chain
+    cut = [i for i, size in enumerate(joined) if size == 0]
+    small, large = sum(joined[cut[0] : cut[1]]), sum(joined[cut[1] :])
+    assert large <= 8 * max(small, 1)
 
 
 def test_stuck_series_does_fire_across_blocks():
@@ -250,9 +321,9 @@ def test_block_ends_come_without_python(spark, hot_readings):
     assert "Python" not in text and "Arrow" not in text
 
 
-@pytest.mark.parametrize("blocks", [1, 5, 60])
-def test_hot_series_dwell(spark, hot_readings, blocks):
-    alerts = dwell_alerts(hot_readings, load_thresholds(), 3600, 10, blocks=blocks)
+@pytest.mark.parametrize(("blocks", "fan_out"), [(1, 64), (5, 64), (60, 64), (60, 4)])
+def test_hot_series_dwell(spark, hot_readings, blocks, fan_out):
+    alerts = dwell_alerts(hot_readings, load_thresholds(), 3600, 10, blocks=blocks, fan_out=fan_out)
     found = sorted(
         (r["site_id"], r["pollutant_type"], r["at"], r["concentration"], r["metric_value"])
         for r in alerts.withColumn("at", F.unix_micros("event_time")).collect()
@@ -308,7 +379,7 @@ def test_worker_functions_need_no_installed_package(tmp_path):
     from pyspark import cloudpickle
 
     code = "import pickle, sys; print(pickle.loads(sys.stdin.buffer.read()).__name__)"
-    for function in (E._emit(0.3, None, []), D._summarise(None), E._fold(0.3, None)):
+    for function in (E._emit(0.3, None, []), D._summarise(None), D._merge(None), E._fold(0.3, None)):
         done = subprocess.run(
             [sys.executable, "-c", f"import pyspark; {code}"],
             input=cloudpickle.dumps(function),
