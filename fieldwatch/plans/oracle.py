@@ -85,6 +85,10 @@ FROM smoothed JOIN limits USING (pollutant_type)
 WHERE (ema >= orange_min AND ema < orange_max) OR ema >= red_min"""
 HOURLY_ROWS = f"""WITH {READINGS}, {HOURLY}
 SELECT site_id, pollutant_type, start_time, round(avg_value, 6) AS avg_value FROM hourly"""
+DAILY_ROWS = f"""WITH {READINGS}, {HOURLY}
+SELECT site_id, pollutant_type, CAST(CAST(start_time AS DATE) AS VARCHAR) AS log_date,
+       round(avg(avg_value), 6) AS daily_avg
+FROM hourly GROUP BY 1, 2, 3"""
 ENVELOPES = f"""WITH {READINGS}, {LIMITS}, {FIXED_ALERTS}, {ROUTED}
 SELECT site_id AS key,
        '{{"site_id":"' || site_id || '","pollutant_type":"' || pollutant_type
@@ -192,10 +196,8 @@ SELECT * FROM fixed_alerts WHERE alert_category = 'red'""",
 SELECT * FROM routed""",
     "alert_envelope": ENVELOPES,
     "hourly_avg": HOURLY_ROWS,
-    "daily_rollup": f"""WITH {READINGS}, {HOURLY}
-SELECT site_id, pollutant_type, CAST(CAST(start_time AS DATE) AS VARCHAR) AS log_date,
-       round(avg(avg_value), 6) AS daily_avg
-FROM hourly GROUP BY 1, 2, 3""",
+    "daily_rollup": DAILY_ROWS,
+    "daily_upsert": DAILY_ROWS,
     "hourly_retained": f"""WITH {READINGS}, {HOURLY}
 SELECT site_id, pollutant_type, start_time, round(avg_value, 6) AS avg_value FROM hourly
 QUALIFY row_number() OVER (PARTITION BY site_id, pollutant_type ORDER BY start_time DESC) <= 25""",

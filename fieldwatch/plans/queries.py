@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldwatch.functions.schemas import HOURLY_KEY
+from fieldwatch.functions.schemas import DAILY_KEY, HOURLY_KEY, SERIES
 from fieldwatch.operators.dwell import fuzzy_alerts
 from fieldwatch.operators.ema import ema_alerts, ema_series
 from fieldwatch.operators.forecast import (
@@ -43,6 +43,7 @@ from fieldwatch.plans.tables import (
 from fieldwatch.session import ROCKSDB
 from fieldwatch.sources.readings import SourceConf, parse_readings, read_readings_batch
 from fieldwatch.sources.thresholds import load_thresholds
+from fieldwatch.streaming.jobs import JobConf, refresh_daily
 from fieldwatch.streaming.sinks import (
     SinkConf,
     envelope,
@@ -134,8 +135,8 @@ def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_readings(readings(spark, sf_dir), "SITE_01", tie="event_id")
 
 
-def hourly_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases come late: a second batch updates the hours they fall in."""
+def _hours_by_arrival(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Hourly means without purchases, which come late, and those that they change."""
     rows = typed_readings(spark, sf_dir)
     early = rows.filter(F.col("event_type") != "purchase")
     hour = F.date_trunc("hour", "event_time")
@@ -147,14 +148,33 @@ def hourly_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         .distinct()
     )
     late = rows.withColumn("hour", hour).join(touched, keys, "left_semi")
+    return hourly_avg(early), hourly_avg(late)
+
+
+def hourly_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second batch, sent twice, updates the hours that late readings fall in."""
+    early, late = _hours_by_arrival(spark, sf_dir)
     path = scratch(spark, "hourly")
     write = upsert_files(path)
-    write(hourly_avg(early), 0)
-    write(hourly_avg(late), 1)
-    write(hourly_avg(late), 1)
+    write(early, 0)
+    write(late, 1)
+    write(late, 1)
     return _rounded(read_current(spark, HOURLY_KEY, path), "avg_value")
 
 
+def daily_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily job runs before and after late readings; their stream has a new checkpoint."""
+    folder = scratch(spark, "daily")
+    conf = JobConf(
+        SourceConf("text"), SinkConf("parquet"), hourly_path=f"{folder}/hourly", daily_path=f"{folder}/daily"
+    )
+    for hours in _hours_by_arrival(spark, sf_dir):
+        upsert_files(conf.hourly_path)(hours, 0)
+        refresh_daily(spark, conf)
+    days = _rounded(read_current(spark, DAILY_KEY, conf.daily_path), "daily_avg")
+    return days.select(*SERIES, F.col("log_date").cast("string").alias("log_date"), "daily_avg")
+
+
 # -- detectors with memory ----------------------------------------------------
 
 
@@ -293,6 +313,7 @@ QUERIES = {
     "daily_rollup": daily,
     "hourly_retained": retained,
     "hourly_upsert": hourly_upsert,
+    "daily_upsert": daily_upsert,
     "latest_readings": latest,
     "ema_series": ema,
     "ema_alerts": ema_alert,

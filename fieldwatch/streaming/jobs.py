@@ -23,6 +23,7 @@ from fieldwatch.sources.readings import (
 from fieldwatch.sources.thresholds import SHIPPED, Thresholds, load_thresholds
 from fieldwatch.streaming.sinks import (
     BATCH_ID,
+    DAY,
     TOPICS,
     BatchWriter,
     SinkConf,
@@ -31,6 +32,7 @@ from fieldwatch.streaming.sinks import (
     latest_rows,
     message_value,
     message_writer,
+    newest_version,
     read_current,
     read_versions,
     route_alerts,
@@ -101,11 +103,6 @@ def conf_from_env(env: Mapping[str, str] = os.environ) -> JobConf:
     )
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-
-
 def query_folder(spark: SparkSession, conf: JobConf, name: str) -> str:
     """Checkpoint folder of one query; the same one after a restart."""
     return f"{conf.checkpoint or shared_folder(spark)}/{name}"
@@ -115,9 +112,11 @@ def _start(writer, conf: JobConf) -> StreamingQuery:
     return (writer.trigger(availableNow=True) if conf.available_now else writer).start()
 
 
-def table_writer(path: str | None, conf: JobConf, table: str, keys: list[str]) -> BatchWriter:
-    """Upserts into the files below ``path``, the database, or both."""
-    writers = [upsert_files(path)] if path else []
+def table_writer(
+    path: str | None, conf: JobConf, table: str, keys: list[str], versioned: bool = False
+) -> BatchWriter:
+    """Upserts into the files below ``path``, the database, or both; the last key is a time."""
+    writers = [upsert_files(path, keys[-1], versioned)] if path else []
     if conf.postgres_uri:
         writers.append(upsert_jdbc(jdbc_target(conf.postgres_uri), table, keys))
     if not writers:
@@ -147,36 +146,33 @@ def start_metrics(spark: SparkSession, conf: JobConf) -> StreamingQuery:
 
 
 def changed_days(spark: SparkSession, hourly_path: str, after: int | None = None) -> DataFrame:
-    """Daily means of the days from the first one touched after a batch id.
+    """Daily means of the days touched after a version.
 
-    All hours of these days count, whichever batch wrote them. Without
-    ``after`` every day is computed.
+    All hours of these days count, whichever batch wrote them; files of other
+    days are not read. Without ``after`` every day is computed.
     """
     versions = read_versions(spark, hourly_path)
     if after is not None:
-        touched = versions.filter(F.col(BATCH_ID) > after)
-        first = touched.agg(F.unix_micros(F.date_trunc("day", F.min("start_time")))).head()[0]
-        since = F.timestamp_micros(F.lit(first).cast("bigint"))
-        versions = versions.filter(F.col("start_time") >= since)
+        touched = versions.filter(F.col(BATCH_ID) > after).select(DAY).distinct()
+        first = touched.agg(F.min(DAY)).head()[0]
+        versions = versions.filter(F.col(DAY) >= F.lit(first)).join(touched, DAY, "left_semi")
     return daily_rollup(latest_rows(versions, HOURLY_KEY))
 
 
 def refresh_daily(spark: SparkSession, conf: JobConf) -> int | None:
     """Bring the daily table up to the newest hourly batch; returns its id, None if there is none.
 
-    The daily table's own batch ids are those of the hourly batches it has
+    The daily table's own versions are those of the hourly batches it has
     seen, so a run takes up where the last one ended.
     """
     if not conf.hourly_path:
         raise ValueError("the daily table is made from the hourly files: set HOURLY_PATH")
-    newest = read_versions(spark, conf.hourly_path).agg(F.max(BATCH_ID)).head()[0]
+    newest = newest_version(spark, conf.hourly_path)
     if newest is None:
         return None
-    seen = None
-    if conf.daily_path and path_exists(spark, conf.daily_path):
-        seen = read_versions(spark, conf.daily_path).agg(F.max(BATCH_ID)).head()[0]
+    seen = newest_version(spark, conf.daily_path) if conf.daily_path else None
     if seen is None or newest > seen:
-        write = table_writer(conf.daily_path, conf, DAILY_TABLE, DAILY_KEY)
+        write = table_writer(conf.daily_path, conf, DAILY_TABLE, DAILY_KEY, versioned=True)
         write(stamp_daily(changed_days(spark, conf.hourly_path, seen)), newest)
     return newest
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 # Default topic of each alert category and of forecasts.
 TOPICS = {"orange": "alerts_internal", "red": "alerts_severe", "forecast": "alerts_forecasts"}
 MICROSECOND_FORMAT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
-BATCH_ID = "batch_id"
+# Partitions of upserted files: the day that a row is about, then the version that wrote it.
+DAY, BATCH_ID = "day", "batch_id"
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -74,21 +75,50 @@ def message_writer(messages: DataFrame, sink: SinkConf, checkpoint: str):
 
 def latest_rows(versions: DataFrame, keys: list[str], version: str = BATCH_ID) -> DataFrame:
     """One row per key: the one with the highest version."""
-    others = [name for name in versions.columns if name not in (*keys, version)]
+    others = [name for name in versions.columns if name not in (*keys, version, DAY)]
     return versions.groupBy(*keys).agg(*(F.max_by(name, version).alias(name) for name in others))
 
 
-def upsert_files(path: str) -> BatchWriter:
-    """A ``foreachBatch`` writer that keeps each batch's rows in a folder of its own.
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
-    Executors write the rows; a replayed batch replaces its own folder and
+
+def newest_version(spark: SparkSession, path: str) -> int | None:
+    """The highest version below a path; None where nothing is written."""
+    if not path_exists(spark, path):
+        return None
+    return read_versions(spark, path).agg(F.max(BATCH_ID)).head()[0]
+
+
+def write_version(rows: DataFrame, path: str, time: str, version: int) -> None:
+    """Write rows as one version, by the day of ``time``; days it does not touch stay."""
+    stamped = rows.withColumns({DAY: F.to_date(time), BATCH_ID: F.lit(version).cast("bigint")})
+    (
+        stamped.hint("rebalance", DAY)  # few files for a small batch
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(DAY, BATCH_ID)
+        .parquet(path)
+    )
+
+
+def upsert_files(path: str, time: str = "start_time", versioned: bool = False) -> BatchWriter:
+    """A ``foreachBatch`` writer that keeps each batch's rows as a version of their own.
+
+    Executors write the rows; a replayed batch replaces its own version and
     nothing else, and readers take the newest row of each key. A batch holds a
-    key once, as the update mode of an aggregation gives it.
+    key once, as the update mode of an aggregation gives it. A writer counts on
+    from the versions it finds, so batches stay in order when a new checkpoint
+    begins at batch 0 again; ``versioned`` ids are taken as they are.
     """
+    before: list[int] = [0] if versioned else []
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.hint("rebalance")  # few files for a small batch
-        rows.write.mode("overwrite").parquet(f"{path}/{BATCH_ID}={batch_id}")
+        if not before:
+            newest = newest_version(batch.sparkSession, path)
+            before.append(0 if newest is None else newest + 1)
+        write_version(batch, path, time, before[0] + batch_id)
 
     return write
 
@@ -106,14 +136,13 @@ def read_current(spark: SparkSession, keys: list[str], *paths: str) -> DataFrame
 
 
 def compact(spark: SparkSession, keys: list[str], path: str, target: str, up_to: int) -> None:
-    """Fold all batches up to ``up_to`` into one folder below ``target``.
+    """Fold all versions up to ``up_to`` into one below ``target``; the last key is a time.
 
     Reading ``target`` and ``path`` together gives the same table before and
     after the old folders are removed.
     """
     done = read_versions(spark, path).filter(F.col(BATCH_ID) <= up_to)
-    rows = latest_rows(done, keys).sortWithinPartitions(keys[-1])
-    rows.write.mode("overwrite").parquet(f"{target}/{BATCH_ID}={up_to}")
+    write_version(latest_rows(done, keys), target, keys[-1], up_to)
 
 
 # -- upserts into a database --------------------------------------------------

@@ -54,6 +54,29 @@ def test_upsert_replay_and_compaction(spark, tmp_path):
     assert table(read_current(spark, HOURLY_KEY, target, path)) == newest
 
 
+def test_a_new_checkpoint_does_not_lose_against_older_versions(spark, tmp_path):
+    path = f"{tmp_path}/hourly"
+    first = upsert_files(path)
+    for number, value in enumerate([1, 2]):
+        first(hours(spark, (0, value), (30, value)), number)
+    again = upsert_files(path)
+    again(hours(spark, (0, 3)), 0)
+    assert [value for _, value in table(read_current(spark, HOURLY_KEY, path))] == [3, 2]
+    assert upsert_files(path)(hours(spark), 0) is None
+    assert [value for _, value in table(read_current(spark, HOURLY_KEY, path))] == [3, 2]
+
+
+def test_only_touched_days_are_read(spark, tmp_path):
+    path = f"{tmp_path}/hourly"
+    write = upsert_files(path)
+    write(hours(spark, *((h, h) for h in range(0, 24 * 6))), 0)
+    write(hours(spark, (24 * 2, 1000), (24 * 4, 1000)), 1)
+    found = changed_days(spark, path, after=0)
+    assert [str(r["log_date"]) for r in found.sort("log_date").collect()] == ["2024-01-03", "2024-01-05"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+
+
 def test_retention_keeps_the_newest(spark):
     df = hours(spark, *((h, h) for h in range(40)))
     kept = table(hourly_retained(df))
