@@ -48,6 +48,8 @@ class ForecastModel:
     boosters: dict[str, dict[int, GBTClassificationModel]] = field(default_factory=dict)
     # False for the stand-in before there is enough history.
     trained: bool = True
+    # The folder that holds it, once saved.
+    version: str | None = None
 
     def save(self, path: str) -> None:
         """Write trees, scoring table and, last, edges to a new version below ``path``.
@@ -55,13 +57,14 @@ class ForecastModel:
         Older versions stay, so a stream that scores with one of them goes on.
         """
         spark = self.table.sparkSession
-        version = f"{path}/version={time.time_ns()}"
+        version = qualified(spark, f"{path}/version={time.time_ns()}")
         for name, by_class in self.boosters.items():
             for class_id, booster in by_class.items():
                 booster.write().save(f"{version}/boosters/{name}/{class_id}")
         self.table.write.parquet(f"{version}/table")
         edges = spark.createDataFrame([(self.edges,)], "edges array<double>")
         edges.write.parquet(f"{version}/edges")
+        self.version = version
 
     @staticmethod
     def newest(spark: SparkSession, path: str) -> str | None:
@@ -78,7 +81,14 @@ class ForecastModel:
         if version is None:
             raise FileNotFoundError(f"no model below {path}")
         edges = spark.read.parquet(f"{version}/edges").head()["edges"]
-        return ForecastModel(list(edges), spark.read.parquet(f"{version}/table"))
+        table = spark.read.parquet(f"{version}/table")
+        return ForecastModel(list(edges), table, version=version)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with the scheme of its file system, as listings name it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()
 
 
 def with_cell(rows: DataFrame, edges: list[float]) -> DataFrame:

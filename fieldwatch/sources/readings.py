@@ -91,9 +91,13 @@ def decode_readings(raw: DataFrame) -> DataFrame:
     return typed.withColumn("reason", reason).drop(CORRUPT)
 
 
+def valid_readings(decoded: DataFrame) -> DataFrame:
+    """The usable rows of decoded messages."""
+    return decoded.filter(F.col("reason").isNull()).select(*READING_COLUMNS)
+
+
 def parse_readings(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split raw messages into valid readings and dead letters with a reason."""
     decoded = decode_readings(raw)
-    valid = decoded.filter(F.col("reason").isNull()).select(*READING_COLUMNS)
     dead = decoded.filter(F.col("reason").isNotNull()).select("value", "reason")
-    return valid, dead
+    return valid_readings(decoded), dead

@@ -16,9 +16,11 @@ from fieldwatch.operators.rollup import daily_rollup, hourly_avg, hourly_retaine
 from fieldwatch.session import build_spark, shared_folder
 from fieldwatch.sources.readings import (
     SourceConf,
+    decode_readings,
     parse_readings,
     read_readings_batch,
     read_readings_stream,
+    valid_readings,
 )
 from fieldwatch.sources.thresholds import SHIPPED, Thresholds, load_thresholds
 from fieldwatch.streaming.sinks import (
@@ -34,6 +36,7 @@ from fieldwatch.streaming.sinks import (
     message_writer,
     newest_version,
     read_current,
+    read_table,
     read_versions,
     route_alerts,
     topic_of,
@@ -48,6 +51,8 @@ HOURLY_TABLE = "sensor_averages_hourly"
 DAILY_TABLE = "sensor_averages_daily"
 # Unusable messages go here unless the settings name another topic.
 DEAD_LETTERS = "site-sensor-dead-letters"
+# How often a running job looks for ended queries and newer models.
+WAIT_SECONDS = 10
 
 
 @dataclass(frozen=True)
@@ -134,10 +139,18 @@ def table_writer(
 
 
 def start_metrics(spark: SparkSession, conf: JobConf) -> StreamingQuery:
-    """Hourly means of the stream, upserted into the hourly table."""
-    valid, _ = parse_readings(read_readings_stream(spark, conf.source))
+    """Hourly means of the stream, upserted into the hourly table.
+
+    The progress of the query counts all messages, and the unusable ones, of each
+    micro-batch as the observed metric ``messages``.
+    """
+    decoded = decode_readings(read_readings_stream(spark, conf.source)).observe(
+        "messages",
+        F.count("*").alias("messages"),
+        F.count_if(F.col("reason").isNotNull()).alias("unusable"),
+    )
     writer = (
-        hourly_avg(valid)
+        hourly_avg(valid_readings(decoded))
         .writeStream.outputMode("update")
         .foreachBatch(table_writer(conf.hourly_path, conf, HOURLY_TABLE, HOURLY_KEY))
         .option("checkpointLocation", query_folder(spark, conf, "metrics"))
@@ -163,10 +176,11 @@ def refresh_daily(spark: SparkSession, conf: JobConf) -> int | None:
     """Bring the daily table up to the newest hourly batch; returns its id, None if there is none.
 
     The daily table's own versions are those of the hourly batches it has
-    seen, so a run takes up where the last one ended.
+    seen, so a run takes up where the last one ended. Without hourly files the hourly
+    table of the database counts, all days that it holds.
     """
     if not conf.hourly_path:
-        raise ValueError("the daily table is made from the hourly files: set HOURLY_PATH")
+        return daily_from_database(spark, conf)
     newest = newest_version(spark, conf.hourly_path)
     if newest is None:
         return None
@@ -177,6 +191,18 @@ def refresh_daily(spark: SparkSession, conf: JobConf) -> int | None:
     return newest
 
 
+def daily_from_database(spark: SparkSession, conf: JobConf) -> int:
+    """Every day of the database's hourly table, written as the next version."""
+    if not conf.postgres_uri:
+        raise ValueError("the daily table needs hourly means: set HOURLY_PATH or POSTGRES_URI")
+    seen = newest_version(spark, conf.daily_path) if conf.daily_path else None
+    version = 0 if seen is None else seen + 1
+    hourly = read_table(spark, jdbc_target(conf.postgres_uri), HOURLY_TABLE, HOURLY_KEY[-1])
+    write = table_writer(conf.daily_path, conf, DAILY_TABLE, DAILY_KEY, versioned=True)
+    write(stamp_daily(daily_rollup(hourly)), version)
+    return version
+
+
 def serving_hours(spark: SparkSession, hourly_path: str, keep: int = 25) -> DataFrame:
     """The newest hours of each series, as a bounded view of the hourly table."""
     return hourly_retained(read_current(spark, HOURLY_KEY, hourly_path), keep)
@@ -253,50 +279,74 @@ def train(spark: SparkSession, conf: JobConf, thresholds: Thresholds) -> Forecas
     return model
 
 
-def alert_messages(spark: SparkSession, readings: DataFrame, conf: JobConf) -> DataFrame:
-    """Messages of the configured detector."""
-    thresholds = load_thresholds(conf.thresholds_path)
-    if conf.detector == FORECASTER:
-        model = load_or_train(spark, conf, thresholds)
-        return forecast_messages(readings, thresholds, model, conf.topics)
-    alerts = detect(conf.detector, readings, thresholds, **conf.detector_params)
-    return envelope(route_alerts(alerts, conf.topics))
-
+def model_for(spark: SparkSession, conf: JobConf) -> ForecastModel | None:
+    """The model of the configured detector, None for one without."""
+    if conf.detector != FORECASTER:
+        return None
+    return load_or_train(spark, conf, load_thresholds(conf.thresholds_path))
 
-def start_anomaly(spark: SparkSession, conf: JobConf) -> list[StreamingQuery]:
-    """One query that writes all alerts to their topics.
 
-    A second query writes unusable messages when a topic is named for them.
-    """
-    valid, dead = parse_readings(read_readings_stream(spark, conf.source))
-    messages = alert_messages(spark, valid, conf)
-    folder = query_folder(spark, conf, "anomaly")
-    queries = [_start(message_writer(messages, conf.sink, folder), conf)]
-    if conf.dead_letter_topic:
-        letters = dead.select(
-            F.lit(None).cast("string").alias("key"),
-            F.to_json(F.struct("value", "reason")).alias("value"),
-            F.lit(conf.dead_letter_topic).alias("topic"),
-        )
-        folder = query_folder(spark, conf, "dead_letters")
-        # A file sink logs its batches in its folder, so each query has its own.
-        sink = replace(conf.sink, path=conf.sink.path and f"{conf.sink.path}_dead_letters")
-        queries.append(_start(message_writer(letters, sink, folder), conf))
-    return queries
+def start_alerts(spark: SparkSession, conf: JobConf, model: ForecastModel | None) -> StreamingQuery:
+    """One query that writes all alerts, and forecasts, to their topics."""
+    valid, _ = parse_readings(read_readings_stream(spark, conf.source))
+    thresholds = load_thresholds(conf.thresholds_path)
+    if model:
+        messages = forecast_messages(valid, thresholds, model, conf.topics)
+    else:
+        alerts = detect(conf.detector, valid, thresholds, **conf.detector_params)
+        messages = envelope(route_alerts(alerts, conf.topics))
+    return _start(message_writer(messages, conf.sink, query_folder(spark, conf, "anomaly")), conf)
+
+
+def start_dead_letters(spark: SparkSession, conf: JobConf) -> StreamingQuery:
+    """One query that writes unusable messages to their topic."""
+    _, dead = parse_readings(read_readings_stream(spark, conf.source))
+    letters = dead.select(
+        F.lit(None).cast("string").alias("key"),
+        F.to_json(F.struct("value", "reason")).alias("value"),
+        F.lit(conf.dead_letter_topic).alias("topic"),
+    )
+    # A file sink logs its batches in its folder, so each query has its own.
+    sink = replace(conf.sink, path=conf.sink.path and f"{conf.sink.path}_dead_letters")
+    return _start(message_writer(letters, sink, query_folder(spark, conf, "dead_letters")), conf)
 
 
-def start(spark: SparkSession, mode: str, conf: JobConf) -> list[StreamingQuery]:
-    """Start the queries of a mode on one session."""
+def start(
+    spark: SparkSession, mode: str, conf: JobConf, model: ForecastModel | None = None
+) -> dict[str, StreamingQuery]:
+    """Start the queries of a mode on one session; unusable messages go out where a topic is named."""
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode}; known: {', '.join(MODES)}")
-    queries = []
+    queries = {}
     if mode in ("metrics", "all"):
-        queries.append(start_metrics(spark, conf))
+        queries["metrics"] = start_metrics(spark, conf)
     if mode in ("anomaly", "all"):
-        queries.extend(start_anomaly(spark, conf))
+        queries["anomaly"] = start_alerts(spark, conf, model or model_for(spark, conf))
+        if conf.dead_letter_topic:
+            queries["dead_letters"] = start_dead_letters(spark, conf)
     return queries
 
 
+def watch(
+    spark: SparkSession, conf: JobConf, queries: dict[str, StreamingQuery], model: ForecastModel | None
+) -> None:
+    """Wait until a query ends, and raise what ended it.
+
+    When a newer model is saved meanwhile, the forecasting query goes on with it
+    from its checkpoint.
+    """
+    while all(query.isActive for query in queries.values()):
+        next(iter(queries.values())).awaitTermination(WAIT_SECONDS)
+        newest = ForecastModel.newest(spark, conf.model_path) if model and conf.model_path else None
+        if newest and newest != model.version and queries["anomaly"].isActive:
+            model = ForecastModel.load(spark, conf.model_path)
+            queries["anomaly"].stop()
+            queries["anomaly"] = start_alerts(spark, conf, model)
+    for query in queries.values():
+        if not query.isActive:
+            query.awaitTermination()
+
+
 def run(mode: str = "all", conf: JobConf | None = None, spark: SparkSession | None = None) -> None:
     """Run a mode until a query ends, then stop the others.
 
@@ -311,14 +361,15 @@ def run(mode: str = "all", conf: JobConf | None = None, spark: SparkSession | No
     if mode == "train":
         train(spark, conf, load_thresholds(conf.thresholds_path))
         return
-    queries = start(spark, mode, conf)
+    model = model_for(spark, conf) if mode in ("anomaly", "all") else None
+    queries = start(spark, mode, conf, model)
     try:
         if conf.available_now:
-            for query in queries:
+            for query in queries.values():
                 query.awaitTermination()
         else:
-            spark.streams.awaitAnyTermination()
+            watch(spark, conf, queries, model)
     finally:
-        for query in queries:
+        for query in queries.values():
             if query.isActive:
                 query.stop()

@@ -15,6 +15,8 @@ MICROSECOND_FORMAT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 DAY, BATCH_ID = "day", "batch_id"
 
 BatchWriter = Callable[[DataFrame, int], None]
+# Tasks, and so connections, that read one database table.
+DATABASE_READERS = 16
 
 
 # -- messages -----------------------------------------------------------------
@@ -174,6 +176,20 @@ def jdbc_target(uri: str) -> JdbcTarget:
     )
 
 
+def read_table(spark: SparkSession, target: JdbcTarget, table: str, time: str) -> DataFrame:
+    """A database table, read in equal ranges of its time column."""
+    bounds = f"(SELECT min({time}) AS low, max({time}) AS high FROM {table}) AS bounds"
+    reader = spark.read.format("jdbc").option("url", target.url).options(**target.properties())
+    found = reader.option("dbtable", bounds).load()
+    low, high = found.select(F.col("low").cast("string"), F.col("high").cast("string")).head()
+    reader = spark.read.format("jdbc").option("url", target.url).options(**target.properties())
+    if low != high:
+        reader = reader.options(
+            partitionColumn=time, lowerBound=low, upperBound=high, numPartitions=DATABASE_READERS
+        )
+    return reader.option("dbtable", table).load()
+
+
 def merge_statement(table: str, staging: str, columns: list[str], keys: list[str], batch_id: int) -> str:
     """One statement that moves a staged batch into the table, newest row wins."""
     names = ", ".join(columns)

@@ -1,4 +1,7 @@
+import json
 import math
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -25,6 +28,7 @@ from fieldwatch.operators.history import (
     training_window,
 )
 from fieldwatch.sources.thresholds import load_thresholds
+from fieldwatch.streaming import jobs
 from fieldwatch.streaming.jobs import forecast_messages, load_or_train, run
 from fieldwatch.streaming.sinks import TOPICS
 from test_sinks import job, send
@@ -217,6 +221,48 @@ def test_forecast_job_trains_saves_and_scores_a_stream(spark, tmp_path, model):
     assert topics == {"alerts_forecasts": 240, "alerts_internal": 30}
 
 
+def test_a_running_job_goes_over_to_a_newly_saved_model(spark, tmp_path, monkeypatch):
+    """The stand-in says green_yellow until a model that says red is saved."""
+    monkeypatch.setattr(jobs, "WAIT_SECONDS", 1)
+    red = make_readings(spark, [(i * 900, 500) for i in range(50)])
+    always_red = fit_forecaster(forecast_training_set(red, LIMITS), **FIT)
+    conf = job(tmp_path, detector="XGBoostForecasting", model_path=f"{tmp_path}/model", available_now=False)
+
+    def said(expected):
+        for _ in range(240):
+            if (tmp_path / "out" / "_spark_metadata").exists():
+                out = spark.read.schema("key string, value string, topic string").parquet(f"{tmp_path}/out")
+                values = out.filter("topic = 'alerts_forecasts'")
+                found = [json.loads(r["value"]) for r in values.collect()]
+                if len(found) == len(expected):
+                    return sorted((r["event_time"], r["predicted_category"]) for r in found) == sorted(expected)
+            time.sleep(0.5)
+        return False
+
+    def forecasts(seconds, category):
+        return [(f"2024-01-01T00:00:0{seconds}.000000Z", category)] * 3
+
+    send(spark, tmp_path, "a", [("SITE_01", "PM10", at(0), 0, 10.0)])
+    thread = threading.Thread(target=run, args=("anomaly", conf, spark))
+    thread.start()
+    try:
+        assert said(forecasts(0, "green_yellow"))
+        first = {query.runId for query in spark.streams.active}
+        always_red.save(conf.model_path)
+        for _ in range(240):
+            now = {query.runId for query in spark.streams.active}
+            if now and not now & first:
+                break
+            time.sleep(0.5)
+        send(spark, tmp_path, "b", [("SITE_01", "PM10", at(1), 1, 10.0)])
+        assert said(forecasts(0, "green_yellow") + forecasts(1, "red"))
+    finally:
+        for query in spark.streams.active:
+            query.stop()
+        thread.join(60)
+    assert not thread.is_alive()
+
+
 def test_training_time_does_not_need_targets_in_memory(history):
     """Training shrinks to cells: at most one row per cell, whatever the history."""
     from fieldwatch.operators.forecast import bin_edges, class_counts

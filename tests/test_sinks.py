@@ -10,7 +10,8 @@ from fieldwatch.operators.thresholding import threshold_alerts
 from fieldwatch.plans.tables import wire_messages
 from fieldwatch.sources.readings import SourceConf
 from fieldwatch.sources.thresholds import load_thresholds
-from fieldwatch.streaming.jobs import JobConf, changed_days, conf_from_env, run, serving_hours
+from fieldwatch.streaming import jobs
+from fieldwatch.streaming.jobs import JobConf, changed_days, conf_from_env, run, serving_hours, start
 from fieldwatch.streaming.sinks import (
     SinkConf,
     clear_statement,
@@ -222,6 +223,33 @@ def test_only_days_from_the_first_touched_one_are_computed(spark, tmp_path):
     assert days(changed_days(spark, path, after=1)) == []
 
 
+def test_daily_from_a_database_alone(spark, tmp_path, monkeypatch):
+    """No database here: what is read from and written to it is handed over."""
+    rows = hours(spark, (0, 1), (1, 3), (24, 10))
+    written = []
+    monkeypatch.setattr(jobs, "read_table", lambda s, target, table, time: rows if (table, time) == (jobs.HOURLY_TABLE, "start_time") else None)
+    monkeypatch.setattr(
+        jobs, "upsert_jdbc", lambda target, table, keys: lambda batch, number: written.append((table, keys, days(batch)))
+    )
+    conf = job(tmp_path, hourly_path=None, postgres_uri="postgresql://u:p@h:1/db")
+    run("daily", conf, spark)
+    assert written == [(jobs.DAILY_TABLE, DAILY_KEY, [("2024-01-01", 2.0), ("2024-01-02", 10.0)])]
+    both = job(tmp_path, hourly_path=None, daily_path=f"{tmp_path}/daily", postgres_uri=conf.postgres_uri)
+    run("daily", both, spark)
+    run("daily", both, spark)
+    assert days(read_current(spark, DAILY_KEY, both.daily_path)) == written[0][2]
+    with pytest.raises(ValueError):
+        run("daily", job(tmp_path, hourly_path=None), spark)
+
+
+def test_metrics_job_counts_unusable_messages(spark, tmp_path):
+    send(spark, tmp_path, "a", rows_of(0, 5), ["broken", "{}"])
+    query = start(spark, "metrics", job(tmp_path))["metrics"]
+    query.awaitTermination()
+    seen = [p.observedMetrics["messages"] for p in query.recentProgress if "messages" in p.observedMetrics]
+    assert (sum(r["messages"] for r in seen), sum(r["unusable"] for r in seen)) == (7, 2)
+
+
 def test_unknown_mode_is_refused(spark, tmp_path):
     with pytest.raises(ValueError):
         run("nothing", job(tmp_path), spark)
