@@ -222,6 +222,17 @@ def fit_forecaster(
     return ForecastModel(edges, materialise(table), boosters)
 
 
+def majority_model(training: DataFrame, edges: list[float]) -> ForecastModel:
+    """The most frequent class of each cell, as a baseline for the trees.
+
+    On a tie the lower class; a cell or horizon without rows is green_yellow.
+    """
+    counts = class_counts(training, edges)
+    votes = {_margin(n, c): F.col(_count(n, c)) for n in HORIZONS for c in CLASSES}
+    best = (_best_class(name, CLASSES).alias(name) for name in HORIZONS)
+    return ForecastModel(edges, counts.withColumns(votes).select(*CELL, *best))
+
+
 def untrained_model(spark: SparkSession) -> ForecastModel:
     """The stand-in before there is enough history: always green_yellow."""
     cells = all_cells(spark, [])

@@ -172,6 +172,22 @@ CELL_COUNTS = ", ".join(
     for class_id in range(3)
 )
 
+CELLS = f"""cells AS (
+  SELECT CASE WHEN concentration_norm >= 0.43 THEN 2 WHEN concentration_norm >= 0.35 THEN 1 ELSE 0 END AS bin,
+         hour, day_of_week, {CELL_COUNTS}
+  FROM training GROUP BY 1, 2, 3
+)"""
+MAJORITY = " UNION ALL ".join(
+    f"""SELECT r.site_id, r.event_time, r.pollutant_type, '{name}' AS timescale,
+       CASE WHEN rows_{name}_2 > rows_{name}_0 AND rows_{name}_2 > rows_{name}_1 THEN 'red'
+            WHEN rows_{name}_1 > rows_{name}_0 THEN 'orange' ELSE 'green_yellow' END AS predicted_category
+FROM readings r LEFT JOIN cells c
+  ON c.bin = CASE WHEN r.concentration >= 430 THEN 2 WHEN r.concentration >= 350 THEN 1 ELSE 0 END
+  AND c.hour = hour(r.event_time) AND c.day_of_week = isodow(r.event_time) - 1
+"""
+    for name in TARGETS
+)
+
 ORACLE = {
     "scan_readings": _valid_messages("true"),
     "parse_readings": _valid_messages("event_type NOT IN ('error', 'signup', 'click')"),
@@ -242,10 +258,8 @@ SELECT timescale,
        count(*) FILTER (target = 2) AS class_2,
        CAST(count(DISTINCT target) AS INTEGER) AS classes
 FROM labels_ahead GROUP BY 1""",
-    "forecast_cells": f"""WITH {READINGS}, {LIMITS}, {CLASSIFIED}, {TRAINING}
-SELECT CASE WHEN concentration_norm >= 0.43 THEN 2 WHEN concentration_norm >= 0.35 THEN 1 ELSE 0 END AS bin,
-       hour, day_of_week, {CELL_COUNTS}
-FROM training GROUP BY 1, 2, 3""",
+    "forecast_cells": f"WITH {READINGS}, {LIMITS}, {CLASSIFIED}, {TRAINING}, {CELLS} SELECT * FROM cells",
+    "forecast_majority": f"WITH {READINGS}, {LIMITS}, {CLASSIFIED}, {TRAINING}, {CELLS} {MAJORITY}",
     "forecast_alerts": f"""WITH {READINGS}, {LIMITS}
 SELECT r.site_id, r.pollutant_type, r.event_time, r.concentration,
        CASE WHEN concentration >= red_min THEN red_min ELSE orange_min END AS metric_value,

@@ -11,6 +11,7 @@ from fieldwatch.operators.forecast import (
     fit_forecaster,
     forecast_alerts,
     forecast_score,
+    majority_model,
 )
 from fieldwatch.operators.history import (
     TARGETS,
@@ -223,11 +224,14 @@ def balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_balance(training_set(spark, sf_dir))
 
 
+def _limit_edges() -> list[float]:
+    limits = load_thresholds().limits["PM10"]
+    return [limits["orange_min"] / 1000.0, limits["red_min"] / 1000.0]
+
+
 def forecast_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the trees are fitted on, with the limits of one pollutant as bin edges."""
-    limits = load_thresholds().limits["PM10"]
-    edges = [limits["orange_min"] / 1000.0, limits["red_min"] / 1000.0]
-    counts = class_counts(training_set(spark, sf_dir), edges)
+    counts = class_counts(training_set(spark, sf_dir), _limit_edges())
     return counts.withColumns({name: F.col(name).cast("long") for name in counts.columns[3:]})
 
 
@@ -240,6 +244,12 @@ def score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast_score(readings(spark, sf_dir), model)
 
 
+def majority_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecasts of every reading by the most frequent class of its cell."""
+    model = majority_model(training_set(spark, sf_dir), _limit_edges())
+    return forecast_score(readings(spark, sf_dir), model)
+
+
 def alerts_beside_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast_alerts(readings(spark, sf_dir), load_thresholds())
 
@@ -327,6 +337,7 @@ QUERIES = {
     "forecast_cells": forecast_cells,
     "forecast_model_fit": model_fit,
     "forecast_score": score,
+    "forecast_majority": majority_score,
     "forecast_alerts": alerts_beside_forecasts,
     "stream_hourly_avg": stream_hourly,
     "stream_ema_alerts": stream_ema,
