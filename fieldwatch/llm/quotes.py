@@ -15,11 +15,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 from fieldwatch.session import materialise
 
 MARKS = re.compile(r"(?:[ \t]?>)+ ?")
+#: Turn numbers in one part of a conversation.
+PART_TURNS = 4096
 ATTRIBUTION = re.compile(r"\s*(?:on|am|le|el)\b.{0,200}\b(?:wrote|said|schrieb|écrit|escribió)\s?:\s*", re.I)
 
 
@@ -280,15 +282,51 @@ def quoted_text(text: Column) -> Column:
     return F.regexp_replace(text, "(?md)^", "> ")
 
 
-def as_mail(conversations: DataFrame) -> DataFrame:
+def with_earlier(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
+    """``turns`` with ``before`` and ``second``, the turns before each as ``turn``, ``role`` and ``text``.
+
+    A long conversation is cut by turn number, so no task orders all of it. Only the
+    first two rows of a part lack what they need: they find it in a second pass over the
+    first and last two rows of each part of such conversations. Null turns come first;
+    rows that repeat a turn are ordered by role and text.
+    """
+    order = ["turn", "role", "text"]
+    part = F.coalesce(F.floor(F.col("turn") / part_turns), F.lit(-(1 << 62)))
+    rows = turns.select("conv_id", *order, part.alias("part"), F.struct(*order).alias("said"))
+
+    def earlier(rows: DataFrame, window: WindowSpec) -> DataFrame:
+        return rows.withColumns({name: F.lag("said", n).over(window) for name, n in (("before", 1), ("second", 2))})
+
+    parts = Window.partitionBy("conv_id", "part")
+    inside = earlier(rows, parts.orderBy(*order)).withColumns(
+        {"nth": F.row_number().over(parts.orderBy(*order)), "size": F.count("*").over(parts)}
+    )
+    cut = (
+        rows.groupBy(F.col("conv_id").alias("__conv"))
+        .agg(F.min("part").alias("least"), F.max("part").alias("most"))
+        .filter("least < most")
+        .select("__conv", F.lit(True).alias("cut"))
+    )
+    marked = inside.join(cut, F.col("conv_id").eqNullSafe(F.col("__conv")), "left")
+    first, last = F.col("nth") <= 2, F.col("size") - F.col("nth") < 2
+    is_cut = F.col("cut").isNotNull()
+    edges = marked.filter(is_cut & (first | last)).drop("before", "second")
+    across = earlier(edges, Window.partitionBy("conv_id").orderBy(*order, "part", "nth")).filter(first)
+    columns = ["conv_id", *order, "before", "second"]
+    return marked.filter(~(is_cut & first)).select(columns).unionByName(across.select(columns))
+
+
+def as_mail(conversations: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     """Turns as mails: each quotes the turn before it, with that turn's quote of the one before."""
-    turns = Window.partitionBy("conv_id").orderBy("turn")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    before, second = F.lag(text, 1).over(turns), F.lag(text, 2).over(turns)
+    said = conversations.select(
+        "conv_id", "turn", "role", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    )
+    turns = with_earlier(said, part_turns)
+    text, before, second = F.col("text"), F.col("before.text"), F.col("second.text")
     quote = F.concat_ws("\n", quoted_text(quoted_text(second)), quoted_text(before))
-    attribution = F.concat(F.lit("On day "), F.lag("turn", 1).over(turns), F.lit(" "), F.lag("role", 1).over(turns), F.lit(" wrote:"))
+    attribution = F.concat(F.lit("On day "), F.col("before.turn"), F.lit(" "), F.col("before.role"), F.lit(" wrote:"))
     mail = F.when(before.isNull(), text).otherwise(F.concat_ws("\n", attribution, quote, F.lit(""), text))
-    return conversations.select(
+    return turns.select(
         F.col("conv_id").alias("thread"),
         F.col("turn").alias("sent"),
         F.concat_ws(":", "conv_id", F.lpad(F.col("turn").cast("string"), 10, "0")).alias("message"),

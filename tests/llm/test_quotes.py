@@ -103,6 +103,22 @@ def test_mail_made_of_turns_comes_back(spark, small_tables):
     assert all(place[r.parent] < place[r.message] for r in found if r.parent)
 
 
+def test_a_long_conversation_is_cut_without_losing_neighbours(spark):
+    """Parts of any length, also of one or two turns, give the mails of an uncut conversation."""
+    rnd = random.Random(3)
+    turns = sorted(rnd.sample(range(400), 90))
+    rows = [("long", turn, "user", f"text {turn}") for turn in turns]
+    rows += [("long", turns[5], "user", "again"), ("long", None, "user", "no turn"), (None, 1, "user", None), (None, 2, "bot", "b")]
+    rows += [(f"c{i % 7}", i, None, f"short {i}") for i in range(50)]
+    df = spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")
+    whole = as_mail(df.withColumn("before", F.lit(1)), 1 << 40)
+    mails = sorted(map(repr, whole.collect()))
+    assert len(mails) == len(rows) and any("> > text" in mail for mail in mails)
+    for part_turns in (1, 3, 16, 128):
+        assert sorted(map(repr, as_mail(df, part_turns).collect())) == mails
+    assert as_mail(df.limit(0)).collect() == []
+
+
 def test_nulls_repeats_and_long_texts(spark):
     rows = [
         ("t", 1, "a", "hello there"), ("t", 2, "b", "> hello there"), ("t", 2, "b", "> hello there"), ("t", 3, "c", None),
