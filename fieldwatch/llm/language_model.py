@@ -27,9 +27,9 @@ from fieldwatch.llm.words import texts_of
 from fieldwatch.session import materialise
 
 ROUNDS = 2
-#: Each round learns from every 16th word of every document, a new one each time; all
-#: words serve as neighbours, are counted, and are scored.
-EVERY = 16
+#: Each round learns from every second word of every document, a new one each time, so
+#: the rounds learn from each word once; all words serve as neighbours.
+EVERY = 2
 #: Weights in a row, and rows of one such part that one task adds up in the first step.
 PART = 4096
 FANS = 64

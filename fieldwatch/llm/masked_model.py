@@ -149,29 +149,39 @@ class Network:
     def learn(self, buckets: np.ndarray, around: np.ndarray, rate: float = LEARNING_RATE) -> None:
         """One step of gradient descent on the words' negative log-probability."""
         size = len(buckets)
-        hidden = self.hidden(around)
-        group, member = np.divmod(buckets, MEMBERS)
+        order = np.argsort((buckets // MEMBERS).astype(np.uint8), kind="stable")
+        around = around.take(order, axis=0)
+        group, member = np.divmod(buckets[order], MEMBERS)
+        hidden = np.ascontiguousarray(self.hidden(around).T)
         rows = np.arange(size)
-        error = np.exp(log_softmax(hidden @ self.class_weights + self.class_bias))
-        error[rows, group] -= 1
-        back = error @ self.class_weights.T
-        self.class_weights -= rate / size * (hidden.T @ error)
-        self.class_bias -= rate / size * error.sum(axis=0)
-        for number, chosen in by_class(group):
-            mine = hidden[chosen]
+        error = probabilities(self.class_weights, self.class_bias, hidden)
+        error[group, rows] -= 1
+        back = self.class_weights @ error
+        self.class_weights -= rate / size * (hidden @ error.T)
+        self.class_bias -= rate / size * error.sum(axis=1)
+        ends = np.cumsum(np.bincount(group, minlength=CLASSES)).tolist()
+        for number, (start, end) in enumerate(zip([0, *ends[:-1]], ends, strict=True)):
+            if end == start:
+                continue
+            mine = hidden[:, start:end]
             weights = self.member_weights[number]
-            wrong = np.exp(log_softmax(mine @ weights + self.member_bias[number]))
-            wrong[np.arange(len(chosen)), member[chosen]] -= 1
-            back[chosen] += wrong @ weights.T
+            wrong = probabilities(weights, self.member_bias[number], mine)
+            wrong[member[start:end], rows[: end - start]] -= 1
+            back[:, start:end] += weights @ wrong
             # A class is seen in its share of the rows only: its own mean makes up for it.
-            step = rate / max(len(chosen), size // CLASSES)
-            weights -= step * (mine.T @ wrong)
-            self.member_bias[number] -= step * wrong.sum(axis=0)
+            step = rate / max(end - start, size // CLASSES)
+            weights -= step * (mine @ wrong.T)
+            self.member_bias[number] -= step * wrong.sum(axis=1)
         back *= 1 - hidden**2
-        self.hidden_bias -= rate / size * back.sum(axis=0)
+        self.hidden_bias -= rate / size * back.sum(axis=1)
         back *= rate / np.sqrt(size)
+        back = np.ascontiguousarray(back.T)
         for place in range(2 * SIDE):
-            np.subtract.at(self.vectors[place], around[:, place], back)
+            beside = around[:, place].astype(np.uint16)
+            order = np.argsort(beside, kind="stable")
+            beside = beside[order]
+            starts = np.flatnonzero(np.diff(beside, prepend=-1))
+            self.vectors[place][beside[starts]] -= np.add.reduceat(back.take(order, axis=0), starts, axis=0)
 
 
 def chosen_log(weights: np.ndarray, bias: np.ndarray, hidden: np.ndarray, chosen: np.ndarray) -> np.ndarray:
@@ -184,18 +194,15 @@ def chosen_log(weights: np.ndarray, bias: np.ndarray, hidden: np.ndarray, chosen
     return logits[chosen, np.arange(len(chosen))] - np.log(np.exp(logits).sum(axis=0))
 
 
-def log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits = logits - logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
-
-
-def by_class(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Rows of each class that occurs."""
-    order = np.argsort(group.astype(np.uint8), kind="stable")
-    ends = np.cumsum(np.bincount(group, minlength=CLASSES))
-    for number, (start, end) in enumerate(zip([0, *ends[:-1]], ends, strict=True)):
-        if end > start:
-            yield number, order[start:end]
+def probabilities(weights: np.ndarray, bias: np.ndarray, hidden: np.ndarray) -> np.ndarray:
+    """Of all outputs, for each column of ``hidden``."""
+    logits = weights.T @ hidden
+    logits += bias[:, None]
+    if np.abs(weights).sum(axis=0).max() + np.abs(bias).max() > LARGEST:
+        logits -= logits.max(axis=0)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=0)
+    return logits
 
 
 def train(network: Network, texts: Iterable[np.ndarray], every: int, first: int) -> int:

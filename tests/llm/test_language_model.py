@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from fieldwatch.llm import language_model
 from fieldwatch.llm.language_model import bucket_counts, bucketed, fit_network, score_documents
 from fieldwatch.llm.masked_model import (
     BUCKETS,
@@ -123,6 +124,39 @@ def test_scores_of_all_rows(spark):
     assert ordered > np.mean([found[60 + i].mean_log_probability for i in range(10)])
 
 
+def test_the_registered_rounds_learn_from_every_word(spark, monkeypatch):
+    phases, train_part = [], language_model.train_part
+
+    def recorded(start, every, first):
+        phases.append((every, first))
+        return train_part(start, every, first)
+
+    monkeypatch.setattr(language_model, "train_part", recorded)
+    fit_network(bucketed(table(spark, [(1, "a b c")])))
+
+    class Learner:
+        def __init__(self):
+            self.words = []
+
+        def learn(self, buckets, around):
+            self.words += buckets.tolist()
+
+    learner = Learner()
+    texts = np.split(np.arange(1000), [1, 8, 8, 9, 40, 777])
+    assert sum(train(learner, texts, *phase) for phase in phases) >= 1000
+    assert set(learner.words) == set(range(1000))
+
+
+def test_scores_at_the_registered_values_tell_order(spark):
+    good = sentences(3, 400)
+    rnd = random.Random(2)
+    mixed = [" ".join(rnd.sample(t.split(), 200)) for t in good[:40]]
+    rows = score_documents(table(spark, list(enumerate([*good, *mixed]))).coalesce(1)).collect()
+    found = {row.doc_id: row.mean_log_probability for row in rows}
+    ordered, disordered = (np.mean([found[i + at] for i in range(40)]) for at in (0, 400))
+    assert ordered > disordered + 0.5
+
+
 def test_counts_cover_the_corpus_and_empty_tables_work(spark):
     df = table(spark, [(i, "a b c") for i in range(30)] + [(99, None)])
     assert bucket_counts(bucketed(df)).sum() == 90
