@@ -30,7 +30,7 @@ SHORTEST_ASSIGNED = 6
 SHORTEST_ACCESS = 20
 
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-#: What the automata score: every run of these characters with a digit in it.
+#: What the automata score: every run of these characters, with or without digits.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 #: Log-likelihood per character that a format must have over ordinary text.
 MARGIN = 0.35
@@ -70,6 +70,13 @@ def labelled_credentials(examples: int = EXAMPLES, seed: int = 5) -> list[tuple[
             for _ in range(rnd.randint(1, 5))
         ]
         rows.append((rnd.choice(["-", "_", ".", "/", "="]).join(parts), BACKGROUND))
+    for _ in range(2 * examples):
+        words = ["".join(rnd.choices(string.ascii_lowercase, k=rnd.randint(2, 12))) for _ in range(rnd.randint(1, 5))]
+        rows.append((rnd.choice(["", "-", "_"]).join(words).upper(), BACKGROUND))
+        rows.append((words[0] + "".join(map(str.capitalize, words[1:])), BACKGROUND))
+        rows.append(("".join(map(str.capitalize, words)), BACKGROUND))
+        rows.append((rnd.choice("-_./=+") * rnd.randint(2, 80), BACKGROUND))
+        rows.append((rnd.choice(string.ascii_letters) * rnd.randint(2, 80), BACKGROUND))
     return rows
 
 
@@ -123,8 +130,6 @@ def find_secrets(text: str | None, automata: dict[str, Automaton]) -> list[tuple
             upcoming += 1
         if upcoming < len(taken) and taken[upcoming][0] < end:
             continue
-        if not any(map(str.isdigit, match[0])):
-            continue
         if likelihood(match[0], automata)[0] >= MARGIN:
             spans.append(("format", start, end))
     return sorted(spans, key=lambda span: (span[1], KINDS.index(span[0])))

@@ -79,6 +79,30 @@ def test_held_out_credentials_are_likelier_than_words(name):
     assert sum(hits) >= 0.95 * len(hits)
 
 
+@pytest.mark.parametrize("digits", [True, False])
+@pytest.mark.parametrize("name", sorted(FORMATS))
+def test_held_out_credentials_are_found_with_and_without_digits(name, digits):
+    rnd = random.Random(97)
+    start, alphabet, lengths = FORMATS[name]
+    alphabet = alphabet if digits else alphabet.translate(str.maketrans("", "", string.digits))
+    hits = 0
+    for _ in range(200):
+        made = start + "".join(rnd.choices(alphabet, k=rnd.choice(lengths)))
+        hits += any(span[1:] == (2, 2 + len(made)) for span in find_secrets(f"a {made} b", default_automata()))
+    assert hits >= 0.95 * 200
+
+
+def test_ordinary_strings_without_digits_are_left_alone():
+    rnd = random.Random(96)
+    plain = ["-" * 40, "=" * 16, "_" * 70, "." * 30, "a" * 20, "SCREAMING_SNAKE_CASE_NAME", "getElementsByClassName"]
+    for _ in range(200):
+        words = ["".join(rnd.choices(string.ascii_lowercase, k=rnd.randint(4, 10))) for _ in range(4)]
+        joined = rnd.choice(["", "-", "_"]).join(words)
+        plain += [joined, joined.upper(), "".join(map(str.capitalize, words))]
+    wrong = [t for t in plain if find_secrets(t, default_automata())]
+    assert len(wrong) <= 0.02 * len(plain)
+
+
 def test_ordinary_strings_are_left_alone():
     rnd = random.Random(98)
     plain = ["2669109448945250", "2024-01-01T00.00.00", "some-long-file_name-2.tar.gz", "/usr/lib/python3/site-packages"]
