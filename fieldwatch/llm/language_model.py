@@ -1,13 +1,21 @@
 """Scores of documents by masked pseudo-likelihood.
 
-Words are turned into buckets once, and written to the shared folder as two bytes each.
+All words of the corpus are counted in Spark, in a table that grows with it. Words are
+turned into buckets once, and written to the shared folder as two bytes each.
 Bucket frequencies are counted over the whole corpus. In each round every task trains
 a copy of the network on its part of the corpus, and the copies are averaged by the
 words they have seen, in two steps so that no task adds up all of them. What goes to the
-driver is one network, whatever the size of the corpus.
+driver is one network and the most frequent words, whatever the size of the corpus.
+
+The network predicts a word's bucket; the word within it has the share of the bucket's
+words that it makes up in the corpus. Shares of frequent words are looked up where texts
+are read, those of all others come by a join.
 """
 
-from collections.abc import Iterable, Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator, Sequence
+from hashlib import blake2b
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -20,10 +28,11 @@ from fieldwatch.llm.masked_model import (
     BUCKETS,
     Buckets,
     Network,
+    bucket_of,
     buckets_of,
     train,
 )
-from fieldwatch.llm.words import texts_of
+from fieldwatch.llm.words import texts_of, words_of
 from fieldwatch.session import materialise
 
 ROUNDS = 2
@@ -33,19 +42,100 @@ EVERY = 2
 #: Weights in a row, and rows of one such part that one task adds up in the first step.
 PART = 4096
 FANS = 64
+#: Words are frequent that make up one in so many or more of all words; there are no more than so many.
+FREQUENT = 1 << 16
+#: Longer words are known by a digest. Distinct words that a task counts before it passes them on.
+LONGEST = 64
+COUNTED = 500_000
+
+
+def key_of(word: bytes) -> bytes:
+    """The word itself, or a digest that is no word."""
+    return word if len(word) <= LONGEST else b"\0" + blake2b(word, digest_size=16).hexdigest().encode()
+
+
+def keys_of(words: list[bytes]) -> list[bytes]:
+    return words if max(map(len, words), default=0) <= LONGEST else list(map(key_of, words))
 
 
-def bucketed(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``buckets``, the buckets of all words as 16-bit numbers."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``word``, ``bucket`` and ``times`` of every word of the corpus."""
+
+    def rows(total: Counter, buckets: dict[bytes, int]) -> pa.RecordBatch:
+        found = [buckets[word] if word in buckets else bucket_of(word) for word in total]
+        columns = [pa.array(total, pa.binary()), pa.array(found, pa.int32()), pa.array(total.values(), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["word", "bucket", "times"])
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, digests = Counter(), {}
+        for batch in batches:
+            for text in texts_of(batch.column(0)):
+                words = words_of(text)
+                keys = keys_of(words)
+                if keys is not words:
+                    digests |= {key: bucket_of(word) for key, word in zip(keys, words, strict=True) if key[:1] == b"\0"}
+                total.update(keys)
+                if len(total) >= COUNTED:
+                    yield rows(total, digests)
+                    total, digests = Counter(), {}
+        yield rows(total, digests)
+
+    counted = documents_of(docs).select("text").mapInArrow(count, "word binary, bucket int, times long")
+    return materialise(counted.groupBy("word", "bucket").agg(F.sum("times").alias("times")))
 
-    @F.arrow_udf("binary")
+
+def word_shares(docs: DataFrame) -> tuple[DataFrame, list[tuple[bytes, int, float]]]:
+    """``word`` and ``share``, the logarithm of its share of its bucket's words; and the frequent words with bucket and share."""
+    words = word_counts(docs)
+    by_bucket = words.groupBy("bucket").agg(F.sum("times").alias("of"))
+    total = sum(row.of for row in by_bucket.collect())
+    shares = words.join(F.broadcast(by_bucket), "bucket").withColumn("share", F.log(F.col("times") / F.col("of")))
+    often = F.col("times") * F.lit(FREQUENT) >= F.lit(total)
+    frequent = [(bytes(row.word), row.bucket, row.share) for row in shares.filter(often).collect()]
+    return shares.filter(~often).select("word", "share"), frequent
+
+
+def bucketed(docs: DataFrame, frequent: Sequence[tuple[bytes, int, float]] = ()) -> DataFrame:
+    """``row``, a number of its own; ``doc_id``; ``buckets``, those of all words as 16-bit numbers.
+
+    ``within`` is the sum of the shares of frequent words, ``rest`` holds all other words.
+    """
+    numbers = {word: number for number, (word, _, _) in enumerate(frequent)}
+    frequent_buckets = np.array([bucket for _, bucket, _ in frequent], dtype=np.uint16)
+    shares = np.array([share for _, _, share in frequent])
+
+    @F.arrow_udf("struct<buckets:binary,within:double,rest:binary>")
     def found(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = Buckets()
         for texts in parts:
-            rows = [buckets_of(text, known).astype(np.uint16).tobytes() for text in texts_of(texts)]
-            yield pa.array(rows, pa.binary())
+            buckets, within, rest = [], [], []
+            for text in texts_of(texts):
+                words = words_of(text)
+                keys = keys_of(words)
+                places = np.fromiter(map(numbers.get, keys, repeat(-1)), np.int64, len(keys))
+                others = np.flatnonzero(places < 0).tolist()
+                often = places >= 0
+                mine = np.empty(len(keys), dtype=np.uint16)
+                mine[often] = frequent_buckets[places[often]]
+                mine[others] = [known[words[i]] for i in others]
+                buckets.append(mine.tobytes())
+                within.append(float(shares[places[often]].sum()))
+                rest.append(b" ".join([keys[i] for i in others]))
+            columns = [pa.array(buckets, pa.binary()), pa.array(within, pa.float64()), pa.array(rest, pa.binary())]
+            yield pa.StructArray.from_arrays(columns, ["buckets", "within", "rest"])
+
+    numbered = documents_of(docs).withColumn("row", F.monotonically_increasing_id())
+    return materialise(numbered.select("row", "doc_id", found(F.col("text")).alias("found")).select("row", "doc_id", "found.*"))
 
-    return materialise(documents_of(docs).select("doc_id", found(F.col("text")).alias("buckets")))
+
+def rest_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``row``, ``word`` and ``times`` of the words in ``rest``."""
+    for batch in batches:
+        for row, rest in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            counts = Counter(rest.split())
+            if counts:
+                columns = [pa.array([row] * len(counts)), pa.array(counts, pa.binary()), pa.array(counts.values(), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "word", "times"])
 
 
 def bucket_arrays(column: pa.Array) -> Iterator[np.ndarray]:
@@ -139,11 +229,12 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS, every: int = EVERY) -
     """Pseudo-likelihood of every document under a network trained on all of them.
 
     ``doc_id``, ``n_words``, ``log_likelihood`` (sum over the words of the logarithm of
-    their probability given both sides), ``mean_log_probability`` and ``perplexity``
+    their probability given both sides: that of the bucket times the word's share of it), ``mean_log_probability`` and ``perplexity``
     (null without words). One row for each row of ``docs``, repeated rows included; null
     and empty texts have no words and likelihood 0. An empty table gives no rows.
     """
-    rows = bucketed(docs)
+    shares, frequent = word_shares(docs)
+    rows = bucketed(docs, frequent)
     flat = fit_network(rows, rounds, every).flat()
 
     @F.arrow_udf("struct<n_words:long,log_likelihood:double>")
@@ -156,10 +247,14 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS, every: int = EVERY) -
                 [pa.array(counts, pa.int64()), pa.array(sums, pa.float64())], ["n_words", "log_likelihood"]
             )
 
+    rest = rows.select("row", "rest").mapInArrow(rest_words, "row long, word binary, times long")
+    sums = rest.join(shares, "word").groupBy("row").agg(F.sum(F.col("times") * F.col("share")).alias("beyond"))
     mean = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))
     return (
-        rows.select("doc_id", scored(F.col("buckets")).alias("__score"))
-        .select("doc_id", "__score.*")
+        rows.select("row", "doc_id", "within", scored(F.col("buckets")).alias("score"))
+        .join(sums, "row", "left")
+        .withColumn("beyond", F.coalesce("beyond", F.lit(0.0)))
+        .select("doc_id", "score.n_words", (F.col("score.log_likelihood") + F.col("within") + F.col("beyond")).alias("log_likelihood"))
         .withColumn("mean_log_probability", mean)
         .withColumn("perplexity", F.exp(-F.col("mean_log_probability")))
     )

@@ -3,7 +3,8 @@
 Every word falls into one of ``CLASSES * MEMBERS`` buckets by a hash. A bucket is
 predicted from the words on both sides of it, never from itself: the neighbours'
 vectors add up to a hidden layer, which gives the class, and within the class the
-member. Both are normalised, so a document's log-probabilities can be summed.
+member. Both are normalised, so a document's log-probabilities can be summed. What
+part of a bucket a word makes up is not the network's matter.
 """
 
 from collections.abc import Iterable, Iterator
@@ -27,11 +28,15 @@ LARGEST = 80.0
 SCORED = 1 << 14
 
 
+def bucket_of(word: bytes) -> int:
+    return crc32(word) % BUCKETS
+
+
 class Buckets(dict):
     """Bucket of each word, found once."""
 
     def __missing__(self, word: bytes) -> int:
-        bucket = crc32(word) % BUCKETS
+        bucket = bucket_of(word)
         if len(self) < 500_000:
             self[word] = bucket
         return bucket

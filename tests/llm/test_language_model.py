@@ -1,4 +1,6 @@
 import random
+from collections import Counter
+from zlib import crc32
 
 import numpy as np
 import pytest
@@ -157,6 +159,37 @@ def test_scores_at_the_registered_values_tell_order(spark):
     assert ordered > disordered + 0.5
 
 
+def slow_share(texts, text):
+    """Sum over a text's words of the logarithm of their share of their bucket, counted in plain Python."""
+    counts = Counter(word for t in texts for word in t.lower().encode().split())
+    buckets = Counter()
+    for word, times in counts.items():
+        buckets[crc32(word) % BUCKETS] += times
+    return sum(np.log(counts[w] / buckets[crc32(w) % BUCKETS]) for w in text.lower().encode().split())
+
+
+@pytest.mark.parametrize("most", [1 << 16, 30, 1])
+def test_a_word_scores_by_its_own_count_in_the_corpus(spark, monkeypatch, most):
+    monkeypatch.setattr(language_model, "FREQUENT", most)
+    junk = next(f"q{i}" for i in range(100_000) if crc32(f"q{i}".encode()) % BUCKETS == crc32(b"the") % BUCKETS)
+    rnd = random.Random(6)
+    texts = ["the " * 300, f"a {junk} b", "a the b", f"a {junk} b", "x" * 500 + " é " + "y" * 500, "x" * 500, "é z", "a"]
+    texts += [" ".join(f"v{int(rnd.paretovariate(0.4))}" for _ in range(100)) for _ in range(60)]
+    ids = [i if i != 3 else 1 for i in range(len(texts))]
+    df = table(spark, list(zip(ids, texts, strict=True))).repartition(3).cache()
+    network = fit_network(bucketed(df))
+    expected = {
+        text: network.log_probabilities(buckets_of(text.encode(), Buckets())).sum() + slow_share(texts, text) for text in texts
+    }
+    found = score_documents(df).collect()
+    assert sorted(row.doc_id for row in found) == sorted(ids)
+    for row in found:
+        assert row.log_likelihood == pytest.approx(expected[texts[row.doc_id]], rel=1e-3)
+    by_id = {row.doc_id: row.log_likelihood for row in found}
+    assert by_id[2] > by_id[1] + 4
+    df.unpersist()
+
+
 def test_counts_cover_the_corpus_and_empty_tables_work(spark):
     df = table(spark, [(i, "a b c") for i in range(30)] + [(99, None)])
     assert bucket_counts(bucketed(df)).sum() == 90
