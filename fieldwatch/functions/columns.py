@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 CLASS_NAMES = {0: "green_yellow", 1: "orange", 2: "red"}
 # Forecast horizon name -> rows ahead in the series.
 HORIZONS = {"15min": 1, "1hr": 4, "3hr": 12}
+# The times that the horizons are named by, in seconds.
+HORIZON_SECONDS = {"15min": 900, "1hr": 3600, "3hr": 10_800}
 
 
 def is_measured(concentration: Column) -> Column:

@@ -23,19 +23,6 @@ READING_WIRE = StructType(
     ]
 )
 
-# Columns of alerts.
-ALERT = StructType(
-    [
-        StructField("site_id", StringType(), False),
-        StructField("pollutant_type", StringType(), False),
-        StructField("event_time", TimestampType(), False),
-        StructField("concentration", DoubleType(), False),
-        StructField("metric_value", DoubleType(), False),
-        StructField("metric_name", StringType(), False),
-        StructField("alert_category", StringType(), True),
-    ]
-)
-
 # Columns of forecasts.
 FORECAST = StructType(
     [

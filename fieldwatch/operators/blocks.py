@@ -62,7 +62,8 @@ def ordered_blocks(
     thin = usable(readings).select(
         *SERIES, F.unix_micros("event_time").alias("at"), *ties, *payload
     )
-    order = [*SERIES, "at", *ties, "concentration"]
+    begun = [F.desc("seed")] if "seed" in payload else []
+    order = [*SERIES, "at", *begun, *ties, "concentration"]
     # Equal rows are interchangeable; their input task lets many copies be cut too.
     ranged = thin.withColumn("origin", F.spark_partition_id()).repartitionByRange(
         *([blocks] if blocks else []), *order, "origin"
@@ -77,6 +78,23 @@ def ordered_blocks(
     )
 
 
+def behind(begun: DataFrame | None, readings: DataFrame, at: Column, **values: Column) -> DataFrame:
+    """Readings behind rows that bring their series to a state that they begin with.
+
+    ``begun`` holds a row per series; ``at`` is the time that its row stands for and
+    ``values`` are the columns that the operator reads. Such rows carry ``seed`` and come
+    first of all at their time.
+    """
+    if begun is None:
+        return readings.withColumn("seed", F.lit(False))
+    types = dict(readings.dtypes)
+    columns = {name: F.lit(None).cast(kind) for name, kind in types.items() if name not in SERIES}
+    columns |= {"event_time": F.timestamp_micros(at)}
+    columns |= {name: value.cast(types[name]) for name, value in values.items()}
+    seeds = begun.select(*SERIES, *(value.alias(name) for name, value in columns.items()), F.lit(True).alias("seed"))
+    return readings.withColumn("seed", F.lit(False)).unionByName(seeds)
+
+
 def with_neighbours(
     blocks: DataFrame,
     columns: list[str],

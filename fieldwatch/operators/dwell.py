@@ -18,6 +18,7 @@ from fieldwatch.functions.schemas import SERIES
 from fieldwatch.operators.blocks import (
     FAN_OUT,
     Place,
+    behind,
     filled,
     numbers,
     one_row,
@@ -412,6 +413,93 @@ def _emit(gap: int | None):
     return run
 
 
+def _leave(gap: int | None):
+    """The timer after the last reading that a batch holds of each series."""
+
+    def run(batches):
+        tail, tail_band, timer = None, 0, None
+        for batch in filled(batches):
+            starts = series_starts(batch, tail, gap)
+            band, at, allowed = (numbers(batch, name) for name in ("band", "at", "allowed"))
+            if tail is None and batch.column("pos")[0].as_py() == 0:
+                timer = batch.column("carry")[0].as_py()
+                tail_band = int(band[0])
+                starts[0] = timer is None
+            begins = np.flatnonzero(series_starts(batch.select([*SERIES, "at"]), None, None))
+            edges = [*begins.tolist(), batch.num_rows]
+            ends, timers = [], []
+            for low, high in zip(edges[:-1], edges[1:], strict=True):
+                part = slice(low, high)
+                _, _, tail_band, timer = dwell(
+                    band[part], at[part], allowed[part], starts[part], tail_band, timer
+                )
+                ends.append(high - 1)
+                timers.append(timer)
+            tail = Place.of(batch, batch.num_rows - 1)
+            last = batch.take(pa.array(ends))
+            yield pa.RecordBatch.from_arrays(
+                [last.column("block"), last.column("pos"), pa.array(timers, pa.int64())],
+                names=["block", "pos", "timer"],
+            )
+
+    return run
+
+
+def readings_in_bands(ordered: DataFrame, gap: int | None, fan_out: int = FAN_OUT) -> DataFrame:
+    """A table's readings inside a band, with the timer that their block is given."""
+    in_band = F.col("band") > 0
+    carried = with_neighbours(
+        ordered,
+        ["band", "allowed"],
+        in_band,
+        _summarise(gap),
+        SUMMARY,
+        _merge(gap),
+        _fold(gap),
+        "bigint",
+        fan_out,
+    )
+    columns = ["concentration", "band", "allowed"]
+    return carried.filter(in_band).select("block", *SERIES, "at", "pos", *columns, "carry")
+
+
+def fuzzy_step(
+    readings: DataFrame,
+    thresholds: Thresholds,
+    max_time: float = 14400,
+    delta: float = 10,
+    max_gap: float | None = None,
+    blocks: int | None = None,
+    begun: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Alerts of a batch table, and the band and timer that each of its series ends with.
+
+    ``timer`` is ``UNSET`` where none runs. ``begun`` holds what series begin with, as
+    the second result of the table before.
+    """
+    gap = seconds_to_micros(max_gap)
+    ordered = banded_blocks(readings, thresholds, max_time, delta, blocks, begun, gap)
+    real = ordered.filter(~F.col("seed"))
+    place = F.struct("block", "pos")
+    ends = real.groupBy(*SERIES).agg(
+        F.max(place).alias("end"), F.max_by("band", place).alias("band"), F.max("at").alias("last_at")
+    )
+    timers = readings_in_bands(ordered, gap).mapInArrow(_leave(gap), "block int, pos bigint, timer bigint")
+    state = (
+        ends.select(*SERIES, "end.block", "end.pos", "band", "last_at")
+        .join(timers, ["block", "pos"], "left")
+        .select(*SERIES, "band", F.coalesce("timer", F.lit(UNSET)).alias("timer"), "last_at")
+    )
+    hard = open_orange_alerts(real.withColumn("event_time", F.timestamp_micros("at")), thresholds)
+    timed = dwell_alerts(readings, thresholds, max_time, delta, max_gap, ordered=ordered)
+    return hard.unionByName(timed), state
+
+
+def fuzzy_state(history: DataFrame, thresholds: Thresholds, *settings, **more) -> DataFrame:
+    """The band and timer that each series ends with, and the time of its last reading."""
+    return fuzzy_step(history, thresholds, *settings, **more)[1]
+
+
 def dwell_alerts(
     readings: DataFrame,
     thresholds: Thresholds,
@@ -426,20 +514,7 @@ def dwell_alerts(
     gap = seconds_to_micros(max_gap)
     if ordered is None:
         ordered = banded_blocks(readings, thresholds, max_time, delta, blocks)
-    in_band = F.col("band") > 0
-    columns = ["concentration", "band", "allowed"]
-    carried = with_neighbours(
-        ordered,
-        ["band", "allowed"],
-        in_band,
-        _summarise(gap),
-        SUMMARY,
-        _merge(gap),
-        _fold(gap),
-        "bigint",
-        fan_out,
-    )
-    inside = carried.filter(in_band).select(*SERIES, "at", "pos", *columns, "carry")
+    inside = readings_in_bands(ordered, gap, fan_out).drop("block")
     red = F.col("band") == RED_BAND
     return inside.mapInArrow(_emit(gap), FIRED).select(
         *SERIES,
@@ -457,9 +532,30 @@ def banded_blocks(
     max_time: float,
     delta: float,
     blocks: int | None = None,
+    begun: DataFrame | None = None,
+    gap: int | None = None,
 ) -> DataFrame:
+    """Readings with their bands in ordered blocks, behind the states they begin with.
+
+    A timer that runs stands as rows in its band from its start to the last reading, none
+    further apart than ``gap``, that can't fire; else the last reading stands as one
+    outside of all bands.
+    """
     banded = with_bands(readings, thresholds, max_time, delta)
-    return ordered_blocks(banded, ["concentration", "band", "allowed"], blocks)
+    if begun is not None:
+        step = F.lit(min(gap or LONGEST_TIME * 1_000_000, LONGEST_TIME * 1_000_000))
+        waits = F.concat(F.sequence("timer", "last_at", step), F.array("last_at"))
+        runs = F.col("timer") != UNSET
+        begun = begun.select(
+            *SERIES,
+            F.when(runs, F.col("band")).otherwise(0).alias("band"),
+            F.explode(F.when(runs, waits).otherwise(F.array("last_at"))).alias("last_at"),
+        )
+    started = behind(
+        begun, banded, F.col("last_at"),
+        concentration=F.lit(0.0), band=F.col("band"), allowed=F.lit(2.0 * LONGEST_TIME),
+    )
+    return ordered_blocks(started, ["concentration", "band", "allowed", "seed"], blocks)
 
 
 def fuzzy_alerts(
@@ -471,22 +567,20 @@ def fuzzy_alerts(
     watermark: str = "24 hours",
     strict_order: bool = False,
     blocks: int | None = None,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """Fixed-limit and dwell alerts, for a batch table or a stream.
 
     A reading in the red band can give two alerts: the fixed orange one and
-    the dwell one.
+    the dwell one. A stream goes on from the timers that the table ``history`` ends
+    with, if one is given.
     """
     if readings.isStreaming:
         from fieldwatch.streaming.detectors import stream_fuzzy_alerts
 
         return stream_fuzzy_alerts(
-            readings, thresholds, max_time, delta, max_gap, watermark, strict_order
+            readings, thresholds, max_time, delta, max_gap, watermark, strict_order, history
         )
-    ordered = banded_blocks(readings, thresholds, max_time, delta, blocks)
-    hard = open_orange_alerts(
-        ordered.withColumn("event_time", F.timestamp_micros("at")), thresholds
-    )
-    return hard.unionByName(
-        dwell_alerts(readings, thresholds, max_time, delta, max_gap, ordered=ordered)
-    )
+    if history is not None:
+        raise ValueError("history is handed to streams; unite tables instead")
+    return fuzzy_step(readings, thresholds, max_time, delta, max_gap, blocks)[0]

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 from fieldwatch.functions.schemas import SERIES
 from fieldwatch.operators.blocks import (
     Place,
+    behind,
     filled,
     numbers,
     ordered_blocks,
@@ -152,10 +153,13 @@ def _smoothed(
     max_gap: float | None,
     blocks: int | None,
     ties: list[str],
+    begun: DataFrame | None = None,
 ) -> DataFrame:
     check_alpha(alpha)
     gap = seconds_to_micros(max_gap)
-    ordered = ordered_blocks(readings, ["concentration"], blocks)
+    # A first value counts in full, so an average stands as one.
+    started = behind(begun, readings, F.col("last_at"), concentration=F.col("ema"))
+    ordered = ordered_blocks(started, ["concentration", "seed"], blocks)
     carries = (
         block_ends(ordered, alpha, gap)
         .repartition(1)
@@ -165,12 +169,13 @@ def _smoothed(
     carried = ordered.join(F.broadcast(carries), "block", "left").withColumn(
         "carry", F.when(F.col("pos") == 0, F.col("carry"))
     )
-    columns = [*SERIES, "at", *ties, "concentration"]
+    columns = [*SERIES, "at", *ties, "concentration", "seed"]
     types = dict(ordered.dtypes)
     schema = ", ".join(f"{name} {types[name]}" for name in columns) + ", ema double"
     return (
         carried.select(*columns, "carry")
         .mapInArrow(_emit(alpha, gap, columns), schema)
+        .filter(~F.col("seed"))
         .select(
             *SERIES, F.timestamp_micros("at").alias("event_time"), *ties, "concentration", "ema"
         )
@@ -219,11 +224,48 @@ def ema_alerts(
     watermark: str = "1 hour",
     strict_order: bool = False,
     blocks: int | None = None,
+    history: DataFrame | None = None,
 ) -> DataFrame:
-    """Alerts on the moving average, for a batch table or a stream."""
+    """Alerts on the moving average, for a batch table or a stream.
+
+    A stream goes on from the averages that the table ``history`` ends with, if one is
+    given.
+    """
     if readings.isStreaming:
         from fieldwatch.streaming.detectors import stream_ema_alerts
 
-        return stream_ema_alerts(readings, thresholds, alpha, max_gap, watermark, strict_order)
+        return stream_ema_alerts(
+            readings, thresholds, alpha, max_gap, watermark, strict_order, history
+        )
+    if history is not None:
+        raise ValueError("history is handed to streams; unite tables instead")
     known = readings.filter(F.col("pollutant_type").isin(list(thresholds.limits)))
     return alerts_on_ema(_smoothed(known, alpha, max_gap, blocks, []), thresholds)
+
+
+def ema_step(
+    readings: DataFrame,
+    thresholds: Thresholds,
+    alpha: float = 0.3,
+    max_gap: float | None = None,
+    blocks: int | None = None,
+    begun: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Alerts of a batch table, and the average that each of its series ends with.
+
+    ``begun`` holds the averages that series begin with, as the second result of the
+    table before. Only series with limits are watched.
+    """
+    ties = tie_columns(readings)
+    known = readings.filter(F.col("pollutant_type").isin(list(thresholds.limits)))
+    smoothed = _smoothed(known, alpha, max_gap, blocks, ties, begun)
+    order = F.struct("event_time", *ties, "concentration")
+    state = smoothed.groupBy(*SERIES).agg(
+        F.max_by("ema", order).alias("ema"), F.unix_micros(F.max("event_time")).alias("last_at")
+    )
+    return alerts_on_ema(smoothed, thresholds), state
+
+
+def ema_state(history: DataFrame, thresholds: Thresholds, *settings, **more) -> DataFrame:
+    """The average that each series ends with, and the time of its last reading."""
+    return ema_step(history, thresholds, *settings, **more)[1]

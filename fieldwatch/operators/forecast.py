@@ -120,7 +120,7 @@ def class_counts(training: DataFrame, edges: list[float]) -> DataFrame:
         .groupBy(*CELL)
         .agg(
             *(
-                F.count_if(F.col(TARGETS[name]) == class_id).cast("double").alias(_count(name, class_id))
+                F.count_if(F.col(TARGETS[name]) == class_id).cast("double").alias(count_name(name, class_id))
                 for name in HORIZONS
                 for class_id in CLASSES
             )
@@ -128,14 +128,14 @@ def class_counts(training: DataFrame, edges: list[float]) -> DataFrame:
     )
 
 
-def _count(name: str, class_id: int) -> str:
+def count_name(name: str, class_id: int) -> str:
     return f"rows_{name}_{class_id}"
 
 
 def _fit_one(cells: DataFrame, name: str, class_id: int, settings: dict) -> GBTClassificationModel:
     """Trees for one class against the others at one horizon."""
-    own = F.col(_count(name, class_id))
-    rest = sum(F.col(_count(name, other)) for other in CLASSES if other != class_id)
+    own = F.col(count_name(name, class_id))
+    rest = sum(F.col(count_name(name, other)) for other in CLASSES if other != class_id)
     labelled = F.array(
         F.struct(F.lit(1.0).alias("label"), own.alias("weight")),
         F.struct(F.lit(0.0).alias("label"), rest.alias("weight")),
@@ -180,30 +180,41 @@ def all_cells(spark: SparkSession, edges: list[float]) -> DataFrame:
     )
 
 
-def fit_forecaster(
-    training: DataFrame,
+def fit_forecaster(training: DataFrame, bins: int = BINS, **settings) -> ForecastModel:
+    """Fit the three horizons on a training set; ``fit_cells`` names the settings."""
+    check_bins(bins)
+    edges = bin_edges(training, bins)
+    return fit_cells(class_counts(training, edges), edges, bins=bins, **settings)
+
+
+def check_bins(bins: int) -> None:
+    if not 2 <= bins <= MOST_BINS:
+        raise ValueError(f"bins lies between 2 and {MOST_BINS}, got {bins}")
+
+
+def fit_cells(
+    counts: DataFrame,
+    edges: list[float],
     rounds: int = ROUNDS,
     depth: int = DEPTH,
     bins: int = BINS,
     parallelism: int = 9,
 ) -> ForecastModel:
-    """Fit the three horizons on a training set.
+    """Fit the three horizons on class counts of cells.
 
     A horizon with one class always predicts that class; one without any row
     predicts green_yellow. The fits are small jobs over the cells and run side
     by side.
     """
-    if not 2 <= bins <= MOST_BINS:
-        raise ValueError(f"bins lies between 2 and {MOST_BINS}, got {bins}")
-    spark = training.sparkSession
-    edges = bin_edges(training, bins)
+    check_bins(bins)
+    spark = counts.sparkSession
     assemble = VectorAssembler(inputCols=CELL, outputCol="features")
     # All nine fits read these cells; they are few, so two partitions do.
-    cells = assemble.transform(materialise(class_counts(training, edges).coalesce(2))).cache()
+    cells = assemble.transform(materialise(counts.coalesce(2))).cache()
     totals = cells.agg(
-        *(F.sum(_count(n, c)).alias(_count(n, c)) for n in HORIZONS for c in CLASSES)
+        *(F.sum(count_name(n, c)).alias(count_name(n, c)) for n in HORIZONS for c in CLASSES)
     ).head()
-    seen = {n: [c for c in CLASSES if totals[_count(n, c)]] for n in HORIZONS}
+    seen = {n: [c for c in CLASSES if totals[count_name(n, c)]] for n in HORIZONS}
     wanted = [(n, c) for n in HORIZONS for c in seen[n] if len(seen[n]) > 1]
     settings = {"rounds": rounds, "depth": depth, "bins": bins}
 
@@ -228,7 +239,7 @@ def majority_model(training: DataFrame, edges: list[float]) -> ForecastModel:
     On a tie the lower class; a cell or horizon without rows is green_yellow.
     """
     counts = class_counts(training, edges)
-    votes = {_margin(n, c): F.col(_count(n, c)) for n in HORIZONS for c in CLASSES}
+    votes = {_margin(n, c): F.col(count_name(n, c)) for n in HORIZONS for c in CLASSES}
     best = (_best_class(name, CLASSES).alias(name) for name in HORIZONS)
     return ForecastModel(edges, counts.withColumns(votes).select(*CELL, *best))
 

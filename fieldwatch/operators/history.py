@@ -4,8 +4,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fieldwatch.functions.columns import HORIZONS, features
+from fieldwatch.functions.columns import HORIZON_SECONDS, HORIZONS, features
 from fieldwatch.functions.schemas import SERIES
+from fieldwatch.operators.ahead import first_at_or_after
 from fieldwatch.operators.blocks import ordered_blocks, tie_columns
 from fieldwatch.operators.thresholding import classify_readings
 from fieldwatch.sources.thresholds import Thresholds
@@ -54,14 +55,25 @@ def forecast_features(readings: DataFrame) -> DataFrame:
 
 
 def lead_targets(
-    classified: DataFrame, blocks: int | None = None, window_rows: int = WINDOW_ROWS
+    classified: DataFrame,
+    blocks: int | None = None,
+    window_rows: int = WINDOW_ROWS,
+    mode: str = "rows",
 ) -> DataFrame:
     """Severity 1, 4 and 12 readings ahead in the same series; null at its end.
 
+    In ``mode`` "time" the severity of the first reading 15 minutes, 1 hour and 3 hours
+    ahead or later, whatever the readings' distance.
+
     Rows are numbered through all ordered blocks and cut into windows of even size.
     The first rows of each window also stand at the end of the one before, so a lead
     never leaves its window and no window holds more than a bounded number of rows.
     """
+    if mode not in ("rows", "time"):
+        raise ValueError(f"unknown mode {mode}; known: rows, time")
+    if mode == "time":
+        waits = {TARGETS[name]: seconds for name, seconds in HORIZON_SECONDS.items()}
+        return first_at_or_after(classified, waits, blocks)
     if window_rows < FARTHEST:
         raise ValueError(f"window_rows must be {FARTHEST} or more")
     ordered = ordered_blocks(classified, ["concentration", "severity"], blocks)
@@ -98,10 +110,11 @@ def forecast_training_set(
     days: int = WINDOW_DAYS,
     newest: int | None = None,
     blocks: int | None = None,
+    mode: str = "rows",
 ) -> DataFrame:
     """Features and targets of the readings in the training window."""
     classified = classify_readings(training_window(readings, days, newest), thresholds)
-    led = lead_targets(classified, blocks)
+    led = lead_targets(classified, blocks, mode=mode)
     return led.select(
         *SERIES,
         "event_time",

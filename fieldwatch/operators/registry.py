@@ -4,6 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+from fieldwatch.operators.cusum import cusum_alerts
 from fieldwatch.operators.dwell import fuzzy_alerts
 from fieldwatch.operators.ema import ema_alerts
 from fieldwatch.operators.forecast import forecast_alerts
@@ -17,6 +18,7 @@ FORECASTER = "XGBoostForecasting"
 DETECTORS: dict[str, Callable[..., DataFrame]] = {
     "Thresholding": threshold_alerts,
     "EMAThresholding": ema_alerts,
+    "CUSUMThresholding": cusum_alerts,
     "FuzzyThresholding": fuzzy_alerts,
     FORECASTER: forecast_alerts,
 }

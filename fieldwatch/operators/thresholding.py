@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldwatch.functions.columns import alert_name, is_measured, severity
-from fieldwatch.functions.schemas import ALERT
 from fieldwatch.sources.thresholds import Thresholds
 
 

@@ -1,5 +1,6 @@
 """The same queries as plain SQL over the given tables, for DuckDB."""
 
+from fieldwatch.functions.columns import HORIZON_SECONDS
 from fieldwatch.operators.history import TARGETS
 
 READINGS = """readings AS (
@@ -59,6 +60,12 @@ TRAINING = """windowed AS (
   FROM windowed
   WINDOW series AS (PARTITION BY site_id, pollutant_type ORDER BY event_time, event_id)
 )"""
+LATER = ", ".join(
+    f"""(SELECT CAST(arg_min(l.severity, (l.event_time, l.event_id)) AS DOUBLE) FROM windowed l
+   WHERE l.site_id = w.site_id AND l.pollutant_type = w.pollutant_type
+     AND l.event_time >= w.event_time + INTERVAL {HORIZON_SECONDS[name]} SECOND) AS {target}"""
+    for name, target in TARGETS.items()
+)
 NUMBERED = """numbered AS MATERIALIZED (
   SELECT r.site_id, r.pollutant_type, r.event_time, r.event_id, r.concentration,
          epoch_us(r.event_time) AS at,
@@ -83,8 +90,32 @@ SELECT site_id, pollutant_type, event_time, concentration, round(ema, 6) AS metr
          AS alert_category
 FROM smoothed JOIN limits USING (pollutant_type)
 WHERE (ema >= orange_min AND ema < orange_max) OR ema >= red_min"""
+#: Sums of millionths above 0.8 times the orange limit, which is also the orange level.
+SUMMED = """summed AS (
+  SELECT site_id, pollutant_type, event_time, event_id, concentration, rn, orange_min, excess,
+         greatest(0, excess) AS total
+  FROM exceeding WHERE rn = 1
+  UNION ALL
+  SELECT n.site_id, n.pollutant_type, n.event_time, n.event_id, n.concentration, n.rn, n.orange_min, n.excess,
+         greatest(0, s.total + n.excess)
+  FROM summed s JOIN exceeding n
+    ON n.site_id = s.site_id AND n.pollutant_type = s.pollutant_type AND n.rn = s.rn + 1
+)"""
+EXCEEDING = """exceeding AS MATERIALIZED (
+  SELECT n.*, orange_min,
+         CAST(round((concentration - orange_min * CAST(0.8 AS DOUBLE)) * CAST(1e6 AS DOUBLE)) AS BIGINT) AS excess
+  FROM numbered n JOIN limits USING (pollutant_type)
+)"""
+CUSUM_ALERTS = f"""WITH RECURSIVE {READINGS}, {LIMITS}, {NUMBERED}, {EXCEEDING}, {SUMMED}
+SELECT site_id, pollutant_type, event_time, concentration, total / CAST(1000000 AS DOUBLE) AS metric_value,
+       'cusum' AS metric_name,
+       CASE WHEN total >= orange_min * 2000000 THEN 'red' ELSE 'orange' END AS alert_category
+FROM summed WHERE total >= orange_min * 1000000"""
 HOURLY_ROWS = f"""WITH {READINGS}, {HOURLY}
 SELECT site_id, pollutant_type, start_time, round(avg_value, 6) AS avg_value FROM hourly"""
+RETAINED = f"""WITH {READINGS}, {HOURLY}
+SELECT site_id, pollutant_type, start_time, round(avg_value, 6) AS avg_value FROM hourly
+QUALIFY row_number() OVER (PARTITION BY site_id, pollutant_type ORDER BY start_time DESC) <= 25"""
 DAILY_ROWS = f"""WITH {READINGS}, {HOURLY}
 SELECT site_id, pollutant_type, CAST(CAST(start_time AS DATE) AS VARCHAR) AS log_date,
        round(avg(avg_value), 6) AS daily_avg
@@ -214,9 +245,7 @@ SELECT * FROM routed""",
     "hourly_avg": HOURLY_ROWS,
     "daily_rollup": DAILY_ROWS,
     "daily_upsert": DAILY_ROWS,
-    "hourly_retained": f"""WITH {READINGS}, {HOURLY}
-SELECT site_id, pollutant_type, start_time, round(avg_value, 6) AS avg_value FROM hourly
-QUALIFY row_number() OVER (PARTITION BY site_id, pollutant_type ORDER BY start_time DESC) <= 25""",
+    "hourly_retained": RETAINED,
     "hourly_upsert": HOURLY_ROWS,
     "latest_readings": f"""WITH {READINGS}
 SELECT site_id, pollutant_type, event_time, event_id, concentration FROM readings
@@ -229,6 +258,11 @@ FROM smoothed""",
     "ema_alerts": EMA_ALERTS,
     "fuzzy_alerts": _fuzzy(3600, 60),
     "fuzzy_alerts_shipped_settings": _fuzzy(14400, 10),
+    "cusum_series": f"""WITH RECURSIVE {READINGS}, {LIMITS}, {NUMBERED}, {EXCEEDING}, {SUMMED}
+SELECT site_id, pollutant_type, event_time, event_id, concentration,
+       total / CAST(1000000 AS DOUBLE) AS cusum
+FROM summed""",
+    "cusum_alerts": CUSUM_ALERTS,
     "training_coverage": f"""WITH {READINGS}, span AS (
   SELECT min(event_time) AS min_time, max(event_time) AS max_time,
          (epoch_us(max(event_time)) - epoch_us(min(event_time)))
@@ -247,6 +281,16 @@ SELECT site_id, pollutant_type, event_time, event_id, concentration,
 FROM readings""",
     "forecast_training_set": f"""WITH {READINGS}, {LIMITS}, {CLASSIFIED}, {TRAINING}
 SELECT * FROM training""",
+    "forecast_training_set_by_time": f"""WITH {READINGS}, {LIMITS}, {CLASSIFIED}, windowed AS (
+  SELECT * FROM classified
+  WHERE event_time >= (SELECT max(event_time) - INTERVAL 15 DAY FROM readings)
+)
+SELECT site_id, pollutant_type, event_time, event_id,
+       concentration / CAST(1000.0 AS DOUBLE) AS concentration_norm,
+       CAST(hour(event_time) AS INTEGER) AS hour,
+       CAST(isodow(event_time) - 1 AS INTEGER) AS day_of_week,
+       severity AS category, {LATER}
+FROM windowed w""",
     "label_balance": f"""WITH {READINGS}, {LIMITS}, {CLASSIFIED}, {TRAINING}, labels_ahead AS (
   SELECT '15min' AS timescale, target_15m AS target FROM training
   UNION ALL SELECT '1hr', target_1hr FROM training
@@ -259,6 +303,7 @@ SELECT timescale,
        CAST(count(DISTINCT target) AS INTEGER) AS classes
 FROM labels_ahead GROUP BY 1""",
     "forecast_cells": f"WITH {READINGS}, {LIMITS}, {CLASSIFIED}, {TRAINING}, {CELLS} SELECT * FROM cells",
+    "forecast_cells_maintained": f"WITH {READINGS}, {LIMITS}, {CLASSIFIED}, {TRAINING}, {CELLS} SELECT * FROM cells",
     "forecast_majority": f"WITH {READINGS}, {LIMITS}, {CLASSIFIED}, {TRAINING}, {CELLS} {MAJORITY}",
     "forecast_alerts": f"""WITH {READINGS}, {LIMITS}
 SELECT r.site_id, r.pollutant_type, r.event_time, r.concentration,
@@ -267,7 +312,32 @@ SELECT r.site_id, r.pollutant_type, r.event_time, r.concentration,
        CASE WHEN concentration >= red_min THEN 'red' ELSE 'orange' END AS alert_category
 FROM readings r JOIN limits USING (pollutant_type) WHERE concentration >= orange_min""",
     "stream_hourly_avg": HOURLY_ROWS,
+    "stream_hourly_retained": RETAINED,
     "stream_ema_alerts": EMA_ALERTS,
+    "stream_ema_from_history": EMA_ALERTS,
+    "stream_ema_in_blocks": EMA_ALERTS,
+    "stream_cusum_in_blocks": CUSUM_ALERTS,
+    "stream_fuzzy_in_blocks": _fuzzy(3600, 60),
+    "stream_one_pass": f"""WITH RECURSIVE {READINGS}, {LIMITS}, usable AS (
+  SELECT r.*, max(event_time) FILTER (event_type <> 'purchase') OVER (PARTITION BY site_id, pollutant_type) AS reached
+  FROM readings r WHERE event_type NOT IN ('error', 'signup', 'click')
+), late AS (SELECT * FROM usable WHERE event_type = 'purchase' AND event_time < reached),
+taken AS (SELECT * FROM usable WHERE event_id NOT IN (SELECT event_id FROM late)),
+{NUMBERED.replace("FROM readings r", "FROM taken r")}, {SMOOTHED}, sent AS (
+  SELECT CASE WHEN ema >= red_min THEN 'alerts_severe' ELSE 'alerts_internal' END AS topic, NULL AS reason
+  FROM smoothed JOIN limits USING (pollutant_type)
+  WHERE (ema >= orange_min AND ema < orange_max) OR ema >= red_min
+  UNION ALL SELECT 'dead_letters', 'late_reading' FROM late
+  UNION ALL SELECT 'dead_letters', CASE event_type WHEN 'error' THEN 'malformed_json'
+                          WHEN 'click' THEN 'missing_site_id' ELSE 'bad_timestamp' END
+  FROM readings WHERE event_type IN ('error', 'signup', 'click')
+)
+SELECT topic, reason, count(*) AS messages FROM sent GROUP BY 1, 2""",
+    "stream_ema_state": f"""WITH RECURSIVE {READINGS}, {NUMBERED}, {SMOOTHED}
+SELECT site_id, pollutant_type, round(ema, 6) AS ema, event_time AS last_at FROM smoothed
+QUALIFY row_number() OVER (PARTITION BY site_id, pollutant_type ORDER BY rn DESC) = 1""",
+    "stream_cusum_alerts": CUSUM_ALERTS,
     "stream_fuzzy_alerts": _fuzzy(3600, 60),
+    "stream_fuzzy_from_history": _fuzzy(3600, 60),
     "stream_alerts_routed": ENVELOPES,
 }

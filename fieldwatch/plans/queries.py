@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldwatch.functions.schemas import DAILY_KEY, HOURLY_KEY, SERIES
+from fieldwatch.operators.cusum import cusum_alerts, cusum_series
 from fieldwatch.operators.dwell import fuzzy_alerts
 from fieldwatch.operators.ema import ema_alerts, ema_series
 from fieldwatch.operators.forecast import (
@@ -34,17 +35,20 @@ from fieldwatch.operators.thresholding import (
     threshold_alerts,
 )
 from fieldwatch.plans.tables import (
+    Arrivals,
     damaged_messages,
     readings,
-    readings_stream,
     scratch,
+    stream_session,
+    time_parts,
     typed_readings,
     wire_messages,
 )
-from fieldwatch.session import ROCKSDB
 from fieldwatch.sources.readings import SourceConf, parse_readings, read_readings_batch
 from fieldwatch.sources.thresholds import load_thresholds
+from fieldwatch.streaming.detectors import series_state
 from fieldwatch.streaming.jobs import JobConf, refresh_daily
+from fieldwatch.streaming.retention import newest_hours, retained_hours
 from fieldwatch.streaming.sinks import (
     SinkConf,
     envelope,
@@ -53,6 +57,8 @@ from fieldwatch.streaming.sinks import (
     route_alerts,
     upsert_files,
 )
+from fieldwatch.streaming.steps import OnePass, step_alerts
+from fieldwatch.streaming.training import TrainingHistory
 
 # Columns of a parsed reading.
 READING = ["sensor_id", "site_id", "pollutant_type", "event_time", "concentration", "unit"]
@@ -74,11 +80,11 @@ def scan_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_readings(damaged_messages(spark, sf_dir))[0].select(*READING)
+    return parse_readings(damaged_messages(typed_readings(spark, sf_dir)))[0].select(*READING)
 
 
 def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dead = parse_readings(damaged_messages(spark, sf_dir))[1]
+    dead = parse_readings(damaged_messages(typed_readings(spark, sf_dir)))[1]
     return dead.groupBy("reason").agg(F.count("*").alias("messages"))
 
 
@@ -195,6 +201,14 @@ def fuzzy_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_alerts(readings(spark, sf_dir), load_thresholds(), max_time=3600, delta=60)
 
 
+def cusum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cusum_series(readings(spark, sf_dir), load_thresholds())
+
+
+def cusum_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cusum_alerts(readings(spark, sf_dir), load_thresholds())
+
+
 # -- forecasting --------------------------------------------------------------
 
 
@@ -214,10 +228,18 @@ def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast_training_set(readings(spark, sf_dir), load_thresholds())
 
 
-def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _comparable(training: DataFrame) -> DataFrame:
     """Targets as doubles: a missing one is then the same in every engine."""
-    targets = {name: F.col(name).cast("double") for name in TARGETS.values()}
-    return training_set(spark, sf_dir).withColumns(targets)
+    return training.withColumns({name: F.col(name).cast("double") for name in TARGETS.values()})
+
+
+def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _comparable(training_set(spark, sf_dir))
+
+
+def training_rows_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets 15 minutes, 1 hour and 3 hours ahead, whatever the distance of readings."""
+    return _comparable(forecast_training_set(readings(spark, sf_dir), load_thresholds(), mode="time"))
 
 
 def balance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,6 +257,15 @@ def forecast_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumns({name: F.col(name).cast("long") for name in counts.columns[3:]})
 
 
+def cells_kept_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same cells from counts that were added up as readings came."""
+    history = TrainingHistory(spark, scratch(spark, "history"), load_thresholds())
+    for batch, part in enumerate(time_parts(readings(spark, sf_dir))):
+        history.add(part, batch)
+    counts = history.cells(_limit_edges())
+    return counts.withColumns({name: F.col(name).cast("long") for name in counts.columns[3:]})
+
+
 def model_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fit_forecaster(training_set(spark, sf_dir)).table
 
@@ -255,55 +286,156 @@ def alerts_beside_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # -- the same operators on a stream -------------------------------------------
+#
+# Messages arrive in ranges of time and go through the source and the parser. A new
+# query goes on from the checkpoint for each range, so all of these queries restart.
 
 
-def _run_stream(spark: SparkSession, writer, folder: str) -> None:
-    """Work off what the source holds, then stop."""
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    try:
-        started = (
-            writer.option("checkpointLocation", f"{folder}/checkpoint")
-            .trigger(availableNow=True)
-            .start()
-        )
-        started.awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+def _alerts_from_stream(spark: SparkSession, rows: DataFrame, detector) -> DataFrame:
+    """All alerts of a detector over rows that arrive; the detector is started anew for each part."""
+    folder = scratch(spark, "alerts")
 
+    def writer(stream: DataFrame):
+        return detector(stream).writeStream.format("parquet").option("path", f"{folder}/rows")
 
-def _alerts_from_stream(spark: SparkSession, alerts: DataFrame) -> DataFrame:
-    folder = scratch(spark, "alerts")
-    writer = alerts.writeStream.format("parquet").option("path", f"{folder}/rows")
-    _run_stream(spark, writer, folder)
-    return spark.read.schema(alerts.schema).parquet(f"{folder}/rows")
+    Arrivals.of(*time_parts(rows)).work_off(writer, f"{folder}/checkpoint")
+    return spark.read.parquet(f"{folder}/rows")
 
 
-def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _hours_from_stream(spark: SparkSession, arrivals: Arrivals, hours) -> str:
+    """Hours that a stream upserts, as files below the returned folder."""
     folder = scratch(spark, "hourly")
-    averages = hourly_avg(readings_stream(spark, sf_dir))
-    writer = averages.writeStream.outputMode("update").foreachBatch(upsert_files(f"{folder}/rows"))
-    _run_stream(spark, writer, folder)
-    return _rounded(read_current(spark, HOURLY_KEY, f"{folder}/rows"), "avg_value")
+
+    def writer(stream: DataFrame):
+        return hours(stream).writeStream.outputMode("update").foreachBatch(upsert_files(f"{folder}/rows"))
+
+    arrivals.work_off(writer, f"{folder}/checkpoint")
+    return f"{folder}/rows"
+
+
+def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arrivals = Arrivals.of(*time_parts(readings(stream_session(spark), sf_dir)))
+    path = _hours_from_stream(spark, arrivals, hourly_avg)
+    return _rounded(read_current(spark, HOURLY_KEY, path), "avg_value")
+
+
+def stream_hourly_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases arrive after all else; where their hour is behind the watermark they are dropped."""
+    rows = typed_readings(stream_session(spark), sf_dir)
+    in_time = time_parts(rows.filter(F.col("event_type") != "purchase"), 2)
+    late = rows.filter(F.col("event_type") == "purchase")
+    path = _hours_from_stream(spark, Arrivals.of(*in_time, late), hourly_avg)
+    return _rounded(read_current(spark, HOURLY_KEY, path), "avg_value")
+
+
+def stream_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest hours of each series from the stream's change log."""
+    arrivals = Arrivals.of(*time_parts(readings(stream_session(spark), sf_dir)))
+    path = _hours_from_stream(spark, arrivals, newest_hours)
+    return _rounded(retained_hours(spark, path), "avg_value")
 
 
 def stream_ema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    alerts = ema_alerts(readings_stream(spark, sf_dir), load_thresholds())
-    return _rounded(_alerts_from_stream(spark, alerts), "metric_value")
+    rows = readings(stream_session(spark), sf_dir)
+    alerts = _alerts_from_stream(spark, rows, lambda stream: ema_alerts(stream, load_thresholds()))
+    return _rounded(alerts, "metric_value")
+
+
+def stream_cusum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = readings(stream_session(spark), sf_dir)
+    return _alerts_from_stream(spark, rows, lambda stream: cusum_alerts(stream, load_thresholds()))
+
+
+def _fuzzy(rows: DataFrame, **more) -> DataFrame:
+    return fuzzy_alerts(rows, load_thresholds(), max_time=3600, delta=60, **more)
 
 
 def stream_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = readings_stream(spark, sf_dir)
-    alerts = fuzzy_alerts(rows, load_thresholds(), max_time=3600, delta=60)
-    return _alerts_from_stream(spark, alerts)
+    return _alerts_from_stream(spark, readings(stream_session(spark), sf_dir), _fuzzy)
+
+
+def _from_history_on(spark: SparkSession, sf_dir: str, detector) -> DataFrame:
+    """The first half of the time as a table, the rest as a stream that goes on from it."""
+    rows = readings(stream_session(spark), sf_dir)
+    history, *rest = time_parts(rows, 2)
+    if not rest:
+        return detector(rows)
+    alerts = _alerts_from_stream(spark, rest[0], lambda stream: detector(stream, history=history))
+    return detector(history).unionByName(alerts)
+
+
+def ema_from_history_on(spark: SparkSession, sf_dir: str) -> DataFrame:
+    alerts = _from_history_on(
+        spark, sf_dir, lambda rows, **more: ema_alerts(rows, load_thresholds(), **more)
+    )
+    return _rounded(alerts, "metric_value")
+
+
+def fuzzy_from_history_on(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _from_history_on(spark, sf_dir, _fuzzy)
+
+
+def _alerts_in_blocks(spark: SparkSession, sf_dir: str, detector: str, **settings) -> DataFrame:
+    """A detector over micro-batches that are cut into blocks."""
+    folder = scratch(spark, "blocks")
+    kept = step_alerts(f"{folder}/out", detector, load_thresholds(), f"{folder}/states", **settings)
+    Arrivals.of(*time_parts(readings(spark, sf_dir))).work_off(
+        lambda stream: stream.writeStream.foreachBatch(kept), f"{folder}/checkpoint"
+    )
+    return spark.read.parquet(f"{folder}/out/alerts").drop("batch")
+
+
+def ema_in_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(_alerts_in_blocks(spark, sf_dir, "EMAThresholding"), "metric_value")
+
+
+def cusum_in_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _alerts_in_blocks(spark, sf_dir, "CUSUMThresholding")
+
+
+def fuzzy_in_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _alerts_in_blocks(spark, sf_dir, "FuzzyThresholding", max_time=3600, delta=60)
+
+
+def one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages by topic and reason: alerts, unusable ones, and purchases that come too late."""
+    rows = typed_readings(spark, sf_dir)
+    late = F.col("event_type") == "purchase"
+    folder = scratch(spark, "one-pass")
+    sink = SinkConf("parquet", path=f"{folder}/rows")
+    job = OnePass("EMAThresholding", load_thresholds(), sink, f"{folder}/states", "dead_letters")
+    Arrivals([damaged_messages(rows.filter(~late)), damaged_messages(rows.filter(late))]).work_off(
+        lambda stream: stream.writeStream.foreachBatch(job), f"{folder}/checkpoint", raw=True
+    )
+    sent = spark.read.parquet(f"{folder}/rows")
+    return sent.groupBy("topic", F.get_json_object("value", "$.reason").alias("reason")).agg(
+        F.count("*").alias("messages")
+    )
+
+
+def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the running averages hold in state after the last restart."""
+    folder = scratch(spark, "state")
+
+    def writer(stream: DataFrame):
+        return ema_alerts(stream, load_thresholds()).writeStream.format("noop")
+
+    rows = readings(stream_session(spark), sf_dir)
+    Arrivals.of(*time_parts(rows)).work_off(writer, f"{folder}/checkpoint")
+    state = series_state(stream_session(spark), f"{folder}/checkpoint")
+    return _rounded(state.withColumn("last_at", F.timestamp_micros("last_at")), "ema")
 
 
 def stream_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "routed")
-    alerts = threshold_alerts(readings_stream(spark, sf_dir), load_thresholds())
-    messages = envelope(route_alerts(alerts))
     sink = SinkConf("parquet", path=f"{folder}/rows")
-    _run_stream(spark, message_writer(messages, sink, f"{folder}/checkpoint"), folder)
+
+    def writer(stream: DataFrame):
+        messages = envelope(route_alerts(threshold_alerts(stream, load_thresholds())))
+        return message_writer(messages, sink, f"{folder}/checkpoint")
+
+    rows = readings(stream_session(spark), sf_dir)
+    Arrivals.of(*time_parts(rows)).work_off(writer, f"{folder}/checkpoint")
     written = spark.read.schema("key string, value string, topic string")
     return written.parquet(f"{folder}/rows").select("key", "value", "topic")
 
@@ -329,18 +461,32 @@ QUERIES = {
     "ema_alerts": ema_alert,
     "fuzzy_alerts": fuzzy_wide,
     "fuzzy_alerts_shipped_settings": fuzzy_shipped,
+    "cusum_series": cusum,
+    "cusum_alerts": cusum_alert,
     "training_coverage": coverage,
     "training_window": window,
     "forecast_features": model_features,
     "forecast_training_set": training_rows,
+    "forecast_training_set_by_time": training_rows_by_time,
     "label_balance": balance,
     "forecast_cells": forecast_cells,
+    "forecast_cells_maintained": cells_kept_up,
     "forecast_model_fit": model_fit,
     "forecast_score": score,
     "forecast_majority": majority_score,
     "forecast_alerts": alerts_beside_forecasts,
     "stream_hourly_avg": stream_hourly,
+    "stream_hourly_late": stream_hourly_late,
+    "stream_hourly_retained": stream_retained,
     "stream_ema_alerts": stream_ema,
+    "stream_ema_state": stream_state,
+    "stream_cusum_alerts": stream_cusum,
     "stream_fuzzy_alerts": stream_fuzzy,
+    "stream_ema_in_blocks": ema_in_blocks,
+    "stream_cusum_in_blocks": cusum_in_blocks,
+    "stream_fuzzy_in_blocks": fuzzy_in_blocks,
+    "stream_one_pass": one_pass,
+    "stream_ema_from_history": ema_from_history_on,
+    "stream_fuzzy_from_history": fuzzy_from_history_on,
     "stream_alerts_routed": stream_routed,
 }

@@ -24,8 +24,6 @@ from fieldwatch.sources.readings import (
 )
 from fieldwatch.sources.thresholds import SHIPPED, Thresholds, load_thresholds
 from fieldwatch.streaming.sinks import (
-    BATCH_ID,
-    DAY,
     TOPICS,
     BatchWriter,
     SinkConf,
@@ -37,12 +35,12 @@ from fieldwatch.streaming.sinks import (
     newest_version,
     read_current,
     read_table,
-    read_versions,
     route_alerts,
     topic_of,
     upsert_files,
     upsert_jdbc,
 )
+from fieldwatch.streaming.snapshots import TableFolder, read_parts
 
 MODES = ("anomaly", "metrics", "all")
 BATCH_MODES = ("daily", "train")
@@ -121,7 +119,7 @@ def table_writer(
     path: str | None, conf: JobConf, table: str, keys: list[str], versioned: bool = False
 ) -> BatchWriter:
     """Upserts into the files below ``path``, the database, or both; the last key is a time."""
-    writers = [upsert_files(path, keys[-1], versioned)] if path else []
+    writers = [upsert_files(path, keys, versioned)] if path else []
     if conf.postgres_uri:
         writers.append(upsert_jdbc(jdbc_target(conf.postgres_uri), table, keys))
     if not writers:
@@ -161,14 +159,12 @@ def start_metrics(spark: SparkSession, conf: JobConf) -> StreamingQuery:
 def changed_days(spark: SparkSession, hourly_path: str, after: int | None = None) -> DataFrame:
     """Daily means of the days touched after a version.
 
-    All hours of these days count, whichever batch wrote them; files of other
-    days are not read. Without ``after`` every day is computed.
+    All hours of these days count, whichever batch wrote them; the manifest names the
+    days and their files, and no other file is opened. Without ``after`` every day is
+    computed.
     """
-    versions = read_versions(spark, hourly_path)
-    if after is not None:
-        touched = versions.filter(F.col(BATCH_ID) > after).select(DAY).distinct()
-        first = touched.agg(F.min(DAY)).head()[0]
-        versions = versions.filter(F.col(DAY) >= F.lit(first)).join(touched, DAY, "left_semi")
+    snapshot = TableFolder(spark, hourly_path).snapshot()
+    versions = read_parts(spark, hourly_path, snapshot, snapshot.days_after(after))
     return daily_rollup(latest_rows(versions, HOURLY_KEY))
 
 

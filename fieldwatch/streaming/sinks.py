@@ -1,18 +1,25 @@
 """Sinks: keyed upserts of rollups and topic-routed alert messages."""
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
-from functools import reduce
 from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldwatch.functions.schemas import HOURLY_KEY
+from fieldwatch.streaming.snapshots import (
+    BATCH_ID,
+    DAY,
+    Fold,
+    TableFolder,
+    read_parts,
+    write_version,
+)
+
 # Default topic of each alert category and of forecasts.
 TOPICS = {"orange": "alerts_internal", "red": "alerts_severe", "forecast": "alerts_forecasts"}
 MICROSECOND_FORMAT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
-# Partitions of upserted files: the day that a row is about, then the version that wrote it.
-DAY, BATCH_ID = "day", "batch_id"
 
 BatchWriter = Callable[[DataFrame, int], None]
 # Tasks, and so connections, that read one database table.
@@ -81,38 +88,29 @@ def latest_rows(versions: DataFrame, keys: list[str], version: str = BATCH_ID) -
     return versions.groupBy(*keys).agg(*(F.max_by(name, version).alias(name) for name in others))
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+def newest_of(keys: list[str]) -> Fold:
+    """Folds parts into the newest row of each key, which keeps its version."""
+
+    def fold(versions: DataFrame) -> DataFrame:
+        others = [name for name in versions.columns if name not in (*keys, BATCH_ID, DAY)]
+        newest = [F.max_by(name, BATCH_ID).alias(name) for name in others]
+        return versions.groupBy(*keys, DAY).agg(*newest, F.max(BATCH_ID).alias(BATCH_ID))
+
+    return fold
 
 
 def newest_version(spark: SparkSession, path: str) -> int | None:
-    """The highest version below a path; None where nothing is written."""
-    if not path_exists(spark, path):
-        return None
-    return read_versions(spark, path).agg(F.max(BATCH_ID)).head()[0]
-
-
-def write_version(rows: DataFrame, path: str, time: str, version: int) -> None:
-    """Write rows as one version, by the day of ``time``; days it does not touch stay."""
-    stamped = rows.withColumns({DAY: F.to_date(time), BATCH_ID: F.lit(version).cast("bigint")})
-    (
-        stamped.hint("rebalance", DAY)  # few files for a small batch
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY, BATCH_ID)
-        .parquet(path)
-    )
+    """The highest version of the table at a path; None where nothing is written."""
+    return TableFolder(spark, path).snapshot().newest
 
 
-def upsert_files(path: str, time: str = "start_time", versioned: bool = False) -> BatchWriter:
+def upsert_files(path: str, keys: list[str] = HOURLY_KEY, versioned: bool = False) -> BatchWriter:
     """A ``foreachBatch`` writer that keeps each batch's rows as a version of their own.
 
-    Executors write the rows; a replayed batch replaces its own version and
-    nothing else, and readers take the newest row of each key. A batch holds a
-    key once, as the update mode of an aggregation gives it. A writer counts on
-    from the versions it finds, so batches stay in order when a new checkpoint
-    begins at batch 0 again; ``versioned`` ids are taken as they are.
+    Executors write the rows, and readers take the newest row of each key; the last key
+    is a time. A batch holds a key once, as the update mode of an aggregation gives it.
+    A writer counts on from the versions it finds, so batches stay in order when a new
+    checkpoint begins at batch 0 again; ``versioned`` ids are taken as they are.
     """
     before: list[int] = [0] if versioned else []
 
@@ -120,31 +118,21 @@ def upsert_files(path: str, time: str = "start_time", versioned: bool = False) -
         if not before:
             newest = newest_version(batch.sparkSession, path)
             before.append(0 if newest is None else newest + 1)
-        write_version(batch, path, time, before[0] + batch_id)
+        write_version(batch, path, keys[-1], before[0] + batch_id, newest_of(keys))
 
     return write
 
 
-def read_versions(spark: SparkSession, *paths: str) -> DataFrame:
-    """All written rows below the paths with the batch that wrote them."""
-    tables = [spark.read.option("basePath", path).parquet(path) for path in paths]
-    united = reduce(DataFrame.unionByName, tables)
-    return united.withColumn(BATCH_ID, F.col(BATCH_ID).cast("bigint"))
+def read_versions(spark: SparkSession, path: str, days: Iterable[str] | None = None) -> DataFrame:
+    """All live rows, of some days only if named, with the batch that wrote them."""
+    return read_parts(spark, path, TableFolder(spark, path).snapshot(), days)
 
 
-def read_current(spark: SparkSession, keys: list[str], *paths: str) -> DataFrame:
-    """The upserted table as it stands."""
-    return latest_rows(read_versions(spark, *paths), keys)
-
-
-def compact(spark: SparkSession, keys: list[str], path: str, target: str, up_to: int) -> None:
-    """Fold all versions up to ``up_to`` into one below ``target``; the last key is a time.
-
-    Reading ``target`` and ``path`` together gives the same table before and
-    after the old folders are removed.
-    """
-    done = read_versions(spark, path).filter(F.col(BATCH_ID) <= up_to)
-    write_version(latest_rows(done, keys), target, keys[-1], up_to)
+def read_current(
+    spark: SparkSession, keys: list[str], path: str, days: Iterable[str] | None = None
+) -> DataFrame:
+    """The upserted table as it stands, or some days of it."""
+    return latest_rows(read_versions(spark, path, days), keys)
 
 
 # -- upserts into a database --------------------------------------------------

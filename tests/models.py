@@ -20,6 +20,18 @@ def ema_values(values, alpha, times=None, gap=None):
     return out
 
 
+def cusum_values(values, allowance, times=None, gap=None):
+    """Sums in millionths."""
+    out, total, when = [], 0, None
+    for i, value in enumerate(values):
+        if when is not None and gap is not None and times[i] - when > gap:
+            total = 0
+        total = max(0, total + round((value - allowance) * 1e6))
+        when = times[i] if times is not None else None
+        out.append(total)
+    return out
+
+
 def fuzzy(rows, max_time, delta, limits=None, gap=None):
     """Alerts (microseconds, value, metric, name, category) for time-ordered rows.
 

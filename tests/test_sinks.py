@@ -10,21 +10,22 @@ from fieldwatch.operators.thresholding import threshold_alerts
 from fieldwatch.plans.tables import wire_messages
 from fieldwatch.sources.readings import SourceConf
 from fieldwatch.sources.thresholds import load_thresholds
-from fieldwatch.streaming import jobs
+from fieldwatch.streaming import jobs, snapshots
 from fieldwatch.streaming.jobs import JobConf, changed_days, conf_from_env, run, serving_hours, start
 from fieldwatch.streaming.sinks import (
     SinkConf,
     clear_statement,
-    compact,
     envelope,
     jdbc_target,
     merge_statement,
     message_writer,
+    newest_of,
     read_current,
     read_versions,
     route_alerts,
     upsert_files,
 )
+from fieldwatch.streaming.snapshots import TableFolder, compact, write_version
 
 LIMITS = load_thresholds()
 
@@ -38,7 +39,7 @@ def table(df):
 
 
 def test_upsert_replay_and_compaction(spark, tmp_path):
-    path, target = f"{tmp_path}/hourly", f"{tmp_path}/compacted"
+    path = f"{tmp_path}/hourly"
     write = upsert_files(path)
     write(hours(spark, (0, 1), (1, 2)), 0)
     write(hours(spark, (1, 3), (2, 4)), 1)
@@ -46,13 +47,102 @@ def test_upsert_replay_and_compaction(spark, tmp_path):
     assert [value for _, value in once] == [1, 3, 4]
     write(hours(spark, (1, 3), (2, 4)), 1)
     assert table(read_current(spark, HOURLY_KEY, path)) == once
+    assert read_versions(spark, path).count() == 4
     write(hours(spark, (0, 9)), 10)
     write(hours(spark, (0, 8)), 2)
     newest = table(read_current(spark, HOURLY_KEY, path))
     assert [value for _, value in newest] == [9, 3, 4]
-    compact(spark, HOURLY_KEY, path, target, up_to=2)
-    assert read_versions(spark, target).count() == 3
-    assert table(read_current(spark, HOURLY_KEY, target, path)) == newest
+    compact(spark, path, newest_of(HOURLY_KEY))
+    assert read_versions(spark, path).count() == 3
+    assert table(read_current(spark, HOURLY_KEY, path)) == newest
+    # Rows keep their versions: what comes between them still ranks between them.
+    write(hours(spark, (0, 7), (2, 7)), 5)
+    assert [value for _, value in table(read_current(spark, HOURLY_KEY, path))] == [9, 3, 7]
+
+
+def live_files(df):
+    return {name.split("/unit=")[1].split("/")[1] for name in df.inputFiles()}
+
+
+def test_a_day_opens_its_own_live_files_only(spark, tmp_path):
+    path = f"{tmp_path}/hourly"
+    write = upsert_files(path)
+    for version in range(3):
+        write(hours(spark, *((h, version) for h in range(0, 96))), version)
+    write(hours(spark, (30, 100)), 3)
+    day = read_versions(spark, path, ["2024-01-02"])
+    assert live_files(day) == {"day=2024-01-02"}
+    units = {part.unit for part in TableFolder(spark, path).snapshot().parts if part.day == "2024-01-02"}
+    assert len(units) == 4
+    compact(spark, path, newest_of(HOURLY_KEY), ["2024-01-02"])
+    folded = read_versions(spark, path, ["2024-01-02"])
+    assert len({name.split("/unit=")[1].split("/")[0] for name in folded.inputFiles()}) == 1
+    assert folded.count() == 24
+    values = {r["start_time"].hour: r["avg_value"] for r in read_current(spark, HOURLY_KEY, path, ["2024-01-02"]).collect()}
+    assert values == {hour: 100.0 if hour == 6 else 2.0 for hour in range(24)}
+
+
+def test_crowded_days_are_folded_while_readers_go_on(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(snapshots, "MOST_PARTS", 4)
+    path = f"{tmp_path}/hourly"
+    write = upsert_files(path)
+    write(hours(spark, (0, 0), (1, 0)), 0)
+    begun = read_current(spark, HOURLY_KEY, path)
+    for version in range(1, 12):
+        write(hours(spark, (version % 2, version)), version)
+        assert len(TableFolder(spark, path).snapshot().parts) <= 4
+    assert table(begun) == [(r, 0.0) for r, _ in table(read_current(spark, HOURLY_KEY, path))]
+    assert [value for _, value in table(read_current(spark, HOURLY_KEY, path))] == [10, 11]
+    folder = TableFolder(spark, path)
+    before = len(list((tmp_path / "hourly").glob("unit=*")))
+    assert len(folder.remove_unused(kept=1)) >= 10 and before > 11
+    assert len(list((tmp_path / "hourly").glob("unit=*"))) == len({part.unit for part in folder.snapshot().parts})
+    assert [value for _, value in table(read_current(spark, HOURLY_KEY, path))] == [10, 11]
+    assert folder.manifests() == [folder.snapshot().number]
+
+
+def test_of_two_writers_one_goes_on_from_the_other(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/hourly"
+    upsert_files(path)(hours(spark, (0, 1)), 0)
+    folder = TableFolder(spark, path)
+    stale = folder.snapshot()
+    upsert_files(path)(hours(spark, (1, 2)), 0)
+    assert not folder.commit(stale, stale.schema, stale.parts)
+    assert folder.snapshot().number == 2
+    assert not [f for f in (tmp_path / "hourly" / "_manifests").iterdir() if f.name.startswith("_")]
+    # A write that is overtaken between its look and its commit.
+    real, raced = TableFolder.write_unit, []
+
+    def overtaken(self, rows, name):
+        if not raced:
+            raced.append(name)
+            write_version(hours(spark, (3, 4)), path, "start_time", None, newest_of(HOURLY_KEY))
+        return real(self, rows, name)
+
+    monkeypatch.setattr(TableFolder, "write_unit", overtaken)
+    write_version(hours(spark, (2, 3)), path, "start_time", 7, newest_of(HOURLY_KEY))
+    assert [value for _, value in table(read_current(spark, HOURLY_KEY, path))] == [1, 2, 3, 4]
+
+
+def test_a_crashed_write_is_not_seen_and_is_removed_when_old(spark, tmp_path):
+    path = f"{tmp_path}/hourly"
+    upsert_files(path)(hours(spark, (0, 1)), 0)
+    folder = TableFolder(spark, path)
+    rows = hours(spark, (0, 99)).withColumns({"day": F.to_date("start_time"), "batch_id": F.lit(1).cast("bigint")})
+    folder.write_unit(rows, "v1-crashed")
+    assert [value for _, value in table(read_current(spark, HOURLY_KEY, path))] == [1]
+    assert folder.remove_unused() == []
+    assert folder.remove_unused(leftover_age=-60) == ["v1-crashed"]
+    assert [value for _, value in table(read_current(spark, HOURLY_KEY, path))] == [1]
+
+
+def test_named_writers_count_a_batch_once(spark, tmp_path):
+    path = f"{tmp_path}/sums"
+    for batch, value in ((0, 1), (1, 2), (1, 2), (0, 1), (2, 3)):
+        write_version(hours(spark, (batch, value)), path, "start_time", None, newest_of(HOURLY_KEY), ("job", batch))
+    write_version(hours(spark, (5, 9)), path, "start_time", None, newest_of(HOURLY_KEY), ("other", 0))
+    assert [value for _, value in table(read_versions(spark, path))] == [1, 2, 3, 9]
+    assert TableFolder(spark, path).snapshot().batches == {"job": 2, "other": 0}
 
 
 def test_a_new_checkpoint_does_not_lose_against_older_versions(spark, tmp_path):
@@ -74,8 +164,7 @@ def test_only_touched_days_are_read(spark, tmp_path):
     write(hours(spark, (24 * 2, 1000), (24 * 4, 1000)), 1)
     found = changed_days(spark, path, after=0)
     assert [str(r["log_date"]) for r in found.sort("log_date").collect()] == ["2024-01-03", "2024-01-05"]
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(day" in plan
+    assert live_files(found) == {"day=2024-01-03", "day=2024-01-05"}
 
 
 def test_retention_keeps_the_newest(spark):

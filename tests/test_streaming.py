@@ -6,11 +6,15 @@ from collections import Counter
 import pytest
 
 from conftest import SCHEMA, alert_rows, at, make_readings
-from fieldwatch.operators.dwell import fuzzy_alerts
-from fieldwatch.operators.ema import ema_alerts
-from fieldwatch.operators.rollup import hourly_avg
+from fieldwatch.operators.cusum import CusumRule, cusum_alerts
+from fieldwatch.operators.dwell import UNSET, fuzzy_alerts, fuzzy_state
+from fieldwatch.operators.ema import ema_alerts, ema_series
+from fieldwatch.operators.rollup import hourly_avg, hourly_retained
 from fieldwatch.operators.thresholding import threshold_alerts
 from fieldwatch.sources.thresholds import load_thresholds
+from fieldwatch.streaming.detectors import series_state
+from fieldwatch.streaming.retention import newest_hours, retained_hours
+from fieldwatch.streaming.sinks import upsert_files
 
 LIMITS = load_thresholds()
 
@@ -54,6 +58,7 @@ def chunks(rows, count):
 
 
 DETECTORS = {
+    "cusum": lambda df, **more: cusum_alerts(df, LIMITS, CusumRule(allowance=0.95), **more),
     "ema": lambda df, **more: ema_alerts(df, LIMITS, **more),
     "fuzzy": lambda df, **more: fuzzy_alerts(df, LIMITS, max_time=600, delta=60, **more),
 }
@@ -207,3 +212,95 @@ def test_rule_table_of_the_fuzzy_detector(spark):
 def test_fuzzy_settings_are_checked(spark, max_time, delta):
     with pytest.raises(ValueError):
         fuzzy_alerts(make_readings(spark, [(0, 1)]), LIMITS, max_time=max_time, delta=delta)
+
+
+@pytest.mark.parametrize("name", sorted(DETECTORS))
+@pytest.mark.parametrize("gap", [None, 3600])
+def test_stream_goes_on_from_a_table(spark, tmp_path, name, gap):
+    """Cut anywhere, also inside a band: history and stream give the alerts of the whole."""
+    rows = walk(10, 240)
+    later = [(s, p, at(86_400 + i * 60), 1000 + i, x) for i, (s, p, _, _, x) in enumerate(walk(11, 60))]
+    rows += later
+    whole = alert_rows(DETECTORS[name](spark.createDataFrame(rows, SCHEMA), max_gap=gap))
+    for number, cut in enumerate((61, 240) if gap else (150,)):
+        folder = tmp_path / str(number)
+        history = spark.createDataFrame(rows[:cut], SCHEMA)
+        write_parts(spark, folder, chunks(rows[cut:], 2))
+        stream = DETECTORS[name](stream_of(spark, folder), max_gap=gap, history=history)
+        begun = DETECTORS[name](history, max_gap=gap)
+        assert alert_rows(begun.unionByName(drain(spark, stream, folder))) == whole
+    assert whole
+
+
+def test_series_without_history_and_history_without_news(spark, tmp_path):
+    history = spark.createDataFrame([("SITE_01", "PM10", at(0), 0, 420.0), ("SITE_02", "PM10", at(0), 1, 420.0)], SCHEMA)
+    write_parts(spark, tmp_path, [[("SITE_01", "PM10", at(60), 2, 0.0), ("SITE_03", "PM10", at(60), 3, 360.0)]])
+    stream = ema_alerts(stream_of(spark, tmp_path), LIMITS, alpha=0.1, history=history)
+    assert [(row[0], row[4]) for row in alert_rows(drain(spark, stream, tmp_path))] == [("SITE_01", 378.0), ("SITE_03", 360.0)]
+    state = {row["site_id"]: row["ema"] for row in series_state(spark, f"{tmp_path}/checkpoint").collect()}
+    assert {site: round(x, 6) for site, x in state.items()} == {"SITE_01": 378.0, "SITE_02": 420.0, "SITE_03": 360.0}
+
+
+@pytest.mark.parametrize("blocks", [1, 4, 23])
+def test_timers_at_the_end_of_a_table(spark, blocks):
+    """Allowed are 300 s at 345 under the orange limit of 350."""
+    values = {
+        "clean": [(0, 345), (60, 100)], "waits": [(0, 100), (60, 345), (120, 345)],
+        "fired": [(0, 345), (300, 345)], "again": [(0, 345), (300, 345), (360, 345)], "red": [(0, 345), (60, 425)],
+    }
+    tables = [make_readings(spark, rows, site=site) for site, rows in values.items()]
+    history = tables[0]
+    for table in tables[1:]:
+        history = history.unionByName(table)
+    found = {
+        row["site_id"]: (row["band"], None if row["timer"] == UNSET else row["timer"] // 1_000_000 - int(at(0).timestamp()))
+        for row in fuzzy_state(history, LIMITS, 600, 10, blocks=blocks).collect()
+    }
+    assert found == {"clean": (0, None), "waits": (1, 60), "fired": (1, None), "again": (1, 360), "red": (2, 60)}
+
+
+def test_state_of_a_query_reads_as_a_table(spark, tmp_path):
+    rows = walk(12, 200)
+    for number, part in enumerate(chunks(rows, 2)):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/in/{number}")
+        drain(spark, ema_alerts(stream_of(spark, tmp_path), LIMITS), tmp_path)
+        seen = rows[: (number + 1) * 100]
+        series = ema_series(spark.createDataFrame(seen, SCHEMA)).collect()
+        last = {}
+        for row in sorted(series, key=lambda r: r["event_time"]):
+            last[row["site_id"]] = round(row["ema"], 9)
+        state = series_state(spark, f"{tmp_path}/checkpoint").collect()
+        assert {row["site_id"]: round(row["ema"], 9) for row in state} == last
+
+
+def test_newest_hours_follow_late_and_repeated_hours(spark, tmp_path):
+    """Change logs fold to the newest hours at every step, whatever order rows come in."""
+    rng = random.Random(13)
+    parts, seen, number = [], [], 0
+    for start in (0, 12, 5, 40, 20):
+        part = []
+        for _ in range(30):
+            number += 1
+            part.append((f"SITE_{rng.randrange(2)}", "PM10", at((start + rng.randrange(9)) * 3600 + rng.randrange(3600)), number, float(rng.randrange(100))))
+        parts.append(part)
+    deleted = 0
+    for step, part in enumerate(parts):
+        spark.createDataFrame(part, SCHEMA).repartition(3).write.parquet(f"{tmp_path}/in/{step}")
+        seen += part
+        query = (
+            newest_hours(stream_of(spark, tmp_path), 8)
+            .writeStream.outputMode("update")
+            .foreachBatch(upsert_files(f"{tmp_path}/log"))
+            .option("checkpointLocation", f"{tmp_path}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+        expected = hourly_retained(hourly_avg(spark.createDataFrame(seen, SCHEMA)), 8)
+
+        def plain(df):
+            return sorted((r["site_id"], r["start_time"], round(r["avg_value"], 6)) for r in df.collect())
+
+        assert plain(retained_hours(spark, f"{tmp_path}/log")) == plain(expected)
+        deleted = spark.read.parquet(f"{tmp_path}/log").filter("change = 'delete'").count()
+    assert deleted > 8
