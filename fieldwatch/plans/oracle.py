@@ -312,6 +312,15 @@ SELECT r.site_id, r.pollutant_type, r.event_time, r.concentration,
        CASE WHEN concentration >= red_min THEN 'red' ELSE 'orange' END AS alert_category
 FROM readings r JOIN limits USING (pollutant_type) WHERE concentration >= orange_min""",
     "stream_hourly_avg": HOURLY_ROWS,
+    # Purchases come last, when the watermark stands two hours behind all else.
+    "stream_hourly_late": f"""WITH {READINGS}, mark AS (
+  SELECT max(event_time) - INTERVAL 2 HOUR AS mark FROM readings WHERE event_type <> 'purchase'
+)
+SELECT site_id, pollutant_type, date_trunc('hour', event_time) AS start_time,
+       round(avg(concentration), 6) AS avg_value
+FROM readings, mark
+WHERE event_type <> 'purchase' OR date_trunc('hour', event_time) + INTERVAL 1 HOUR > mark
+GROUP BY 1, 2, 3""",
     "stream_hourly_retained": RETAINED,
     "stream_ema_alerts": EMA_ALERTS,
     "stream_ema_from_history": EMA_ALERTS,

@@ -12,7 +12,7 @@ from fieldwatch.functions.schemas import READING_WIRE
 CORRUPT = "_corrupt"
 # A micro-batch is always bounded, also the first one over a long history.
 OFFSETS_PER_TRIGGER = 5_000_000
-BYTES_PER_TRIGGER = "1g"
+BYTES_PER_TRIGGER = str(1 << 30)
 READING_COLUMNS = [*READING_WIRE.fieldNames(), "event_time"]
 
 
