@@ -13,7 +13,7 @@ from fieldwatch.sources.readings import SourceConf, parse_readings, read_reading
 # Fixed value: the unit sent with every reading.
 UNIT = "µg/m³"
 # Parts that the streams over the given table arrive in.
-STREAM_BATCHES = 5
+STREAM_BATCHES = 3
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
