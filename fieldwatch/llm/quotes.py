@@ -126,9 +126,9 @@ def walk(carry: dict[int, list], summary: bool):
                 if row["level"] == 0:
                     said = latest(said, [(row["sent"], row["message"])])
                 elif not summary:
-                    source = next((m for sent, m in reversed(said) if sent < row["sent"]), None)
+                    source = next((known for known in reversed(said) if known[0] < row["sent"]), None)
                     if source is not None:
-                        out.append((row["message"], row["sent"], row["level"], source))
+                        out.append((row["message"], row["sent"], row["level"], *source))
             if out:
                 yield links(out)
                 out = []
@@ -156,14 +156,15 @@ def walk(carry: dict[int, list], summary: bool):
             )
 
     def links(rows: list[tuple]) -> pa.RecordBatch:
-        columns = [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), [pa.string(), pa.int64(), pa.int32(), pa.string()], strict=True)]
-        return pa.RecordBatch.from_arrays(columns, ["message", "sent", "level", "source"])
+        kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.string()]
+        columns = [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, ["message", "sent", "level", "said_at", "source"])
 
     return run
 
 
 def source_links(passages: DataFrame) -> DataFrame:
-    """``message``, ``sent``, ``level`` and ``source`` of every quote whose passage was said before."""
+    """``message``, ``sent``, ``level``, ``source`` and the time that it ``said_at`` of every quote whose passage was said before."""
     order = ["thread", "hash", "sent", "level", "message"]
     placed = materialise(
         passages.withColumn("origin", F.spark_partition_id())
@@ -185,7 +186,7 @@ def source_links(passages: DataFrame) -> DataFrame:
         goes_on = end.whole and key == end.first
         known = latest(known, said) if goes_on else said
         key = end.last
-    return placed.mapInArrow(walk(carry, False), "message string, sent long, level int, source string")
+    return placed.mapInArrow(walk(carry, False), "message string, sent long, level int, said_at long, source string")
 
 
 def reply_roots(parents: DataFrame) -> DataFrame:
@@ -233,7 +234,7 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     Returns, for each of its rows, ``message``, ``thread``, ``sent``, ``parent``, ``root``
     and ``depth``, and ``own``, the text without quotes and their attributions. The
     parent is the source of the passages at the lowest level that has one: of several,
-    that of most passages, then the latest. A message without thread, time or
+    that of most passages, then the latest, then the largest id. A message without thread, time or
     id, or without a quote that was said before, starts a conversation of its own. Rows
     that repeat an id share their parent. Null and empty texts say nothing. Rows sorted
     by ``root``, ``sent`` and ``message`` are in reply order, as a parent is always sent
@@ -254,9 +255,11 @@ def link_quotes(messages: DataFrame) -> DataFrame:
         "thread", "sent", "message", "quote.level", "quote.hash"
     )
     found = source_links(said.unionByName(quoted))
-    votes = found.groupBy("message", "level", "source").agg(F.count("*").alias("passages"))
+    votes = found.groupBy("message", "level", "source").agg(
+        F.count("*").alias("passages"), F.max("said_at").alias("said_at")
+    )
     parents = votes.groupBy("message").agg(
-        F.max_by("source", F.struct(-F.col("level"), "passages", "source")).alias("parent")
+        F.max_by("source", F.struct(-F.col("level"), "passages", "said_at", "source")).alias("parent")
     )
     ids = usable.select("message").distinct().join(parents, "message", "left")
     tree = reply_roots(ids).select(F.col("message").alias("__message"), "parent", "root", "depth")
@@ -329,6 +332,6 @@ def as_mail(conversations: DataFrame, part_turns: int = PART_TURNS) -> DataFrame
     return turns.select(
         F.col("conv_id").alias("thread"),
         F.col("turn").alias("sent"),
-        F.concat_ws(":", "conv_id", F.lpad(F.col("turn").cast("string"), 10, "0")).alias("message"),
+        F.concat_ws(":", "conv_id", F.when(F.col("turn").isNotNull(), F.format_string("%010d", F.col("turn").cast("long")))).alias("message"),
         mail.alias("text"),
     )

@@ -36,11 +36,11 @@ def slow_parents(rows):
         for level, passage in parsed[row][1]:
             earlier = [r for r in rows if r[0] == row[0] and r[1] < row[1] and passage in parsed[r][0]]
             if earlier:
-                source = max(earlier, key=lambda r: (r[1], r[2]))[2]
-                votes[level, source] = votes.get((level, source), 0) + 1
+                said_at, source = max((r[1], r[2]) for r in earlier)
+                votes[level, said_at, source] = votes.get((level, said_at, source), 0) + 1
         if votes:
-            lowest = min(level for level, _ in votes)
-            parents[row[2]] = max((n, source) for (level, source), n in votes.items() if level == lowest)[1]
+            lowest = min(level for level, *_ in votes)
+            parents[row[2]] = max((n, *source) for (level, *source), n in votes.items() if level == lowest)[-1]
     return parents
 
 
@@ -89,6 +89,20 @@ def test_parents_equal_those_found_by_all_comparisons(spark, partitions):
         assert (r.root, r.depth) == (root, depth)
 
 
+def test_of_equally_quoted_sources_the_latest_is_the_parent(spark):
+    rows = [("t", 1, "z", "first passage"), ("t", 2, "a", "second passage"), ("t", 3, "m", "> first passage\n\n> second passage\n\nYes.")]
+    found = link_quotes(spark.createDataFrame(rows, "thread string, sent long, message string, text string")).collect()
+    assert {r.message: r.parent for r in found} == {"z": None, "a": None, "m": "a"}
+
+
+def test_long_turn_numbers_keep_their_digits(spark):
+    turns = [10**11 + 1, 10**11 + 2, 5, 12 * 10**11 + 1]
+    rows = [(7, turn, "user", f"text {turn}") for turn in turns]
+    mails = as_mail(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert sorted(int(r.message.split(":")[1]) for r in mails) == sorted(turns)
+    assert "7:0000000005" in {r.message for r in mails}
+
+
 def test_mail_made_of_turns_comes_back(spark, small_tables):
     turns = spark.read.parquet(f"{small_tables}/conversations.parquet")
     found = in_reply_order(link_quotes(as_mail(turns))).collect()
