@@ -1,37 +1,29 @@
 """Scores of documents by masked pseudo-likelihood.
 
-All words of the corpus are counted in Spark, in a table that grows with it. Words are
-turned into buckets once, and written to the shared folder as two bytes each.
-Bucket frequencies are counted over the whole corpus. In each round every task trains
-a copy of the network on its part of the corpus, and the copies are averaged by the
-words they have seen, in two steps so that no task adds up all of them. What goes to the
-driver is one network and the most frequent words, whatever the size of the corpus.
+Every text is split once: its words become numbers, 54 bits of a hash above the ten of
+the word's bucket, and are written to the shared folder. All else reads these numbers.
+Words are counted in a table that grows with the corpus, and buckets from it. In each
+round every task trains a copy of the network on its part of the corpus, and the copies
+are averaged by the words they have seen, in two steps so that no task adds up all of
+them. What goes to the driver is one network and the most frequent words, whatever the
+size of the corpus.
 
 The network predicts a word's bucket; the word within it has the share of the bucket's
 words that it makes up in the corpus. Shares of frequent words are looked up where texts
-are read, those of all others come by a join.
+are scored, those of all others come by a join.
 """
 
-from collections import Counter
-from collections.abc import Iterable, Iterator, Sequence
-from hashlib import blake2b
-from itertools import repeat
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldwatch.llm.common import documents_of
-from fieldwatch.llm.masked_model import (
-    BUCKETS,
-    Buckets,
-    Network,
-    bucket_of,
-    buckets_of,
-    train,
-)
+from fieldwatch.llm.masked_model import BUCKETS, Network, bucket_of, train
 from fieldwatch.llm.words import texts_of, words_of
 from fieldwatch.session import materialise
 
@@ -44,119 +36,95 @@ PART = 4096
 FANS = 64
 #: Words are frequent that make up one in so many or more of all words; there are no more than so many.
 FREQUENT = 1 << 16
-#: Longer words are known by a digest. Distinct words that a task counts before it passes them on.
-LONGEST = 64
-COUNTED = 500_000
+#: Words that a task counts at once, and distinct ones whose numbers it keeps.
+COUNTED = 1 << 21
+KEPT = 500_000
 
 
-def key_of(word: bytes) -> bytes:
-    """The word itself, or a digest that is no word."""
-    return word if len(word) <= LONGEST else b"\0" + blake2b(word, digest_size=16).hexdigest().encode()
+class WordNumbers(dict):
+    """The number of each word, found once: two words share one only if hash and bucket agree."""
 
+    def __missing__(self, word: bytes) -> int:
+        number = xxhash.xxh64_intdigest(word) & ~(BUCKETS - 1) | bucket_of(word)
+        number -= (number >> 63) << 64
+        if len(self) < KEPT:
+            self[word] = number
+        return number
 
-def keys_of(words: list[bytes]) -> list[bytes]:
-    return words if max(map(len, words), default=0) <= LONGEST else list(map(key_of, words))
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``row``, a number of its own; ``doc_id``; ``words``, the numbers of all words."""
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """``word``, ``bucket`` and ``times`` of every word of the corpus."""
-
-    def rows(total: Counter, buckets: dict[bytes, int]) -> pa.RecordBatch:
-        found = [buckets[word] if word in buckets else bucket_of(word) for word in total]
-        columns = [pa.array(total, pa.binary()), pa.array(found, pa.int32()), pa.array(total.values(), pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, ["word", "bucket", "times"])
-
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, digests = Counter(), {}
-        for batch in batches:
-            for text in texts_of(batch.column(0)):
-                words = words_of(text)
-                keys = keys_of(words)
-                if keys is not words:
-                    digests |= {key: bucket_of(word) for key, word in zip(keys, words, strict=True) if key[:1] == b"\0"}
-                total.update(keys)
-                if len(total) >= COUNTED:
-                    yield rows(total, digests)
-                    total, digests = Counter(), {}
-        yield rows(total, digests)
-
-    counted = documents_of(docs).select("text").mapInArrow(count, "word binary, bucket int, times long")
-    return materialise(counted.groupBy("word", "bucket").agg(F.sum("times").alias("times")))
-
-
-def word_shares(docs: DataFrame) -> tuple[DataFrame, list[tuple[bytes, int, float]]]:
-    """``word`` and ``share``, the logarithm of its share of its bucket's words; and the frequent words with bucket and share."""
-    words = word_counts(docs)
-    by_bucket = words.groupBy("bucket").agg(F.sum("times").alias("of"))
-    total = sum(row.of for row in by_bucket.collect())
-    shares = words.join(F.broadcast(by_bucket), "bucket").withColumn("share", F.log(F.col("times") / F.col("of")))
-    often = F.col("times") * F.lit(FREQUENT) >= F.lit(total)
-    frequent = [(bytes(row.word), row.bucket, row.share) for row in shares.filter(often).collect()]
-    return shares.filter(~often).select("word", "share"), frequent
-
-
-def bucketed(docs: DataFrame, frequent: Sequence[tuple[bytes, int, float]] = ()) -> DataFrame:
-    """``row``, a number of its own; ``doc_id``; ``buckets``, those of all words as 16-bit numbers.
-
-    ``within`` is the sum of the shares of frequent words, ``rest`` holds all other words.
-    """
-    numbers = {word: number for number, (word, _, _) in enumerate(frequent)}
-    frequent_buckets = np.array([bucket for _, bucket, _ in frequent], dtype=np.uint16)
-    shares = np.array([share for _, _, share in frequent])
-
-    @F.arrow_udf("struct<buckets:binary,within:double,rest:binary>")
+    @F.arrow_udf("binary")
     def found(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = Buckets()
+        known = WordNumbers()
         for texts in parts:
-            buckets, within, rest = [], [], []
-            for text in texts_of(texts):
-                words = words_of(text)
-                keys = keys_of(words)
-                places = np.fromiter(map(numbers.get, keys, repeat(-1)), np.int64, len(keys))
-                others = np.flatnonzero(places < 0).tolist()
-                often = places >= 0
-                mine = np.empty(len(keys), dtype=np.uint16)
-                mine[often] = frequent_buckets[places[often]]
-                mine[others] = [known[words[i]] for i in others]
-                buckets.append(mine.tobytes())
-                within.append(float(shares[places[often]].sum()))
-                rest.append(b" ".join([keys[i] for i in others]))
-            columns = [pa.array(buckets, pa.binary()), pa.array(within, pa.float64()), pa.array(rest, pa.binary())]
-            yield pa.StructArray.from_arrays(columns, ["buckets", "within", "rest"])
-
-    numbered = documents_of(docs).withColumn("row", F.monotonically_increasing_id())
-    return materialise(numbered.select("row", "doc_id", found(F.col("text")).alias("found")).select("row", "doc_id", "found.*"))
-
-
-def rest_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``row``, ``word`` and ``times`` of the words in ``rest``."""
-    for batch in batches:
-        for row, rest in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            counts = Counter(rest.split())
-            if counts:
-                columns = [pa.array([row] * len(counts)), pa.array(counts, pa.binary()), pa.array(counts.values(), pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["row", "word", "times"])
+            split = map(words_of, texts_of(texts))
+            yield pa.array(
+                [np.fromiter(map(known.__getitem__, words), np.int64, len(words)).tobytes() for words in split],
+                pa.binary(),
+            )
 
+    rows = documents_of(docs).withColumn("row", F.monotonically_increasing_id())
+    return materialise(rows.select("row", "doc_id", found(F.col("text")).alias("words")))
 
-def bucket_arrays(column: pa.Array) -> Iterator[np.ndarray]:
-    """Buckets of each text of a column."""
+
+def word_arrays(column: pa.Array) -> Iterator[np.ndarray]:
+    """Numbers of the words of each text of a column."""
     for packed in column.to_pylist():
-        yield np.frombuffer(packed, dtype=np.uint16).astype(np.int64)
+        yield np.frombuffer(packed, dtype=np.int64)
+
+
+def bucket_arrays(column: pa.Array) -> Iterator[np.ndarray]:
+    """Buckets of the words of each text of a column."""
+    for words in word_arrays(column):
+        yield words & (BUCKETS - 1)
 
 
-def bucket_counts(rows: DataFrame) -> np.ndarray:
-    """Words per bucket over all texts."""
+def count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``word`` and ``times``, for so many words at once."""
+    waiting, pending = [], 0
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, dtype=np.int64)
-        for batch in batches:
-            for buckets in bucket_arrays(batch.column(0)):
-                total += np.bincount(buckets, minlength=BUCKETS)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS)), pa.array(total)], ["bucket", "times"])
+    def counted() -> pa.RecordBatch:
+        words, times = np.unique(np.concatenate(waiting), return_counts=True)
+        waiting.clear()
+        return pa.RecordBatch.from_arrays([pa.array(words), pa.array(times)], ["word", "times"])
 
-    counted = rows.select("buckets").mapInArrow(count, "bucket long, times long")
+    for batch in batches:
+        for words in word_arrays(batch.column(0)):
+            waiting.append(words)
+            pending += len(words)
+            if pending >= COUNTED:
+                yield counted()
+                pending = 0
+    if pending:
+        yield counted()
+
+
+def word_counts(rows: DataFrame) -> DataFrame:
+    """``word``, ``bucket`` and ``times`` of every word of the corpus."""
+    counted = rows.select("words").mapInArrow(count_words, "word long, times long")
+    total = counted.groupBy("word").agg(F.sum("times").alias("times"))
+    return materialise(total.withColumn("bucket", F.col("word").bitwiseAND(F.lit(BUCKETS - 1))))
+
+
+def word_shares(words: DataFrame, by_bucket: np.ndarray) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """``word`` and ``share``, the logarithm of its share of its bucket's words; and the
+    frequent words, in order, with theirs."""
+    of = words.sparkSession.createDataFrame(
+        pa.table({"bucket": np.arange(BUCKETS), "of": by_bucket.astype(np.int64)})
+    )
+    shares = words.join(F.broadcast(of), "bucket").withColumn("share", F.log(F.col("times") / F.col("of")))
+    often = F.col("times") * F.lit(FREQUENT) >= F.lit(int(by_bucket.sum()))
+    frequent = shares.filter(often).orderBy("word").select("word", "share").toArrow()
+    columns = (frequent.column(name).to_numpy() for name in ("word", "share"))
+    return shares.filter(~often).select("word", "share"), *columns
+
+
+def bucket_counts(words: DataFrame) -> np.ndarray:
+    """Words per bucket, from the counts of words."""
     total = np.zeros(BUCKETS)
-    for bucket, times in counted.groupBy("bucket").agg(F.sum("times")).collect():
+    for bucket, times in words.groupBy("bucket").agg(F.sum("times")).collect():
         total[bucket] = times
     return total
 
@@ -208,14 +176,14 @@ def add_parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def fit_network(rows: DataFrame, rounds: int = ROUNDS, every: int = EVERY) -> Network:
-    """A network trained on all rows of ``bucketed``. Without words it knows nothing but evens out."""
+def fit_network(rows: DataFrame, by_bucket: np.ndarray, rounds: int = ROUNDS, every: int = EVERY) -> Network:
+    """A network trained on all rows of ``numbered``. Without words it knows nothing but evens out."""
     schema = "part int, fan int, seen double, weights array<float>"
-    network = Network.start(bucket_counts(rows))
+    network = Network.start(by_bucket)
     for number in range(rounds):
         flat = network.flat()
         train_copies = train_part(flat, every, number * every // rounds)
-        copies = rows.select("buckets").mapInArrow(train_copies, schema)
+        copies = rows.select("words").mapInArrow(train_copies, schema)
         sums = copies.repartition("part", "fan").mapInArrow(add_parts, schema)
         sums = sums.withColumn("fan", F.lit(0)).repartition("part").mapInArrow(add_parts, schema)
         for row in sums.collect():
@@ -233,28 +201,42 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS, every: int = EVERY) -
     (null without words). One row for each row of ``docs``, repeated rows included; null
     and empty texts have no words and likelihood 0. An empty table gives no rows.
     """
-    shares, frequent = word_shares(docs)
-    rows = bucketed(docs, frequent)
-    flat = fit_network(rows, rounds, every).flat()
+    rows = numbered(docs)
+    words = word_counts(rows)
+    by_bucket = bucket_counts(words)
+    shares, often, often_share = word_shares(words, by_bucket)
+    flat = fit_network(rows, by_bucket, rounds, every).flat()
 
-    @F.arrow_udf("struct<n_words:long,log_likelihood:double>")
+    @F.arrow_udf("struct<n_words:long,bucketwise:double,within:double,rest:array<long>,times:array<long>>")
     def scored(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         network = Network.of(flat)
         for texts in parts:
+            counts, within, rest, times = [], [], [], []
+            for numbers in word_arrays(texts):
+                place = np.minimum(np.searchsorted(often, numbers), max(0, len(often) - 1))
+                known = often[place] == numbers if len(often) else np.zeros(len(numbers), dtype=bool)
+                counts.append(len(numbers))
+                within.append(float(often_share[place[known]].sum()))
+                others, repeats = np.unique(numbers[~known], return_counts=True)
+                rest.append(others)
+                times.append(repeats)
             sums = list(network.scores(bucket_arrays(texts)))
-            counts = [len(packed) // 2 for packed in texts.to_pylist()]
-            yield pa.StructArray.from_arrays(
-                [pa.array(counts, pa.int64()), pa.array(sums, pa.float64())], ["n_words", "log_likelihood"]
-            )
-
-    rest = rows.select("row", "rest").mapInArrow(rest_words, "row long, word binary, times long")
+            offsets = np.cumsum([0, *map(len, rest)]).astype(np.int32)
+            lists = [
+                pa.ListArray.from_arrays(offsets, np.concatenate([np.empty(0, np.int64), *each])) for each in (rest, times)
+            ]
+            columns = [pa.array(counts, pa.int64()), pa.array(sums, pa.float64()), pa.array(within, pa.float64()), *lists]
+            yield pa.StructArray.from_arrays(columns, ["n_words", "bucketwise", "within", "rest", "times"])
+
+    found = materialise(rows.select("row", "doc_id", scored(F.col("words")).alias("score")).select("row", "doc_id", "score.*"))
+    rest = found.select("row", F.inline(F.arrays_zip(F.col("rest").alias("word"), F.col("times").alias("times"))))
     sums = rest.join(shares, "word").groupBy("row").agg(F.sum(F.col("times") * F.col("share")).alias("beyond"))
     mean = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))
     return (
-        rows.select("row", "doc_id", "within", scored(F.col("buckets")).alias("score"))
+        found.drop("rest", "times")
         .join(sums, "row", "left")
-        .withColumn("beyond", F.coalesce("beyond", F.lit(0.0)))
-        .select("doc_id", "score.n_words", (F.col("score.log_likelihood") + F.col("within") + F.col("beyond")).alias("log_likelihood"))
+        .withColumn("log_likelihood", F.col("bucketwise") + F.col("within") + F.coalesce("beyond", F.lit(0.0)))
+        .select("doc_id", "n_words", "log_likelihood")
         .withColumn("mean_log_probability", mean)
         .withColumn("perplexity", F.exp(-F.col("mean_log_probability")))
     )

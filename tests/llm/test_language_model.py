@@ -7,7 +7,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldwatch.llm import language_model
-from fieldwatch.llm.language_model import bucket_counts, bucketed, fit_network, score_documents
+from fieldwatch.llm.language_model import (
+    WordNumbers,
+    bucket_counts,
+    fit_network,
+    numbered,
+    score_documents,
+    word_counts,
+)
 from fieldwatch.llm.masked_model import (
     BUCKETS,
     MEMBERS,
@@ -38,6 +45,11 @@ def sentences(seed, count, words=200):
     return made
 
 
+def fitted(df):
+    rows = numbered(df)
+    return fit_network(rows, bucket_counts(word_counts(rows)))
+
+
 def slow_log_probabilities(network, buckets):
     """Word by word, over all buckets at once."""
     padded = [BUCKETS] * 2 + buckets.tolist() + [BUCKETS] * 2
@@ -134,7 +146,7 @@ def test_the_registered_rounds_learn_from_every_word(spark, monkeypatch):
         return train_part(start, every, first)
 
     monkeypatch.setattr(language_model, "train_part", recorded)
-    fit_network(bucketed(table(spark, [(1, "a b c")])))
+    fitted(table(spark, [(1, "a b c")]))
 
     class Learner:
         def __init__(self):
@@ -177,7 +189,7 @@ def test_a_word_scores_by_its_own_count_in_the_corpus(spark, monkeypatch, most):
     texts += [" ".join(f"v{int(rnd.paretovariate(0.4))}" for _ in range(100)) for _ in range(60)]
     ids = [i if i != 3 else 1 for i in range(len(texts))]
     df = table(spark, list(zip(ids, texts, strict=True))).repartition(3).cache()
-    network = fit_network(bucketed(df))
+    network = fitted(df)
     expected = {
         text: network.log_probabilities(buckets_of(text.encode(), Buckets())).sum() + slow_share(texts, text) for text in texts
     }
@@ -192,9 +204,30 @@ def test_a_word_scores_by_its_own_count_in_the_corpus(spark, monkeypatch, most):
 
 def test_counts_cover_the_corpus_and_empty_tables_work(spark):
     df = table(spark, [(i, "a b c") for i in range(30)] + [(99, None)])
-    assert bucket_counts(bucketed(df)).sum() == 90
+    assert bucket_counts(word_counts(numbered(df))).sum() == 90
     empty = df.limit(0)
     assert score_documents(empty).collect() == []
-    network = fit_network(bucketed(empty))
+    network = fitted(empty)
     assert np.allclose(network.log_probabilities(np.array([3])), -np.log(BUCKETS), atol=0.1)
     assert MEMBERS * network.class_bias.shape[0] == BUCKETS
+
+
+def test_words_are_numbered_by_hash_and_bucket(spark):
+    known = WordNumbers()
+    words = [f"word{i}".encode() for i in range(5000)] + [b"x" * 100_000]
+    numbers = [known[word] for word in words]
+    assert len(set(numbers)) == len(words) and min(numbers) < 0 < max(numbers)
+    assert [number % BUCKETS for number in numbers] == [crc32(word) % BUCKETS for word in words]
+    texts = ["a b a", None, "", "B c"]
+    rows = numbered(table(spark, list(enumerate(texts)))).collect()
+    found = {row.doc_id: np.frombuffer(row.words, dtype=np.int64).tolist() for row in rows}
+    assert found == {i: [known[w.encode()] for w in (t or "").lower().split()] for i, t in enumerate(texts)}
+
+
+def test_counts_of_words_come_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "COUNTED", 7)
+    texts = ["a b c d e f g h", "a", "a b", "h h h h h h h h h"]
+    known = WordNumbers()
+    counts = {row.word: row.times for row in word_counts(numbered(table(spark, list(enumerate(texts))).coalesce(1))).collect()}
+    expected = Counter(known[word.encode()] for text in texts for word in text.split())
+    assert counts == expected
