@@ -24,8 +24,6 @@ from fieldwatch.functions.schemas import SERIES
 from fieldwatch.operators.blocks import filled, numbers, ordered_blocks, series_starts, tie_columns
 from fieldwatch.session import materialise
 
-#: Parts of cut series go to every task; there are less than two for each block.
-MOST_BLOCKS = 200_000
 #: Requests that one task answers.
 REQUESTS = 1 << 20
 ROWS_AT_ONCE = 1 << 14
@@ -61,9 +59,7 @@ class Parts:
 
 
 def cut_series(ordered: DataFrame) -> Parts:
-    """Parts of series that several blocks hold: at most two rows for each block."""
-    if ordered.rdd.getNumPartitions() > MOST_BLOCKS:
-        raise ValueError(f"targets by time take at most {MOST_BLOCKS} blocks; set fewer shuffle partitions")
+    """Parts of series that several blocks hold: at most two rows for each block, sent to every task."""
     parts = ordered.groupBy(*SERIES, "block").agg(
         F.min("at").alias("first_at"),
         F.max("at").alias("last_at"),

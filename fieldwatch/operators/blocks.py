@@ -30,6 +30,8 @@ from fieldwatch.session import materialise
 TIE_BREAKS = ("event_id", "sensor_id")
 #: Blocks, or groups of them, under one node of the tree of summaries.
 FAN_OUT = 64
+#: A row for each block goes to every task, so there are no more blocks than this.
+MOST_BLOCKS = 200_000
 Batches = Iterable[pa.RecordBatch]
 Step = Callable[[Batches], Iterator[pa.RecordBatch]]
 
@@ -55,9 +57,12 @@ def ordered_blocks(
 
     ``at`` is the event time in microseconds, ``block`` the number of the block
     and ``pos`` the row's place in it. Without ``blocks`` the session's shuffle
-    partitions apply and AQE merges small ones. The written rows keep each
-    row's block fixed, also when an executor is lost later.
+    partitions apply and AQE merges small ones; there are ``MOST_BLOCKS`` at most. The
+    written rows keep each row's block fixed, also when an executor is lost later.
     """
+    asked = blocks or int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if asked > MOST_BLOCKS:
+        blocks = MOST_BLOCKS
     ties = tie_columns(readings)
     thin = usable(readings).select(
         *SERIES, F.unix_micros("event_time").alias("at"), *ties, *payload
@@ -118,10 +123,22 @@ def with_neighbours(
     summaries = told.select("block", "pos", "row_count", *SERIES, "at", *columns).mapInArrow(
         summarise, summary_schema
     )
+    return with_carries(blocks, summaries, merge, summary_schema, fold, carry_type, fan_out)
+
+
+def with_carries(
+    blocks: DataFrame,
+    summaries: DataFrame,
+    merge: Step,
+    summary_schema: str,
+    fold: Step,
+    carry_type: str,
+    fan_out: int = FAN_OUT,
+) -> DataFrame:
+    """Blocks with the carry that their summaries make, in the first row of each."""
     # Blocks are numbered by task, so there are no more than tasks.
-    carries = carried_down(
-        summaries, blocks.rdd.getNumPartitions(), merge, summary_schema, fold, carry_type, fan_out
-    )
+    most = blocks.rdd.getNumPartitions()
+    carries = carried_down(summaries, most, merge, summary_schema, fold, carry_type, fan_out)
     carried = blocks.join(F.broadcast(carries), "block", "left")
     return carried.withColumn("carry", F.when(F.col("pos") == 0, F.col("carry")))
 

@@ -24,13 +24,13 @@ from fieldwatch.operators.blocks import (
     behind,
     filled,
     numbers,
-    one_row,
     ordered_blocks,
     seconds_to_micros,
     series_starts,
     tie_columns,
     with_neighbours,
 )
+from fieldwatch.operators.effects import Effects, ends
 from fieldwatch.sources.thresholds import Thresholds
 
 METRIC = "cusum"
@@ -93,22 +93,7 @@ def after(effect: tuple[int, int], given: int) -> int:
     return max(effect[1], given + effect[0])
 
 
-SUMMARY = (
-    "block int, part int, head_site string, head_pollutant string, head_at bigint, "
-    "tail_site string, tail_pollutant string, tail_at bigint, shift bigint, floor bigint"
-)
-
-
-def _ends(end: str, place: Place) -> dict:
-    return {f"{end}_site": place.site_id, f"{end}_pollutant": place.pollutant_type, f"{end}_at": place.at}
-
-
-def _row(unit: dict) -> pa.RecordBatch:
-    kinds = {"block": pa.int32(), "part": pa.int32()}
-    for end in ("head", "tail"):
-        kinds |= {f"{end}_site": pa.string(), f"{end}_pollutant": pa.string(), f"{end}_at": pa.int64()}
-    kinds |= {"shift": pa.int64(), "floor": pa.int64()}
-    return one_row(**{name: (unit[name], kind) for name, kind in kinds.items()})
+SUMS = Effects("bigint", pa.int64(), chained, after, lambda total: (-FAR, total))
 
 
 def _summarise(gap: int | None):
@@ -129,64 +114,8 @@ def _summarise(gap: int | None):
             effect = (-FAR, end) if len(begins) else chained(effect, (int(excesses.sum()), end))
             tail = Place.of(batch, batch.num_rows - 1)
         if head is not None:
-            ends = _ends("head", head) | _ends("tail", tail)
-            yield _row({"block": block, "part": 0, "shift": effect[0], "floor": effect[1]} | ends)
-
-    return run
-
-
-def _goes_on(unit: dict, before: dict, gap: int | None) -> bool:
-    head = Place(unit["head_site"], unit["head_pollutant"], unit["head_at"])
-    return head.continues(Place(before["tail_site"], before["tail_pollutant"], before["tail_at"]), gap)
-
-
-def _units(batches):
-    return (row for batch in filled(batches) for row in batch.to_pylist())
-
-
-def _merge(gap: int | None):
-    """One summary for each group of neighbouring ones."""
-
-    def run(batches):
-        whole = None
-        for unit in _units(batches):
-            if whole is None or whole["block"] != unit["group"]:
-                if whole:
-                    yield _row(whole)
-                whole = unit | {"block": unit["group"], "part": 0}
-                continue
-            own = (unit["shift"], unit["floor"])
-            if _goes_on(unit, whole, gap):
-                shift, floor = chained((whole["shift"], whole["floor"]), own)
-            else:
-                # A series begins here: its sum starts from nothing.
-                shift, floor = -FAR, after(own, 0)
-            whole |= {"shift": shift, "floor": floor}
-            whole |= {name: value for name, value in unit.items() if name.startswith("tail_")}
-        if whole:
-            yield _row(whole)
-
-    return run
-
-
-def _fold(gap: int | None):
-    """The sum each unit is given; ``carry`` is the one given to its group."""
-
-    def run(batches):
-        blocks, sums = [], []
-        before, out = None, 0
-        for unit in _units(batches):
-            if before is None or before["group"] != unit["group"]:
-                given = unit["carry"]
-            else:
-                given = out if _goes_on(unit, before, gap) else None
-            if given is not None:
-                blocks.append(unit["block"])
-                sums.append(given)
-            before, out = unit, after((unit["shift"], unit["floor"]), given or 0)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(blocks, pa.int32()), pa.array(sums, pa.int64())], names=["block", "carry"]
-        )
+            unit = {"block": block, "part": 0, "p": effect[0], "q": effect[1], "fresh": after(effect, 0)}
+            yield SUMS.row(unit | ends("head", head) | ends("tail", tail))
 
     return run
 
@@ -242,7 +171,7 @@ def _summed(
     started = behind(begun, exceeding, F.col("last_at"), concentration=F.lit(0.0), excess=F.col("total"))
     ordered = ordered_blocks(started, ["concentration", "excess", "orange_min", "seed"], blocks)
     carried = with_neighbours(
-        ordered, ["excess"], F.lit(True), _summarise(gap), SUMMARY, _merge(gap), _fold(gap), "bigint", fan_out
+        ordered, ["excess"], F.lit(True), _summarise(gap), SUMS.schema, SUMS.merge(gap), SUMS.fold(gap), "bigint", fan_out
     )
     columns = [*SERIES, "at", *tie_columns(readings), "concentration", "orange_min", "seed"]
     types = dict(ordered.dtypes)

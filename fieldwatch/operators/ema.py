@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 
 from fieldwatch.functions.schemas import SERIES
 from fieldwatch.operators.blocks import (
+    FAN_OUT,
     Place,
     behind,
     filled,
@@ -17,12 +18,15 @@ from fieldwatch.operators.blocks import (
     seconds_to_micros,
     series_starts,
     tie_columns,
+    with_carries,
 )
+from fieldwatch.operators.effects import Effects
 from fieldwatch.sources.thresholds import Thresholds
 
 # Fixed value: the metric name carried by these alerts.
 METRIC = "ema"
 
+
 def check_alpha(alpha: float) -> float:
     if not 0 < alpha <= 1:
         raise ValueError(f"alpha must lie in (0, 1], got {alpha}")
@@ -47,10 +51,10 @@ def smooth(values: np.ndarray, starts: np.ndarray, alpha: float, carry: float |
 
 
 def block_ends(ordered: DataFrame, alpha: float, gap: int | None) -> DataFrame:
-    """One row per block: its first and last row, and the average it ends with.
+    """One row per block: its first and last row, and its effect on the average.
 
-    The average is a weighted sum over the block's last stretch of one series, taken in
-    the JVM. ``whole`` says that the stretch is the whole block.
+    The average it ends with is a weighted sum over the block's last stretch of one
+    series, taken in the JVM.
     """
     decay = 1.0 - alpha
     place = F.struct(*SERIES, "at")
@@ -82,51 +86,33 @@ def block_ends(ordered: DataFrame, alpha: float, gap: int | None) -> DataFrame:
     )
     # The first value of a stretch counts in full.
     rest = F.pow(F.lit(decay), (F.col("row_count") - F.col("start")).cast("double"))
+    end_value = F.col("total") + rest * F.col("start_value")
+    # Started at average c instead of its own first value, a block of n rows ends
+    # (1 - alpha)**n * (c - first value) higher; nothing is left of c where the stretch
+    # is not the whole block.
+    factor = F.when(F.col("start") == 0, F.pow(F.lit(decay), F.col("row_count").cast("double"))).otherwise(0.0)
     return edges.join(sums, "block").select(
         "block",
+        F.lit(0).alias("part"),
         F.col("head.site_id").alias("head_site"),
         F.col("head.pollutant_type").alias("head_pollutant"),
         F.col("head.at").alias("head_at"),
         F.col("tail.site_id").alias("tail_site"),
         F.col("tail.pollutant_type").alias("tail_pollutant"),
         F.col("tail.at").alias("tail_at"),
-        (F.col("start") == 0).alias("whole"),
-        "row_count",
-        "first_value",
-        (F.col("total") + rest * F.col("start_value")).alias("end_value"),
+        factor.alias("p"),
+        (end_value - factor * F.col("first_value")).alias("q"),
+        end_value.alias("fresh"),
     )
 
 
-def _fold(alpha: float, gap: int | None):
-    """Average at the end of each block's predecessor, where the series goes on.
-
-    Started at average ``c`` instead of its own first value, a block of ``n``
-    rows ends ``(1 - alpha)**n * (c - first value)`` higher; nothing of it is
-    left where the block is not ``whole``.
-    """
-
-    def run(batches):
-        tail, out = None, None
-        for batch in filled(batches):
-            found = []
-            for row in batch.to_pylist():
-                head = Place(row["head_site"], row["head_pollutant"], row["head_at"])
-                carry = out if head.continues(tail, gap) else None
-                out = row["end_value"]
-                if carry is not None:
-                    found.append((row["block"], carry))
-                    if row["whole"]:
-                        out += (1.0 - alpha) ** row["row_count"] * (carry - row["first_value"])
-                tail = Place(row["tail_site"], row["tail_pollutant"], row["tail_at"])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([block for block, _ in found], pa.int32()),
-                    pa.array([carry for _, carry in found], pa.float64()),
-                ],
-                names=["block", "carry"],
-            )
-
-    return run
+AVERAGES = Effects(
+    "double",
+    pa.float64(),
+    chain=lambda first, second: (first[0] * second[0], first[1] * second[0] + second[1]),
+    after=lambda effect, given: effect[0] * given + effect[1],
+    forgets=lambda average: (0.0, average),
+)
 
 
 def _emit(alpha: float, gap: int | None, columns: list[str]):
@@ -154,20 +140,15 @@ def _smoothed(
     blocks: int | None,
     ties: list[str],
     begun: DataFrame | None = None,
+    fan_out: int = FAN_OUT,
 ) -> DataFrame:
     check_alpha(alpha)
     gap = seconds_to_micros(max_gap)
     # A first value counts in full, so an average stands as one.
     started = behind(begun, readings, F.col("last_at"), concentration=F.col("ema"))
     ordered = ordered_blocks(started, ["concentration", "seed"], blocks)
-    carries = (
-        block_ends(ordered, alpha, gap)
-        .repartition(1)
-        .sortWithinPartitions("block")
-        .mapInArrow(_fold(alpha, gap), "block int, carry double")
-    )
-    carried = ordered.join(F.broadcast(carries), "block", "left").withColumn(
-        "carry", F.when(F.col("pos") == 0, F.col("carry"))
+    carried = with_carries(
+        ordered, block_ends(ordered, alpha, gap), AVERAGES.merge(gap), AVERAGES.schema, AVERAGES.fold(gap), "double", fan_out
     )
     columns = [*SERIES, "at", *ties, "concentration", "seed"]
     types = dict(ordered.dtypes)
@@ -187,12 +168,13 @@ def ema_series(
     alpha: float = 0.3,
     max_gap: float | None = None,
     blocks: int | None = None,
+    fan_out: int = FAN_OUT,
 ) -> DataFrame:
     """Every reading of a batch table with the moving average of its series.
 
     ``max_gap`` (seconds) restarts a series after a longer silence.
     """
-    return _smoothed(readings, alpha, max_gap, blocks, tie_columns(readings))
+    return _smoothed(readings, alpha, max_gap, blocks, tie_columns(readings), fan_out=fan_out)
 
 
 def alerts_on_ema(series: DataFrame, thresholds: Thresholds) -> DataFrame:

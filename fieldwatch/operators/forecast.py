@@ -266,24 +266,22 @@ def forecast_score(readings: DataFrame, model: ForecastModel) -> DataFrame:
     The scoring table has at most bins x 24 x 7 rows. A reading outside it is
     forecast green_yellow.
     """
-    base = readings.select(
-        "site_id",
-        "event_time",
-        "pollutant_type",
-        *features(F.col("concentration"), F.col("event_time")),
-    )
-    scored = with_cell(base, model.edges).join(F.broadcast(model.table), CELL, "left")
-    horizons = F.array(
-        *(
-            F.struct(
-                F.lit(name).alias("timescale"), class_name(F.col(name)).alias("predicted_category")
-            )
-            for name in HORIZONS
-        )
-    )
-    return scored.select("site_id", "event_time", "pollutant_type", F.inline(horizons)).select(
-        *FORECAST.fieldNames()
-    )
+    scored = with_classes(readings.select("site_id", "event_time", "pollutant_type", "concentration"), model)
+    return scored.select(F.inline(F.array(*(F.struct(*row) for row in forecasts()))))
+
+
+def with_classes(readings: DataFrame, model: ForecastModel) -> DataFrame:
+    """Readings with the class that the model gives them, in a column for each horizon."""
+    featured = readings.select("*", *features(F.col("concentration"), F.col("event_time")))
+    return with_cell(featured, model.edges).join(F.broadcast(model.table), CELL, "left")
+
+
+def forecasts() -> list[list[Column]]:
+    """The columns of each horizon's forecast, for rows with classes."""
+    names = FORECAST.fieldNames()
+    return [
+        [*names[:3], F.lit(name).alias(names[3]), class_name(F.col(name)).alias(names[4])] for name in HORIZONS
+    ]
 
 
 def forecast_alerts(readings: DataFrame, thresholds: Thresholds) -> DataFrame:
@@ -291,4 +289,4 @@ def forecast_alerts(readings: DataFrame, thresholds: Thresholds) -> DataFrame:
 
     Orange reaches up to red min here, and the breached limit is reported.
     """
-    return open_orange_alerts(readings, thresholds, metric=("orange_min", "red_min"))
+    return open_orange_alerts(readings, thresholds, report_limit=True)

@@ -1,9 +1,10 @@
 """Hourly and daily means, the bounded serving view and the latest readings."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldwatch.functions.schemas import HOURLY_KEY, SERIES
+from fieldwatch.functions.schemas import DAILY_KEY, HOURLY_KEY, SERIES
+from fieldwatch.operators.blocks import usable
 
 
 def hourly_avg(readings: DataFrame, watermark: str = "2 hours") -> DataFrame:
@@ -28,6 +29,39 @@ def daily_rollup(hourly: DataFrame) -> DataFrame:
     )
 
 
+def hourly_sums(readings: DataFrame) -> DataFrame:
+    """Sum and number of measured readings per hour, site and pollutant.
+
+    Such rows add up: those of two batches are those of both together.
+    """
+    measured = usable(readings)
+    return (
+        measured.groupBy(F.window("event_time", "1 hour").alias("hour"), *SERIES)
+        .agg(F.sum("concentration").alias("total"), F.count("*").alias("readings"))
+        .select(*SERIES, F.col("hour.start").alias("start_time"), "total", "readings")
+    )
+
+
+def daily_sums(hours: DataFrame) -> DataFrame:
+    """Sums of hours per day."""
+    return added_up(hours.withColumn("log_date", F.to_date("start_time")), DAILY_KEY)
+
+
+def added_up(sums: DataFrame, keys: list[str], *others: Column) -> DataFrame:
+    """One row for each key."""
+    return sums.groupBy(*keys).agg(F.sum("total").alias("total"), F.sum("readings").alias("readings"), *others)
+
+
+def weighted_mean(sums: DataFrame, name: str) -> DataFrame:
+    """The mean of all readings, with their number beside it."""
+    return sums.withColumn(name, F.col("total") / F.col("readings")).drop("total")
+
+
+def daily_weighted(readings: DataFrame) -> DataFrame:
+    """Mean of a day's readings per site and pollutant: hours weigh by their readings."""
+    return weighted_mean(daily_sums(hourly_sums(readings)), "daily_avg")
+
+
 def stamp_daily(daily: DataFrame) -> DataFrame:
     """Daily rows with the time they were computed, as the daily table holds them."""
     return daily.withColumn("last_updated_at", F.current_timestamp())

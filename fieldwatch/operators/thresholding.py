@@ -1,6 +1,6 @@
 """Stateless severity rules: narrow filters with no shuffle and no Python."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldwatch.functions.columns import alert_name, is_measured, severity
@@ -73,19 +73,25 @@ def threshold_alerts(readings: DataFrame, thresholds: Thresholds) -> DataFrame:
     return as_hard_alert(hits.filter(F.col("alert_category").isNotNull()), F.col("alert_category"))
 
 
-def open_orange_alerts(readings: DataFrame, thresholds: Thresholds, metric=None) -> DataFrame:
+def open_category(value: Column) -> Column:
+    """Red from red min, orange from orange min up to it whatever orange max says, else null."""
+    return F.when(value >= F.col("red_min"), "red").when(value >= F.col("orange_min"), "orange")
+
+
+def breached_limit(value: Column) -> Column:
+    """The limit that a reading of an open category breaches."""
+    return F.when(value >= F.col("red_min"), F.col("red_min")).otherwise(F.col("orange_min"))
+
+
+def open_orange_alerts(readings: DataFrame, thresholds: Thresholds, report_limit: bool = False) -> DataFrame:
     """Alerts where orange reaches up to red min, whatever orange max says.
 
-    ``metric`` names the limit columns reported for (orange, red); by default
-    the concentration itself is reported.
+    The concentration itself is reported, or the breached limit.
     """
     value = F.col("concentration")
-    is_red = value >= F.col("red_min")
-    category = F.when(is_red, "red").otherwise("orange")
-    reported = F.when(is_red, F.col(metric[1])).otherwise(F.col(metric[0])) if metric else value
     hits = (
         _breaches(readings, thresholds, "orange_min")
         .filter(value >= F.col("orange_min"))
-        .withColumn("metric_value", reported)
+        .withColumn("metric_value", breached_limit(value) if report_limit else value)
     )
-    return as_hard_alert(hits, category, "metric_value")
+    return as_hard_alert(hits, open_category(value), "metric_value")

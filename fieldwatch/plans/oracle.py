@@ -120,6 +120,10 @@ DAILY_ROWS = f"""WITH {READINGS}, {HOURLY}
 SELECT site_id, pollutant_type, CAST(CAST(start_time AS DATE) AS VARCHAR) AS log_date,
        round(avg(avg_value), 6) AS daily_avg
 FROM hourly GROUP BY 1, 2, 3"""
+DAILY_WEIGHTED = f"""WITH {READINGS}
+SELECT site_id, pollutant_type, CAST(CAST(event_time AS DATE) AS VARCHAR) AS log_date,
+       round(avg(concentration), 6) AS daily_avg, count(*) AS readings
+FROM readings GROUP BY 1, 2, 3"""
 ENVELOPES = f"""WITH {READINGS}, {LIMITS}, {FIXED_ALERTS}, {ROUTED}
 SELECT site_id AS key,
        '{{"site_id":"' || site_id || '","pollutant_type":"' || pollutant_type
@@ -245,6 +249,8 @@ SELECT * FROM routed""",
     "hourly_avg": HOURLY_ROWS,
     "daily_rollup": DAILY_ROWS,
     "daily_upsert": DAILY_ROWS,
+    "daily_weighted": DAILY_WEIGHTED,
+    "stream_daily_weighted": DAILY_WEIGHTED,
     "hourly_retained": RETAINED,
     "hourly_upsert": HOURLY_ROWS,
     "latest_readings": f"""WITH {READINGS}

@@ -24,6 +24,7 @@ from fieldwatch.operators.history import (
 )
 from fieldwatch.operators.rollup import (
     daily_rollup,
+    daily_weighted,
     hourly_avg,
     hourly_retained,
     latest_readings,
@@ -58,6 +59,7 @@ from fieldwatch.streaming.sinks import (
     upsert_files,
 )
 from fieldwatch.streaming.steps import OnePass, step_alerts
+from fieldwatch.streaming.sums import add_sums, read_means
 from fieldwatch.streaming.training import TrainingHistory
 
 # Columns of a parsed reading.
@@ -134,6 +136,11 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(days, "daily_avg").withColumn("log_date", F.col("log_date").cast("string"))
 
 
+def daily_by_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = daily_weighted(readings(spark, sf_dir))
+    return _rounded(days, "daily_avg").withColumn("log_date", F.col("log_date").cast("string"))
+
+
 def retained(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(hourly_retained(hourly_avg(readings(spark, sf_dir))), "avg_value")
 
@@ -335,6 +342,19 @@ def stream_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(retained_hours(spark, path), "avg_value")
 
 
+def stream_daily_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily means of all readings, kept up to date by the hours of each micro-batch alone."""
+    rows = typed_readings(spark, sf_dir)
+    late = F.col("event_type") == "purchase"
+    folder = scratch(spark, "sums")
+    write = add_sums(f"{folder}/hourly", f"{folder}/daily", "job")
+    Arrivals.of(*time_parts(rows.filter(~late), 2), rows.filter(late)).work_off(
+        lambda stream: stream.writeStream.foreachBatch(write), f"{folder}/checkpoint"
+    )
+    days = _rounded(read_means(spark, f"{folder}/daily", DAILY_KEY, "daily_avg"), "daily_avg")
+    return days.withColumn("log_date", F.col("log_date").cast("string"))
+
+
 def stream_ema(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = readings(stream_session(spark), sf_dir)
     alerts = _alerts_from_stream(spark, rows, lambda stream: ema_alerts(stream, load_thresholds()))
@@ -453,6 +473,7 @@ QUERIES = {
     "alert_envelope": alert_envelope,
     "hourly_avg": hourly,
     "daily_rollup": daily,
+    "daily_weighted": daily_by_readings,
     "hourly_retained": retained,
     "hourly_upsert": hourly_upsert,
     "daily_upsert": daily_upsert,
@@ -478,6 +499,7 @@ QUERIES = {
     "stream_hourly_avg": stream_hourly,
     "stream_hourly_late": stream_hourly_late,
     "stream_hourly_retained": stream_retained,
+    "stream_daily_weighted": stream_daily_weighted,
     "stream_ema_alerts": stream_ema,
     "stream_ema_state": stream_state,
     "stream_cusum_alerts": stream_cusum,

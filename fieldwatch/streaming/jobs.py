@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fieldwatch.functions.columns import HORIZONS, class_name, features
-from fieldwatch.functions.schemas import DAILY_KEY, FORECAST, HOURLY_KEY
-from fieldwatch.operators.forecast import CELL, ForecastModel, train_forecaster, with_cell
+from fieldwatch.functions.schemas import DAILY_KEY, HOURLY_KEY, SERIES
+from fieldwatch.operators.forecast import ForecastModel, forecasts, train_forecaster, with_classes
 from fieldwatch.operators.registry import FORECASTER, detect
 from fieldwatch.operators.rollup import daily_rollup, hourly_avg, hourly_retained, stamp_daily
+from fieldwatch.operators.thresholding import breached_limit, open_category
 from fieldwatch.session import build_spark, shared_folder
 from fieldwatch.sources.readings import (
     SourceConf,
@@ -23,6 +23,7 @@ from fieldwatch.sources.readings import (
     valid_readings,
 )
 from fieldwatch.sources.thresholds import SHIPPED, Thresholds, load_thresholds
+from fieldwatch.streaming.retention import newest_hours
 from fieldwatch.streaming.sinks import (
     TOPICS,
     BatchWriter,
@@ -41,6 +42,7 @@ from fieldwatch.streaming.sinks import (
     upsert_jdbc,
 )
 from fieldwatch.streaming.snapshots import TableFolder, read_parts
+from fieldwatch.streaming.steps import OnePass
 
 MODES = ("anomaly", "metrics", "all")
 BATCH_MODES = ("daily", "train")
@@ -59,7 +61,9 @@ class JobConf:
 
     ``checkpoint`` and the table paths must lie on storage all executors share;
     without ``checkpoint`` the session's ``spark.checkpoint.dir`` is used.
-    ``available_now`` works off what is there and stops.
+    ``serving_path`` takes the change log of the newest hours. ``one_pass`` reads and
+    parses messages once for alerts, unusable and late ones, with detectors that cut
+    micro-batches into blocks. ``available_now`` works off what is there and stops.
     """
 
     source: SourceConf
@@ -74,6 +78,8 @@ class JobConf:
     dead_letter_topic: str | None = None
     thresholds_path: str = str(SHIPPED)
     model_path: str | None = None
+    serving_path: str | None = None
+    one_pass: bool = False
     available_now: bool = False
 
 
@@ -103,6 +109,8 @@ def conf_from_env(env: Mapping[str, str] = os.environ) -> JobConf:
         dead_letter_topic=env.get("DEAD_LETTER_TOPIC", DEAD_LETTERS),
         thresholds_path=env.get("THRESHOLDS_PATH", str(SHIPPED)),
         model_path=env.get("MODEL_PATH"),
+        serving_path=env.get("SERVING_PATH"),
+        one_pass=env.get("ONE_PASS", "") == "1",
     )
 
 
@@ -156,6 +164,18 @@ def start_metrics(spark: SparkSession, conf: JobConf) -> StreamingQuery:
     return _start(writer, conf)
 
 
+def start_serving(spark: SparkSession, conf: JobConf) -> StreamingQuery:
+    """Changes to the newest hours of each series, kept as files; ``retained_hours`` reads them."""
+    valid, _ = parse_readings(read_readings_stream(spark, conf.source))
+    writer = (
+        newest_hours(valid)
+        .writeStream.outputMode("update")
+        .foreachBatch(upsert_files(conf.serving_path))
+        .option("checkpointLocation", query_folder(spark, conf, "serving"))
+    )
+    return _start(writer, conf)
+
+
 def changed_days(spark: SparkSession, hourly_path: str, after: int | None = None) -> DataFrame:
     """Daily means of the days touched after a version.
 
@@ -213,45 +233,27 @@ def forecast_messages(
     breaches a limit.
     """
     value = F.col("concentration")
-    is_red = value >= F.col("red_min")
     limited = thresholds.join(readings, ["orange_min", "red_min"], "left")
-    rows = limited.select(
-        "*",
-        *features(value, F.col("event_time")),
-        F.when(is_red, "red").when(value >= F.col("orange_min"), "orange").alias("alert_category"),
-        F.when(is_red, F.col("red_min")).otherwise(F.col("orange_min")).alias("metric_value"),
-        F.lit("hard_threshold").alias("metric_name"),
-    )
-    scored = with_cell(rows, model.edges).join(F.broadcast(model.table), CELL, "left")
-    alert_columns = [
-        "site_id",
-        "pollutant_type",
-        "event_time",
-        "concentration",
-        "metric_value",
-        "metric_name",
-        "alert_category",
-    ]
+    rows = limited.withColumns({"alert_category": open_category(value), "limit": breached_limit(value)})
+    scored = with_classes(rows, model)
     alert = F.struct(
         topic_of(F.col("alert_category"), topics).alias("topic"),
-        message_value(alert_columns).alias("value"),
+        message_value(
+            [
+                *SERIES,
+                "event_time",
+                "concentration",
+                F.col("limit").alias("metric_value"),
+                F.lit("hard_threshold").alias("metric_name"),
+                "alert_category",
+            ]
+        ).alias("value"),
     )
-    forecasts = [
-        F.struct(
-            F.lit(topics["forecast"]).alias("topic"),
-            message_value(
-                [
-                    "site_id",
-                    "event_time",
-                    "pollutant_type",
-                    F.lit(name).alias(FORECAST.fieldNames()[3]),
-                    class_name(F.col(name)).alias(FORECAST.fieldNames()[4]),
-                ]
-            ).alias("value"),
-        )
-        for name in HORIZONS
+    forecast = [
+        F.struct(F.lit(topics["forecast"]).alias("topic"), message_value(columns).alias("value"))
+        for columns in forecasts()
     ]
-    messages = F.array(alert, *forecasts)
+    messages = F.array(alert, *forecast)
     return (
         scored.select(F.col("site_id").alias("key"), F.inline(messages))
         .filter(F.col("topic").isNotNull())
@@ -307,6 +309,22 @@ def start_dead_letters(spark: SparkSession, conf: JobConf) -> StreamingQuery:
     return _start(message_writer(letters, sink, query_folder(spark, conf, "dead_letters")), conf)
 
 
+def start_one_pass(spark: SparkSession, conf: JobConf) -> StreamingQuery:
+    """One query, one read and one parse for alerts, unusable messages and late readings."""
+    folder = query_folder(spark, conf, "one_pass")
+    write = OnePass(
+        conf.detector,
+        load_thresholds(conf.thresholds_path),
+        conf.sink,
+        f"{folder}-states",
+        conf.dead_letter_topic or DEAD_LETTERS,
+        conf.topics,
+        conf.detector_params,
+    )
+    raw = read_readings_stream(spark, conf.source).select("value")
+    return _start(raw.writeStream.foreachBatch(write).option("checkpointLocation", folder), conf)
+
+
 def start(
     spark: SparkSession, mode: str, conf: JobConf, model: ForecastModel | None = None
 ) -> dict[str, StreamingQuery]:
@@ -316,7 +334,11 @@ def start(
     queries = {}
     if mode in ("metrics", "all"):
         queries["metrics"] = start_metrics(spark, conf)
-    if mode in ("anomaly", "all"):
+        if conf.serving_path:
+            queries["serving"] = start_serving(spark, conf)
+    if mode in ("anomaly", "all") and conf.one_pass and conf.detector != FORECASTER:
+        queries["anomaly"] = start_one_pass(spark, conf)
+    elif mode in ("anomaly", "all"):
         queries["anomaly"] = start_alerts(spark, conf, model or model_for(spark, conf))
         if conf.dead_letter_topic:
             queries["dead_letters"] = start_dead_letters(spark, conf)

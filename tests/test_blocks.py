@@ -14,7 +14,9 @@ from conftest import SCHEMA, at
 from fieldwatch.operators import dwell as D
 from fieldwatch.operators import ema as E
 from fieldwatch.operators import history as H
+from fieldwatch.operators import blocks as B
 from fieldwatch.operators.blocks import ordered_blocks
+from fieldwatch.operators.cusum import SUMS
 from fieldwatch.operators.dwell import band_limits, due_micros, dwell_alerts, run_response
 from fieldwatch.operators.ema import ema_series
 from fieldwatch.operators.thresholding import classify_readings
@@ -304,9 +306,12 @@ def ordered_series(df):
 
 
 @pytest.mark.parametrize("gap", [None, 90.0])
-@pytest.mark.parametrize(("blocks", "alpha"), [(None, 0.3), (1, 0.3), (5, 0.01), (60, 0.3), (60, 0.01), (7, 1.0)])
-def test_hot_series_ema(hot_readings, blocks, alpha, gap):
-    averages = ema_series(hot_readings, alpha, gap, blocks)
+@pytest.mark.parametrize(
+    ("blocks", "alpha", "fan_out"),
+    [(None, 0.3, 64), (1, 0.3, 64), (5, 0.01, 64), (60, 0.3, 4), (60, 0.01, 64), (7, 1.0, 2)],
+)
+def test_hot_series_ema(hot_readings, blocks, alpha, fan_out, gap):
+    averages = ema_series(hot_readings, alpha, gap, blocks, fan_out)
     found = {r["event_id"]: r["ema"] for r in averages.collect()}
     assert len(found) == 3400
     for part in ordered_series(hot_readings).values():
@@ -366,6 +371,11 @@ def test_copies_of_one_reading_are_cut_too(spark):
     assert max(r["count"] for r in sizes) <= 2000
 
 
+def test_there_are_no_more_blocks_than_rows_that_go_to_every_task(spark, hot_readings, monkeypatch):
+    monkeypatch.setattr(B, "MOST_BLOCKS", 3)
+    assert ordered_blocks(hot_readings, ["concentration"], 50).rdd.getNumPartitions() == 3
+
+
 @pytest.mark.parametrize("alpha", [0, -0.1, 1.1])
 def test_alpha_is_checked(spark, hot_readings, alpha):
     with pytest.raises(ValueError):
@@ -379,7 +389,8 @@ def test_worker_functions_need_no_installed_package(tmp_path):
     from pyspark import cloudpickle
 
     code = "import pickle, sys; print(pickle.loads(sys.stdin.buffer.read()).__name__)"
-    for function in (E._emit(0.3, None, []), D._summarise(None), D._merge(None), E._fold(0.3, None)):
+    functions = (E._emit(0.3, None, []), D._summarise(None), D._merge(None), E.AVERAGES.fold(None), SUMS.merge(None))
+    for function in functions:
         done = subprocess.run(
             [sys.executable, "-c", f"import pyspark; {code}"],
             input=cloudpickle.dumps(function),

@@ -11,7 +11,9 @@ from fieldwatch.plans.tables import wire_messages
 from fieldwatch.sources.readings import SourceConf
 from fieldwatch.sources.thresholds import load_thresholds
 from fieldwatch.streaming import jobs, snapshots
+from fieldwatch.operators.registry import detect
 from fieldwatch.streaming.jobs import JobConf, changed_days, conf_from_env, run, serving_hours, start
+from fieldwatch.streaming.retention import retained_hours
 from fieldwatch.streaming.sinks import (
     SinkConf,
     clear_statement,
@@ -251,6 +253,24 @@ def rows_of(first, count):
     return [("SITE_01", "PM10", at(i * 900), i, 300.0 + i % 200) for i in range(first, first + count)]
 
 
+def test_one_pass_job_and_serving_hours_go_on_after_a_restart(spark, tmp_path):
+    """The same alerts as of separate queries, from one read; late and broken messages beside them."""
+    conf = job(tmp_path, detector="EMAThresholding", one_pass=True, dead_letter_topic="dead", serving_path=f"{tmp_path}/serving")
+    send(spark, tmp_path, "a", rows_of(0, 150), ["broken"])
+    run("all", conf, spark)
+    send(spark, tmp_path, "b", [*rows_of(150, 150), ("SITE_01", "PM10", at(0), 999, 500.0)])
+    run("all", conf, spark)
+    sent = [row.asDict() for row in spark.read.parquet(f"{tmp_path}/out").collect()]
+    alerts = [json.loads(row["value"]) for row in sent if row["topic"] != "dead"]
+    table_of = spark.createDataFrame(rows_of(0, 300), SCHEMA)
+    expected = alert_rows(detect("EMAThresholding", table_of, LIMITS))
+    assert sorted(round(row["metric_value"], 6) for row in alerts) == sorted(row[4] for row in expected)
+    reasons = sorted(json.loads(row["value"])["reason"] for row in sent if row["topic"] == "dead")
+    assert reasons == ["late_reading", "malformed_json"]
+    everything = spark.createDataFrame([*rows_of(0, 300), ("SITE_01", "PM10", at(0), 999, 500.0)], SCHEMA)
+    assert table(retained_hours(spark, conf.serving_path)) == table(hourly_retained(hourly_avg(everything)))
+
+
 @pytest.mark.parametrize("detector", ["Thresholding", "EMAThresholding", "FuzzyThresholding"])
 def test_job_with_restart(spark, tmp_path, detector):
     """Two runs of the whole job give each alert once and the right hours."""
@@ -263,8 +283,6 @@ def test_job_with_restart(spark, tmp_path, detector):
 
     out = spark.read.parquet(f"{tmp_path}/out")
     topics = {r["topic"]: r["count"] for r in out.groupBy("topic").count().collect()}
-    from fieldwatch.operators.registry import detect
-
     # The tie break of a parsed reading is its sensor_id; here times never tie.
     table_of = spark.createDataFrame(rows_of(0, 300), SCHEMA)
     expected = alert_rows(detect(detector, table_of, LIMITS))
