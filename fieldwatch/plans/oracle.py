@@ -122,7 +122,7 @@ SELECT site_id, pollutant_type, CAST(CAST(start_time AS DATE) AS VARCHAR) AS log
 FROM hourly GROUP BY 1, 2, 3"""
 DAILY_WEIGHTED = f"""WITH {READINGS}
 SELECT site_id, pollutant_type, CAST(CAST(event_time AS DATE) AS VARCHAR) AS log_date,
-       round(avg(concentration), 6) AS daily_avg, count(*) AS readings
+       round(avg(concentration), 9) AS daily_avg, count(*) AS readings
 FROM readings GROUP BY 1, 2, 3"""
 ENVELOPES = f"""WITH {READINGS}, {LIMITS}, {FIXED_ALERTS}, {ROUTED}
 SELECT site_id AS key,

@@ -66,9 +66,14 @@ from fieldwatch.streaming.training import TrainingHistory
 READING = ["sensor_id", "site_id", "pollutant_type", "event_time", "concentration", "unit"]
 
 
-def _rounded(df: DataFrame, *columns: str) -> DataFrame:
-    """Means and averages at six places, where sum order no longer shows."""
-    return df.withColumns({name: F.round(name, 6) for name in columns})
+def _rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
+    """Means and averages at some places, where sum order no longer shows."""
+    return df.withColumns({name: F.round(name, places) for name in columns})
+
+
+def _daily_means(days: DataFrame) -> DataFrame:
+    """Means of a few dozen readings with two decimals, which end before the ninth place."""
+    return _rounded(days, "daily_avg", places=9).withColumn("log_date", F.col("log_date").cast("string"))
 
 
 # -- sources and parsing ------------------------------------------------------
@@ -137,8 +142,7 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_by_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = daily_weighted(readings(spark, sf_dir))
-    return _rounded(days, "daily_avg").withColumn("log_date", F.col("log_date").cast("string"))
+    return _daily_means(daily_weighted(readings(spark, sf_dir)))
 
 
 def retained(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -351,8 +355,7 @@ def stream_daily_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     Arrivals.of(*time_parts(rows.filter(~late), 2), rows.filter(late)).work_off(
         lambda stream: stream.writeStream.foreachBatch(write), f"{folder}/checkpoint"
     )
-    days = _rounded(read_means(spark, f"{folder}/daily", DAILY_KEY, "daily_avg"), "daily_avg")
-    return days.withColumn("log_date", F.col("log_date").cast("string"))
+    return _daily_means(read_means(spark, f"{folder}/daily", DAILY_KEY, "daily_avg"))
 
 
 def stream_ema(spark: SparkSession, sf_dir: str) -> DataFrame:

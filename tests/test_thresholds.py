@@ -101,4 +101,4 @@ def test_severity_ignores_orange_max(spark):
 
 def test_unknown_detector_is_refused(spark):
     with pytest.raises(ValueError):
-        detect("CUSUMThresholding", make_readings(spark, [(0, 1)]), load_thresholds())
+        detect("NoSuchDetector", make_readings(spark, [(0, 1)]), load_thresholds())
