@@ -27,14 +27,16 @@ STEPS = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(STEPS))
-@pytest.mark.parametrize(("blocks", "gap"), [(4, None), (4, 100)])
+@pytest.mark.parametrize(
+    ("name", "blocks", "gap"),
+    [("EMAThresholding", 4, None), ("CUSUMThresholding", 4, 100), ("FuzzyThresholding", 4, None), ("FuzzyThresholding", 3, 100)],
+)
 def test_steps_equal_the_whole_table(spark, name, blocks, gap):
     """Cut at many places; with a gap of 100 s a series of steps of 120 s always restarts."""
     whole, step, settings = STEPS[name]
     rows = walk(20, 90) + [(s, p, at(40_000 + i * 30), 1000 + i, x) for i, (s, p, _, _, x) in enumerate(walk(21, 90))]
     begun, found = None, []
-    for part in chunks(rows, 4):
+    for part in chunks(rows, 3):
         table = spark.createDataFrame(part, SCHEMA)
         alerts, ended = step(table, LIMITS, max_gap=gap, blocks=blocks, begun=begun, **settings)
         found += alert_rows(alerts)
