@@ -20,26 +20,36 @@ from pyspark.sql import functions as F
 
 from fieldwatch.llm.common import documents_of, free_name
 from fieldwatch.llm.words import texts_of, words_of
+from fieldwatch.session import materialise
 
 #: Words that are compared, and the share of them that must be equal.
 OVERLAP = 13
 SIMILARITY = 0.8
-#: Items with fewer words are no passage of their own.
-FEWEST_WORDS = 6
+#: Passages of fewer words must be equal in all of them.
+EXACT_BELOW = 6
 #: Words in a block of the benchmark, which bounds what is broadcast. Longer items are
 #: searched in pieces that overlap.
 BLOCK_WORDS = 200_000
 PIECE_WORDS = 4096
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 SLOTS = 1 << 20
+#: Blocks of the benchmark that one pass over whole documents looks for.
+BLOCKS_IN_A_PASS = 4
 #: Hits that are turned into alignments at a time, which bounds memory.
 HITS_AT_ONCE = 1 << 20
 FOUND = "item_id long, doc_start long, doc_end long, item_start long, item_end long, n_equal long"
 
 
+def equal_words(window: int, similarity: float) -> int:
+    """How many words of a window must be equal."""
+    return window if window < EXACT_BELOW else int(np.ceil(similarity * window - 1e-9))
+
+
 def seed_masks(window: int, similarity: float) -> list[tuple[int, ...]]:
     """Places that the masks select. ``changed`` words leave two of ``changed + 2`` parts equal."""
-    changed = window - int(np.ceil(similarity * window - 1e-9))
+    if window == 1:
+        return [(0,)]
+    changed = window - equal_words(window, similarity)
     part = max(1, window // (changed + 2))
     return [
         (*range(part), *range(apart * part, (apart + 1) * part)) for apart in range(1, changed + 2)
@@ -93,7 +103,7 @@ def blocks_of(items: Iterator, block_words: int, overlap: int = OVERLAP) -> Iter
     block = Block()
     for item in items:
         words = words_of(item.text.encode() if item.text else None)
-        if len(words) < FEWEST_WORDS:
+        if not words:
             continue
         for start in range(0, max(1, len(words) - overlap), PIECE_WORDS):
             piece = words[start : start + PIECE_WORDS + overlap]
@@ -150,7 +160,7 @@ class Searcher:
         if last - first < need:
             return None
         equal = np.concatenate([[0], np.cumsum(item[first:last] == codes[first + shift : last + shift])])
-        alike = np.flatnonzero(equal[need:] - equal[:-need] >= np.ceil(self.similarity * need - 1e-9))
+        alike = np.flatnonzero(equal[need:] - equal[:-need] >= equal_words(need, self.similarity))
         if not len(alike):
             return None
         start, end = int(alike[0]), int(alike[-1]) + need
@@ -189,16 +199,37 @@ def passages_of(text: Column, handle, overlap: int, similarity: float) -> Column
     return found(text)
 
 
-def broadcast_blocks(
-    docs: DataFrame, benchmark: DataFrame, block_words: int, overlap: int = OVERLAP
-) -> list:
-    """Handles of all blocks; texts that repeat count once, under their smallest id."""
+def benchmark_blocks(benchmark: DataFrame, block_words: int, overlap: int) -> Iterator[Block]:
+    """Blocks of the benchmark, one in memory; texts that repeat count once, under their smallest id."""
     items = benchmark.groupBy(F.col("text").cast("string").alias("text")).agg(
         F.min("item_id").alias("item_id")
     )
-    context = docs.sparkSession.sparkContext
-    blocks = blocks_of(items.toLocalIterator(), block_words, overlap)
-    return [context.broadcast((b.ids, b.offsets, b.words, b.vocabulary)) for b in blocks]
+    return blocks_of(items.toLocalIterator(), block_words, overlap)
+
+
+def sent(docs: DataFrame, block: Block):
+    """The handle of a block that goes out to all tasks."""
+    return docs.sparkSession.sparkContext.broadcast(
+        (block.ids, block.offsets, block.words, block.vocabulary)
+    )
+
+
+def longest_of_blocks(passages: DataFrame) -> DataFrame:
+    """One row per row of the documents and item, as an item may stand in several blocks.
+
+    Rows that repeat have equal passages in each block, so as many stay as there were.
+    """
+    keys = ["doc_id", "text_hash", "item_id"]
+    rank = F.struct("n_equal", -F.col("doc_start"), -F.col("item_start"))
+    names = [part.split()[0] for part in FOUND.split(", ")[1:]]
+    return (
+        passages.groupBy(*keys, "block")
+        .agg(F.max(rank).alias("rank"), F.first(F.struct(*names)).alias("at"), F.count("*").alias("times"))
+        .groupBy(keys)
+        .agg(F.max_by(F.struct("at", "times"), "rank").alias("best"))
+        .select(*keys, "best.at.*", F.explode(F.sequence(F.lit(1), "best.times")).alias("copy"))
+        .drop("copy")
+    )
 
 
 def find_passages(
@@ -211,35 +242,53 @@ def find_passages(
     """Documents and the benchmark items that they hold a passage of.
 
     A passage is ``overlap`` words in a row (all words of a shorter item) of which a
-    share of ``similarity`` equals those of the item, place by place. One row for each
-    row of ``docs`` and item: ``doc_id``, ``item_id``, where the passage stands in both
-    (words from 0, end exclusive; from the first alike window to the last along the
-    best alignment) and ``n_equal`` words. Words are compared in lower case, without
-    marks. Null, empty and very short texts hold none; items under ``FEWEST_WORDS``
-    words are not searched for; of items with equal texts the smallest id counts. A
-    document without passages and an empty table give no rows.
+    share of ``similarity`` equals those of the item, place by place; items of fewer
+    than ``EXACT_BELOW`` words must be equal in all. One row for each row of ``docs``
+    and item: ``doc_id``, ``item_id``, where the passage stands in both (words from 0,
+    end exclusive; from the first alike window to the last along the best alignment)
+    and ``n_equal`` words. Words are compared in lower case, without marks. Null and
+    empty texts hold none, null and empty items are in none; of items with equal texts
+    the smallest id counts. A document without passages and an empty table give no
+    rows. A benchmark of one block is searched when the result is read; one of several
+    is searched at once, block by block, and only passages are written.
     """
-    slim = documents_of(docs)
-    results = []
-    for handle in broadcast_blocks(docs, benchmark, block_words, overlap):
-        found = passages_of(F.col("text"), handle, overlap, similarity)
-        results.append(slim.select("doc_id", F.explode(found).alias("at")).select("doc_id", "at.*"))
-    if not results:
+    slim = documents_of(docs).withColumn("text_hash", F.xxhash64("text"))
+    blocks = benchmark_blocks(benchmark, block_words, overlap)
+    block, passages, number = next(blocks, None), None, 0
+    while block:
+        handle, after = sent(docs, block), next(blocks, None)
+        found = slim.withColumn(
+            "at", F.explode(passages_of(F.col("text"), handle, overlap, similarity))
+        ).select("doc_id", "text_hash", F.lit(number).alias("block"), "at.*")
+        if after or number:
+            found = materialise(found)
+            handle.destroy()
+        passages = passages.unionByName(found) if passages else found
+        block, number = after, number + 1
+    if passages is None:
         nothing = [F.lit(None).cast("long").alias(part.split()[0]) for part in FOUND.split(", ")]
         return slim.limit(0).select("doc_id", *nothing)
-    passages = results[0]
-    for more in results[1:]:
-        passages = passages.unionByName(more)
-    return passages
+    return (longest_of_blocks(passages) if number > 1 else passages.drop("block")).drop("text_hash")
 
 
 def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, overlap: int = OVERLAP, similarity: float = SIMILARITY,
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """The documents that hold no passage of the benchmark, with all their columns."""
+    """The documents that hold no passage of the benchmark, with all their columns.
+
+    Repeated rows stay or go together; null and empty texts stay, and all rows where the
+    benchmark is empty. Every ``BLOCKS_IN_A_PASS`` blocks what is left is written down.
+    """
     clean, name = docs, free_name(docs, "contaminated")
-    for handle in broadcast_blocks(docs, benchmark, block_words, overlap):
-        found = passages_of(F.col("text").cast("string"), handle, overlap, similarity)
+    handles = []
+    for block in benchmark_blocks(benchmark, block_words, overlap):
+        if len(handles) == BLOCKS_IN_A_PASS:
+            clean = materialise(clean)
+            for handle in handles:
+                handle.destroy()
+            handles = []
+        handles.append(sent(docs, block))
+        found = passages_of(F.col("text").cast("string"), handles[-1], overlap, similarity)
         clean = clean.withColumn(name, found).filter(F.size(name) == 0).drop(name)
     return clean

@@ -23,14 +23,15 @@ def slow_pairs(docs, items, overlap=13, most_changed=0.2):
     for text, i in first.items():
         item = slow_words(text)
         need = min(overlap, len(item))
-        if len(item) < 6:
+        if not item:
             continue
+        equal = need if need < 6 else (1 - most_changed) * need - 1e-9
         for d, body in docs:
             words = slow_words(body)
             for a in range(len(item) - need + 1):
                 window = item[a : a + need]
                 if any(
-                    sum(x == y for x, y in zip(window, words[b : b + need], strict=True)) >= (1 - most_changed) * need - 1e-9
+                    sum(x == y for x, y in zip(window, words[b : b + need], strict=True)) >= equal
                     for b in range(len(words) - need + 1)
                 ):
                     found.add((d, i))
@@ -38,18 +39,23 @@ def slow_pairs(docs, items, overlap=13, most_changed=0.2):
     return found
 
 
+def slow_held(repeated, items):
+    """Short items that repeat the one word of a document."""
+    return {(d, i) for d, word in repeated.items() for i, text in items if set(slow_words(text)) == {word}}
+
+
 def corpus(seed=1, changes=(0, 1, 2, 4, 6, 9)):
     rnd = random.Random(seed)
     vocabulary = [f"w{i}é" for i in range(400)]
     words = lambda n: [rnd.choice(vocabulary) for _ in range(n)]
-    items = [(i, " ".join(words(rnd.choice([6, 12, 14, 30, 45])))) for i in range(25)]
+    items = [(i, " ".join(words(rnd.choice([1, 2, 3, 5, 6, 12, 14, 30, 45])))) for i in range(25)]
     items += [(100, items[3][1]), (101, None), (102, ""), (103, "too few words"), (104, "rep " * 40)]
     docs = []
     for d in range(150):
         body = words(rnd.choice([0, 4, 60]))
         if rnd.random() < 0.6:
             item = rnd.choice(items[:25])[1].split()
-            cut = item[rnd.choice([0, 0, 5]) :]
+            cut = item[rnd.choice([0, 0, min(5, len(item) - 1)]) :]
             for _ in range(rnd.choice(changes)):
                 cut[rnd.randrange(len(cut))] = "Other"
             body = [*body, *(w.upper() if w.isascii() else w for w in cut), *words(5)]
@@ -71,7 +77,7 @@ def test_finds_the_pairs_found_word_by_word(spark, block_words):
     d, b = tables(spark, docs, items)
     found = {(r.doc_id, r.item_id) for r in find_passages(d, b, block_words=block_words).collect()}
     short = [(i, t) for i, t in docs if len(t or "") < 5000]
-    expected = slow_pairs(short, items) | {(902, 104)}
+    expected = slow_pairs(short, items) | {(902, 104)} | slow_held({903: "w1é"}, items)
     assert found == expected
 
 
@@ -141,3 +147,25 @@ def test_long_items_are_searched_across_their_pieces_for_any_overlap(spark, monk
     rows = [(i, " ".join(words[i : i + 24]), None, None, 1) for i in range(127)]
     found = find_passages(spark.createDataFrame(rows, SCHEMA), items, overlap=24, similarity=1.0)
     assert sorted((r.doc_id, r.item_start, r.n_equal) for r in found.collect()) == [(i, i, 24) for i in range(127)]
+
+
+def test_items_of_few_words_are_found_word_for_word(spark):
+    rows = [(1, "So the quick, brown fox jumps high"), (2, "the quick brown cat jumps"), (3, "jumps the quick"), (4, "fox"), (5, "Fox! fox fox")]
+    items = spark.createDataFrame([(7, "the quick brown fox jumps"), (8, "fox"), (9, "--")], "item_id long, text string")
+    docs = spark.createDataFrame([(i, t, None, None, 1) for i, t in rows], SCHEMA)
+    found = sorted((r.doc_id, r.item_id, r.doc_start, r.n_equal) for r in find_passages(docs, items).collect())
+    assert found == [(1, 7, 1, 5), (1, 8, 4, 1), (4, 8, 0, 1), (5, 8, 0, 1)]
+    assert {r.doc_id for r in drop_contaminated(docs, items).collect()} == {2, 3}
+
+
+def test_an_item_in_two_blocks_gives_one_row_for_each_row(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PIECE_WORDS", 32)
+    monkeypatch.setattr(decontaminate, "BLOCKS_IN_A_PASS", 2)
+    words = [f"word{i}" for i in range(200)]
+    items = spark.createDataFrame([(7, " ".join(words)), (8, "other " * 20)], "item_id long, text string")
+    rows = [(1, " ".join(words)), (1, " ".join(words)), (None, " ".join(words[30:60])), (2, "other " * 14), (3, "clean"), (3, None)]
+    docs = spark.createDataFrame([(i, t, None, None, 1) for i, t in rows], SCHEMA)
+    found = find_passages(docs, items, block_words=45)
+    assert sorted((r.doc_id or 0, r.item_id) for r in found.collect()) == [(0, 7), (1, 7), (1, 7), (2, 8)]
+    assert found.columns == find_passages(docs, items).columns
+    assert sorted(r.doc_id for r in drop_contaminated(docs, items, block_words=45).collect()) == [3, 3]
