@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from fieldwatch.llm.license import (
     BLOCK,
     NOTICES,
-    Index,
+    Scanner,
+    block_of,
     block_starts,
+    find_notices,
     license_sql,
     scan_licenses,
     word_frequencies,
@@ -55,9 +57,10 @@ def test_filters_lose_no_notice(containment):
     rnd = random.Random(1)
     words = [f"w{i}" for i in range(40)]
     notices = {" ".join(rnd.sample(words, rnd.randint(2, 12))): str(i) for i in range(30)}
-    index = Index(notices, {w: rnd.randrange(50) for w in words}, containment)
+    scanner = Scanner(notices, {w: rnd.randrange(50) for w in words}, containment)
+    [index] = scanner.indexes
     for _ in range(300):
-        block = sorted(index.rank[w.encode()] for w in rnd.sample(words, rnd.randint(1, 25)))
+        block = sorted(scanner.rank[w.encode()] for w in rnd.sample(words, rnd.randint(1, 25)))
         expected = {
             i for i, notice in enumerate(index.notices)
             if len(set(notice.ranks) & set(block)) >= containment * len(notice.ranks) - 1e-9
@@ -65,12 +68,34 @@ def test_filters_lose_no_notice(containment):
         assert {number for number, _ in index.join(block)} == expected
 
 
-def test_every_run_of_half_a_block_lies_in_one():
-    for n in range(300):
-        covered = {i for start in block_starts(n) for i in range(start, min(n, start + BLOCK))}
+@pytest.mark.parametrize("block", [BLOCK, 4 * BLOCK])
+def test_every_run_of_half_a_block_lies_in_one(block):
+    for n in range(0, 4 * block, 7):
+        covered = {i for start in block_starts(n, block) for i in range(start, min(n, start + block))}
         assert covered == set(range(n))
-        for at in range(n - BLOCK // 2 + 1):
-            assert any(s <= at and at + BLOCK // 2 <= s + BLOCK for s in block_starts(n))
+        for at in range(n - block // 2 + 1):
+            assert any(s <= at and at + block // 2 <= s + block for s in block_starts(n, block))
+    assert [block_of(n) for n in (1, 32, 33, 64, 65, 1000)] == [64, 64, 128, 128, 256, 2048]
+
+
+@pytest.mark.parametrize("length", [33, 50, 120, 700])
+def test_long_notices_are_found_at_every_place(spark, tmp_path, length):
+    notice = ", ".join(f"Legal{i}" for i in range(length))
+    notices = {notice: "long", "licensed under cc by 4 0": "cc-by-4.0", " -- ": "none"}
+    rows = [(i, f"{'filler ' * i * 5} ({notice}) {'end ' * 300}") for i in range(0, 64, 3 if length < 700 else 21)]
+    rows += [(1000, notice.rsplit(",", length // 5)[0]), (1001, None), (1002, "")]
+    df = table(spark, rows)
+    found = scan_licenses(df, notices).select(COLUMNS).collect()
+    assert {r.doc_id for r in found if r.labels == "long" and r.score == 1.0} == {i for i, _ in rows[:-3]}
+    blocks = find_notices(df.withColumn("label", F.lit(1)), notices).collect()
+    assert {r.doc_id for r in blocks} == {i for i, _ in rows[:-3]}
+    for r in blocks:
+        held = set(dict(rows)[r.doc_id].lower().replace(",", "").replace("(", "").replace(")", "").split()[r.first_word : r.end_word])
+        assert r.containment == sum(f"legal{i}" in held for i in range(length)) / length >= 0.9
+    df.write.parquet(f"{tmp_path}/documents")
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    assert sorted(map(tuple, found), key=repr) == sorted(connection.execute(license_sql(notices)).fetchall(), key=repr)
 
 
 def test_frequencies_cover_all_documents(spark):
