@@ -2,8 +2,10 @@
 
 Strings are read as character classes. The prefix tree of the examples counts how
 often each state is entered, left by each class, and ended in. States whose counts
-are compatible by Hoeffding's bound, and whose successors are too, are merged; the
-result is a deterministic automaton with a probability for every string.
+are compatible by Hoeffding's bound, and whose successors are too, are merged: first
+those of the same depth, so that counts of a format are not spread over all its strings
+before its lengths are tested, then any. The result is a deterministic automaton with
+a probability for every string.
 """
 
 from dataclasses import dataclass
@@ -45,6 +47,15 @@ class Automaton:
             total += more
         return total + self.ends[state]
 
+    def shortest(self) -> int:
+        """Symbols in the shortest string that takes only steps and an end that examples take."""
+        reached, states, length = {0}, [0], 0
+        while states and not any(self.ends[state] > log(UNSEEN) for state in states):
+            states = list({to for state in states for to, _ in self.steps[state].values()} - reached)
+            reached.update(states)
+            length += 1
+        return length
+
 
 def different(n: int, f: int, m: int, g: int, alpha: float) -> bool:
     """Hoeffding's test of two frequencies, f of n and g of m."""
@@ -74,11 +85,28 @@ class PrefixTree:
                 state = self.to[state][symbol]
                 self.entered[state] += 1
             self.ended[state] += 1
+        self.merged = list(range(len(self.to)))
+
+    def find(self, state: int) -> int:
+        """The state that ``state`` has been merged into."""
+        while self.merged[state] != state:
+            self.merged[state] = self.merged[self.merged[state]]
+            state = self.merged[state]
+        return state
+
+    def after(self, state: int) -> list[int]:
+        """The next states, by symbol."""
+        return [self.find(self.to[state][symbol]) for symbol in sorted(self.to[state])]
 
     def compatible(self, a: int, b: int, alpha: float) -> bool:
-        pairs = [(a, b)]
+        """True if no test tells the two states apart, nor any two that the same steps lead to."""
+        pairs, seen = [(self.find(a), self.find(b))], set()
         while pairs:
-            a, b = pairs.pop()
+            pair = pairs.pop()
+            a, b = pair
+            if a == b or pair in seen:
+                continue
+            seen.add(pair)
             n, m = self.entered[a], self.entered[b]
             if different(n, self.ended[a], m, self.ended[b], alpha):
                 return False
@@ -86,14 +114,17 @@ class PrefixTree:
                 if different(n, self.count[a].get(symbol, 0), m, self.count[b].get(symbol, 0), alpha):
                     return False
                 if symbol in self.to[a] and symbol in self.to[b]:
-                    pairs.append((self.to[a][symbol], self.to[b][symbol]))
+                    pairs.append((self.find(self.to[a][symbol]), self.find(self.to[b][symbol])))
         return True
 
-    def fold(self, a: int, b: int) -> None:
-        """Add the tree below ``b`` to the states from ``a`` on."""
+    def merge(self, a: int, b: int) -> None:
+        """Make one state of two, and of all pairs of states that the same steps lead to."""
         pairs = [(a, b)]
         while pairs:
-            a, b = pairs.pop()
+            a, b = sorted(map(self.find, pairs.pop()))
+            if a == b:
+                continue
+            self.merged[b] = a
             self.entered[a] += self.entered[b]
             self.ended[a] += self.ended[b]
             for symbol, after in self.to[b].items():
@@ -103,32 +134,43 @@ class PrefixTree:
                 else:
                     self.to[a][symbol] = after
 
+    def merge_depths(self, alpha: float) -> None:
+        """Merge compatible states of the same depth, from the start down."""
+        level = [0]
+        while level:
+            below: list[int] = []
+            for state in dict.fromkeys(after for one in level for after in self.after(one)):
+                like = next((old for old in below if self.compatible(old, state, alpha)), None)
+                if like is None:
+                    below.append(state)
+                else:
+                    self.merge(like, state)
+            level = list(dict.fromkeys(map(self.find, below)))
+
 
 def infer(examples: list[str], alpha: float = ALPHA) -> Automaton:
     """The automaton of examples given as strings of classes. Examples must not be empty."""
     tree = PrefixTree(examples)
+    tree.merge_depths(alpha)
     kept = [0]
-    fringe = [(0, symbol) for symbol in sorted(tree.to[0])]
-    while fringe:
-        before, symbol = fringe.pop(0)
-        state = tree.to[before][symbol]
-        if state in kept:
-            continue
+    while True:
+        known = set(kept)
+        state = next((after for old in kept for after in tree.after(old) if after not in known), None)
+        if state is None:
+            break
         like = next((old for old in kept if tree.compatible(old, state, alpha)), None)
         if like is None:
             kept.append(state)
-            fringe += [(state, s) for s in sorted(tree.to[state])]
         else:
-            tree.to[before][symbol] = like
-            tree.fold(like, state)
-            fringe = [(old, s) for old in kept for s in sorted(tree.to[old]) if tree.to[old][s] not in kept]
+            tree.merge(like, state)
+            kept = list(dict.fromkeys(map(tree.find, kept)))
     number = {state: i for i, state in enumerate(kept)}
     steps, ends = [], []
     for state in kept:
         total = tree.entered[state]
         steps.append(
             {
-                symbol: (number[after], log(tree.count[state][symbol] / total))
+                symbol: (number[tree.find(after)], log(tree.count[state][symbol] / total))
                 for symbol, after in tree.to[state].items()
             }
         )
