@@ -13,7 +13,7 @@ from math import log, sqrt
 
 #: Probability of a step that the examples never take.
 UNSEEN = 1e-4
-ALPHA = 0.01
+ALPHA = 0.05
 
 
 def classes(text: str) -> str:

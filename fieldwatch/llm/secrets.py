@@ -61,6 +61,8 @@ FORMS = {
     "time": [(string.digits, (4,)), "-", (string.digits, (2,)), "-", (string.digits, (2,)), "T", (string.digits, (2, 6))],
     "number": [(string.digits, tuple(range(2, 24)))],
 }
+#: How often words of ordinary strings have 2, 3, up to 12 letters.
+WORD_LENGTHS = (1, 3, 4, 4, 4, 3, 3, 2, 2, 1, 1)
 #: How the names of ordinary strings begin.
 ORDINARY = "ordinary"
 
@@ -75,12 +77,13 @@ def spelled(parts: list, rnd: Random) -> str:
 def ordinary_strings(rnd: Random, count: int) -> Iterable[tuple[str, str]]:
     """Words, names, paths and rulers as they stand in texts."""
 
-    def word(most: int = 12) -> str:
-        return "".join(rnd.choices(string.ascii_lowercase, k=rnd.randint(2, most)))
+    def word() -> str:
+        length = rnd.choices(range(2, 13), WORD_LENGTHS)[0]
+        return "".join(rnd.choices(string.ascii_lowercase, k=length))
 
     for _ in range(8 * count):
         parts = [
-            rnd.choice([word(), word(9).capitalize(), word(6).upper(), "".join(rnd.choices(string.digits, k=rnd.randint(1, 16)))])
+            rnd.choice([word(), word().capitalize(), word().upper(), "".join(rnd.choices(string.digits, k=rnd.randint(1, 16)))])
             for _ in range(rnd.randint(1, 6))
         ]
         yield rnd.choice(["-", "_", ".", "/", "="]).join(parts), "joined"
@@ -91,8 +94,8 @@ def ordinary_strings(rnd: Random, count: int) -> Iterable[tuple[str, str]]:
         yield words[0] + "".join(map(str.capitalize, words[1:])) + number, "camel"
         yield "".join(map(str.capitalize, words)) + number, "camel"
         yield "".join(words) + number, "lower"
-        yield rnd.choice("-_./=+") * rnd.randint(2, 80), "ruler"
-        yield rnd.choice(ALNUM) * rnd.randint(2, 80), "ruler"
+    for _ in range(count):
+        yield rnd.choice("-_./=+" + ALNUM) * (2 + int(rnd.expovariate(1 / 30))), "ruler"
 
 
 def labelled_credentials(examples: int = EXAMPLES, seed: int = 5) -> list[tuple[str, str]]:
