@@ -117,68 +117,58 @@ class BKTree:
         return found
 
 
-def shard_links(members: list[int], visitors: list[int], radius: int) -> Iterator[tuple[int, int]]:
-    """Links that connect all within ``radius`` of each other, without those that close a circle."""
-    values = members + visitors
-    parent = list(range(len(values)))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
+class Shard:
+    """A tree of at most its members' size, and which of them are linked so far."""
+
+    def __init__(self) -> None:
+        self.tree = BKTree()
+        self.parent: list[int] = []
+
+    def root(self, i: int) -> int:
+        while self.parent[i] != i:
+            self.parent[i] = self.parent[self.parent[i]]
+            i = self.parent[i]
         return i
 
-    tree = BKTree()
-    for i, value in enumerate(values):
-        for j in tree.near(value, radius):
-            here, there = root(i), root(j)
-            if here != there:
-                parent[here] = there
-                yield value, values[j]
-        if i < len(members):
-            tree.add(value)
+    def links(self, value: int, radius: int, member: bool) -> Iterator[tuple[int, int]]:
+        """Links of one more fingerprint, without those that close a circle.
+
+        A member joins the tree; a visitor only links those that it is near to, and is
+        forgotten.
+        """
+        mine: int | None = None
+        for place in self.tree.near(value, radius):
+            there = self.root(place)
+            if mine is None or there != mine:
+                yield value, self.tree.values[place]
+            if mine is not None:
+                self.parent[there] = mine
+            else:
+                mine = there
+        if member:
+            self.parent.append(len(self.parent) if mine is None else mine)
+            self.tree.add(value)
 
 
 def search_shards(radius: int):
-    """Walk rows sorted by shard, tree and role, one tree at a time."""
+    """Walk rows sorted by shard, tree and role, a row at a time."""
 
     def signed(values: list[int]) -> pa.Array:
         return pa.array(np.array(values, dtype=np.uint64).view(np.int64))
 
-    def shards(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list[int], list[int]]]:
-        now, members, visitors = None, [], []
+    def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, now = Shard(), None
         for batch in batches:
-            shard = [batch.column(name).to_numpy() for name in ("band", "part", "tree")]
-            if not batch.num_rows:
-                continue
-            values = batch.column("print").to_numpy().view(np.uint64)
-            visits = batch.column("visits").to_numpy(zero_copy_only=False)
-            changed = np.zeros(batch.num_rows, dtype=bool)
-            for column in shard:
-                changed[1:] |= column[1:] != column[:-1]
-            cuts = [0, *np.flatnonzero(changed).tolist(), batch.num_rows]
-            for start, end in zip(cuts[:-1], cuts[1:], strict=True):
-                key = tuple(int(column[start]) for column in shard)
+            keys = zip(*(batch.column(name).to_pylist() for name in ("band", "part", "tree")), strict=True)
+            values = batch.column("print").to_numpy().view(np.uint64).tolist()
+            a, b = [], []
+            for key, value, visits in zip(keys, values, batch.column("visits").to_pylist(), strict=True):
                 if key != now:
-                    if members:
-                        yield members, visitors
-                    now, members, visitors = key, [], []
-                seen = visits[start:end]
-                members += values[start:end][~seen].tolist()
-                visitors += values[start:end][seen].tolist()
-        if members:
-            yield members, visitors
-
-    def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = [], []
-        for members, visitors in shards(batches):
-            for one, other in shard_links(members, visitors, radius):
-                a.append(one)
-                b.append(other)
-            if len(a) >= 10_000:
-                yield pa.RecordBatch.from_arrays([signed(a), signed(b)], ["a", "b"])
-                a, b = [], []
-        yield pa.RecordBatch.from_arrays([signed(a), signed(b)], ["a", "b"])
+                    shard, now = Shard(), key
+                for one, other in shard.links(value, radius, not visits):
+                    a.append(one)
+                    b.append(other)
+            yield pa.RecordBatch.from_arrays([signed(a), signed(b)], ["a", "b"])
 
     return search
 
