@@ -6,6 +6,7 @@ decision tree, fitted on a small labelled table of blocks, tells text from the r
 """
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 from functools import cache
 from html import unescape
@@ -47,6 +48,43 @@ FEATURES = ("words", "links", "words_before", "links_before", "words_after", "li
 DEPTH = 6
 
 
+class OpenTags:
+    """Tags that are open, innermost last, each with how many up to it are outside or of the article.
+
+    What a page costs grows with its tags, also where they are never closed.
+    """
+
+    def __init__(self) -> None:
+        self.tags: list[tuple[str, int, int]] = []
+        self.times: Counter[str] = Counter()
+
+    def open(self, tag: str, outside: bool) -> None:
+        _, outsides, articles = self.tags[-1] if self.tags else ("", 0, 0)
+        self.tags.append((tag, outsides + outside, articles + (tag in ARTICLE)))
+        self.times[tag] += 1
+
+    def close(self, tag: str) -> None:
+        """Close the innermost such tag and all within it, if one is open."""
+        while self.times[tag]:
+            last = self.tags.pop()[0]
+            self.times[last] -= 1
+            if last == tag:
+                break
+
+    def outside(self) -> bool:
+        return bool(self.tags) and self.tags[-1][1] > 0
+
+    def article(self) -> bool:
+        return bool(self.tags) and self.tags[-1][2] > 0
+
+    def outside_span(self) -> bool:
+        """True if the innermost open span is outside by itself."""
+        if not self.times["span"]:
+            return False
+        place = next(i for i in range(len(self.tags) - 1, -1, -1) if self.tags[i][0] == "span")
+        return self.tags[place][1] > (self.tags[place - 1][1] if place else 0)
+
+
 @dataclass
 class Block:
     text: str
@@ -61,7 +99,7 @@ def blocks_of(html: str | None) -> list[Block]:
     """Blocks with text, in page order. Tags that are never closed end with the page."""
     html = html or ""
     found: list[Block] = []
-    open_tags: list[tuple[str, bool]] = []
+    open_tags = OpenTags()
     pieces: list[str] = []
     linked: list[str] = []
     in_link = in_heading = False
@@ -77,8 +115,8 @@ def blocks_of(html: str | None) -> list[Block]:
                     text,
                     words,
                     min(1.0, anchors / words),
-                    any(outside for _, outside in open_tags),
-                    any(tag in ARTICLE for tag, _ in open_tags),
+                    open_tags.outside(),
+                    open_tags.article(),
                     in_heading,
                 )
             )
@@ -108,25 +146,19 @@ def blocks_of(html: str | None) -> list[Block]:
         if tag in BLOCKS:
             close_block()
             in_link = False
-        elif tag == "span" and (last_span_outside(open_tags) if closing else around(token[3])):
+        elif tag == "span" and (open_tags.outside_span() if closing else around(token[3])):
             close_block()
         if tag in HEADINGS:
             in_heading = not closing
         if tag in KEPT_OPEN and closing:
-            last = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == tag), None)
-            if last is not None:
-                del open_tags[last:]
+            open_tags.close(tag)
         elif tag in KEPT_OPEN and not token[0].endswith("/>"):
-            open_tags.append((tag, tag in OUTSIDE or around(token[3])))
+            open_tags.open(tag, tag in OUTSIDE or around(token[3]))
     add(html[place:])
     close_block()
     return found
 
 
-def last_span_outside(open_tags: list[tuple[str, bool]]) -> bool:
-    return next((outside for tag, outside in reversed(open_tags) if tag == "span"), False)
-
-
 def around(attributes: str) -> bool:
     """True if a class, id or role says that the element isn't part of the article."""
     return any(
@@ -254,7 +286,8 @@ def extract(pages: DataFrame, tree: Tree | None = None) -> DataFrame:
     """``page_id``, ``url``, main ``text`` and its ``n_chars`` of every page.
 
     One row for each row of ``pages``, repeated rows included. Null and empty pages,
-    and pages without article text, give an empty text.
+    and pages without article text, give an empty text; an empty table gives no rows.
+    Pages of any length are read whole, in time that grows with their length.
     """
     text = main_text_of(F.col("html").cast("string"), tree or default_tree())
     return pages.select("page_id", "url", text.alias("text")).withColumn(

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from html import unescape
 
 import numpy as np
@@ -66,3 +67,14 @@ def test_rows_with_nulls_repeats_and_clashing_columns(spark):
     found = sorted(((r.page_id or 0), r.n_chars) for r in extract(df).collect())
     assert found == [(0, 0), (1, 47), (1, 47), (2, 0), (3, 999_999)]
     assert extract(df.limit(0)).collect() == []
+
+
+def test_time_grows_with_the_tags_of_a_broken_page():
+    def seconds(count):
+        page = "<div>word<span class='ad'>x" * count + "</p></main>" * count
+        start = time.process_time()
+        assert len(blocks_of(page)) == 2 * count
+        return time.process_time() - start
+
+    seconds(100)
+    assert seconds(16_000) < 12 * seconds(4000) + 0.2
